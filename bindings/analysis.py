@@ -393,7 +393,7 @@ cv AS (SELECT {keys}degree, count(*) AS folds, avg(mse) AS mse, avg(r2) AS r2 FR
 
 
 _LEAGUE_CV = f"""WITH {POINTS_CTE},
-fp AS (SELECT *, CAST(('0x' || substr(md5(game_id || '|' || team), 1, 8)) AS BIGINT) % 5 AS fold FROM pts),
+fp AS (SELECT *, CAST(('0x' || substr(md5(game_id || '|' || side), 1, 8)) AS BIGINT) % 5 AS fold FROM pts),
 {_cv_sql([1, 2, 3, 4, 5], False)}"""
 
 
@@ -409,7 +409,7 @@ def _degree_tuning(spark, sf):
 
 @query(
     "degree_tuning_by_game",
-    _LEAGUE_CV.replace("game_id || '|' || team", "CAST(game_id AS VARCHAR)")
+    _LEAGUE_CV.replace("game_id || '|' || side", "CAST(game_id AS VARCHAR)")
     + f" SELECT degree, {sql_round('mse', 3)} AS mse, {sql_round('r2', 6)} AS r2 FROM cv",
 )
 def _degree_tuning_by_game(spark, sf):
@@ -418,7 +418,7 @@ def _degree_tuning_by_game(spark, sf):
 
 
 _TEAM_CV = f"""WITH {POINTS_CTE},
-fp AS (SELECT *, (row_number() OVER (PARTITION BY team ORDER BY md5(game_id || '|' || team)) - 1)
+fp AS (SELECT *, (row_number() OVER (PARTITION BY team ORDER BY md5(game_id || '|' || side)) - 1)
          % greatest(2, least(5, (count(*) OVER (PARTITION BY team)) // 2)) AS fold,
          count(*) OVER (PARTITION BY team) AS n FROM pts QUALIFY n >= 10),
 {_cv_sql([1, 2, 3], True)},
@@ -459,7 +459,7 @@ def _complex_teams(spark, sf):
 {sql_round('r2', 5)} AS r2 FROM cv""",
 )
 def _poly_cv_by_team(spark, sf):
-    s = fit.poly_cv_by(points(spark, sf), X, Y, [TEAM], [1, 2, 3], 5, ["game_id", TEAM])
+    s = fit.poly_cv_by(points(spark, sf), X, Y, [TEAM], [1, 2, 3], 5, closing.POINT_KEY)
     return s.select(TEAM, "degree", "folds", r("mse", 3), r("r2", 5))
 
 
@@ -468,7 +468,7 @@ def _poly_cv_by_team(spark, sf):
     f"{_LEAGUE_CV} SELECT arg_min(degree, mse) AS degree, {sql_round('min(mse)', 3)} AS mse FROM cv",
 )
 def _best_degree(spark, sf):
-    scores = fit.poly_cv(points(spark, sf), X, Y, [1, 2, 3, 4, 5], 5, ["game_id", TEAM])
+    scores = fit.poly_cv(points(spark, sf), X, Y, [1, 2, 3, 4, 5], 5, closing.POINT_KEY)
     return fit.best_degree(scores).select("degree", r("mse", 3))
 
 

@@ -37,8 +37,37 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# Declared schemas of the given tables: a read then starts without an inference job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str, season: bool = True) -> DataFrame:
@@ -78,14 +107,13 @@ def with_teams(games: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def game_rows(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """One row per game: keys, q3 and final scores, both teams."""
-    ends = period_end_scores(
-        events(spark, sf_dir), keys=["game_id", "user_id", "week"], **options
-    )
-    return with_teams(ends, spark, sf_dir)
+    ends = period_end_scores(events(spark, sf_dir), keys=["user_id", "week"], **options)
+    named = ends.withColumn("game_id", F.col("user_id") * 100 + F.col("week"))
+    return with_teams(named, spark, sf_dir)
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closing points of the binding: game_id, Team, Q3_Lead, Final_Result."""
+    """Closing points of the binding: game_id, Team, Side, Q3_Lead, Final_Result."""
     return closing_points(game_rows(spark, sf_dir), keep=["game_id"])
 
 
@@ -124,9 +152,9 @@ game AS (
 
 POINTS_CTE = ENDS_CTE + """,
 pts AS (
-  SELECT game_id, home_team AS team, q3_h - q3_a AS x, f_h - f_a AS y FROM game
+  SELECT game_id, home_team AS team, 'home' AS side, q3_h - q3_a AS x, f_h - f_a AS y FROM game
   UNION ALL
-  SELECT game_id, away_team, -(q3_h - q3_a), -(f_h - f_a) FROM game
+  SELECT game_id, away_team, 'away', -(q3_h - q3_a), -(f_h - f_a) FROM game
 )"""
 
 

@@ -18,16 +18,6 @@ from pyspark.sql import functions as F
 _RANK_TOLERANCE = 1e-11
 
 
-def sum_names(degree: int) -> list[str]:
-    """Names of the power-sum columns for one degree, in a fixed order."""
-    return (
-        ["n"]
-        + [f"sx{k}" for k in range(1, 2 * degree + 1)]
-        + [f"sxy{k}" for k in range(degree + 1)]
-        + ["syy"]
-    )
-
-
 def _power(x: Column, k: int) -> Column:
     value = x
     for _ in range(k - 1):
@@ -35,25 +25,47 @@ def _power(x: Column, k: int) -> Column:
     return value
 
 
-def power_sums(x: Column, y: Column, degree: int) -> list[Column]:
-    """Aggregates for :func:`sum_names`; x and y must be non-null doubles."""
-    out = [F.count(F.lit(1)).alias("n")]
-    out += [F.sum(_power(x, k)).alias(f"sx{k}") for k in range(1, 2 * degree + 1)]
-    out.append(F.sum(y).alias("sxy0"))
-    out += [F.sum(_power(x, k) * y).alias(f"sxy{k}") for k in range(1, degree + 1)]
-    out.append(F.sum(y * y).alias("syy"))
-    return out
+def moments_size(degree: int) -> int:
+    return 3 * degree + 3
+
+
+def power_sums(x: Column, y: Column, degree: int) -> Column:
+    """Aggregate array: n, sums of x^1..x^2d, sums of x^0*y..x^d*y, sum of y^2.
+
+    One array rather than one column per sum: every branch of a plan then asks
+    for the same aggregate, and Spark computes and shuffles it once.
+    """
+    sums = [F.count(F.lit(1)).cast("double")]
+    sums += [F.sum(_power(x, k)) for k in range(1, 2 * degree + 1)]
+    sums.append(F.sum(y))
+    sums += [F.sum(_power(x, k) * y) for k in range(1, degree + 1)]
+    sums.append(F.sum(y * y))
+    return F.array(*sums)
+
 
+def add_up(moments: Column, degree: int) -> Column:
+    """Aggregate: element-wise sum of moment arrays."""
+    return F.array(*[F.sum(moments[i]) for i in range(moments_size(degree))])
 
-def x_sums(degree: int, prefix: str = "") -> Column:
-    """Array of sums of x^0 .. x^(2d)."""
-    names = ["n"] + [f"sx{k}" for k in range(1, 2 * degree + 1)]
-    return F.array(*[F.col(prefix + n).cast("double") for n in names])
 
+def x_sums(moments: Column, degree: int) -> Column:
+    """Sums of x^0 .. x^(2d)."""
+    return F.slice(moments, 1, 2 * degree + 1)
 
-def xy_sums(degree: int, prefix: str = "") -> Column:
-    """Array of sums of x^k * y for k = 0 .. d."""
-    return F.array(*[F.col(f"{prefix}sxy{k}").cast("double") for k in range(degree + 1)])
+
+def xy_sums(moments: Column, degree: int) -> Column:
+    """Sums of x^k * y for k = 0 .. d."""
+    return F.slice(moments, 2 * degree + 2, degree + 1)
+
+
+def yy_sum(moments: Column, degree: int) -> Column:
+    return moments[3 * degree + 2]
+
+
+def y_variation(moments: Column, degree: int) -> Column:
+    """Sum of squares of y around its mean."""
+    sy = moments[2 * degree + 1]
+    return yy_sum(moments, degree) - sy * sy / moments[0]
 
 
 def _scaled_system(xs: Column, ts: Column, yy: Column, scale: Column, degree: int) -> Column:
@@ -68,16 +80,15 @@ def _scaled_system(xs: Column, ts: Column, yy: Column, scale: Column, degree: in
     return F.concat(gram, F.array(F.concat(zt, F.array(yy / n))))
 
 
-def fit_ladder(degree: int, prefix: str = "") -> Column:
-    """array<struct<degree, coef, sse>> for degrees 0..d from power-sum columns.
+def fit_ladder(moments: Column, degree: int) -> Column:
+    """array<struct<degree, coef, sse>> for degrees 0..d from a moment array.
 
     ``coef`` is ascending in powers of x. A rank-deficient degree, and every
     degree above it, has NULL coefficients.
     """
-    xs, ts = x_sums(degree, prefix), xy_sums(degree, prefix)
-    n = F.col(prefix + "n").cast("double")
-    yy = F.col(prefix + "syy").cast("double")
-    rms = F.sqrt(F.col(prefix + "sx2") / n)
+    xs, ts = x_sums(moments, degree), xy_sums(moments, degree)
+    n, yy = moments[0], yy_sum(moments, degree)
+    rms = F.sqrt(moments[2] / n)
     scale = F.when(rms > 0, rms).otherwise(F.lit(1.0))
     system = F.struct(
         _scaled_system(xs, ts, yy, scale, degree).alias("rows"),
@@ -139,25 +150,26 @@ def fit_ladder(degree: int, prefix: str = "") -> Column:
     return F.transform(F.array(system), solve)[0]
 
 
-def error_sum(coef: Column, xs: Column, ts: Column, yy: Column) -> Column:
-    """Sum of squared errors of ``coef`` on the points behind the given sums."""
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
-    def dot(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
+def error_sum(coef: Column, moments: Column, degree: int) -> Column:
+    """Sum of squared errors of ``coef`` on the points behind a moment array."""
+    xs, ts = x_sums(moments, degree), xy_sums(moments, degree)
     size = F.size(coef)
-    linear = dot(coef, F.slice(ts, 1, size))
     quadratic = F.aggregate(
-        F.transform(coef, lambda c, i: c * dot(coef, F.slice(xs, i + 1, size))),
+        F.transform(coef, lambda c, i: c * _dot(coef, F.slice(xs, i + 1, size))),
         F.lit(0.0),
         lambda s, v: s + v,
     )
-    return F.greatest(yy - F.lit(2.0) * linear + quadratic, F.lit(0.0))
+    linear = _dot(coef, F.slice(ts, 1, size))
+    return F.greatest(yy_sum(moments, degree) - F.lit(2.0) * linear + quadratic, F.lit(0.0))
 
 
-def total_sum(n: Column, sy: Column, syy: Column) -> Column:
-    """Sum of squares of y around its mean."""
-    return syy - sy * sy / n
+def expected_total(coef: Column, moments: Column, degree: int) -> Column:
+    """Sum of the fitted values of ``coef`` over the points behind a moment array."""
+    return _dot(coef, F.slice(moments, 1, degree + 1))
 
 
 def horner(coef: Column, x: Column, degree: int) -> Column:

@@ -11,16 +11,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from courtstats.functions.polynomial import (
+    add_up,
     error_sum,
+    expected_total,
     fit_ladder,
     horner,
     horner_array,
+    moments_size,
     power_sums,
     sigmoid,
-    sum_names,
-    total_sum,
-    x_sums,
-    xy_sums,
+    y_variation,
 )
 from courtstats.operators.windows import rank_within
 
@@ -38,31 +38,40 @@ def linear_fit(points: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> Dat
 def moment_sums(
     points: DataFrame, x: str, y: str, degree: int, by: Sequence[str] = (), center: float = 0.0
 ) -> DataFrame:
-    """Power sums per group; rows lacking x or y are left out."""
+    """Column ``moments`` of power sums per group; rows lacking x or y are left out."""
     shifted = F.col(x).cast("double")
     if center:
         shifted = shifted - F.lit(float(center))
     xy = points.select(*by, shifted.alias("__x"), F.col(y).cast("double").alias("__y")).dropna(
         subset=["__x", "__y"]
     )
-    return xy.groupBy(*by).agg(*power_sums(F.col("__x"), F.col("__y"), degree))
+    return xy.groupBy(*by).agg(power_sums(F.col("__x"), F.col("__y"), degree).alias("moments"))
 
 
 def roll_up(sums: DataFrame, degree: int, by: Sequence[str] = ()) -> DataFrame:
     """Power sums of coarser groups from those of finer ones."""
-    return sums.groupBy(*by).agg(*[F.sum(c).alias(c) for c in sum_names(degree)])
+    return sums.groupBy(*by).agg(add_up(F.col("moments"), degree).alias("moments"))
+
+
+def _point_count() -> Column:
+    return F.col("moments")[0].cast("long")
+
+
+def _r2(sse: Column, degree: int) -> Column:
+    variation = y_variation(F.col("moments"), degree)
+    return F.when(variation > 0, F.lit(1.0) - sse / variation)
 
 
 def solve_sums(sums: DataFrame, degree: int, by: Sequence[str] = ()) -> DataFrame:
     """Fit of one degree per row of power sums: n, coef (ascending), sse, r2."""
-    fits = sums.withColumn("__fit", fit_ladder(degree)[degree])
-    sst = total_sum(F.col("n"), F.col("sxy0"), F.col("syy"))
+    fits = sums.withColumn("__fit", fit_ladder(F.col("moments"), degree)[degree])
+    sse = F.col("__fit.sse")
     return fits.select(
         *by,
-        "n",
+        _point_count().alias("n"),
         F.col("__fit.coef").alias("coef"),
-        F.col("__fit.sse").alias("sse"),
-        F.when(sst > 0, F.lit(1.0) - F.col("__fit.sse") / sst).alias("r2"),
+        sse.alias("sse"),
+        _r2(sse, degree).alias("r2"),
     )
 
 
@@ -81,17 +90,17 @@ def refit_all_degrees(points: DataFrame, x: str, y: str, degrees: Sequence[int],
     """Every degree fitted on all rows from one set of power sums, one row per degree."""
     top = max(degrees)
     sums = moment_sums(points, x, y, top, by)
-    sst = total_sum(F.col("n"), F.col("sxy0"), F.col("syy"))
+    sse = F.col("__fit.sse")
     return (
-        sums.select(*by, "n", sst.alias("__sst"), F.explode(fit_ladder(top)).alias("__fit"))
+        sums.select(*by, "moments", F.explode(fit_ladder(F.col("moments"), top)).alias("__fit"))
         .where(F.col("__fit.degree").isin(*degrees))
         .select(
             *by,
             F.col("__fit.degree").alias("degree"),
-            "n",
+            _point_count().alias("n"),
             F.col("__fit.coef").alias("coef"),
-            F.col("__fit.sse").alias("sse"),
-            F.when(F.col("__sst") > 0, F.lit(1.0) - F.col("__fit.sse") / F.col("__sst")).alias("r2"),
+            sse.alias("sse"),
+            _r2(sse, top).alias("r2"),
         )
     )
 
@@ -131,22 +140,16 @@ def residual_means(
     """
     sums = moment_sums(points, x, y, degree, by)
     fit = roll_up(sums, degree, league).select(
-        *league, fit_ladder(degree)[degree]["coef"].alias("__coef")
+        *league, fit_ladder(F.col("moments"), degree)[degree]["coef"].alias("__coef")
     )
     if league:
         rows = sums.join(fit, list(league))
     else:
         rows = sums.withColumn("__coef", fit.select("__coef").scalar())
-    expected = F.aggregate(
-        F.zip_with(
-            F.col("__coef"),
-            F.slice(x_sums(degree), 1, degree + 1),
-            lambda c, s: c * s,
-        ),
-        F.lit(0.0),
-        lambda acc, v: acc + v,
+    gap = F.col("moments")[2 * degree + 1] - expected_total(F.col("__coef"), F.col("moments"), degree)
+    return rows.select(
+        *by, _point_count().alias("n"), (gap / F.col("moments")[0]).alias("mean_residual")
     )
-    return rows.select(*by, "n", ((F.col("sxy0") - expected) / F.col("n")).alias("mean_residual"))
 
 
 def r2_score(df: DataFrame, actual: str, expected: str, by: Sequence[str] = ()) -> DataFrame:
@@ -177,22 +180,12 @@ def fold_balanced(
 
     Small groups get min(k, n // 2) folds, at least 2. Groups under ``min_rows`` are left out.
     """
-    ranked = rank_within(points, by, key, "__rank")
-    sizes = (
-        points.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") >= min_rows)
-        .select(
-            *by,
-            F.greatest(
-                F.lit(2), F.least(F.lit(k), F.floor(F.col("__n") / 2).cast("int"))
-            ).alias("__splits"),
-        )
-    )
+    ranked = rank_within(points, by, key, "__rank", "__rows")
+    splits = F.greatest(F.lit(2), F.least(F.lit(k), F.floor(F.col("__rows") / 2)))
     return (
-        ranked.join(sizes, list(by))
-        .withColumn("fold", ((F.col("__rank") - 1) % F.col("__splits")).cast("int"))
-        .drop("__rank", "__splits")
+        ranked.where(F.col("__rows") >= min_rows)
+        .withColumn("fold", ((F.col("__rank") - 1) % splits).cast("int"))
+        .drop("__rank", "__rows")
     )
 
 
@@ -206,42 +199,35 @@ def cross_validate(
     cannot be fitted in some fold gets NULL scores.
     """
     top = max(degrees)
-    names = sum_names(top)
     sums = moment_sums(folded, x, y, top, [*by, "fold"])
     # At most k rows per group reach this window.
     whole = W.partitionBy(*(by or [F.lit(0)]))
+    cells = range(moments_size(top))
     parts = sums.select(
-        *by,
-        "fold",
-        *names,
-        *[(F.sum(c).over(whole) - F.col(c)).alias(f"train_{c}") for c in names],
-        F.sum("n").over(whole).alias("total"),
+        *by, "moments", F.array(*[F.sum(F.col("moments")[i]).over(whole) for i in cells]).alias("total")
     )
-    scored = parts.select(
-        *by,
-        "fold",
-        "total",
-        "n",
-        total_sum(F.col("n"), F.col("sxy0"), F.col("syy")).alias("sst"),
-        x_sums(top).alias("xs"),
-        xy_sums(top).alias("ts"),
-        "syy",
-        F.explode(fit_ladder(top, "train_")).alias("fit"),
-    ).where(F.col("fit.degree").isin(*degrees))
-    sse = error_sum(F.col("fit.coef"), F.col("xs"), F.col("ts"), F.col("syy"))
-    per_fold = scored.select(
-        *by,
-        F.col("fit.degree").alias("degree"),
-        "total",
-        (sse / F.col("n")).alias("mse"),
-        F.when(F.col("sst") > 0, F.lit(1.0) - sse / F.col("sst")).alias("r2"),
+    train = F.zip_with("total", "moments", lambda t, m: t - m)
+    scored = parts.withColumn("train", train).select(
+        *by, "moments", "total", F.explode(fit_ladder(F.col("train"), top)).alias("fit")
+    )
+    sse = error_sum(F.col("fit.coef"), F.col("moments"), top)
+    per_fold = (
+        scored.where(F.col("fit.degree").isin(*degrees))
+        .withColumn("sse", sse)
+        .select(
+            *by,
+            F.col("fit.degree").alias("degree"),
+            F.col("total")[0].cast("long").alias("total"),
+            (F.col("sse") / F.col("moments")[0]).alias("mse"),
+            _r2(F.col("sse"), top).alias("r2"),
+        )
     )
-    complete = F.count("mse") == F.count(F.lit(1))
+    folds = F.count(F.lit(1))
     return per_fold.groupBy(*by, "degree").agg(
         F.first("total").alias("n"),
-        F.count(F.lit(1)).alias("folds"),
-        F.when(complete, F.avg("mse")).alias("mse"),
-        F.when(F.count("r2") == F.count(F.lit(1)), F.avg("r2")).alias("r2"),
+        folds.alias("folds"),
+        F.when(F.count("mse") == folds, F.avg("mse")).alias("mse"),
+        F.when(F.count("r2") == folds, F.avg("r2")).alias("r2"),
     )
 
 
@@ -354,7 +340,7 @@ def sigmoid_fit(
     y: str,
     start: Sequence[float],
     max_steps: int = 200,
-    tolerance: float = 1e-12,
+    tolerance: float = 1e-10,
 ) -> DataFrame:
     """Least-squares height / (1 + exp(-k (x - x0))) + base by damped Gauss-Newton.
 

@@ -23,17 +23,21 @@ def stack_sides(
     values: dict[str, str],
     keep: Sequence[str] = (),
     name: str = "Team",
+    side_name: str | None = None,
 ) -> DataFrame:
     """One game row to a home row and a sign-flipped away row, in a single scan.
 
-    ``values`` maps a home-side column to its output name.
+    ``values`` maps a home-side column to its output name; ``side_name`` adds a
+    column that says "home" or "away".
     """
 
-    def side(team: str, sign: int) -> Column:
+    def side(team: str, label: str, sign: int) -> Column:
+        marker = [F.lit(label).alias(side_name)] if side_name else []
         return F.struct(
             F.col(team).alias(name),
+            *marker,
             *[(F.col(c) * F.lit(sign)).alias(out) for c, out in values.items()],
         )
 
-    rows = df.select(*keep, F.explode(F.array(side(home, 1), side(away, -1))).alias("__side"))
-    return rows.select(*keep, f"__side.{name}", *[f"__side.{o}" for o in values.values()])
+    rows = df.select(*keep, F.explode(F.array(side(home, "home", 1), side(away, "away", -1))).alias("__side"))
+    return rows.select(*keep, "__side.*")

@@ -57,13 +57,18 @@ def forward_fill(
 
 
 def rank_within(
-    df: DataFrame, by: Sequence[str], key: Sequence[str], name: str = "rank"
+    df: DataFrame,
+    by: Sequence[str],
+    key: Sequence[str],
+    name: str = "rank",
+    size_name: str | None = None,
 ) -> DataFrame:
     """1-based position of each row in its group, in the order of ``md5(key)``.
 
     The order is split by the leading hex digits of the hash: rows are ranked
     inside (group, digits) and shifted by the number of rows in earlier digits.
     A group that holds most of the table is ranked by 256 tasks, not by one.
+    ``size_name`` adds the group's row count, from the same small frame.
     """
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key]))
     hashed = df.withColumn("__hash", digest).withColumn("__digits", F.substring("__hash", 1, 2))
@@ -72,14 +77,16 @@ def rank_within(
         "__local", F.row_number().over(W.partitionBy(*part).orderBy("__hash", *key))
     )
     sizes = hashed.groupBy(*part).agg(F.count(F.lit(1)).alias("__size"))
-    earlier = (
-        W.partitionBy(*(by or [F.lit(0)]))
-        .orderBy("__digits")
-        .rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*(by or [F.lit(0)]))
+    earlier = whole.orderBy("__digits").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *part,
+        F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"),
+        F.sum("__size").over(whole).alias("__group_size"),
     )
-    offsets = sizes.select(*part, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    extra = [F.col("__group_size").alias(size_name)] if size_name else []
     return (
         join_null_safe(ranked, offsets, part)
         .withColumn(name, F.col("__local") + F.col("__before"))
-        .select(*df.columns, name)
+        .select(*df.columns, name, *extra)
     )

@@ -10,10 +10,12 @@ from courtstats.operators.cluster import cluster_complexity, cluster_profile, km
 from courtstats.operators.joins import feature_join
 from courtstats.plans.closing import TEAM, situational_matrix
 from courtstats.schemas import SITUATION_EDGES, SITUATION_LABELS
+from courtstats.session import materialize
 
 
 def _clustered(features: DataFrame, cols: Sequence[str], k: int, seed: int) -> DataFrame:
-    scaled = standardize(features, cols)
+    # One row per team; k-means reads it many times.
+    scaled = materialize(standardize(materialize(features), cols))
     return kmeans(scaled, [c + "_z" for c in cols], k, seed).drop(*[c + "_z" for c in cols])
 
 

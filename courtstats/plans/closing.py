@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtstats.functions.columns import cut, margin, numeric, sign_flag
-from courtstats.functions.polynomial import fit_ladder
 from courtstats.operators import fit
 from courtstats.operators.aggregates import exact_median, pivot_mean, value_counts
 from courtstats.operators.joins import star_join
@@ -18,6 +17,8 @@ from courtstats.operators.windows import forward_fill
 from courtstats.schemas import SITUATION_EDGES, SITUATION_LABELS
 
 X, Y, TEAM = "Q3_Lead", "Final_Result", "Team"
+# What tells two closing points apart, also the key that assigns folds.
+POINT_KEY = ("game_id", "Side")
 SCORES = ("score_home", "score_away")
 
 
@@ -72,7 +73,7 @@ def period_end_scores(
 def closing_points(
     games: DataFrame, home: str = "home_team", away: str = "away_team", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Team rows (Team, Q3_Lead, Final_Result) from one row per game, both sides."""
+    """Team rows (Team, Side, Q3_Lead, Final_Result) from one row per game, both sides."""
     margins = games.select(
         *keep,
         home,
@@ -80,7 +81,7 @@ def closing_points(
         margin(F.col("q3_h"), F.col("q3_a")).alias("__q3"),
         margin(F.col("f_h"), F.col("f_a")).alias("__final"),
     )
-    return stack_sides(margins, home, away, {"__q3": X, "__final": Y}, keep, TEAM)
+    return stack_sides(margins, home, away, {"__q3": X, "__final": Y}, keep, TEAM, "Side")
 
 
 def closing_games(
@@ -90,7 +91,7 @@ def closing_games(
     season_ids: Sequence[str] | None = None,
     **options,
 ) -> DataFrame:
-    """Closing points (game_id, Team, Q3_Lead, Final_Result) from the silver tables.
+    """Closing points (game_id, Team, Side, Q3_Lead, Final_Result) from the silver tables.
 
     Events shrink to one row per game before they meet the games. When the event
     table carries its season (as a partition column), the season filter prunes
@@ -170,8 +171,8 @@ def team_shapes(
 ) -> DataFrame:
     """Fitted curve of each team with enough rows, beside the league's on the same grid."""
     sums = fit.moment_sums(points, x, y, degree, [team])
-    league = fit.roll_up(sums, degree).select(fit_ladder(degree)[degree]["coef"].alias("coef"))
-    teams = fit.solve_sums(sums.where(F.col("n") > more_than), degree, [team])
+    league = fit.solve_sums(fit.roll_up(sums, degree), degree).select("coef")
+    teams = fit.solve_sums(sums, degree, [team]).where(F.col("n") > more_than)
     both = teams.withColumn("league", league.scalar())
     at = F.explode(fit.linspace(low, high, grid)).alias("x")
     grid_rows = both.where(F.col("coef").isNotNull()).select(team, "coef", "league", at)
@@ -190,7 +191,7 @@ def outcome_flags(points: DataFrame, y: str = Y) -> DataFrame:
 
 def team_best_fits(
     points: DataFrame,
-    key: Sequence[str] = ("game_id", TEAM),
+    key: Sequence[str] = POINT_KEY,
     degrees: Sequence[int] = (1, 2, 3),
     k: int = 5,
     min_rows: int = 10,
@@ -219,7 +220,7 @@ def complex_teams(best_fits: DataFrame, team: str = TEAM) -> DataFrame:
 
 def degree_tuning(
     points: DataFrame,
-    key: Sequence[str] = ("game_id", TEAM),
+    key: Sequence[str] = POINT_KEY,
     degrees: Sequence[int] = (1, 2, 3, 4, 5),
     k: int = 5,
     x: str = X,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,3 +56,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hadoop_path))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small intermediate once and cut its lineage, in the shared folder.
+
+    Later jobs read the checkpoint files, which outlive any executor.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
