@@ -13,7 +13,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtstats.functions.columns import rounded
 from courtstats.operators.joins import star_join
 from courtstats.plans.closing import closing_points, period_end_scores
 
@@ -118,8 +117,9 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r(name: str, decimals: int = 4, alias: str | None = None):
-    """Rounded output column."""
-    return rounded(F.col(name), decimals).alias(alias or name)
+    """Rounded output column without a negative zero."""
+    short = f"round(`{name}`, {decimals})"
+    return F.expr(f"if({short} = 0, 0D, {short})").alias(alias or name)
 
 
 # --- Oracle text ---------------------------------------------------------------------

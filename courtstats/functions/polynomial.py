@@ -6,6 +6,9 @@ so points are read once and never leave their partitions. The normal equations
 of every degree from 0 to d are then solved by one Gauss-Jordan pass written
 with Spark's array functions: after k+1 pivots the leading rows hold the
 coefficients of degree k and the last row holds its error sum.
+
+The expressions are SQL text: a lambda in text costs the driver one call, one
+built from Column objects costs it hundreds. Arguments are SQL expressions.
 """
 
 from __future__ import annotations
@@ -18,173 +21,143 @@ from pyspark.sql import functions as F
 _RANK_TOLERANCE = 1e-11
 
 
-def _power(x: Column, k: int) -> Column:
-    value = x
-    for _ in range(k - 1):
-        value = value * x
-    return value
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def moments_size(degree: int) -> int:
     return 3 * degree + 3
 
 
-def power_sums(x: Column, y: Column, degree: int) -> Column:
+def power_sums(x: str, y: str, degree: int) -> Column:
     """Aggregate array: n, sums of x^1..x^2d, sums of x^0*y..x^d*y, sum of y^2.
 
     One array rather than one column per sum: every branch of a plan then asks
     for the same aggregate, and Spark computes and shuffles it once.
     """
-    sums = [F.count(F.lit(1)).cast("double")]
-    sums += [F.sum(_power(x, k)) for k in range(1, 2 * degree + 1)]
-    sums.append(F.sum(y))
-    sums += [F.sum(_power(x, k) * y) for k in range(1, degree + 1)]
-    sums.append(F.sum(y * y))
-    return F.array(*sums)
+    cells = ["cast(count(1) as double)"]
+    cells += [f"sum({' * '.join([x] * k)})" for k in range(1, 2 * degree + 1)]
+    cells += [f"sum({' * '.join([x] * k + [y])})" for k in range(degree + 1)]
+    cells.append(f"sum({y} * {y})")
+    return F.expr(f"array({', '.join(cells)})")
+
 
+def add_up(moments: str, degree: int, over: str = "") -> Column:
+    """Element-wise sum of moment arrays; ``over`` makes it a window sum."""
+    cells = [f"sum({moments}[{i}]){over}" for i in range(moments_size(degree))]
+    return F.expr(f"array({', '.join(cells)})")
 
-def add_up(moments: Column, degree: int) -> Column:
-    """Aggregate: element-wise sum of moment arrays."""
-    return F.array(*[F.sum(moments[i]) for i in range(moments_size(degree))])
 
+def _x_sums(moments: str, degree: int) -> str:
+    return f"slice({moments}, 1, {2 * degree + 1})"
 
-def x_sums(moments: Column, degree: int) -> Column:
-    """Sums of x^0 .. x^(2d)."""
-    return F.slice(moments, 1, 2 * degree + 1)
 
+def _xy_sums(moments: str, degree: int) -> str:
+    return f"slice({moments}, {2 * degree + 2}, {degree + 1})"
 
-def xy_sums(moments: Column, degree: int) -> Column:
-    """Sums of x^k * y for k = 0 .. d."""
-    return F.slice(moments, 2 * degree + 2, degree + 1)
 
+def yy_sum(moments: str, degree: int) -> str:
+    return f"{moments}[{3 * degree + 2}]"
 
-def yy_sum(moments: Column, degree: int) -> Column:
-    return moments[3 * degree + 2]
 
+def y_sum(moments: str, degree: int) -> str:
+    return f"{moments}[{2 * degree + 1}]"
 
-def y_variation(moments: Column, degree: int) -> Column:
+
+def y_variation(moments: str, degree: int) -> str:
     """Sum of squares of y around its mean."""
-    sy = moments[2 * degree + 1]
-    return yy_sum(moments, degree) - sy * sy / moments[0]
-
-
-def _scaled_system(xs: Column, ts: Column, yy: Column, scale: Column, degree: int) -> Column:
-    """Rows of the normal equations in z = x/scale, divided by n, with the y row last."""
-    n = xs[0]
-    zs = F.transform(xs, lambda s, k: s / n / F.pow(scale, k))
-    zt = F.transform(ts, lambda t, k: t / n / F.pow(scale, k))
-    gram = F.transform(
-        F.sequence(F.lit(0), F.lit(degree)),
-        lambda i: F.concat(F.slice(zs, i + 1, degree + 1), F.array(zt[i])),
-    )
-    return F.concat(gram, F.array(F.concat(zt, F.array(yy / n))))
+    sy = y_sum(moments, degree)
+    return f"({yy_sum(moments, degree)} - {sy} * {sy} / {moments}[0])"
 
 
-def fit_ladder(moments: Column, degree: int) -> Column:
+def fit_ladder(moments: str, degree: int) -> Column:
     """array<struct<degree, coef, sse>> for degrees 0..d from a moment array.
 
     ``coef`` is ascending in powers of x. A rank-deficient degree, and every
     degree above it, has NULL coefficients.
     """
-    xs, ts = x_sums(moments, degree), xy_sums(moments, degree)
-    n, yy = moments[0], yy_sum(moments, degree)
-    rms = F.sqrt(moments[2] / n)
-    scale = F.when(rms > 0, rms).otherwise(F.lit(1.0))
-    system = F.struct(
-        _scaled_system(xs, ts, yy, scale, degree).alias("rows"),
-        scale.alias("scale"),
-        n.alias("n"),
+    d = degree
+    # The normal equations in z = x / scale, divided by n, with the y row last.
+    rows = (
+        f"concat(transform(sequence(0, {d}), i -> concat(slice(zs, i + 1, {d + 1}), array(zt[i]))), "
+        f"array(concat(zt, array({yy_sum('m', d)} / m[0]))))"
+    )
+    pivot = f"if(s.rows[k][k] > s.start[k][k] * {_RANK_TOLERANCE}D, s.rows[k][k], null)"
+    lead = f"transform(s.rows[k], v -> v / {pivot})"
+    reduced = (
+        "transform(s.rows, (line, i) -> if(i = k, lead, "
+        "zip_with(line, lead, (a, b) -> a - line[k] * b)))"
+    )
+    fit = (
+        f"named_struct('degree', k, 'coef', transform(slice(next, 1, k + 1), line -> line[{d + 1}]), "
+        f"'sse', next[{d + 1}][{d + 1}])"
+    )
+    step = _let(
+        "lead",
+        lead,
+        _let(
+            "next",
+            reduced,
+            f"named_struct('rows', next, 'start', s.start, 'fits', concat(s.fits, array({fit})))",
+        ),
     )
+    start = (
+        "named_struct('rows', eq, 'start', eq, "
+        "'fits', cast(array() as array<struct<degree:int,coef:array<double>,sse:double>>))"
+    )
+    solved = f"aggregate(sequence(0, {d}), {start}, (s, k) -> {step}, s -> s.fits)"
+    unscaled = (
+        f"transform({solved}, f -> named_struct('degree', f.degree, 'coef', "
+        "if(forall(f.coef, c -> c is not null), transform(f.coef, (c, j) -> c / pow(scale, j)), null), "
+        "'sse', if(f.sse is null, null, greatest(f.sse, 0D) * m[0])))"
+    )
+    with_rows = _let("eq", rows, unscaled)
+    with_zt = _let(
+        "zt", f"transform({_xy_sums('m', d)}, (t, k) -> t / m[0] / pow(scale, k))", with_rows
+    )
+    with_zs = _let(
+        "zs", f"transform({_x_sums('m', d)}, (t, k) -> t / m[0] / pow(scale, k))", with_zt
+    )
+    with_scale = _let("scale", "if(m[2] > 0, sqrt(m[2] / m[0]), 1D)", with_zs)
+    return F.expr(_let("m", moments, with_scale))
+
+
+def _dot(a: str, b: str) -> str:
+    return f"aggregate(zip_with({a}, {b}, (p, q) -> p * q), 0D, (s, v) -> s + v)"
+
 
-    def pivot_step(state: Column, k: Column) -> Column:
-        rows = state["rows"]
-        diagonal = state["start"][k][k]
-        raw = rows[k][k]
-        pivot = F.when(raw > diagonal * _RANK_TOLERANCE, raw)
-        lead = F.transform(rows[k], lambda v: v / pivot)
-        reduced = F.transform(
-            rows,
-            lambda row, i: F.when(i == k, lead).otherwise(
-                F.zip_with(row, lead, lambda a, b: a - row[k] * b)
-            ),
-        )
-        # Bind the reduced rows once, so the fit below does not recompute them.
-        return F.transform(
-            F.array(reduced),
-            lambda m: F.struct(
-                m.alias("rows"),
-                state["start"].alias("start"),
-                F.concat(
-                    state["fits"],
-                    F.array(
-                        F.struct(
-                            k.alias("degree"),
-                            F.transform(
-                                F.slice(m, 1, k + 1), lambda row: row[degree + 1]
-                            ).alias("coef"),
-                            m[degree + 1][degree + 1].alias("sse"),
-                        )
-                    ),
-                ).alias("fits"),
-            ),
-        )[0]
-
-    def solve(s: Column) -> Column:
-        empty = F.array().cast("array<struct<degree:int,coef:array<double>,sse:double>>")
-        start = F.struct(
-            s["rows"].alias("rows"), s["rows"].alias("start"), empty.alias("fits")
-        )
-        fits = F.aggregate(F.sequence(F.lit(0), F.lit(degree)), start, pivot_step)["fits"]
-        return F.transform(
-            fits,
-            lambda f: F.struct(
-                f["degree"].alias("degree"),
-                F.when(
-                    F.forall(f["coef"], lambda c: c.isNotNull()),
-                    F.transform(f["coef"], lambda c, j: c / F.pow(s["scale"], j)),
-                ).alias("coef"),
-                F.when(f["sse"].isNotNull(), F.greatest(f["sse"], F.lit(0.0)) * s["n"]).alias("sse"),
-            ),
-        )
-
-    return F.transform(F.array(system), solve)[0]
-
-
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-
-
-def error_sum(coef: Column, moments: Column, degree: int) -> Column:
+def error_sum(coef: str, moments: str, degree: int) -> Column:
     """Sum of squared errors of ``coef`` on the points behind a moment array."""
-    xs, ts = x_sums(moments, degree), xy_sums(moments, degree)
-    size = F.size(coef)
-    quadratic = F.aggregate(
-        F.transform(coef, lambda c, i: c * _dot(coef, F.slice(xs, i + 1, size))),
-        F.lit(0.0),
-        lambda s, v: s + v,
+    size = f"size({coef})"
+    quadratic = (
+        f"aggregate(transform({coef}, (c, i) -> "
+        f"c * {_dot(coef, f'slice({_x_sums(moments, degree)}, i + 1, {size})')}), 0D, (s, v) -> s + v)"
     )
-    linear = _dot(coef, F.slice(ts, 1, size))
-    return F.greatest(yy_sum(moments, degree) - F.lit(2.0) * linear + quadratic, F.lit(0.0))
+    linear = _dot(coef, f"slice({_xy_sums(moments, degree)}, 1, {size})")
+    error = f"greatest({yy_sum(moments, degree)} - 2 * {linear} + {quadratic}, 0D)"
+    return F.expr(f"if({coef} is null, null, {error})")
 
 
-def expected_total(coef: Column, moments: Column, degree: int) -> Column:
-    """Sum of the fitted values of ``coef`` over the points behind a moment array."""
-    return _dot(coef, F.slice(moments, 1, degree + 1))
+def mean_gap(coef: str, moments: str, degree: int) -> Column:
+    """Mean of y minus the fitted value over the points behind a moment array."""
+    expected = _dot(coef, f"slice({moments}, 1, {degree + 1})")
+    return F.expr(f"({y_sum(moments, degree)} - {expected}) / {moments}[0]")
 
 
-def horner(coef: Column, x: Column, degree: int) -> Column:
+def horner(coef: str, x: str, degree: int) -> Column:
     """Value of an ascending coefficient array of fixed degree at x (stays in codegen)."""
-    value = coef[degree]
+    value = f"{coef}[{degree}]"
     for k in range(degree - 1, -1, -1):
-        value = value * x + coef[k]
-    return value
+        value = f"({value} * {x} + {coef}[{k}])"
+    return F.expr(value)
 
 
-def horner_array(coef: Column, x: Column) -> Column:
+def horner_array(coef: str, x: str) -> Column:
     """Like :func:`horner` for coefficient arrays of mixed length."""
-    return F.aggregate(F.reverse(coef), F.lit(0.0), lambda s, c: s * x + c)
+    return F.expr(f"aggregate(reverse({coef}), 0D, (s, c) -> s * {x} + c)")
 
 
-def sigmoid(x: Column, height: Column, x0: Column, k: Column, base: Column) -> Column:
+def sigmoid(x: str, height: str, x0: str, k: str, base: str) -> Column:
     """height / (1 + exp(-k (x - x0))) + base."""
-    return height / (F.lit(1.0) + F.exp(-k * (x - x0))) + base
+    return F.expr(f"{height} / (1 + exp(-{k} * ({x} - {x0}))) + {base}")

@@ -7,17 +7,15 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from courtstats.functions.polynomial import (
     add_up,
     error_sum,
-    expected_total,
     fit_ladder,
     horner,
     horner_array,
-    moments_size,
+    mean_gap,
     power_sums,
     sigmoid,
     y_variation,
@@ -45,33 +43,32 @@ def moment_sums(
     xy = points.select(*by, shifted.alias("__x"), F.col(y).cast("double").alias("__y")).dropna(
         subset=["__x", "__y"]
     )
-    return xy.groupBy(*by).agg(power_sums(F.col("__x"), F.col("__y"), degree).alias("moments"))
+    return xy.groupBy(*by).agg(power_sums("__x", "__y", degree).alias("moments"))
 
 
 def roll_up(sums: DataFrame, degree: int, by: Sequence[str] = ()) -> DataFrame:
     """Power sums of coarser groups from those of finer ones."""
-    return sums.groupBy(*by).agg(add_up(F.col("moments"), degree).alias("moments"))
+    return sums.groupBy(*by).agg(add_up("moments", degree).alias("moments"))
 
 
 def _point_count() -> Column:
     return F.col("moments")[0].cast("long")
 
 
-def _r2(sse: Column, degree: int) -> Column:
-    variation = y_variation(F.col("moments"), degree)
-    return F.when(variation > 0, F.lit(1.0) - sse / variation)
+def _r2(sse: str, degree: int) -> Column:
+    variation = y_variation("moments", degree)
+    return F.expr(f"if({variation} > 0, 1 - {sse} / {variation}, null)")
 
 
 def solve_sums(sums: DataFrame, degree: int, by: Sequence[str] = ()) -> DataFrame:
     """Fit of one degree per row of power sums: n, coef (ascending), sse, r2."""
-    fits = sums.withColumn("__fit", fit_ladder(F.col("moments"), degree)[degree])
-    sse = F.col("__fit.sse")
+    fits = sums.withColumn("__fit", fit_ladder("moments", degree)[degree])
     return fits.select(
         *by,
         _point_count().alias("n"),
         F.col("__fit.coef").alias("coef"),
-        sse.alias("sse"),
-        _r2(sse, degree).alias("r2"),
+        F.col("__fit.sse").alias("sse"),
+        _r2("__fit.sse", degree).alias("r2"),
     )
 
 
@@ -90,17 +87,16 @@ def refit_all_degrees(points: DataFrame, x: str, y: str, degrees: Sequence[int],
     """Every degree fitted on all rows from one set of power sums, one row per degree."""
     top = max(degrees)
     sums = moment_sums(points, x, y, top, by)
-    sse = F.col("__fit.sse")
     return (
-        sums.select(*by, "moments", F.explode(fit_ladder(F.col("moments"), top)).alias("__fit"))
+        sums.select(*by, "moments", F.explode(fit_ladder("moments", top)).alias("__fit"))
         .where(F.col("__fit.degree").isin(*degrees))
         .select(
             *by,
             F.col("__fit.degree").alias("degree"),
             _point_count().alias("n"),
             F.col("__fit.coef").alias("coef"),
-            sse.alias("sse"),
-            _r2(sse, top).alias("r2"),
+            F.col("__fit.sse").alias("sse"),
+            _r2("__fit.sse", top).alias("r2"),
         )
     )
 
@@ -122,9 +118,9 @@ def with_expected(
         rows = points.join(fit.select(*by, F.col("coef").alias("__coef")), list(by))
     else:
         rows = points.withColumn("__coef", fit.select("coef").scalar())
-    at = F.col(x).cast("double") - F.lit(float(center)) if center else F.col(x).cast("double")
+    at = f"(cast(`{x}` as double) - {float(center)!r}D)"
     return (
-        rows.withColumn("expected", horner(F.col("__coef"), at, degree))
+        rows.withColumn("expected", horner("__coef", at, degree))
         .withColumn("residual", F.col(y) - F.col("expected"))
         .drop("__coef")
     )
@@ -140,15 +136,16 @@ def residual_means(
     """
     sums = moment_sums(points, x, y, degree, by)
     fit = roll_up(sums, degree, league).select(
-        *league, fit_ladder(F.col("moments"), degree)[degree]["coef"].alias("__coef")
+        *league, fit_ladder("moments", degree)[degree]["coef"].alias("__coef")
     )
     if league:
         rows = sums.join(fit, list(league))
     else:
         rows = sums.withColumn("__coef", fit.select("__coef").scalar())
-    gap = F.col("moments")[2 * degree + 1] - expected_total(F.col("__coef"), F.col("moments"), degree)
     return rows.select(
-        *by, _point_count().alias("n"), (gap / F.col("moments")[0]).alias("mean_residual")
+        *by,
+        _point_count().alias("n"),
+        mean_gap("__coef", "moments", degree).alias("mean_residual"),
     )
 
 
@@ -201,25 +198,21 @@ def cross_validate(
     top = max(degrees)
     sums = moment_sums(folded, x, y, top, [*by, "fold"])
     # At most k rows per group reach this window.
-    whole = W.partitionBy(*(by or [F.lit(0)]))
-    cells = range(moments_size(top))
-    parts = sums.select(
-        *by, "moments", F.array(*[F.sum(F.col("moments")[i]).over(whole) for i in cells]).alias("total")
-    )
-    train = F.zip_with("total", "moments", lambda t, m: t - m)
+    keys = ", ".join(f"`{c}`" for c in by) or "0"
+    parts = sums.withColumn("total", add_up("moments", top, f" over (partition by {keys})"))
+    train = F.expr("zip_with(total, moments, (t, m) -> t - m)")
     scored = parts.withColumn("train", train).select(
-        *by, "moments", "total", F.explode(fit_ladder(F.col("train"), top)).alias("fit")
+        *by, "moments", "total", F.explode(fit_ladder("train", top)).alias("fit")
     )
-    sse = error_sum(F.col("fit.coef"), F.col("moments"), top)
     per_fold = (
         scored.where(F.col("fit.degree").isin(*degrees))
-        .withColumn("sse", sse)
+        .withColumn("sse", error_sum("fit.coef", "moments", top))
         .select(
             *by,
             F.col("fit.degree").alias("degree"),
             F.col("total")[0].cast("long").alias("total"),
             (F.col("sse") / F.col("moments")[0]).alias("mse"),
-            _r2(F.col("sse"), top).alias("r2"),
+            _r2("sse", top).alias("r2"),
         )
     )
     folds = F.count(F.lit(1))
@@ -268,21 +261,19 @@ def best_model(scores: DataFrame, name: str, score: str, order: str) -> DataFram
     )
 
 
-def linspace(low: Column | float, high: Column | float, points: int) -> Column:
+def linspace(low: float, high: float, points: int) -> Column:
     """Array of evenly spaced values, both ends included."""
-    low = low if isinstance(low, Column) else F.lit(float(low))
-    high = high if isinstance(high, Column) else F.lit(float(high))
-    step = (high - low) / F.lit(float(points - 1))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(points - 1)),
-        lambda i: F.when(i == points - 1, high).otherwise(low + i * step),
+    low, high, last = float(low), float(high), points - 1
+    return F.expr(
+        f"transform(sequence(0, {last}), "
+        f"i -> if(i = {last}, {high!r}D, {low!r}D + i * ({high!r}D - {low!r}D) / {last}))"
     )
 
 
 def curve_points(
     fit: DataFrame,
-    low: Column | float,
-    high: Column | float,
+    low: float,
+    high: float,
     points: int,
     keep: Sequence[str] = (),
     coef: str = "coef",
@@ -291,7 +282,7 @@ def curve_points(
     return (
         fit.where(F.col(coef).isNotNull())
         .select(*keep, F.col(coef).alias("__coef"), F.explode(linspace(low, high, points)).alias("x"))
-        .select(*keep, "x", horner_array(F.col("__coef"), F.col("x")).alias("y"))
+        .select(*keep, "x", horner_array("__coef", "x").alias("y"))
     )
 
 
@@ -428,6 +419,6 @@ def sigmoid_values(df: DataFrame, x: str, fit: DataFrame, name: str = "expected"
     row = fit.select(F.struct(*_PARAMS).alias("p")).scalar()
     return (
         df.withColumn("__p", row)
-        .withColumn(name, sigmoid(F.col(x), *[F.col(f"__p.{p}") for p in _PARAMS]))
+        .withColumn(name, sigmoid(f"`{x}`", *[f"__p.{p}" for p in _PARAMS]))
         .drop("__p")
     )

@@ -179,8 +179,8 @@ def team_shapes(
     return grid_rows.select(
         team,
         "x",
-        fit.horner(F.col("coef"), F.col("x"), degree).alias("y_team"),
-        fit.horner(F.col("league"), F.col("x"), degree).alias("y_league"),
+        fit.horner("coef", "x", degree).alias("y_team"),
+        fit.horner("league", "x", degree).alias("y_league"),
     )
 
 
