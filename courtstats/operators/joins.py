@@ -25,8 +25,8 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[str, DataFrame, str, Mapping
         side = dim.select(
             F.col(key).alias(join_key), *[F.col(c).alias(name) for c, name in columns.items()]
         )
-        out = out.join(side, out[fact_col] == side[join_key], "inner").drop(join_key)
-    return out
+        out = out.join(side, out[fact_col] == side[join_key], "inner")
+    return out.drop(*[f"__dim_key_{i}" for i in range(len(dims))])
 
 
 def pair_sides(

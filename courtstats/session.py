@@ -15,6 +15,8 @@ SETTINGS = {
     # join partitions even when that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Recording the Python call site of every expression slows plan building down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

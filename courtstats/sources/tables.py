@@ -127,8 +127,8 @@ def replace_by_key(
     if not path_exists(spark, f"{staging}/_SUCCESS"):
         incoming = batch.withColumn("bucket", key_bucket(keys, buckets))
         merged = incoming
-        if path_exists(spark, f"{path}/_SUCCESS"):
-            current = spark.read.parquet(path)
+        if path_exists(spark, path):
+            current = spark.read.schema(incoming.schema).parquet(path)
             touched = incoming.select("bucket").distinct()
             survivors = (
                 current.join(touched, "bucket", "left_semi")
@@ -136,9 +136,15 @@ def replace_by_key(
                 .select(*incoming.columns)
             )
             merged = survivors.unionByName(incoming)
-        _by_bucket(merged).write.mode("overwrite").partitionBy("bucket").parquet(staging)
+        (
+            _by_bucket(merged)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("bucket")
+            .parquet(staging)
+        )
     (
-        _by_bucket(spark.read.parquet(staging))
+        _by_bucket(spark.read.schema(batch.schema).parquet(staging))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")

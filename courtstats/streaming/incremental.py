@@ -33,7 +33,7 @@ def load_batch(
     keys = list(keys)
     done_path = f"{root}/{DONE}"
     fresh = batch
-    if path_exists(spark, f"{done_path}/_SUCCESS"):
+    if path_exists(spark, done_path):
         others = spark.read.schema(_done_schema(batch, keys)).parquet(done_path).where(
             F.col("batch_id") != batch_id
         )
