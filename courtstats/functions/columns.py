@@ -38,11 +38,9 @@ def iso_date(text: Column) -> Column:
 
 def parse_minutes(text: Column, fallback: Column | None = None) -> Column:
     """``m:ss`` or a plain number to minutes; otherwise ``fallback`` (or NULL)."""
-    clock = F.regexp_extract(text, r"^\s*(\d+):(\d{1,2}(?:\.\d+)?)\s*$", 1)
-    seconds = F.regexp_extract(text, r"^\s*(\d+):(\d{1,2}(?:\.\d+)?)\s*$", 2)
-    value = F.when(
-        clock != "", clock.try_cast("double") + seconds.try_cast("double") / F.lit(60.0)
-    ).otherwise(to_number(text))
+    parts = F.split(text, ":")
+    clock = parts.getItem(0).try_cast("double") + parts.getItem(1).try_cast("double") / F.lit(60.0)
+    value = F.when(F.size(parts) == 2, clock).when(F.size(parts) == 1, to_number(text))
     return value if fallback is None else F.coalesce(value, fallback.cast("double"))
 
 

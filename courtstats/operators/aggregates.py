@@ -79,55 +79,48 @@ def min_max(df: DataFrame, col: str) -> DataFrame:
 def exact_median(df: DataFrame, col: str, bracket_rows: int = 1_000_000) -> float | None:
     """Exact median of a numeric column without sorting it in one place.
 
-    Each pass narrows the interval that holds the middle ranks with approximate
-    quantiles and counts the rows below it. Only the last interval, of at most
-    ``bracket_rows`` distinct values, is ranked, and only its middle is fetched.
+    Values are counted first. While more than ``bracket_rows`` distinct values
+    could hold the middle ranks, one pass takes approximate quantiles and another
+    counts the rows up to each, which narrows the interval about sixtyfold. Only
+    the last, bounded interval is ranked.
     """
+    v, c = F.col("v"), F.col("c")
     values = (
         df.select(F.col(col).cast("double").alias("v"))
-        .where(F.col("v").isNotNull())
+        .where(v.isNotNull())
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("c"))
-    ).persist()
+        .persist()
+    )
     try:
-        total = values.agg(F.sum("c")).first()[0]
+        total, size = values.agg(F.sum(c), F.count(F.lit(1))).first()
         if not total:
             return None
-        ranks = sorted({(total + 1) // 2, total // 2 + 1})
-        found = [_value_at(values, rank, bracket_rows) for rank in ranks]
-        return sum(found) / len(found)
+        first, last = (total + 1) // 2, total // 2 + 1
+        inside, below = values, 0
+        while size > bracket_rows:
+            probes = [i / 64 for i in range(1, 64)]
+            cuts = sorted(set(inside.agg(F.percentile_approx(v, probes, 10_000)).first()[0]))
+            upto = inside.agg(*[F.sum(F.when(v <= cut, c)) for cut in cuts]).first()
+            counted = [(cut, below + n) for cut, n in zip(cuts, upto)]
+            under = [(cut, n) for cut, n in counted if n < first]
+            over = [cut for cut, n in counted if n >= last]
+            if under:
+                inside, below = inside.where(v > under[-1][0]), under[-1][1]
+            if over:
+                inside = inside.where(v <= over[0])
+            narrowed = inside.count()
+            if narrowed == size:
+                break
+            size = narrowed
+        ranked = inside.select("v", F.expr("sum(c) over (order by v)").alias("upto"))
+        ends = [F.min(F.when(F.col("upto") >= rank - below, v)) for rank in (first, last)]
+        low, high = ranked.agg(*ends).first()
+        return (low + high) / 2
     finally:
         values.unpersist()
 
 
-def _value_at(values: DataFrame, rank: int, bracket_rows: int) -> float:
-    """Value with the given 1-based rank among (v, count) pairs."""
-    low, high, below = float("-inf"), float("inf"), 0
-    probes = [i / 64 for i in range(1, 64)]
-    while True:
-        inside = values.where((F.col("v") >= low) & (F.col("v") <= high))
-        size, points = inside.agg(
-            F.count(F.lit(1)), F.percentile_approx("v", probes, 10_000)
-        ).first()
-        if size <= bracket_rows:
-            break
-        cuts = sorted(set(points))
-        counts = inside.agg(*[F.sum(F.when(F.col("v") <= c, F.col("c"))) for c in cuts]).first()
-        new_low, new_high, new_below = low, high, below
-        for cut_value, count in zip(cuts, counts):
-            if below + (count or 0) >= rank:
-                new_high = cut_value
-                break
-            new_low, new_below = cut_value, below + (count or 0)
-        if (new_low, new_high) == (low, high):
-            break
-        # Rows equal to the new lower cut are already counted below it.
-        values, low, high, below = values.where(F.col("v") > new_low), new_low, new_high, new_below
-    # The interval is bounded, so a running count over it fits one task.
-    rows = inside.select("v", F.expr("sum(c) over (order by v)").alias("upto"))
-    return rows.where(F.col("upto") >= rank - below).agg(F.min("v")).first()[0]
-
-
 def members(df: DataFrame, group: str, member: str) -> DataFrame:
     """Members of each group in long form, with the size of their group.
 

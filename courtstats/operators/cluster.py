@@ -53,7 +53,7 @@ def kmeans(
     else:
         with_vector = VectorAssembler(inputCols=list(features), outputCol="__features").transform(df)
     model = KMeans(
-        featuresCol="__features", predictionCol="__label", k=k, seed=seed, maxIter=max_iter, tol=1e-6
+        featuresCol="__features", predictionCol="__label", k=k, seed=seed, maxIter=max_iter, tol=1e-4
     ).fit(with_vector)
     centres = [tuple(round(float(v), 9) for v in c) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])

@@ -292,31 +292,33 @@ _PARAMS = ("height", "x0", "k", "base")
 _DAMPING_STEPS = (0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0)
 
 
+# Sums behind one trial: error, gradient g, and curvature h (upper triangle).
+_STEP_SUMS = ["sum(syy - 2 * f * sy + n * f * f) as sse"]
+_STEP_SUMS += [f"sum(d{i} * (sy - n * f)) as g{i}" for i in range(4)]
+_STEP_SUMS += [f"sum(n * d{i} * d{j}) as h{i}{j}" for i in range(4) for j in range(i, 4)]
+
+
 def _sigmoid_step(collapsed: DataFrame, trials: list[np.ndarray]):
     """Error sum, gradient and curvature at several trial parameter vectors, in one job."""
-    rows = [F.struct(F.lit(i).alias("i"), *[F.lit(float(v)).alias(p) for p, v in zip(_PARAMS, t)])
-            for i, t in enumerate(trials)]
-    each = collapsed.select("x", "n", "sy", "syy", F.explode(F.array(*rows)).alias("t"))
-    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("t.k") * (F.col("x") - F.col("t.x0"))))
-    each = each.withColumn("s", s)
-    slope = F.col("t.height") * F.col("s") * (F.lit(1.0) - F.col("s"))
-    derivatives = {
-        "d0": F.col("s"),
-        "d1": -F.col("t.k") * slope,
-        "d2": (F.col("x") - F.col("t.x0")) * slope,
-        "d3": F.lit(1.0),
-    }
-    each = each.withColumns({**derivatives, "f": F.col("t.height") * F.col("s") + F.col("t.base")})
-    n, f = F.col("n"), F.col("f")
-    sums = [F.sum(F.col("syy") - 2 * f * F.col("sy") + n * f * f).alias("sse")]
-    sums += [F.sum(F.col(f"d{i}") * (F.col("sy") - n * f)).alias(f"g{i}") for i in range(4)]
-    sums += [
-        F.sum(n * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"h{i}{j}")
-        for i in range(4)
-        for j in range(i, 4)
+    literals = [
+        f"named_struct('i', {i}, " + ", ".join(f"'{p}', {float(v)!r}D" for p, v in zip(_PARAMS, t)) + ")"
+        for i, t in enumerate(trials)
     ]
+    each = (
+        collapsed.selectExpr("x", "n", "sy", "syy", f"explode(array({', '.join(literals)})) as t")
+        .selectExpr("*", "1 / (1 + exp(-t.k * (x - t.x0))) as s")
+        .selectExpr(
+            "t.i as i", "n", "sy", "syy",
+            "t.height * s + t.base as f",
+            "s as d0",
+            "-t.k * t.height * s * (1 - s) as d1",
+            "(x - t.x0) * t.height * s * (1 - s) as d2",
+            "1D as d3",
+        )
+    )
+    sums = [F.expr(text) for text in _STEP_SUMS]
     out = {}
-    for row in each.groupBy("t.i").agg(*sums).collect():  # one row per trial
+    for row in each.groupBy("i").agg(*sums).collect():  # one row per trial
         gradient = np.array([row[f"g{i}"] for i in range(4)])
         curvature = np.array(
             [[row[f"h{min(i, j)}{max(i, j)}"] for j in range(4)] for i in range(4)]
@@ -331,7 +333,7 @@ def sigmoid_fit(
     y: str,
     start: Sequence[float],
     max_steps: int = 200,
-    tolerance: float = 1e-10,
+    tolerance: float = 1e-8,
 ) -> DataFrame:
     """Least-squares height / (1 + exp(-k (x - x0))) + base by damped Gauss-Newton.
 

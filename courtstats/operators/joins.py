@@ -66,8 +66,8 @@ def matchup_join(
 ) -> DataFrame:
     """Matchups with both names, the defender's team, and teammates removed.
 
-    The attacker's name is filtered before any fact join, so a report on one
-    player reads only that player's matchups into the shuffles.
+    A report on one attacker first cuts both fact tables, matchups and the attackers'
+    box scores, to that player, so only the player's games enter the shuffles.
     """
     off = players.select(
         F.col("player_id").alias("off_player_id"), F.col("full_name").alias("attacker")
@@ -79,6 +79,8 @@ def matchup_join(
     )
     stats = box_scores.select("game_id", "player_id", "team_id")
     off_team = stats.withColumnsRenamed({"player_id": "off_player_id", "team_id": "off_team_id"})
+    if attacker is not None:
+        off_team = off_team.join(off.select("off_player_id"), "off_player_id", "left_semi")
     def_team = stats.withColumnsRenamed({"player_id": "def_player_id", "team_id": "def_team_id"})
     abbr = teams.select(F.col("team_id").alias("def_team_id"), F.col("abbreviation").alias("team"))
     return (

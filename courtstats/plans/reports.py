@@ -22,13 +22,22 @@ def defender_totals(joined: DataFrame) -> DataFrame:
     Defenders are told apart by id, so namesakes stay separate; a defender who
     changed teams shows the team of the latest game.
     """
-    return joined.groupBy("def_player_id", "defender").agg(
-        F.max_by("team", F.struct("game_id", "team")).alias("team"),
-        F.count_distinct("game_id").alias("games_faced"),
-        F.sum("matchup_minutes").alias("mins_guarded"),
-        F.sum("points_allowed").alias("pts_scored"),
-        F.sum("matchup_ast").alias("ast_allowed"),
-        F.sum("matchup_tov").alias("tov_forced"),
+    # Per game first: that makes the distinct count a plain count, and leaves the
+    # text-valued buffer of max_by to the few rows of the second step.
+    per_game = joined.groupBy("def_player_id", "defender", "game_id").agg(
+        F.max("team").alias("team"),
+        F.sum("matchup_minutes").alias("mins"),
+        F.sum("points_allowed").alias("pts"),
+        F.sum("matchup_ast").alias("ast"),
+        F.sum("matchup_tov").alias("tov"),
+    )
+    return per_game.groupBy("def_player_id", "defender").agg(
+        F.max_by("team", "game_id").alias("team"),
+        F.count(F.lit(1)).alias("games_faced"),
+        F.sum("mins").alias("mins_guarded"),
+        F.sum("pts").alias("pts_scored"),
+        F.sum("ast").alias("ast_allowed"),
+        F.sum("tov").alias("tov_forced"),
     )
 
 

@@ -125,24 +125,29 @@ def replace_by_key(
         else _staging_folder(spark, path, batch_id)
     )
     if not path_exists(spark, f"{staging}/_SUCCESS"):
-        incoming = batch.withColumn("bucket", key_bucket(keys, buckets))
-        merged = incoming
-        if path_exists(spark, path):
-            current = spark.read.schema(incoming.schema).parquet(path)
-            touched = incoming.select("bucket").distinct()
-            survivors = (
-                current.join(touched, "bucket", "left_semi")
-                .join(incoming.select("bucket", *keys).distinct(), ["bucket", *keys], "left_anti")
-                .select(*incoming.columns)
+        incoming = batch.withColumn("bucket", key_bucket(keys, buckets)).persist()
+        try:
+            merged = incoming
+            if path_exists(spark, path):
+                # At most ``buckets`` numbers: they prune the table's partitions.
+                touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
+                survivors = (
+                    spark.read.schema(incoming.schema)
+                    .parquet(path)
+                    .where(F.col("bucket").isin(touched))
+                    .join(incoming.select("bucket", *keys).distinct(), ["bucket", *keys], "left_anti")
+                    .select(*incoming.columns)
+                )
+                merged = survivors.unionByName(incoming)
+            (
+                _by_bucket(merged)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy("bucket")
+                .parquet(staging)
             )
-            merged = survivors.unionByName(incoming)
-        (
-            _by_bucket(merged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("bucket")
-            .parquet(staging)
-        )
+        finally:
+            incoming.unpersist()
     (
         _by_bucket(spark.read.schema(batch.schema).parquet(staging))
         .write.mode("overwrite")
