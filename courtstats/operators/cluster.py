@@ -35,6 +35,20 @@ def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataF
     ).drop("__stats")
 
 
+def _as_list(features: Sequence[str] | str) -> list[str]:
+    return [features] if isinstance(features, str) else list(features)
+
+
+def _feasible_k(points: DataFrame, k: int) -> int:
+    """``k``, or the number of distinct rows if that is smaller.
+
+    A bounded sample settles it for all but tiny or very repetitive inputs.
+    """
+    if points.limit(100 * k).distinct().count() >= k:
+        return k
+    return min(k, points.distinct().count())
+
+
 def kmeans(
     df: DataFrame,
     features: Sequence[str] | str,
@@ -46,14 +60,25 @@ def kmeans(
     """Cluster label per row, numbered by the order of the centres.
 
     ``features`` is a list of numeric columns or the name of one array column.
-    Labels come from the distributed k-means of Spark ML.
+    Labels come from the distributed k-means of Spark ML. With fewer distinct rows
+    than ``k``, each distinct row is its own cluster.
     """
     if isinstance(features, str):
         with_vector = df.withColumn("__features", array_to_vector(F.col(features).cast("array<double>")))
     else:
         with_vector = VectorAssembler(inputCols=list(features), outputCol="__features").transform(df)
+    k = _feasible_k(with_vector.select(*_as_list(features)), k)
+    if k < 2:
+        return with_vector.withColumn(name, F.lit(0)).drop("__features")
+    # Five seeding rounds gather far more than k candidates, so k centres always remain.
     model = KMeans(
-        featuresCol="__features", predictionCol="__label", k=k, seed=seed, maxIter=max_iter, tol=1e-4
+        featuresCol="__features",
+        predictionCol="__label",
+        k=k,
+        seed=seed,
+        initSteps=5,
+        maxIter=max_iter,
+        tol=1e-4,
     ).fit(with_vector)
     centres = [tuple(round(float(v), 9) for v in c) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])

@@ -28,6 +28,14 @@ def test_kmeans_finds_separate_groups(spark):
     assert K.kmeans(arrays, "v", 3).where("truth != cluster").count() == 0
 
 
+def test_kmeans_with_fewer_distinct_rows_than_clusters(spark):
+    two = spark.createDataFrame([(1.0, 1.0)] * 3 + [(5.0, 5.0)] * 2, "a double, b double")
+    got = K.kmeans(two, ["a", "b"], 6).groupBy("cluster").count().collect()
+    assert sorted((r["cluster"], r["count"]) for r in got) == [(0, 3), (1, 2)]
+    one = two.where("a = 1")
+    assert {r.cluster for r in K.kmeans(one, ["a", "b"], 6).collect()} == {0}
+
+
 def test_cluster_complexity(spark):
     df = spark.createDataFrame([(0, 1), (0, 1), (1, 1), (1, 3)], "cluster int, Best_Degree int")
     got = {r.cluster: (r.avg_degree, r.complexity) for r in K.cluster_complexity(df, "cluster").collect()}
