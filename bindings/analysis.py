@@ -19,11 +19,12 @@ from bindings.common import (
     table,
     with_teams,
 )
-from courtstats.functions.columns import cut, margin, rounded, sign_flag
+from courtstats.functions.columns import cut, rounded
 from courtstats.operators import fit
 from courtstats.operators.aggregates import argmax_by, exact_median, member_lists, members, pivot_mean
-from courtstats.operators.cluster import cluster_profile, kmeans, standardize
+from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans, standardize
 from courtstats.plans import archetypes, closing
+from courtstats.session import new_folder
 
 X, Y, TEAM = closing.X, closing.Y, closing.TEAM
 
@@ -437,6 +438,16 @@ def _team_best_fits(spark, sf):
     return b.select(TEAM, "Games", r("MSE_D1", 3), r("MSE_D2", 3), r("MSE_D3", 3), "Best_Degree")
 
 
+@query(
+    "best_fits_csv",
+    f'{_TEAM_CV} SELECT team AS "Team", best AS "Best_Degree" FROM wide',
+)
+def _best_fits_csv(spark, sf):
+    path = new_folder(spark, "best-fits")
+    archetypes.save_best_fits(closing.team_best_fits(points(spark, sf)), path)
+    return archetypes.read_best_fits(spark, path)
+
+
 @query(
     "degree_distribution",
     f'{_TEAM_CV} SELECT best AS "Best_Degree", count(*) AS teams FROM wide GROUP BY best',
@@ -609,6 +620,19 @@ def _archetype_profiles_advanced(spark, sf):
     return archetypes.archetype_profiles_advanced(clustered, LABELS)
 
 
+@query(
+    "cluster_complexity",
+    """SELECT c_nationkey AS cluster, round(avg(c_custkey % 3 + 1), 6) AS avg_degree,
+CASE WHEN avg(c_custkey % 3 + 1) < 2 THEN 'Linear' ELSE 'Complex' END AS complexity
+FROM customer GROUP BY c_nationkey""",
+)
+def _cluster_complexity(spark, sf):
+    c = table(spark, sf, "customer").select(
+        F.col("c_nationkey").alias("cluster"), (F.col("c_custkey") % 3 + 1).alias("Best_Degree")
+    )
+    return cluster_complexity(c, "cluster", below=2).select("cluster", r("avg_degree", 6), "complexity")
+
+
 @query("kmeans_embeddings")
 def _kmeans_embeddings(spark, sf):
     clustered = kmeans(table(spark, sf, "embeddings"), "embedding", 5)

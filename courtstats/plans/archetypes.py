@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans, standardize
 from courtstats.operators.joins import feature_join
 from courtstats.plans.closing import TEAM, situational_matrix
-from courtstats.schemas import SITUATION_EDGES, SITUATION_LABELS
+from courtstats.schemas import BEST_FIT_DDL, SITUATION_EDGES, SITUATION_LABELS
 from courtstats.session import materialize
+from courtstats.sources.tables import scan_csv, write_csv
 
 
 def _clustered(features: DataFrame, cols: Sequence[str], k: int, seed: int) -> DataFrame:
@@ -59,3 +60,13 @@ def archetype_profiles_advanced(
     return archetype_profiles(clustered, labels).join(
         cluster_complexity(clustered, "cluster"), "cluster"
     )
+
+
+def save_best_fits(best_fits: DataFrame, path: str) -> None:
+    """Best fits as CSV, the hand-over between the two jobs."""
+    write_csv(best_fits, path)
+
+
+def read_best_fits(spark: SparkSession, path: str) -> DataFrame:
+    """Team and best degree from a saved CSV."""
+    return scan_csv(spark, path, BEST_FIT_DDL, [TEAM, "Best_Degree"])

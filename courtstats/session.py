@@ -53,13 +53,22 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _file_system(spark, path)
     return bool(fs.exists(hadoop_path))
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder this package wrote."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a small intermediate once and cut its lineage, in the shared folder.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from courtstats.schemas import registry
-from courtstats.session import new_folder, path_exists, shared_folder
+from courtstats.session import drop_folder, new_folder, path_exists, shared_folder
 
 _IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -115,7 +115,8 @@ def replace_by_key(
     buckets the batch touches are rewritten. Their new content is first written in
     full to a staging folder in the shared folder and then swapped in with a
     dynamic partition overwrite, so no job overwrites what it reads. Calling again
-    with the same ``batch_id`` after a failed swap redoes the swap from staging.
+    with the same ``batch_id`` after a failed swap redoes the swap from staging;
+    after a good swap staging is dropped, so an old batch can never undo a newer one.
     """
     spark = batch.sparkSession
     keys = list(keys)
@@ -155,6 +156,7 @@ def replace_by_key(
         .partitionBy("bucket")
         .parquet(path)
     )
+    drop_folder(spark, staging)
 
 
 def reset_table(spark: SparkSession, name: str, database: str | None = None) -> None:

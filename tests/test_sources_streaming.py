@@ -74,6 +74,10 @@ def test_replace_by_key_resumes_a_failed_swap(spark, tmp_path, rows, monkeypatch
     ).parquet(path)
     T.replace_by_key(batch, path, ["game_id"], buckets=1, batch_id="two")
     assert rows(T.scan(spark, path).select("game_id", "v")) == [("a", "new"), ("b", "old")]
+    # Staging is gone: the first batch, sent again, keeps what other batches changed.
+    T.replace_by_key(plays(spark, ("c", 1, "x")), path, ["game_id"], buckets=1, batch_id="three")
+    T.replace_by_key(batch, path, ["game_id"], buckets=1, batch_id="two")
+    assert rows(T.scan(spark, path).select("game_id", "v")) == [("a", "new"), ("b", "old"), ("c", "x")]
 
 
 def test_create_and_reset(spark):
