@@ -100,13 +100,6 @@ def missing_keys(target: DataFrame, done: DataFrame, keys: Sequence[str]) -> Dat
     return target.select(*keys).distinct().join(done.select(*keys), keys, "left_anti")
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on keys that may be NULL; NULL meets NULL, so no group is lost."""
-    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
-    on = [left[k].eqNullSafe(renamed[f"__right_{k}"]) for k in keys]
-    return left.join(renamed, on, "inner").drop(*[f"__right_{k}" for k in keys])
-
-
 def feature_join(features: DataFrame, extra: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Inner join of two per-group feature tables."""
     return features.join(extra.select(key, *cols), key, "inner")

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from courtstats.operators.joins import join_null_safe
-
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row per key in a stated order.
@@ -33,27 +31,27 @@ def forward_fill(
     ``order`` is an integer that is unique within a key. Each key is cut into
     chunks of ``chunk`` order values: rows are filled inside their chunk, and one
     row per chunk passes its last value on to the next. A key of any size is
-    thus sorted in pieces, and only its chunk summaries meet in one task.
+    thus sorted in pieces, and only its chunk summaries meet in one task. Window,
+    summary and join share the struct (keys, chunk): the rows are shuffled once,
+    and a NULL key meets itself.
     """
-    chunked = df.withColumn("__chunk", F.floor(F.col(order) / F.lit(chunk)))
-    part = [*keys, "__chunk"]
-    inside = W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    group = F.struct(*keys, F.floor(F.col(order) / F.lit(chunk)).alias("__chunk"))
+    chunked = df.withColumn("__part", group)
+    inside = W.partitionBy("__part").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = chunked.withColumns({f"__{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
 
     earlier = (
-        W.partitionBy(*keys).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy(*[f"__part.{k}" for k in keys])
+        .orderBy("__part.__chunk")
+        .rowsBetween(W.unboundedPreceding, -1)
     )
     carried = (
-        chunked.groupBy(*part)
+        chunked.groupBy("__part")
         .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in cols])
-        .select(*part, *[F.last(c, ignorenulls=True).over(earlier).alias(f"__in_{c}") for c in cols])
+        .select("__part", *[F.last(c, ignorenulls=True).over(earlier).alias(f"__in_{c}") for c in cols])
     )
     filled = {c: F.coalesce(F.col(f"__{c}"), F.col(f"__in_{c}")) for c in cols}
-    return (
-        join_null_safe(local, carried, part)
-        .withColumns(filled)
-        .select(*df.columns)
-    )
+    return local.join(carried, "__part").withColumns(filled).select(*df.columns)
 
 
 def rank_within(
@@ -71,22 +69,23 @@ def rank_within(
     ``size_name`` adds the group's row count, from the same small frame.
     """
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key]))
-    hashed = df.withColumn("__hash", digest).withColumn("__digits", F.substring("__hash", 1, 2))
-    part = [*by, "__digits"]
+    hashed = df.withColumn("__hash", digest).withColumn(
+        "__part", F.struct(*by, F.substring("__hash", 1, 2).alias("__digits"))
+    )
     ranked = hashed.withColumn(
-        "__local", F.row_number().over(W.partitionBy(*part).orderBy("__hash", *key))
+        "__local", F.row_number().over(W.partitionBy("__part").orderBy("__hash", *key))
     )
-    sizes = hashed.groupBy(*part).agg(F.count(F.lit(1)).alias("__size"))
-    whole = W.partitionBy(*(by or [F.lit(0)]))
-    earlier = whole.orderBy("__digits").rowsBetween(W.unboundedPreceding, -1)
+    sizes = hashed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    whole = W.partitionBy(*([f"__part.{c}" for c in by] or [F.lit(0)]))
+    earlier = whole.orderBy("__part.__digits").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
-        *part,
+        "__part",
         F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"),
         F.sum("__size").over(whole).alias("__group_size"),
     )
     extra = [F.col("__group_size").alias(size_name)] if size_name else []
     return (
-        join_null_safe(ranked, offsets, part)
+        ranked.join(offsets, "__part")
         .withColumn(name, F.col("__local") + F.col("__before"))
         .select(*df.columns, name, *extra)
     )

@@ -47,6 +47,14 @@ def test_dedupe_limits_groups_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit [^\n]*Partial", text)
 
 
+def test_fill_and_rank_shuffle_the_rows_once(spark):
+    for name in ("forward_fill", "rank_within"):
+        text = plan(common.QUERIES[name](spark, SF))
+        scans = re.split(r"FileScan", text)
+        # Every path from a scan to the join passes one exchange on the chunk or hash digits.
+        assert len(scans) == 3 and text.count("hashpartitioning(__part") == 2
+
+
 def test_top_k_needs_no_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(relational._top_k(spark, SF))
 
