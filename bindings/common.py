@@ -69,13 +69,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str, season: bool = True) -> DataFrame:
-    """Play-by-play rows of the binding; ``season`` keeps four users out of five."""
-    rows = table(spark, sf_dir, "events")
-    if season:
-        rows = rows.where(F.col("user_id") % 5 != 0)
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play-by-play rows of the binding, one per event."""
     week = F.weekofyear("ts")
-    return rows.select(
+    return table(spark, sf_dir, "events").select(
         (F.col("user_id") * 100 + week).alias("game_id"),
         "user_id",
         week.alias("week"),
@@ -129,7 +126,7 @@ ev AS (
   SELECT user_id * 100 + week(ts) AS game_id, user_id, week(ts) AS wk,
          hour(ts) // 6 + 1 AS period, event_id AS event_num, event_type,
          value AS h, CAST(regexp_extract(props, '"k": *([0-9.]+)', 1) AS DOUBLE) AS a
-  FROM events WHERE user_id % 5 <> 0
+  FROM events
 )"""
 
 ENDS_CTE = EVENTS_CTE + """,
