@@ -1,4 +1,4 @@
 """All queries of this subpackage and of the corpus pipeline, for the entry module."""
 
-from . import chat, decontaminate, sharding  # noqa: F401
+from . import bpe, chat, decontaminate, sharding  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
