@@ -13,12 +13,14 @@ offsets are kept with the ids, so decoding can be checked piece by piece.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -389,10 +391,6 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
 def digest_ids(df: DataFrame, ids: str, name: str) -> DataFrame:
     """Adds the SHA-256 (lowercase hex) of the ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def digest(values: pd.Series) -> pd.Series:
         return pd.Series(
