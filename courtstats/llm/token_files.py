@@ -176,7 +176,7 @@ def write_token_files(
                 {"part": [part], "docs": [len(writer.ends)], "ids": [writer.total]}
             )
 
-    totals = ordered.select("key", "text").mapInArrow(write, "part int, docs long, ids long").toPandas()
+    totals = ordered.select("key", "text").mapInArrow(write, "part long, docs long, ids long").toPandas()
     totals = totals.sort_values("part")
     bases = totals["ids"].cumsum() - totals["ids"]
     manifest = {
@@ -207,7 +207,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = read_manifest(folder)
     dtype = np.dtype(manifest["dtype"])
     parts = [(p["part"], p["docs"], p["base"]) for p in manifest["parts"]]
-    listed = spark.createDataFrame(parts, "part int, docs long, base long")
+    listed = spark.createDataFrame(parts, "part long, docs long, base long")
 
     def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
