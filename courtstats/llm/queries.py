@@ -1,4 +1,4 @@
 """All queries of this subpackage and of the corpus pipeline, for the entry module."""
 
-from . import bpe, chat, decontaminate, line_dedup, quality_model, quality_rules, sharding, simhash, token_files  # noqa: F401
+from . import bpe, chat, decontaminate, line_dedup, private_data, quality_model, quality_rules, sharding, simhash, token_files  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
