@@ -1,4 +1,19 @@
 """All queries of this subpackage and of the corpus pipeline, for the entry module."""
 
-from . import bpe, chat, decontaminate, line_dedup, private_data, quality_model, quality_rules, sharding, simhash, token_files  # noqa: F401
-from .common import ORACLES, QUERIES  # noqa: F401
+import corpus_pipeline
+
+from . import (  # noqa: F401
+    bpe,
+    chat,
+    decontaminate,
+    line_dedup,
+    private_data,
+    quality_model,
+    quality_rules,
+    sharding,
+    simhash,
+    token_files,
+)
+from .common import ORACLES, QUERIES, query
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
