@@ -13,14 +13,12 @@ offsets are kept with the ids, so decoding can be checked piece by piece.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -228,7 +226,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class PieceCache:
     """Ids of the pieces met so far, as one flat array with offsets; emptied at ``limit`` pieces."""
 
-    def __init__(self, encode_pieces, limit: int = 400_000):
+    def __init__(self, encode_pieces, limit: int = 150_000):
         self.encode_pieces, self.limit = encode_pieces, limit
         self.clear()
 
@@ -260,10 +258,14 @@ def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - (ends - counts), counts) + np.arange(total)]
 
 
-def text_blocks(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
-    """Consecutive runs of texts of about ``size`` code points; a longer text is a run of its own."""
+def text_blocks(texts: Iterable, size: int = 1 << 20) -> Iterator[list[str]]:
+    """Consecutive runs of texts of about ``size`` code points; a longer text is a run of its own.
+
+    Texts may be strings or an Arrow column, of which only a run at a time becomes strings; null is empty.
+    """
     run, total = [], 0
     for text in texts:
+        text = text if isinstance(text, str) else (text.as_py() if text is not None else None) or ""
         if run and total + len(text) > size:
             yield run
             run, total = [], 0
@@ -325,45 +327,47 @@ def list_array(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
-    """Ids of every text: the columns ``keep``, ids, piece_end (byte offsets), piece_ids (ids so far).
+    """Ids of every text: the columns ``keep``, ids and pieces.
 
+    ``ids`` is binary, the ids as little-endian unsigned 32-bit integers; ``pieces`` is binary, two
+    such integers per piece: its end in the text's UTF-8 bytes and the number of ids so far.
     ``path`` names the rank file; it must be readable on every executor. Null and empty texts
     have no ids. Row order and repeated rows don't matter: a row is encoded by itself.
     """
     kept = [df.schema[c] for c in keep]
     names = [f"_k{i}" for i in range(len(kept))]
     source = df.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).alias("_text"))
-    fields = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept))
+    fields = "".join(f"{n} {f.dataType.simpleString()}, " for n, f in zip(names, kept))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _cache(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             at = 0
-            for block in text_blocks(texts):
+            for block in text_blocks(batch.column(batch.num_columns - 1)):
                 rows = batch.slice(at, len(block))
                 at += len(block)
-                done = list(encode_block(block, cache))
+                ids, pieces = [], []
+                for i, o in encode_block(block, cache):
+                    ids.append(i.astype("<u4").tobytes())
+                    pieces.append(o.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *rows.columns[:-1],
-                        list_array([i for i, _ in done], pa.int32()),
-                        list_array([o[:, 0] for _, o in done], pa.int32()),
-                        list_array([o[:, 1] for _, o in done], pa.int32()),
-                    ],
-                    names=[*names, "ids", "piece_end", "piece_ids"],
+                    [*rows.columns[:-1], pa.array(ids, pa.binary()), pa.array(pieces, pa.binary())],
+                    names=[*names, "ids", "pieces"],
                 )
 
-    made = source.mapInArrow(
-        run, f"{fields + ', ' if fields else ''}ids array<int>, piece_end array<int>, piece_ids array<int>"
-    )
+    made = source.mapInArrow(run, f"{fields}ids binary, pieces binary")
     return made.withColumnsRenamed(dict(zip(names, keep)))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """Adds ``decoded``: the bytes of every row's ids. Null and empty ids give no bytes."""
+    """Adds ``decoded``: the bytes of every row's binary ids. Null and empty ids give no bytes.
+
+    Where the row has ``pieces``, every piece of the result must end at its kept offset; a row of which
+    this isn't true raises, as its ids belong to another text or vocabulary.
+    """
     names = [f"_c{i}" for i in range(len(df.columns))]
     at = df.columns.index(ids)
+    offsets = df.columns.index("pieces") if "pieces" in df.columns else None
     fields = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, df.schema.fields))
     renamed = df.toDF(*names)
 
@@ -372,34 +376,27 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         token = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             token[rank] = piece
+        sizes = np.fromiter(map(len, token), np.int64, len(token))
         for batch in batches:
-            column = batch.column(at)
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lengths)
-            out = [
-                b"".join(map(token.__getitem__, flat[end - n : end].tolist()))
-                for end, n in zip(ends.tolist(), lengths.tolist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out, pa.binary())], names=[*names, "decoded"]
-            )
+            for lo in range(0, batch.num_rows, 256):
+                rows = batch.slice(lo, 256)
+                out = []
+                for i, raw in enumerate(rows.column(at)):
+                    found = np.frombuffer(raw.as_py() or b"", "<u4")
+                    out.append(b"".join(map(token.__getitem__, found.tolist())))
+                    if offsets is not None and len(found):
+                        kept = np.frombuffer(rows.column(offsets)[i].as_py(), "<u4").reshape(-1, 2)
+                        ends = np.cumsum(sizes[found])
+                        if kept[-1, 1] != len(found) or (ends[kept[:, 1] - 1] != kept[:, 0]).any():
+                            raise ValueError("ids don't end at the kept offsets")
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(out, pa.binary())], names=[*names, "decoded"]
+                )
 
     made = renamed.mapInArrow(run, f"{fields}, decoded binary")
     return made.toDF(*df.columns, "decoded")
 
 
-def digest_ids(df: DataFrame, ids: str, name: str) -> DataFrame:
-    """Adds the SHA-256 (lowercase hex) of the ids as little-endian unsigned 32-bit integers."""
-    @F.pandas_udf("string")
-    def digest(values: pd.Series) -> pd.Series:
-        return pd.Series(
-            [hashlib.sha256(np.asarray(v, "<u4").tobytes()).hexdigest() for v in values], dtype="object"
-        )
-
-    return df.withColumn(name, digest(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
-
-
 def multi_path() -> str:
     import public_tokenizers
 
@@ -410,8 +407,10 @@ def multi_path() -> str:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, and decoded again."""
     path = multi_path()
-    coded = digest_ids(encode(read(spark, sf_dir, "documents"), path), "ids", "ids_sha256")
-    narrow = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "ids")
-    return decode(narrow, path).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    coded = decode(encode(read(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -6,7 +6,7 @@ Only ASCII bytes separate words or lines, so nothing needs to be decoded. Words
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -146,7 +146,7 @@ class Base:
         self.n_repeat_words = per_text(np.cumsum(cover)[:-1] > 0, scan.word_at)
 
 
-def scans(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, Scan]]:
+def scans(texts: Iterable, size: int = 1 << 20) -> Iterator[tuple[int, Scan]]:
     """(number of texts, scan) for consecutive runs of texts of bounded size."""
     from .bpe import text_blocks
 
