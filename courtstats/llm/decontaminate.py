@@ -207,8 +207,8 @@ def find_leaks(
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents in which no item is found; a row with a null id is judged like any other."""
-    leaked = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(F.col("_leaked")), "left_anti")
+    leaked = small(find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leaked")).distinct())
+    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked"]), "left_anti")
 
 
 _OP6_SQL = """

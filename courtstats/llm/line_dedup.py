@@ -84,7 +84,7 @@ def spans(df: DataFrame, bits: int = 64) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for n, scan in scans(batch.column("text").to_pylist()):
+            for n, scan in scans(batch.column("text")):
                 rows = batch.slice(at, n)
                 at += n
                 found = list(text_spans(scan, bits))

@@ -328,8 +328,11 @@ def find(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "te
     ).withColumnRenamed("key", key)
 
 
-def mask(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with every span replaced by its kind in angle brackets; null texts stay null."""
+def mask(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
+    """All rows and columns, every span in the text replaced by its kind in angle brackets.
+
+    Null texts stay null.
+    """
 
     def cover(value: str | None) -> str | None:
         if not value:
@@ -344,11 +347,11 @@ def mask(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "te
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
-            yield batch.set_column(at, "_text", pa.array([cover(v) for v in batch.column(at).to_pylist()], pa.string()))
+            covered = pa.array([cover(v) for v in batch.column(at).to_pylist()], pa.string())
+            yield batch.set_column(at, batch.schema.field(at), covered)
 
-    renamed = docs.withColumnRenamed(text, "_text")
-    return renamed.mapInArrow(run, renamed.schema).withColumnRenamed("_text", text)
+    at = docs.columns.index(text)
+    return docs.mapInArrow(run, docs.schema)
 
 
 @query("op5_private_spans")

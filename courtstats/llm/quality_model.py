@@ -196,7 +196,7 @@ def _features_of(df: DataFrame, columns: list[str], meta: tuple[str, ...], bucke
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for n, scan in scans(batch.column("_text").to_pylist()):
+            for n, scan in scans(batch.column("_text")):
                 rows = batch.slice(at, n)
                 at += n
                 cuts, index, values = features(scan, _meta(rows, meta), buckets)
@@ -220,7 +220,7 @@ def _meta(batch: pa.RecordBatch, meta: tuple[str, ...]) -> np.ndarray:
     return np.stack(columns, 1)
 
 
-def _inputs(docs: DataFrame, text: str, meta: tuple[str, ...]) -> list[Column]:
+def _inputs(text: str, meta: tuple[str, ...]) -> list[Column]:
     return [
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
         *[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(meta)],
@@ -248,9 +248,10 @@ def fit(
         .limit(sample_limit)
         .withColumnRenamed("doc_id", "_chosen")
     )
-    # At most sample_limit ids and labels.
-    rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_chosen")).select(
-        F.col(key).alias("_key"), F.col("_label").cast("double").alias("_label"), *_inputs(docs, text, meta)
+    # At most sample_limit ids and labels. Inputs are named first, so no column of docs can clash.
+    inputs = docs.select(F.col(key).alias("_key"), *_inputs(text, meta))
+    rows = inputs.join(F.broadcast(chosen), F.col("_key") == F.col("_chosen")).select(
+        "_key", F.col("_label").cast("double").alias("_label"), *inputs.columns[1:]
     )
     # Only ids are unique to the sample's bound; repeated documents of an id are taken once.
     rows = rows.dropDuplicates(["_key"])
@@ -283,27 +284,27 @@ def score(
     meta: tuple[str, ...] = METADATA,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """The columns ``keep`` and the score (0 to 1) of every row.
+    """The columns ``keep`` and fm_score (0 to 1) of every row.
 
     Null and empty texts are scored by their structure (no words). Null metadata counts as what the
     text gives. Repeated rows get equal scores.
     """
     names = [f"_k{i}" for i in range(len(keep))]
     kinds = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names))
-    source = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], *_inputs(docs, text, meta))
+    source = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], *_inputs(text, meta))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for n, scan in scans(batch.column("_text").to_pylist()):
+            for n, scan in scans(batch.column("_text")):
                 rows = batch.slice(at, n)
                 at += n
                 found = model.scores(*features(scan, _meta(rows, meta), buckets))
                 yield pa.RecordBatch.from_arrays(
-                    [*[rows.column(c) for c in names], pa.array(found)], names=[*names, "score"]
+                    [*[rows.column(c) for c in names], pa.array(found)], names=[*names, "fm_score"]
                 )
 
-    return source.mapInArrow(run, f"{kinds}, score double").withColumnsRenamed(dict(zip(names, keep)))
+    return source.mapInArrow(run, f"{kinds}, fm_score double").withColumnsRenamed(dict(zip(names, keep)))
 
 
 @query("op10_factorisation_machine")
@@ -314,6 +315,6 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.col("fm_score").alias("score"),
+        (F.col("fm_score") >= THRESHOLD).cast("int").alias("predicted"),
     )

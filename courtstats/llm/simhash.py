@@ -96,7 +96,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for block in text_blocks(batch.column("text").to_pylist()):
+            for block in text_blocks(batch.column("text")):
                 rows = batch.slice(at, len(block))
                 at += len(block)
                 lists = [shingle_hashes(t) for t in block]
@@ -279,27 +279,19 @@ def drop_near_duplicates(df: DataFrame, **options) -> DataFrame:
     key = options.get("key", "doc_id")
     groups = materialize(near_duplicates(df, **options))
     keeps = F.col(key).eqNullSafe(F.col("component"))
-    going = groups.where(~keeps).select(F.col(key).alias("_key"), F.col("version").alias("_version")).distinct()
-    version = F.xxhash64(options.get("text", "text"))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (version == F.col("_version"))
-    left = df.join(small(going), same, "left_anti")
+    going = small(groups.where(~keeps).select(F.col(key).alias("id"), F.col("version").alias("hash")).distinct())
+    version = F.xxhash64(df[options.get("text", "text")])
+    left = df.join(going, df[key].eqNullSafe(going["id"]) & (version == going["hash"]), "left_anti")
     # The rare rest: several rows of a group that carry its smallest key. One text is kept, once.
-    crowded = (
-        groups.where(keeps)
-        .groupBy(F.col("component").alias("_key"))
-        .agg(F.count("*").alias("_rows"), F.min("version").alias("_kept"))
-        .where((F.col("_rows") > 1) & F.col("_key").isNotNull())
+    crowded = small(
+        groups.where(keeps & F.col("component").isNotNull())
+        .groupBy(F.col("component").alias("id"))
+        .agg(F.count("*").alias("rows"), F.min("version").alias("kept"))
+        .where(F.col("rows") > 1)
     )
-    held = small(crowded)
-    matched = left.join(held, F.col(key) == F.col("_key"), "left")
-    single = matched.where(F.col("_key").isNull()).select(*df.columns)
-    doubled = (
-        left.join(held, F.col(key) == F.col("_key"))
-        .where(version == F.col("_kept"))
-        .select(*df.columns)
-        .dropDuplicates([key])
-    )
-    return single.unionByName(doubled)
+    here = df[key] == crowded["id"]
+    chosen = left.join(crowded, here & (version == crowded["kept"]), "left_semi").dropDuplicates([key])
+    return left.join(crowded, here, "left_anti").unionByName(chosen)
 
 
 @query("op2_simhash_groups")
