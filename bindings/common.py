@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from courtstats.operators.joins import star_join
 from courtstats.plans.closing import closing_points, period_end_scores
+from courtstats.session import drop_folder, materialize, new_folder, path_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +66,28 @@ SCHEMAS = {
 }
 
 
+def in_folders(fn: Callable) -> Query:
+    """A query that writes: ``fn`` also gets a maker of fresh shared folders, which are removed again.
+
+    The result is stored first, so that it doesn't need the folders any more.
+    """
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made: list[str] = []
+
+        def folder(label: str) -> str:
+            made.append(new_folder(spark, label))
+            return made[-1]
+
+        result = materialize(fn(spark, sf_dir, folder))
+        for path in made:
+            if path_exists(spark, path):
+                drop_folder(spark, path)
+        return result
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,22 +5,26 @@ What a query writes goes to a fresh folder in the shared folder of the session.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bindings.common import EVENTS_CTE, SCHEMAS, events, query, table
+from bindings.common import EVENTS_CTE, events, in_folders, query, table
 from bindings.relational import LOG_CTE, UNIQUE_LINES, game_log, unique_lines
 from courtstats.operators.projection import conform
 from courtstats.operators.quality import health
 from courtstats.plans import builds
 from courtstats.schemas import ALIASES, TABLE_DDL, table_schema
-from courtstats.session import new_folder
+from courtstats.session import materialize, new_folder
 from courtstats.sources import landing as L
 from courtstats.sources import tables as T
 from courtstats.streaming.incremental import (
+    Endpoint,
+    complete_keys,
     incremental_load,
+    load_endpoints,
     loaded_keys,
     read_loaded,
-    unique_events,
+    unique_rows,
 )
 
 # --- Sources and sinks -----------------------------------------------------------------
@@ -30,8 +34,9 @@ from courtstats.streaming.incremental import (
     "csv_round_trip",
     "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders",
 )
-def _csv_round_trip(spark, sf):
-    path = new_folder(spark, "csv")
+@in_folders
+def _csv_round_trip(spark, sf, folder):
+    path = folder("csv")
     T.write_csv(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_custkey"), path)
     schema = "o_orderkey long, o_orderpriority string, o_totalprice double, o_custkey long"
     return T.scan_csv(spark, path, schema, ["o_orderkey", "o_orderpriority", "o_totalprice"])
@@ -39,22 +44,22 @@ def _csv_round_trip(spark, sf):
 
 @query(
     "scan_landing",
-    """SELECT l_returnflag AS flag, count(*) AS n, sum(l_quantity) AS quantity, 1 AS files FROM lineitem
+    """SELECT l_returnflag AS flag, count(*) AS n, sum(l_quantity) AS quantity, true AS from_files FROM lineitem
 GROUP BY l_returnflag""",
 )
-def _scan_landing(spark, sf):
-    root = new_folder(spark, "landing")
+@in_folders
+def _scan_landing(spark, sf, folder):
+    root = folder("landing")
     lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("flag"), "l_quantity")
     for index, flag in enumerate(["A", "N", "R"]):
-        # One file per result set, as an endpoint delivers it.
-        L.land(lines.where(F.col("flag") == flag).coalesce(1), root, "boxscore", index)
+        L.land(lines.where(F.col("flag") == flag), root, "boxscore", index)
     payload = L.scan_landing(
         spark, root, "boxscore", "l_orderkey long, flag string, l_quantity double", [0, 1, 2], with_file=True
     )
     return payload.groupBy("flag").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("l_quantity").alias("quantity"),
-        F.count_distinct("source_file").cast("int").alias("files"),
+        F.bool_and(F.col("source_file").contains("boxscore")).alias("from_files"),
     )
 
 
@@ -63,9 +68,10 @@ def _scan_landing(spark, sf):
     """SELECT 'appended' AS step, count(*) * 2 AS rows FROM orders
 UNION ALL SELECT 'replaced', count(*) FROM orders WHERE o_orderstatus = 'F'""",
 )
-def _append_and_replace(spark, sf):
+@in_folders
+def _append_and_replace(spark, sf, folder):
     o = table(spark, sf, "orders")
-    appended, replaced = new_folder(spark, "append"), new_folder(spark, "replace")
+    appended, replaced = folder("append"), folder("replace")
     T.write_append(o, appended)
     T.write_append(o, appended)
     T.write_replace(o, replaced)
@@ -79,13 +85,37 @@ def _append_and_replace(spark, sf):
     "replace_by_key",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -o_totalprice ELSE o_totalprice END AS price FROM orders""",
 )
-def _replace_by_key(spark, sf):
-    path = new_folder(spark, "by-key")
+@in_folders
+def _replace_by_key(spark, sf, folder):
+    path = folder("by-key")
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
     fixes = o.where("o_orderkey % 3 = 0").withColumn("price", -F.col("price"))
-    T.replace_by_key(o, path, ["o_orderkey"], buckets=8)
-    T.replace_by_key(fixes, path, ["o_orderkey"], buckets=8)
-    T.replace_by_key(fixes, path, ["o_orderkey"], buckets=8)
+    for batch_id, batch in enumerate([o, fixes, fixes]):
+        T.replace_by_key(batch, path, ["o_orderkey"], batch_id, buckets=8)
+    return T.scan(spark, path).drop("bucket")
+
+
+@query(
+    "replace_by_key_seasons",
+    """SELECT nullif(o_orderkey, 0) AS game, o_orderstatus AS season,
+CASE WHEN o_orderstatus = 'F' OR o_orderkey = 0 THEN -o_totalprice ELSE o_totalprice END AS price,
+CASE WHEN o_orderstatus = 'F' OR o_orderkey = 0 THEN 2 ELSE 1 END AS version FROM orders""",
+)
+@in_folders
+def _replace_by_key_seasons(spark, sf, folder):
+    """A null key and one whole season are sent again, twice; the other seasons stay as written."""
+    path = folder("by-season")
+    games = table(spark, sf, "orders").select(
+        F.nullif("o_orderkey", F.lit(0)).alias("game"),
+        F.col("o_orderstatus").alias("season"),
+        F.col("o_totalprice").alias("price"),
+        F.lit(1).alias("version"),
+    )
+    fixes = games.where("season = 'F' OR game IS NULL").withColumns(
+        {"price": -F.col("price"), "version": F.lit(2)}
+    )
+    for batch_id, batch in enumerate([games, fixes, fixes]):
+        T.replace_by_key(batch, path, ["game"], batch_id, buckets=4, partition_by=["season"])
     return T.scan(spark, path).drop("bucket")
 
 
@@ -96,9 +126,9 @@ UNION ALL SELECT 'teams', count(*), 'OK' FROM nation UNION ALL SELECT 'games', 0
 UNION ALL SELECT 'injuries', NULL, 'NOT_FOUND'""",
 )
 def _create_and_reset_tables(spark, sf):
-    folder = new_folder(spark, "warehouse")
-    database = folder.rsplit("/", 1)[1].replace("-", "_")
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    place = new_folder(spark, "warehouse")
+    database = place.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
     T.create_all(spark, {t: table_schema(t) for t in ("teams", "hustle_stats", "games")}, database)
     nation = table(spark, sf, "nation")
     teams = nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("nickname"))
@@ -107,7 +137,9 @@ def _create_and_reset_tables(spark, sf):
     conform(lines, table_schema("hustle_stats"), ALIASES).write.insertInto(f"{database}.hustle_stats")
     T.reset_table(spark, "hustle_stats", database)
     known = {t: spark.table(f"{database}.{t}") for t in ("teams", "hustle_stats", "games")}
-    return health(spark, known, ["teams", "hustle_stats", "games", "injuries"])
+    found = materialize(health(spark, known, ["teams", "hustle_stats", "games", "injuries"]))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
 
 
 # --- Builds ----------------------------------------------------------------------------
@@ -164,10 +196,11 @@ def _build_box_score(spark, sf):
 
 
 def _event_payload(spark, sf):
-    """Play-by-play payload with every third event sent twice."""
+    """Play-by-play payload, numbered within the game, with every third event sent twice."""
+    nr = F.row_number().over(Window.partitionBy("game_id").orderBy("event_num"))
     ev = events(spark, sf).select(
         F.col("game_id").cast("string").alias("gameId"),
-        F.col("event_num").alias("actionNumber"),
+        nr.alias("actionNumber"),
         "period",
         F.col("score_home").cast("string").alias("scoreHome"),
         F.col("score_away").alias("scoreAway"),
@@ -180,7 +213,8 @@ def _event_payload(spark, sf):
     )
 
 
-_PLAYS_SQL = f"""WITH {EVENTS_CTE} SELECT CAST(game_id AS VARCHAR) AS game_id, CAST(event_num AS INTEGER) AS event_num,
+_PLAYS_SQL = f"""WITH {EVENTS_CTE} SELECT CAST(game_id AS VARCHAR) AS game_id,
+CAST(row_number() OVER (PARTITION BY game_id ORDER BY event_num) AS INTEGER) AS event_num,
 CAST(period AS INTEGER) AS period, event_type AS action_type, h AS score_home, a AS score_away FROM ev"""
 
 
@@ -198,41 +232,121 @@ def _build_play_by_play(spark, sf):
 
 
 @query("load_play_by_play", _PLAYS_SQL)
-def _load_play_by_play(spark, sf):
+@in_folders
+def _load_play_by_play(spark, sf, folder):
     """Build, then write twice by game: the reload changes nothing."""
-    path = new_folder(spark, "play-by-play")
+    path = folder("play-by-play")
     plays = builds.build_play_by_play(_event_payload(spark, sf), ["sent"])
-    T.replace_by_key(plays, path, ["game_id"], buckets=8)
-    T.replace_by_key(plays, path, ["game_id"], buckets=8)
+    for batch_id in (1, 2):
+        T.replace_by_key(plays, path, ["game_id"], batch_id, buckets=8)
     return _plays_out(T.scan(spark, path))
 
 
 @query("incremental_load", _PLAYS_SQL)
-def _incremental_load(spark, sf):
-    """The event file as a stream, loaded twice from its checkpoint."""
-    root, checkpoint = new_folder(spark, "loaded"), new_folder(spark, "progress")
-
-    def plays(batch):
-        named = batch.select(
-            F.col("game_id"),
-            F.col("event_id").cast("int").alias("event_num"),
-            (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("period"),
-            F.col("event_type").alias("action_type"),
-            F.col("value").alias("score_home"),
-            F.get_json_object("props", "$.k").alias("score_away"),
-        )
-        return unique_events(["game_id", "event_num"], ["period", "action_type", "score_home"])(named)
-
-    for _ in range(2):
-        stream = L.stream_landing(spark, f"{sf}/events*.parquet", SCHEMAS["events"], "parquet")
-        keyed = stream.withColumn(
-            "game_id", (F.col("user_id") * 100 + F.weekofyear("ts")).cast("string")
+@in_folders
+def _incremental_load(spark, sf, folder):
+    """Events spread over many files, a file a batch: every game spans batches.
+
+    Then a fifth of the events are sent again with another type, which changes nothing,
+    and the checkpoint is lost, which loses and doubles nothing.
+    """
+    landing, root = folder("landing"), folder("loaded")
+    # The number orders the events of a game and is what the rows are told apart by.
+    payload = _event_payload(spark, sf).where("sent = 1").drop("sent")
+    payload.repartition(4, "actionNumber").write.parquet(landing)
+
+    def load(progress, files):
+        stream = L.stream_landing(spark, landing, payload.schema, "parquet", files)
+        keyed = stream.withColumn("game_id", F.col("gameId"))
+        plays = unique_rows(
+            lambda df: builds.build_play_by_play(df.drop("game_id")), ["game_id", "event_num"], ["action_type"]
         )
-        incremental_load(keyed, root, checkpoint, {"play_by_play": plays}, ["game_id"])
+        incremental_load(keyed, root, progress, {"play_by_play": plays}, ["game_id"])
+
+    first = folder("progress")
+    load(first, 1)
+    again = payload.where("actionNumber % 5 = 0").withColumn("actionType", F.lit("resent"))
+    again.coalesce(2).write.mode("append").parquet(landing)
+    load(first, 1)
+    load(folder("progress"), 1000)
     loaded = read_loaded(spark, root, "play_by_play")
     return _plays_out(loaded.join(loaded_keys(spark, root, ["game_id"]), "game_id"))
 
 
+#: Endpoints of a game: table, payload folder, the columns that tell its rows apart.
+_ENDPOINTS = {
+    "player_game_stats": ["game_id", "player_id", "pts"],
+    "play_by_play": ["game_id", "event_num", "period"],
+    "hustle_stats": ["game_id", "player_id"],
+    "player_matchups": ["game_id", "off_player_id", "def_player_id"],
+    "game_rotations": ["game_id", "player_id", "in_time_real"],
+}
+
+
+@query(
+    "load_all_endpoints",
+    """WITH g AS (SELECT DISTINCT l_orderkey FROM lineitem),
+box AS (SELECT l_orderkey, count(DISTINCT (l_linenumber, CAST(l_quantity AS INTEGER))) AS n FROM lineitem GROUP BY 1),
+pl AS (SELECT l_orderkey, count(DISTINCT (l_linenumber, CAST(l_quantity AS INTEGER))) AS n FROM lineitem
+       WHERE l_orderkey % 7 <> 0 GROUP BY 1),
+hu AS (SELECT o_orderkey AS l_orderkey, 1 AS n FROM orders WHERE o_orderstatus <> 'P'),
+ma AS (SELECT l_orderkey, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1),
+ro AS (SELECT o_orderkey AS l_orderkey, 1 AS n FROM orders)
+SELECT CAST(g.l_orderkey AS VARCHAR) AS game_id, box.n AS box_rows, pl.n AS plays, CAST(hu.n AS BIGINT) AS hustle_rows,
+ma.n AS matchups, CAST(ro.n AS BIGINT) AS shifts, pl.n IS NOT NULL AND hu.n IS NOT NULL AS done
+FROM g LEFT JOIN box USING (l_orderkey) LEFT JOIN pl USING (l_orderkey) LEFT JOIN hu USING (l_orderkey)
+LEFT JOIN ma USING (l_orderkey) LEFT JOIN ro USING (l_orderkey)""",
+)
+@in_folders
+def _load_all_endpoints(spark, sf, folder):
+    """Five payloads per game, each a stream of its own; a game is done with rows in all five tables.
+
+    Every payload lands in two files per endpoint that share their games, a file a batch.
+    """
+    landing, root, progress = folder("landing"), folder("loaded"), folder("progress")
+    lines = table(spark, sf, "lineitem")
+    orders = table(spark, sf, "orders")
+    game = F.col("l_orderkey").cast("string").alias("gameId")
+    order_game = F.col("o_orderkey").cast("string").alias("gameId")
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    payloads = {
+        "player_game_stats": lines.select(
+            game, F.col("l_linenumber").cast("long").alias("personId"), F.col("l_quantity").cast("int").alias("points")
+        ),
+        "play_by_play": lines.where("l_orderkey % 7 <> 0").select(
+            game, F.col("l_linenumber").alias("actionNumber"), F.col("l_quantity").cast("int").alias("period")
+        ),
+        "hustle_stats": orders.where("o_orderstatus <> 'P'").select(order_game, F.col("o_custkey").alias("PLAYER_ID")),
+        "player_matchups": joined.select(
+            game, F.col("o_custkey").alias("personIdOff"), F.col("l_suppkey").alias("personIdDef")
+        ),
+        "game_rotations": orders.select(
+            order_game, F.col("o_custkey").alias("PERSON_ID"), F.col("o_totalprice").alias("IN_TIME_REAL")
+        ),
+    }
+    ends = {}
+    for name, payload in payloads.items():
+        path = L.landing_path(landing, name)
+        payload.repartition(2).write.parquet(path)
+        stream = L.stream_landing(spark, path, payload.schema, "parquet", 1)
+        keyed = stream.withColumn("game_id", F.col("gameId"))
+        row_keys = _ENDPOINTS[name]
+
+        def build(df, name=name):
+            return conform(df.drop("game_id"), table_schema(name), ALIASES)
+
+        ends[name] = Endpoint(keyed, {name: unique_rows(build, row_keys, row_keys)})
+    load_endpoints(ends, root, progress, ["game_id"])
+    tables = {name: f"{name}/{name}" for name in payloads}
+    out = read_loaded(spark, root, tables["player_game_stats"]).select("game_id").distinct()
+    labels = ("box_rows", "plays", "hustle_rows", "matchups", "shifts")
+    for name, label in zip(payloads, labels):
+        counts = read_loaded(spark, root, tables[name]).groupBy("game_id").agg(F.count(F.lit(1)).alias(label))
+        out = out.join(counts, "game_id", "left")
+    done = complete_keys(spark, root, list(tables.values()), ["game_id"]).withColumn("done", F.lit(True))
+    return out.join(done, "game_id", "left").withColumn("done", F.coalesce("done", F.lit(False)))
+
+
 @query(
     "build_hustle",
     """SELECT CAST(o_orderkey AS VARCHAR) AS game_id, o_custkey AS player_id,
@@ -345,8 +459,9 @@ def _line_scores_long(spark, sf):
     """SELECT 'team' AS kind, CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation
 UNION ALL SELECT 'player', c_custkey, c_name FROM customer""",
 )
-def _build_dimensions(spark, sf):
-    root = new_folder(spark, "landing")
+@in_folders
+def _build_dimensions(spark, sf, folder):
+    root = folder("landing")
     teams = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("id"),
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("abbreviation"),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -17,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Recording the Python call site of every expression slows plan building down.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="courtstats-")
     sc.setCheckpointDir(folder)
@@ -53,20 +58,39 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+def _file_system(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    """File system and path of a folder named by a path or a URI."""
+    parts = urlparse(path)
+    if parts.scheme in ("", "file"):
+        return arrow_fs.LocalFileSystem(), parts.path
+    return arrow_fs.FileSystem.from_uri(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
-    return bool(fs.exists(hadoop_path))
+    fs, inner = _file_system(path)
+    return fs.get_file_info(inner).type != arrow_fs.FileType.NotFound
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a staging folder this package wrote."""
-    fs, hadoop_path = _file_system(spark, path)
-    fs.delete(hadoop_path, True)
+    fs, inner = _file_system(path)
+    fs.delete_dir(inner)
+
+
+def read_note(path: str) -> str | None:
+    """A short text kept beside a table, or None."""
+    fs, inner = _file_system(path)
+    if fs.get_file_info(inner).type == arrow_fs.FileType.NotFound:
+        return None
+    with fs.open_input_file(inner) as source:
+        return source.read().decode()
+
+
+def write_note(path: str, text: str) -> None:
+    fs, inner = _file_system(path)
+    fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(inner) as target:
+        target.write(text.encode())
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from courtstats.schemas import registry
-from courtstats.session import drop_folder, new_folder, path_exists, shared_folder
+from courtstats.session import drop_folder, path_exists, read_note, shared_folder, write_note
 
 _IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -97,68 +99,70 @@ def _staging_folder(spark: SparkSession, path: str, batch_id: int | str) -> str:
     return f"{shared_folder(spark)}/replace-{tag}-{batch_id}"
 
 
-def _by_bucket(df: DataFrame) -> DataFrame:
+def _by_bucket(df: DataFrame, parts: Sequence[str] = ("bucket",)) -> DataFrame:
     """Rows of a bucket in few files: AQE splits the buckets that are large."""
-    return df.hint("rebalance", "bucket")
+    return df.hint("rebalance", *parts)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]):
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
 def replace_by_key(
     batch: DataFrame,
     path: str,
     keys: Sequence[str],
+    batch_id: int | str,
     buckets: int = 64,
-    batch_id: int | str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Idempotent reload: rows with the batch's keys are replaced, all others stay.
 
-    The table at ``path`` is partitioned by a hash bucket of the key, and only the
-    buckets the batch touches are rewritten. Their new content is first written in
-    full to a staging folder in the shared folder and then swapped in with a
-    dynamic partition overwrite, so no job overwrites what it reads. Calling again
+    The table at ``path`` is partitioned by ``partition_by`` (say, the season; it must follow from the
+    key) and within it by a hash bucket of the key. Only the buckets the batch touches are
+    rewritten, so one game costs a bucket of its season, not a share of the table. Their new
+    content is first written in full to a staging folder in the shared folder and then
+    swapped in with a dynamic partition overwrite, so no job overwrites what it reads. Calling again
     with the same ``batch_id`` after a failed swap redoes the swap from staging;
     after a good swap staging is dropped, so an old batch can never undo a newer one.
+    Null keys are keys like any other. The layout is kept beside the table; a call that states
+    another one is refused.
     """
     spark = batch.sparkSession
-    keys = list(keys)
-    staging = (
-        new_folder(spark, "replace")
-        if batch_id is None
-        else _staging_folder(spark, path, batch_id)
-    )
+    keys, parts = list(keys), [*partition_by, "bucket"]
+    layout = json.dumps({"keys": keys, "buckets": buckets, "partition_by": list(partition_by)})
+    stored = read_note(f"{path}/_layout")
+    if stored is not None and stored != layout:
+        raise ValueError(f"the table has the layout {stored}, not {layout}")
+    staging = _staging_folder(spark, path, batch_id)
     if not path_exists(spark, f"{staging}/_SUCCESS"):
         incoming = batch.withColumn("bucket", key_bucket(keys, buckets)).persist()
         try:
             merged = incoming
-            if path_exists(spark, path):
+            if stored is not None:
+                touched = incoming.select(*parts).distinct()
                 # At most ``buckets`` numbers: they prune the table's partitions.
-                touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
-                survivors = (
-                    spark.read.schema(incoming.schema)
-                    .parquet(path)
-                    .where(F.col("bucket").isin(touched))
-                    .join(incoming.select("bucket", *keys).distinct(), ["bucket", *keys], "left_anti")
-                    .select(*incoming.columns)
-                )
-                merged = survivors.unionByName(incoming)
-            (
-                _by_bucket(merged)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy("bucket")
-                .parquet(staging)
-            )
+                numbers = [r[0] for r in touched.select("bucket").distinct().collect()]
+                rows = spark.read.schema(incoming.schema).parquet(path).where(F.col("bucket").isin(numbers))
+                rows = rows.join(touched, _null_safe(rows, touched, parts), "left_semi")
+                sent = incoming.select(*dict.fromkeys([*parts, *keys])).distinct()
+                survivors = rows.join(sent, _null_safe(rows, sent, sent.columns), "left_anti")
+                merged = survivors.select(*incoming.columns).unionByName(incoming)
+            _write_buckets(_by_bucket(merged, parts), staging, "static", parts)
         finally:
             incoming.unpersist()
-    (
-        _by_bucket(spark.read.schema(batch.schema).parquet(staging))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+    if stored is None:
+        write_note(f"{path}/_layout", layout)
+    staged = spark.read.schema(StructType([*batch.schema.fields]).add("bucket", "integer")).parquet(staging)
+    _write_buckets(_by_bucket(staged, parts), path, "dynamic", parts)
     drop_folder(spark, staging)
 
 
+def _write_buckets(df: DataFrame, path: str, mode: str, parts: Sequence[str]) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(*parts).parquet(path)
+
+
 def reset_table(spark: SparkSession, name: str, database: str | None = None) -> None:
     """Drop a declared table and create it again, empty. Other names are refused."""
     declared = registry()

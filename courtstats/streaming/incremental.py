@@ -1,10 +1,13 @@
-"""Incremental load: only unseen games, restartable, several facets per game."""
+"""Incremental load: unseen rows only, restartable, several facets and endpoints per game."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,69 +16,118 @@ from courtstats.session import path_exists
 
 Facet = Callable[[DataFrame], DataFrame]
 
-DONE = "_loaded_keys"
+#: Games of which any batch has begun to write rows, and games all of whose rows of a batch are there.
+MET, DONE = "_met_keys", "_loaded_keys"
+BATCH = ["run_id", "batch_id"]
+
+
+@dataclass(frozen=True)
+class RowFacet:
+    """A table made from the payload: how, and which columns tell its rows apart."""
+
+    build: Facet
+    row_keys: Sequence[str]
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
 def load_batch(
     batch: DataFrame,
     batch_id: int,
     root: str,
-    facets: Mapping[str, Facet],
+    facets: Mapping[str, RowFacet],
     keys: Sequence[str],
+    run_id: str,
 ) -> None:
-    """Write one batch: rows of keys that no other batch has loaded.
+    """Write one batch: rows whose row key no other batch has loaded.
 
-    Every facet goes to its own table, in the partition of this batch; the keys
-    are written last. A key thus counts as done only when all its facets are
-    there, and a batch that is run again overwrites exactly its own partitions.
+    A game may be spread over any number of batches: rows, not games, are told apart. Only games
+    that earlier batches have met need the comparison; rows of all others are new. The games met are noted
+    first, so rows that a broken batch left behind are compared too. Every facet goes to its own table, in the
+    partition of this run and batch; the loaded keys are written last. A batch that is run again
+    overwrites exactly its own partition, and a run with a new checkpoint writes into its own.
     """
     spark = batch.sparkSession
     keys = list(keys)
-    done_path = f"{root}/{DONE}"
-    fresh = batch
-    if path_exists(spark, done_path):
-        others = spark.read.schema(_done_schema(batch, keys)).parquet(done_path).where(
-            F.col("batch_id") != batch_id
-        )
-        fresh = batch.join(others.select(*keys), keys, "left_anti")
-    fresh = fresh.persist()
+    batch = batch.persist()
     try:
+        before = _others(spark, f"{root}/{MET}", StructType([batch.schema[k] for k in keys]), run_id, batch_id)
+        here = batch.select(*keys).distinct()
+        met = None
+        if before is not None:
+            met = here.join(before, null_safe(here, before, keys), "left_semi")
+            met = None if met.isEmpty() else met
+        _write_partition(here, run_id, batch_id, f"{root}/{MET}")
         for name, facet in facets.items():
-            _write_partition(facet(fresh), batch_id, f"{root}/{name}")
-        _write_partition(fresh.select(*keys).distinct(), batch_id, done_path)
+            rows = facet.build(batch)
+            if met is not None:
+                rows = _unseen(spark, rows, f"{root}/{name}", facet.row_keys, keys, met, run_id, batch_id)
+            _write_partition(rows, run_id, batch_id, f"{root}/{name}")
+        _write_partition(here, run_id, batch_id, f"{root}/{DONE}")
     finally:
-        fresh.unpersist()
+        batch.unpersist()
+
+
+def _others(spark: SparkSession, path: str, schema: StructType, run_id: str, batch_id: int) -> DataFrame | None:
+    """What all other batches have written to a table, or None before the first."""
+    if not path_exists(spark, path):
+        return None
+    stored = spark.read.schema(StructType([*schema.fields]).add("run_id", "string").add("batch_id", "long")).parquet(path)
+    own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+    return stored.where(~own).drop(*BATCH)
 
 
-def _done_schema(batch: DataFrame, keys: Sequence[str]) -> StructType:
-    schema = StructType([batch.schema[k] for k in keys])
-    return schema.add("batch_id", "long")
+def _unseen(spark, rows, path, row_keys, keys, met, run_id, batch_id) -> DataFrame:
+    stored = _others(spark, path, rows.schema, run_id, batch_id)
+    if stored is None:
+        return rows
+    stored = stored.select(*row_keys)
+    if set(keys) <= set(row_keys):
+        stored = stored.join(met, null_safe(stored, met, keys), "left_semi")
+    return rows.join(stored, null_safe(rows, stored, row_keys), "left_anti")
 
 
-def _write_partition(df: DataFrame, batch_id: int, path: str) -> None:
+def _write_partition(df: DataFrame, run_id: str, batch_id: int, path: str) -> None:
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        df.withColumn("run_id", F.lit(run_id))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy(*BATCH)
         .parquet(path)
     )
 
 
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run a checkpoint belongs to, kept beside it; a new checkpoint is a new run.
+
+    Batch numbers start at zero with every checkpoint, so they only count together with the run.
+    """
+    path = f"{checkpoint}/_run"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        named = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run_id"))
+        named.write.mode("overwrite").parquet(path)
+    return spark.read.schema("run_id string").parquet(path).first()[0]
+
+
 def incremental_load(
     stream: DataFrame,
     root: str,
     checkpoint: str,
-    facets: Mapping[str, Facet],
+    facets: Mapping[str, RowFacet],
     keys: Sequence[str],
 ) -> None:
     """Load everything that has landed since the last run, then stop.
 
-    The stream's checkpoint remembers the files, ``load_batch`` the games.
+    The stream's checkpoint remembers the files, the tables remember the rows. If the checkpoint is
+    lost, all files are read again and no row is written twice.
     """
+    run_id = _run_of(stream.sparkSession, checkpoint)
     query = (
         stream.writeStream.foreachBatch(
-            lambda batch, batch_id: load_batch(batch, batch_id, root, facets, keys)
+            lambda batch, batch_id: load_batch(batch, batch_id, root, facets, keys, run_id)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -84,14 +136,37 @@ def incremental_load(
     query.awaitTermination()
 
 
+@dataclass(frozen=True)
+class Endpoint:
+    """A stream of payloads and the tables made from it."""
+
+    stream: DataFrame
+    facets: Mapping[str, RowFacet]
+
+
+def load_endpoints(
+    endpoints: Mapping[str, Endpoint], root: str, checkpoint: str, keys: Sequence[str]
+) -> None:
+    """Load all endpoints of the games, each with a checkpoint and a key table of its own."""
+    for name, endpoint in endpoints.items():
+        incremental_load(endpoint.stream, f"{root}/{name}", f"{checkpoint}/{name}", endpoint.facets, keys)
+
+
+def complete_keys(spark: SparkSession, root: str, tables: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Games that have rows in every one of the tables (``endpoint/table``): only these are done."""
+    frames = [read_loaded(spark, root, t).select(*keys).distinct() for t in tables]
+    return reduce(lambda a, b: a.intersect(b), frames)
+
+
 def read_loaded(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{table}").drop("batch_id")
+    return spark.read.parquet(f"{root}/{table}").drop(*BATCH)
 
 
 def loaded_keys(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    return spark.read.parquet(f"{root}/{DONE}").select(*keys)
+    """Games of which any row has been loaded."""
+    return spark.read.parquet(f"{root}/{DONE}").select(*keys).distinct()
 
 
-def unique_events(keys: Sequence[str], order: Sequence[str]) -> Facet:
-    """Facet step that keeps the first row per key."""
-    return lambda df: dedupe(df, keys, order)
+def unique_rows(build: Facet, keys: Sequence[str], order: Sequence[str]) -> RowFacet:
+    """A facet that keeps the first row per key within a batch."""
+    return RowFacet(lambda df: dedupe(build(df), keys, order), keys)

@@ -1,19 +1,23 @@
+import glob
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from courtstats import session
-from courtstats.operators.windows import dedupe
 from courtstats.schemas import registry, table_schema
 from courtstats.sources import landing as L
 from courtstats.sources import tables as T
 from courtstats.streaming.incremental import (
+    Endpoint,
+    RowFacet,
+    complete_keys,
     incremental_load,
     load_batch,
+    load_endpoints,
     loaded_keys,
     read_loaded,
-    unique_events,
+    unique_rows,
 )
 
 PLAYS = "game_id string, event_num int, v string"
@@ -42,10 +46,10 @@ def test_append_and_replace(spark, tmp_path):
 def test_replace_by_key_is_idempotent_and_keeps_other_keys(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     first = plays(spark, *[(f"g{i}", e, "old") for i in range(20) for e in range(3)])
-    T.replace_by_key(first, path, ["game_id"], buckets=4)
+    T.replace_by_key(first, path, ["game_id"], "first", buckets=4)
     again = plays(spark, ("g3", 0, "new"), ("g99", 0, "new"))
     for _ in range(2):
-        T.replace_by_key(again, path, ["game_id"], buckets=4)
+        T.replace_by_key(again, path, ["game_id"], "again", buckets=4)
         got = rows(T.scan(spark, path).select("game_id", "event_num", "v"))
         assert len(got) == 19 * 3 + 2
         assert [r for r in got if r[0] in ("g3", "g99")] == [("g3", 0, "new"), ("g99", 0, "new")]
@@ -57,11 +61,11 @@ def test_replace_by_key_resumes_a_failed_swap(spark, tmp_path, rows, monkeypatch
     # Stage the second batch, but fail before the swap.
     calls = []
 
-    def fail_second(df):
+    def fail_second(df, parts):
         calls.append(1)
         if len(calls) == 2:
             raise RuntimeError("lost")
-        return df.hint("rebalance", "bucket")
+        return df.hint("rebalance", *parts)
 
     monkeypatch.setattr(T, "_by_bucket", fail_second)
     batch = plays(spark, ("a", 1, "new"))
@@ -104,53 +108,95 @@ def test_landing_unions_result_sets(spark, tmp_path, rows):
     assert all("rotation" in r.source_file for r in both.collect())
 
 
-def test_incremental_load_takes_unseen_games_only(spark, tmp_path, rows):
-    landing, root, progress = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    facets = {
-        "play_by_play": unique_events(["game_id", "event_num"], ["v"]),
-        "games": lambda df: df.select("game_id").distinct(),
+def test_replace_by_key_with_null_keys_and_seasons(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    schema = "game_id string, season string, v string"
+
+    def send(batch_id, *sent, **options):
+        T.replace_by_key(
+            spark.createDataFrame(list(sent), schema), path, ["game_id"], batch_id, **({"buckets": 4, "partition_by": ["season"]} | options)
+        )
+
+    send(1, ("a", "s1", "old"), (None, "s1", "old"), ("b", "s2", "old"))
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{path}/season=s1/*/*.parquet")}
+    send(2, ("b", "s2", "new"), ("c", "s2", "new"))
+    assert before == {p: os.path.getmtime(p) for p in glob.glob(f"{path}/season=s1/*/*.parquet")}
+    for n in (3, 4):
+        send(n, (None, "s1", "new"))
+        assert rows(T.scan(spark, path), "game_id", "season", "v") == sorted(
+            [("a", "s1", "old"), (None, "s1", "new"), ("b", "s2", "new"), ("c", "s2", "new")], key=repr
+        )
+    with pytest.raises(ValueError, match="layout"):
+        send(5, ("a", "s1", "x"), buckets=5)
+
+
+def facets():
+    return {
+        "play_by_play": unique_rows(lambda df: df, ["game_id", "event_num"], ["v"]),
+        "games": RowFacet(lambda df: df.select("game_id").distinct(), ["game_id"]),
     }
 
-    def run():
+
+def test_incremental_load_keeps_every_row_once(spark, tmp_path, rows):
+    landing, root = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run(progress):
         stream = L.stream_landing(spark, landing, PLAYS, "json", files_per_batch=1)
-        incremental_load(stream, root, progress, facets, ["game_id"])
+        incremental_load(stream, root, str(tmp_path / progress), facets(), ["game_id"])
 
     def state():
         return rows(read_loaded(spark, root, "play_by_play"), "game_id", "event_num", "v")
 
     plays(spark, ("a", 1, "x"), ("a", 1, "y"), ("a", 2, "x")).coalesce(1).write.json(landing)
-    run()
+    run("cp")
     assert state() == [("a", 1, "x"), ("a", 2, "x")]
-    # A later file brings a new game and sends the old one again.
-    plays(spark, ("a", 1, "z"), ("b", 1, "x")).coalesce(1).write.mode("append").json(landing)
-    run()
-    run()
-    assert state() == [("a", 1, "x"), ("a", 2, "x"), ("b", 1, "x")]
-    assert rows(loaded_keys(spark, root, ["game_id"])) == [("a",), ("b",)]
-    assert rows(read_loaded(spark, root, "games")) == [("a",), ("b",)]
+    # Two later files: the rest of the game, a row sent again, a new game, a row without a game.
+    plays(spark, ("a", 3, "x"), ("a", 1, "z")).coalesce(1).write.mode("append").json(landing)
+    plays(spark, ("b", 1, "x"), (None, 1, "x"), ("a", 4, "x")).coalesce(1).write.mode("append").json(landing)
+    expected = sorted([("a", n, "x") for n in (1, 2, 3, 4)] + [("b", 1, "x"), (None, 1, "x")], key=repr)
+    for progress in ("cp", "cp", "lost", "lost"):
+        # A new checkpoint reads all files anew, with batch numbers from zero.
+        run(progress)
+        assert state() == expected
+    assert rows(loaded_keys(spark, root, ["game_id"])) == sorted([("a",), ("b",), (None,)], key=repr)
+    assert rows(read_loaded(spark, root, "games")) == sorted([("a",), ("b",), (None,)], key=repr)
 
 
 def test_a_batch_run_again_changes_nothing(spark, tmp_path, rows):
     root = str(tmp_path / "out")
-    facets = {"plays": lambda df: dedupe(df, ["game_id", "event_num"], ["v"])}
-    load_batch(plays(spark, ("a", 1, "x")), 0, root, facets, ["game_id"])
+    load_batch(plays(spark, ("a", 1, "x")), 0, root, facets(), ["game_id"], "run")
     for _ in range(2):
-        load_batch(plays(spark, ("a", 1, "z"), ("b", 1, "x")), 1, root, facets, ["game_id"])
-        assert rows(read_loaded(spark, root, "plays")) == [("a", 1, "x"), ("b", 1, "x")]
+        load_batch(plays(spark, ("a", 1, "z"), ("b", 1, "x")), 1, root, facets(), ["game_id"], "run")
+        assert rows(read_loaded(spark, root, "play_by_play")) == [("a", 1, "x"), ("b", 1, "x")]
 
 
-def test_a_game_counts_only_when_all_facets_are_there(spark, tmp_path, rows):
+def test_a_broken_batch_leaves_no_row_twice(spark, tmp_path, rows):
     root = str(tmp_path / "out")
 
     def broken(df):
         raise RuntimeError("facet failed")
 
     batch = plays(spark, ("a", 1, "x"))
+    bad = {**facets(), "hustle": RowFacet(broken, ["game_id"])}
     with pytest.raises(RuntimeError):
-        load_batch(batch, 0, root, {"plays": lambda df: df, "hustle": broken}, ["game_id"])
+        load_batch(batch, 0, root, bad, ["game_id"], "one")
     assert not os.path.exists(f"{root}/_loaded_keys")
-    load_batch(batch, 0, root, {"plays": lambda df: df, "hustle": lambda df: df}, ["game_id"])
-    assert rows(read_loaded(spark, root, "plays")) == [("a", 1, "x")]
+    # The checkpoint is lost as well: another run writes the batch.
+    load_batch(batch, 0, root, facets(), ["game_id"], "two")
+    assert rows(read_loaded(spark, root, "play_by_play")) == [("a", 1, "x")]
+
+
+def test_games_are_done_with_all_endpoints(spark, tmp_path, rows):
+    root, ends = str(tmp_path / "out"), {}
+    for name, games in (("plays", "abc"), ("hustle", "ac"), ("rotations", "cb")):
+        folder = str(tmp_path / name)
+        plays(spark, *[(g, 1, name) for g in games]).write.json(folder)
+        ends[name] = Endpoint(
+            L.stream_landing(spark, folder, PLAYS), {"rows": RowFacet(lambda df: df, ["game_id", "event_num"])}
+        )
+    load_endpoints(ends, root, str(tmp_path / "cp"), ["game_id"])
+    tables = [f"{name}/rows" for name in ends]
+    assert rows(complete_keys(spark, root, tables, ["game_id"])) == [("c",)]
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
