@@ -11,6 +11,7 @@ from bindings.common import (
     events,
     game_rows,
     horner_sql,
+    in_folders,
     ladder_ctes,
     points,
     query,
@@ -24,7 +25,6 @@ from courtstats.operators import fit
 from courtstats.operators.aggregates import argmax_by, exact_median, member_lists, members, pivot_mean
 from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans, standardize
 from courtstats.plans import archetypes, closing
-from courtstats.session import new_folder
 
 X, Y, TEAM = closing.X, closing.Y, closing.TEAM
 
@@ -442,8 +442,9 @@ def _team_best_fits(spark, sf):
     "best_fits_csv",
     f'{_TEAM_CV} SELECT team AS "Team", best AS "Best_Degree" FROM wide',
 )
-def _best_fits_csv(spark, sf):
-    path = new_folder(spark, "best-fits")
+@in_folders
+def _best_fits_csv(spark, sf, folder):
+    path = folder("best-fits")
     archetypes.save_best_fits(closing.team_best_fits(points(spark, sf)), path)
     return archetypes.read_best_fits(spark, path)
 
@@ -520,12 +521,8 @@ def _tuning_curves(spark, sf):
 )
 def _value_range(spark, sf):
     p = points(spark, sf)
-    mid = exact_median(p, X)
-    return p.agg(
-        rounded(F.min(Y), 4).alias("lo"),
-        rounded(F.max(Y), 4).alias("hi"),
-        rounded(F.lit(mid), 4).alias("mid"),
-    )
+    ends = p.agg(rounded(F.min(Y), 4).alias("lo"), rounded(F.max(Y), 4).alias("hi"))
+    return ends.withColumn("mid", rounded(exact_median(p, X).scalar(), 4))
 
 
 @query(
@@ -534,9 +531,7 @@ def _value_range(spark, sf):
 )
 def _exact_median(spark, sf):
     li = table(spark, sf, "lineitem")
-    # A small bracket makes the narrowing passes run even on small tables.
-    mid = exact_median(li, "l_extendedprice", bracket_rows=5_000)
-    return li.limit(1).select(F.round(F.lit(mid), 4).alias("median_price"))
+    return exact_median(li, "l_extendedprice", "median_price").select(r("median_price", 4))
 
 
 @query(
@@ -568,8 +563,109 @@ def _comparison_curves(spark, sf):
 
 @query("sigmoid_fit")
 def _sigmoid_fit(spark, sf):
-    p = points(spark, sf)
-    return fit.sigmoid_fit(p, X, Y, closing.sigmoid_start(p))
+    return closing.closing_sigmoid(points(spark, sf))
+
+
+def _known_sigmoid(spark, sf):
+    """A point per line: y = 40 / (1 + exp(-0.2 (quantity - 25))) + 3."""
+    q = F.col("l_quantity")
+    return table(spark, sf, "lineitem").select(
+        q.alias("q"), (F.lit(40.0) / (1 + F.exp(-0.2 * (q - 25))) + 3).alias("v")
+    )
+
+
+@query(
+    "sigmoid_fit_known",
+    """SELECT count(*) AS n, 40.0::DOUBLE AS height, 25.0::DOUBLE AS x0, 0.2::DOUBLE AS k, 3.0::DOUBLE AS base,
+true AS converged FROM lineitem""",
+)
+def _sigmoid_fit_known(spark, sf):
+    found = closing.closing_sigmoid(_known_sigmoid(spark, sf), "q", "v")
+    return found.select("n", r("height", 4), r("x0", 4), r("k", 4), r("base", 4), "converged")
+
+
+_KNOWN = "pts AS (SELECT l_quantity AS x, 40 / (1 + exp(-0.2 * (l_quantity - 25))) + 3 AS y FROM lineitem)"
+
+
+@query(
+    "model_comparison_known",
+    f"""WITH {_KNOWN}, {ladder_ctes('pts', 'f1', 1)}, {ladder_ctes('pts', 'f3', 3)}
+SELECT 'Linear' AS model, round(1 - sum(pow(y - {horner_sql(1, 'f1')}, 2)) / (var_pop(y) * count(*)), 5) AS r2,
+false AS winner FROM pts CROSS JOIN f1
+UNION ALL SELECT 'Polynomial', round(1 - sum(pow(y - {horner_sql(3, 'f3')}, 2)) / (var_pop(y) * count(*)), 5), false
+FROM pts CROSS JOIN f3
+UNION ALL SELECT 'Sigmoid', 1.0, true""",
+)
+def _model_comparison_known(spark, sf):
+    found = closing.model_comparison(_known_sigmoid(spark, sf), "q", "v")
+    return found.select("model", r("r2", 5), "winner")
+
+
+@query(
+    "comparison_curves_known",
+    f"""WITH {_KNOWN}, {ladder_ctes('pts', 'f1', 1)}, {ladder_ctes('pts', 'f3', 3)},
+ends AS (SELECT min(x) AS a, max(x) AS b FROM pts),
+grid AS (SELECT a + i * (b - a) / 199 AS x FROM ends CROSS JOIN range(200) g(i))
+SELECT 'Linear' AS model, round(grid.x, 6) AS x, round({horner_sql(1, 'f1', 'grid.x')}, 3) AS y FROM grid CROSS JOIN f1
+UNION ALL SELECT 'Polynomial', round(grid.x, 6), round({horner_sql(3, 'f3', 'grid.x')}, 3) FROM grid CROSS JOIN f3
+UNION ALL SELECT 'Sigmoid', round(x, 6), round(40 / (1 + exp(-0.2 * (x - 25))) + 3, 3) FROM grid""",
+)
+def _comparison_curves_known(spark, sf):
+    found = closing.comparison_curves(_known_sigmoid(spark, sf), x="q", y="v")
+    return found.select("model", r("x", 6), r("y", 3))
+
+
+_FAR = """pts AS (SELECT 1000 + l_quantity * 4 AS x, l_extendedprice / 1000 AS y, l_returnflag AS g,
+CAST(l_orderkey % 5 AS INTEGER) AS fold FROM lineitem)"""
+
+
+def _far_points(spark, sf):
+    """x far from zero: quantities times four, from 1,004 to 1,200."""
+    return table(spark, sf, "lineitem").select(
+        (1000 + F.col("l_quantity") * 4).alias("x"),
+        (F.col("l_extendedprice") / 1000).alias("y"),
+        F.col("l_returnflag").alias("g"),
+        (F.col("l_orderkey") % 5).cast("int").alias("fold"),
+    )
+
+
+@query(
+    "refit_far_from_zero",
+    f"""WITH {_FAR}, z AS (SELECT (x - 1100) / 60 AS x, y FROM pts), t AS (SELECT var_pop(y) * count(*) AS sst FROM z)"""
+    + "".join(f", {ladder_ctes('z', f'f{d}', d, scale=1.0)}" for d in range(1, 6))
+    + " "
+    + " UNION ALL ".join(
+        f"SELECT {d} AS degree, count(*) AS n, round(1 - sum(pow(y - {horner_sql(d, f'f{d}')}, 2)) / max(sst), 7) AS r2, "
+        f"true AS fitted FROM z CROSS JOIN f{d} CROSS JOIN t"
+        for d in range(1, 6)
+    ),
+)
+def _refit_far_from_zero(spark, sf):
+    f = fit.refit_all_degrees(_far_points(spark, sf), "x", "y", [1, 2, 3, 4, 5])
+    return f.select("degree", "n", r("r2", 7), F.col("coef").isNotNull().alias("fitted"))
+
+
+def _far_fold(d: int, f: int) -> str:
+    return ladder_ctes(f"tr{f}", f"c{d}_{f}", d, ["g"], scale=1.0)
+
+
+@query(
+    "cross_validate_far_from_zero",
+    f"""WITH {_FAR}, z AS (SELECT (x - 1100) / 60 AS x, y, g, fold FROM pts)"""
+    + "".join(f", tr{f} AS (SELECT x, y, g FROM z WHERE fold <> {f})" for f in range(5))
+    + "".join(f", {_far_fold(d, f)}" for d in (1, 5) for f in range(5))
+    + ", each AS ("
+    + " UNION ALL ".join(
+        f"SELECT z.g, {d} AS degree, avg(pow(y - {horner_sql(d, 'c')}, 2)) AS mse "
+        f"FROM z JOIN c{d}_{f} c ON c.g = z.g WHERE fold = {f} GROUP BY z.g"
+        for d in (1, 5)
+        for f in range(5)
+    )
+    + ") SELECT g, degree, count(*) AS folds, round(avg(mse), 3) AS mse FROM each GROUP BY g, degree",
+)
+def _cross_validate_far_from_zero(spark, sf):
+    found = fit.cross_validate(_far_points(spark, sf), "x", "y", [1, 5], ["g"])
+    return found.select("g", "degree", "folds", r("mse", 3))
 
 
 # --- Clusters --------------------------------------------------------------------------
@@ -633,27 +729,94 @@ def _cluster_complexity(spark, sf):
     return cluster_complexity(c, "cluster", below=2).select("cluster", r("avg_degree", 6), "complexity")
 
 
+_FACTS_SQL = """SELECT {rows} AS members, {k} AS clusters, true AS none_empty, true AS own_centre_nearest,
+true AS cheaper_than_one"""
+
+
+def _cluster_facts(clustered, features, k):
+    """What any good clustering fulfils, over all rows.
+
+    Own centre nearest allows for the last step of the centres, which is below the tolerance.
+    """
+    names = [f"f{i}" for i in range(len(features))]
+    rows = clustered.select("cluster", *[c.cast("double").alias(n) for c, n in zip(features, names)])
+    centres = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), *[F.avg(n).alias(n) for n in names])
+    # k centres and one overall mean: a bounded number of rows.
+    known = [tuple(c[n] for n in names) for c in centres.orderBy("cluster").collect()]
+    overall = rows.agg(*[F.avg(n) for n in names]).first()
+
+    def square(to):
+        return sum(((F.col(n) - F.lit(v)) * (F.col(n) - F.lit(v)) for n, v in zip(names, to)), F.lit(0.0))
+
+    away = F.array(*[square(c) for c in known])
+    judged = rows.select(
+        away[F.col("cluster")].alias("own"), F.array_min(away).alias("least"), square(overall).alias("one")
+    )
+    return judged.agg(
+        F.count(F.lit(1)).alias("members"),
+        F.lit(len(known)).alias("clusters"),
+        F.lit(all(c["size"] > 0 for c in centres.collect())).alias("none_empty"),
+        F.bool_and(F.sqrt("own") <= F.sqrt("least") + 0.01 * F.sqrt("one") + 1e-6).alias("own_centre_nearest"),
+        (F.sum("own") < F.sum("one")).alias("cheaper_than_one"),
+    )
+
+
+@query("kmeans_facts", _FACTS_SQL.format(rows="count(*)", k=5) + " FROM embeddings")
+def _kmeans_facts(spark, sf):
+    e = table(spark, sf, "embeddings")
+    size = len(e.select("embedding").first()[0])
+    clustered = kmeans(e, "embedding", 5)
+    return _cluster_facts(clustered, [F.col("embedding")[i] for i in range(size)], 5)
+
+
+_TEAMS = "count(DISTINCT team)"
+
+
+@query("archetype_facts", f"WITH {POINTS_CTE} " + _FACTS_SQL.format(rows=_TEAMS, k=5) + " FROM pts")
+def _archetype_facts(spark, sf):
+    clustered = standardize(_archetypes(spark, sf), list(LABELS))
+    return _cluster_facts(clustered, [F.col(f"{c}_z") for c in LABELS], 5)
+
+
+@query(
+    "archetype_facts_advanced",
+    f"{_TEAM_CV} " + _FACTS_SQL.format(rows="count(*)", k="CAST(least(6, count(*)) AS INTEGER)") + " FROM wide WHERE best IS NOT NULL",
+)
+def _archetype_facts_advanced(spark, sf):
+    p = points(spark, sf)
+    made = archetypes.team_archetypes_advanced(p, closing.team_best_fits(p), 6, 42, EDGES, LABELS)
+    cols = [*LABELS, "Best_Degree"]
+    return _cluster_facts(standardize(made, cols), [F.col(f"{c}_z") for c in cols], 6)
+
+
 @query("kmeans_embeddings")
 def _kmeans_embeddings(spark, sf):
     clustered = kmeans(table(spark, sf, "embeddings"), "embedding", 5)
     return clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
+_DIMENSIONS = 64
+_E = [f"e{i}" for i in range(_DIMENSIONS)]
+
+
+def _named(pick: str) -> str:
+    cases = " ".join(f"WHEN {c} THEN '{c}'" for c in _E)
+    return f"CASE {pick}({', '.join(_E)}) {cases} END"
+
+
 @query(
     "cluster_profile",
-    """WITH p AS (SELECT label AS cluster, count(*) AS size, avg(embedding[1]) AS e0, avg(embedding[2]) AS e1,
-avg(embedding[3]) AS e2 FROM embeddings GROUP BY label)
-SELECT cluster, size, round(e0, 6) AS e0, round(e1, 6) AS e1, round(e2, 6) AS e2,
-CASE greatest(e0, e1, e2) WHEN e0 THEN 'e0' WHEN e1 THEN 'e1' ELSE 'e2' END AS best,
-CASE least(e0, e1, e2) WHEN e0 THEN 'e0' WHEN e1 THEN 'e1' ELSE 'e2' END AS worst FROM p""",
+    f"""WITH p AS (SELECT label AS cluster, count(*) AS size,
+{', '.join(f'avg(embedding[{i + 1}]) AS e{i}' for i in range(_DIMENSIONS))} FROM embeddings GROUP BY label)
+SELECT cluster, size, {', '.join(f'round({c}, 6) AS {c}' for c in _E)},
+{_named('greatest')} AS best, {_named('least')} AS worst FROM p""",
 )
 def _cluster_profile(spark, sf):
     e = table(spark, sf, "embeddings").select(
-        F.col("label").alias("cluster"),
-        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(3)],
+        F.col("label").alias("cluster"), *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(_E)]
     )
-    p = cluster_profile(e, "cluster", ["e0", "e1", "e2"])
-    return p.select("cluster", "size", r("e0", 6), r("e1", 6), r("e2", 6), "best", "worst")
+    p = cluster_profile(e, "cluster", _E)
+    return p.select("cluster", "size", *[r(c, 6) for c in _E], "best", "worst")
 
 
 @query(

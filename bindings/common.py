@@ -1,7 +1,7 @@
 """Registry, table access and the closing-points binding shared by the queries.
 
 A game is (user, ISO week of ts): its id is user * 100 + week, its home team the
-nation of that customer, its away team the nation of supplier (user + week) % 10.
+nation of that customer, its away team the nation of supplier (user + week) % suppliers.
 The period is the quarter of the day, the event number the event id, the home
 score the event's value and the away score ``k`` of its props.
 """
@@ -112,7 +112,8 @@ def with_teams(games: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer")
     supplier = table(spark, sf_dir, "supplier")
-    keyed = games.withColumn("away_key", (F.col("user_id") + F.col("week")) % 10)
+    suppliers = supplier.agg(F.count(F.lit(1)).alias("n")).scalar()
+    keyed = games.withColumn("away_key", (F.col("user_id") + F.col("week")) % suppliers)
     return star_join(
         keyed,
         [
@@ -166,7 +167,7 @@ game AS (
          hn.n_name AS home_team, an.n_name AS away_team
   FROM q3 JOIN fin ON q3.game_id = fin.game_id
   JOIN customer c ON c.c_custkey = q3.user_id JOIN nation hn ON hn.n_nationkey = c.c_nationkey
-  JOIN supplier s ON s.s_suppkey = (q3.user_id + q3.wk) % 10
+  JOIN supplier s ON s.s_suppkey = (q3.user_id + q3.wk) % (SELECT count(*) FROM supplier)
   JOIN nation an ON an.n_nationkey = s.s_nationkey
 )"""
 

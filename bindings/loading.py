@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bindings.common import EVENTS_CTE, events, in_folders, query, table
 from bindings.relational import LOG_CTE, UNIQUE_LINES, game_log, unique_lines
 from courtstats.operators.projection import conform
 from courtstats.operators.quality import health
 from courtstats.plans import builds
+from courtstats.plans.reports import missing_dates
 from courtstats.schemas import ALIASES, TABLE_DDL, table_schema
 from courtstats.session import materialize, new_folder
 from courtstats.sources import landing as L
@@ -149,11 +151,14 @@ def _create_and_reset_tables(spark, sf):
     "build_games",
     f"""WITH {LOG_CTE} SELECT CAST(h."GAME_ID" AS VARCHAR) AS game_id, DATE '2024-01-01' + CAST(h.wk AS INTEGER) AS game_date,
 CAST(h.user_id % 5 AS VARCHAR) || '2024' AS season_id, h."MATCHUP" AS matchup,
-CAST(CAST(h."PTS" AS BIGINT) AS INTEGER) AS home_pts, CAST(CAST(a."PTS" AS BIGINT) AS INTEGER) AS away_pts
+CAST(CAST(h."PTS" AS BIGINT) AS INTEGER) AS home_pts, CAST(CAST(a."PTS" AS BIGINT) AS INTEGER) AS away_pts,
+(SELECT CAST(n_nationkey AS BIGINT) FROM nation WHERE n_name = h."TEAM") AS home_team_id,
+(SELECT CAST(n_nationkey AS BIGINT) FROM nation WHERE n_name = a."TEAM") AS away_team_id
 FROM (SELECT * REPLACE (floor("PTS") AS "PTS") FROM log) h JOIN (SELECT * REPLACE (floor("PTS") AS "PTS") FROM log) a
 ON h."GAME_ID" = a."GAME_ID" WHERE contains(h."MATCHUP", 'vs.') AND contains(a."MATCHUP", '@')""",
 )
-def _build_games(spark, sf):
+@in_folders
+def _build_games(spark, sf, folder):
     nation = table(spark, sf, "nation").select(
         F.col("n_name").alias("TEAM"), F.col("n_nationkey").cast("long").alias("TEAM_ID")
     )
@@ -166,9 +171,14 @@ def _build_games(spark, sf):
         F.lit("W").alias("WL"),
         F.floor("PTS").alias("PTS"),
     )
-    kinds = [log.where(F.col("SEASON_ID").startswith(d)) for d in "01234"]
-    games = builds.build_games(kinds)
-    return games.select("game_id", "game_date", "season_id", "matchup", "home_pts", "away_pts")
+    # The log lands once, by season type; a payload is then one partition of it.
+    path = folder("game-log")
+    log.withColumn("kind", F.substring("SEASON_ID", 1, 1)).write.partitionBy("kind").parquet(path)
+    landed = spark.read.schema(StructType([*log.schema.fields]).add("kind", "string")).parquet(path)
+    games = builds.build_games([landed.where(F.col("kind") == d).drop("kind") for d in "01234"])
+    return games.select(
+        "game_id", "game_date", "season_id", "matchup", "home_pts", "away_pts", "home_team_id", "away_team_id"
+    )
 
 
 @query(
@@ -400,14 +410,17 @@ def _build_rotations(spark, sf):
     )
     both = [shifts.where(F.col("PERSON_ID") % 2 == side) for side in (0, 1)]
     rotations = builds.build_rotations(both)
-    once = rotations.groupBy("row_id").agg(F.count(F.lit(1)).cast("int").alias("ids"))
-    return rotations.join(once, "row_id").select(
+    once = rotations.groupBy("game_id", "row_id").agg(F.count(F.lit(1)).cast("int").alias("ids"))
+    return rotations.join(once, ["game_id", "row_id"]).select(
         "game_id", "player_id", "in_time_real", "out_time_real", "ids"
     )
 
 
 def _line_payloads(spark, sf):
-    """Both payload shapes: even games in camel case without overtimes, odd ones in upper case."""
+    """Both payload shapes, camel case for even users, upper case for odd ones, each with overtimes.
+
+    Camel case: the first, sixth and tenth overtime (periods 5, 10 and 14). Upper case: the first and fifth.
+    """
     sums = events(spark, sf).groupBy("user_id", "week").agg(
         *[
             F.sum(F.when(F.col("period") == q, F.floor("score_home"))).alias(f"q{q}")
@@ -418,11 +431,15 @@ def _line_payloads(spark, sf):
     camel = sums.where("user_id % 2 = 0").select(
         game.alias("gameId"), F.col("user_id").alias("teamId"),
         *[F.col(f"q{q}").alias(f"period{q}Score") for q in range(1, 5)],
+        F.lit(None).cast("int").alias("period5Score"),
+        F.nullif(F.col("week"), F.lit(2)).alias("period10Score"),
+        (F.col("week") + 1).alias("period14Score"),
     )
     upper = sums.where("user_id % 2 = 1").select(
         game.alias("GAME_ID"), F.col("user_id").alias("TEAM_ID"),
         *[F.col(f"q{q}").alias(f"PTS_QTR{q}") for q in range(1, 5)],
         F.nullif(F.col("week"), F.lit(1)).alias("PTS_OT1"),
+        (F.col("week") + 2).alias("PTS_OT5"),
     )
     return [camel, upper]
 
@@ -432,14 +449,19 @@ ls AS (SELECT CAST(game_id AS VARCHAR) AS g, user_id, wk,
        CAST(sum(floor(h)) FILTER (period = 1) AS INTEGER) AS q1, CAST(sum(floor(h)) FILTER (period = 2) AS INTEGER) AS q2,
        CAST(sum(floor(h)) FILTER (period = 3) AS INTEGER) AS q3, CAST(sum(floor(h)) FILTER (period = 4) AS INTEGER) AS q4
        FROM ev GROUP BY game_id, user_id, wk),
-ot AS (SELECT *, CAST(CASE WHEN user_id % 2 = 1 AND wk <> 1 THEN wk ELSE 0 END AS INTEGER) AS o1 FROM ls)"""
+ot AS (SELECT *, CAST(CASE WHEN user_id % 2 = 1 AND wk <> 1 THEN wk END AS INTEGER) AS o1,
+       CAST(CASE WHEN user_id % 2 = 1 THEN wk + 2 END AS INTEGER) AS o5,
+       CAST(CASE WHEN user_id % 2 = 0 AND wk <> 2 THEN wk END AS INTEGER) AS o6,
+       CAST(CASE WHEN user_id % 2 = 0 THEN wk + 1 END AS INTEGER) AS o10 FROM ls)"""
 
 
 @query(
     "build_line_scores",
     f"""WITH {_LINE_CTE} SELECT CAST(NULL AS VARCHAR) AS "GAME_DATE_EST", g AS "GAME_ID", user_id AS "TEAM_ID",
 CAST(NULL AS VARCHAR) AS "TEAM_ABBREVIATION", q1 AS "PTS_QTR1", q2 AS "PTS_QTR2", q3 AS "PTS_QTR3", q4 AS "PTS_QTR4",
-o1 AS "PTS_OT1", 0 AS "PTS_OT2", 0 AS "PTS_OT3", 0 AS "PTS_OT4", CAST(NULL AS INTEGER) AS "PTS" FROM ot""",
+coalesce(o1, 0) AS "PTS_OT1", 0 AS "PTS_OT2", 0 AS "PTS_OT3", 0 AS "PTS_OT4", coalesce(o5, 0) AS "PTS_OT5",
+coalesce(o6, 0) AS "PTS_OT6", 0 AS "PTS_OT7", 0 AS "PTS_OT8", 0 AS "PTS_OT9", coalesce(o10, 0) AS "PTS_OT10",
+CAST(NULL AS INTEGER) AS "PTS" FROM ot""",
 )
 def _build_line_scores(spark, sf):
     return builds.build_line_scores(_line_payloads(spark, sf))
@@ -447,11 +469,27 @@ def _build_line_scores(spark, sf):
 
 @query(
     "line_scores_long",
-    f"""WITH {_LINE_CTE} SELECT g AS "GAME_ID", user_id AS "TEAM_ID", p AS period, CASE p WHEN 1 THEN q1 WHEN 2 THEN q2
-WHEN 3 THEN q3 WHEN 4 THEN q4 WHEN 5 THEN o1 ELSE 0 END AS pts FROM ot CROSS JOIN range(1, 9) r(p)""",
+    f"""WITH {_LINE_CTE}, r AS (SELECT g, user_id, unnest([1, 2, 3, 4, 5, 9, 10, 14]) AS p,
+unnest([q1, q2, q3, q4, o1, o5, o6, o10]) AS pts FROM ot)
+SELECT g AS "GAME_ID", user_id AS "TEAM_ID", p AS period, pts FROM r WHERE p <= 4 OR pts IS NOT NULL""",
 )
 def _line_scores_long(spark, sf):
-    return builds.line_scores_long(builds.build_line_scores(_line_payloads(spark, sf)))
+    return builds.line_scores_long(_line_payloads(spark, sf)).select("GAME_ID", "TEAM_ID", "period", "pts")
+
+
+@query(
+    "line_score_dates_missing",
+    """SELECT CAST(o_orderdate AS DATE) AS game_date, count(*) AS games FROM orders
+WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 5 = 0)
+GROUP BY 1""",
+)
+def _line_score_dates_missing(spark, sf):
+    orders = table(spark, sf, "orders")
+    games = orders.select(F.to_date("o_orderdate").alias("game_date"))
+    scores = orders.where("o_orderkey % 5 = 0").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("GAME_DATE_EST")
+    )
+    return missing_dates(games, scores)
 
 
 @query(

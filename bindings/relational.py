@@ -442,7 +442,8 @@ def _matchup_join(spark, sf):
 mins_guarded, pts_scored, ast_allowed, tov_forced FROM d""",
 )
 def _defender_totals(spark, sf):
-    return reports.defender_totals(J.matchup_join(*matchup_tables(spark, sf)))
+    matchups, players, box_scores, teams = matchup_tables(spark, sf)
+    return reports.defender_totals(J.matchup_sides(matchups, box_scores), players, teams)
 
 
 @query(
@@ -666,6 +667,19 @@ def _sample_head(spark, sf):
     return O.sample_head(table(spark, sf, "orders"), 5)
 
 
+@query(
+    "sample_head_facts",
+    "SELECT least(count(*), 5) AS rows, true AS all_known FROM orders",
+)
+def _sample_head_facts(spark, sf):
+    orders = table(spark, sf, "orders")
+    head = O.sample_head(orders, 5)
+    known = head.join(orders.withColumn("known", F.lit(True)), orders.columns, "left")
+    return known.agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and(F.coalesce("known", F.lit(False))).alias("all_known")
+    )
+
+
 @query(
     "union_all",
     """SELECT c_custkey AS id, c_acctbal AS balance, c_mktsegment AS segment FROM customer
@@ -695,7 +709,7 @@ def _stack_sides(spark, sf):
 @query(
     "scoreboard",
     f"""WITH {LOG_CTE}, top AS (SELECT *, row_number() OVER (ORDER BY "GAME_ID" DESC, "MATCHUP") AS rn FROM log
-QUALIFY rn <= 11)
+WHERE "GAME_ID" IN (SELECT DISTINCT "GAME_ID" FROM log ORDER BY "GAME_ID" DESC LIMIT 11))
 SELECT "GAME_ID", count(*) AS rows, count(*) = 2 AS complete,
 CASE WHEN count(*) = 2 THEN any_value(wk) END AS "GAME_DATE_1", CASE WHEN count(*) = 2 THEN arg_min("MATCHUP", rn) END AS "MATCHUP_1",
 {sql_round('CASE WHEN count(*) = 2 THEN arg_min("PTS", rn) END', 2)} AS "PTS_1",

@@ -13,6 +13,8 @@ built from Column objects costs it hundreds. Arguments are SQL expressions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +45,23 @@ def power_sums(x: str, y: str, degree: int) -> Column:
     return F.expr(f"array({', '.join(cells)})")
 
 
+def collapsed_sums(degree: int) -> Column:
+    """The same array from points collapsed to (x, n, sy, syy) per distinct x."""
+    cells = [f"sum({' * '.join(['n'] + ['x'] * k)})" for k in range(2 * degree + 1)]
+    cells += [f"sum({' * '.join(['x'] * k + ['sy'])})" for k in range(degree + 1)]
+    cells.append("sum(syy)")
+    return F.expr(f"array({', '.join(cells)})")
+
+
+def shift_back(coef: str, degree: int, center: str, scale: str) -> Column:
+    """Coefficients in powers of x from those in powers of (x - center) / scale."""
+    rows = [[math.comb(k, j) for j in range(k + 1)] for k in range(degree + 1)]
+    table = "array(" + ", ".join("array(" + ", ".join(f"{c}D" for c in row) + ")" for row in rows) + ")"
+    term = f"cs[k] / pow({scale}, k) * {table}[k][j] * pow(-({center}), k - j)"
+    total = f"aggregate(sequence(j, size(cs) - 1), 0D, (acc, k) -> acc + {term})"
+    return F.expr(f"if({coef} is null, null, {_let('cs', coef, f'transform(cs, (c, j) -> {total})')})")
+
+
 def add_up(moments: str, degree: int, over: str = "") -> Column:
     """Element-wise sum of moment arrays; ``over`` makes it a window sum."""
     cells = [f"sum({moments}[{i}]){over}" for i in range(moments_size(degree))]

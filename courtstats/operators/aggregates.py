@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtstats.session import materialize
+
 
 def count_rows(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -76,49 +78,36 @@ def min_max(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(col).alias("min"), F.max(col).alias("max"))
 
 
-def exact_median(df: DataFrame, col: str, bracket_rows: int = 1_000_000) -> float | None:
-    """Exact median of a numeric column without sorting it in one place.
+def exact_median(df: DataFrame, col: str, name: str = "median", weight: str | None = None) -> DataFrame:
+    """Exact median of a numeric column: one row, null for a column without values.
+
+    ``weight`` names a column of whole numbers: how often a row counts.
 
-    Values are counted first. While more than ``bracket_rows`` distinct values
-    could hold the middle ranks, one pass takes approximate quantiles and another
-    counts the rows up to each, which narrows the interval about sixtyfold. Only
-    the last, bounded interval is ranked.
+    Values are counted, placed in ranges and stored. One row of totals per range tells which
+    ranges hold the middle ranks; only their values are ranked, each range by itself. Nothing but the totals, a
+    row per range, meets in one task.
     """
-    v, c = F.col("v"), F.col("c")
     values = (
-        df.select(F.col(col).cast("double").alias("v"))
-        .where(v.isNotNull())
+        df.select(F.col(col).cast("double").alias("v"), (F.col(weight).cast("long") if weight else F.lit(1)).alias("w"))
+        .where(F.col("v").isNotNull())
         .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .persist()
+        .agg(F.sum("w").alias("c"))
+    )
+    placed = materialize(values.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    upto, everything = Window.orderBy("part"), Window.partitionBy()
+    totals = placed.groupBy("part").agg(F.sum("c").alias("held")).select(
+        "part",
+        (F.sum("held").over(upto) - F.col("held")).alias("base"),
+        F.col("held"),
+        F.sum("held").over(everything).alias("total"),
     )
-    try:
-        total, size = values.agg(F.sum(c), F.count(F.lit(1))).first()
-        if not total:
-            return None
-        first, last = (total + 1) // 2, total // 2 + 1
-        inside, below = values, 0
-        while size > bracket_rows:
-            probes = [i / 64 for i in range(1, 64)]
-            cuts = sorted(set(inside.agg(F.percentile_approx(v, probes, 10_000)).first()[0]))
-            upto = inside.agg(*[F.sum(F.when(v <= cut, c)) for cut in cuts]).first()
-            counted = [(cut, below + n) for cut, n in zip(cuts, upto)]
-            under = [(cut, n) for cut, n in counted if n < first]
-            over = [cut for cut, n in counted if n >= last]
-            if under:
-                inside, below = inside.where(v > under[-1][0]), under[-1][1]
-            if over:
-                inside = inside.where(v <= over[0])
-            narrowed = inside.count()
-            if narrowed == size:
-                break
-            size = narrowed
-        ranked = inside.select("v", F.expr("sum(c) over (order by v)").alias("upto"))
-        ends = [F.min(F.when(F.col("upto") >= rank - below, v)) for rank in (first, last)]
-        low, high = ranked.agg(*ends).first()
-        return (low + high) / 2
-    finally:
-        values.unpersist()
+    first, last = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
+    middle = totals.where((F.col("base") < last) & (F.col("base") + F.col("held") >= first))
+    ranked = placed.join(middle, "part").withColumn(
+        "rank", F.col("base") + F.sum("c").over(Window.partitionBy("part").orderBy("v"))
+    )
+    ends = [F.min(F.when(F.col("rank") >= end, F.col("v"))) for end in (first, last)]
+    return ranked.agg(((ends[0] + ends[1]) / 2).alias(name))
 
 
 def members(df: DataFrame, group: str, member: str) -> DataFrame:
@@ -131,17 +120,13 @@ def members(df: DataFrame, group: str, member: str) -> DataFrame:
     return rows.join(sizes, group)
 
 
-def member_lists(df: DataFrame, group: str, member: str, max_members: int = 10_000) -> DataFrame:
+def member_lists(df: DataFrame, group: str, member: str) -> DataFrame:
     """One row per group with its sorted members as text.
 
-    For groups known to be small (teams in a cluster): a group above
-    ``max_members`` is an error, never cut; use :func:`members` for those.
+    The text of a group is one value, so it is for groups whose text a reader would read (teams in a
+    cluster); :func:`members` is the form for groups of any size.
     """
     rows = df.select(group, member).distinct()
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.agg(F.max("size")).first()[0] or 0
-    if largest > max_members:
-        raise ValueError(f"a group has {largest} members; use members() instead")
     return rows.groupBy(group).agg(
         F.array_join(F.sort_array(F.collect_list(member)), ", ").alias("members"),
         F.count(F.lit(1)).alias("size"),

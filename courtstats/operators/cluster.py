@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
@@ -35,20 +36,6 @@ def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataF
     ).drop("__stats")
 
 
-def _as_list(features: Sequence[str] | str) -> list[str]:
-    return [features] if isinstance(features, str) else list(features)
-
-
-def _feasible_k(points: DataFrame, k: int) -> int:
-    """``k``, or the number of distinct rows if that is smaller.
-
-    A bounded sample settles it for all but tiny or very repetitive inputs.
-    """
-    if points.limit(100 * k).distinct().count() >= k:
-        return k
-    return min(k, points.distinct().count())
-
-
 def kmeans(
     df: DataFrame,
     features: Sequence[str] | str,
@@ -60,14 +47,21 @@ def kmeans(
     """Cluster label per row, numbered by the order of the centres.
 
     ``features`` is a list of numeric columns or the name of one array column.
-    Labels come from the distributed k-means of Spark ML. With fewer distinct rows
-    than ``k``, each distinct row is its own cluster.
+    Labels come from the distributed k-means of Spark ML. With fewer distinct rows than ``k``, each
+    distinct row is its own cluster, and a warning says how many there are.
     """
+    if k < 1:
+        raise ValueError(f"k must be positive, not {k}")
     if isinstance(features, str):
         with_vector = df.withColumn("__features", array_to_vector(F.col(features).cast("array<double>")))
     else:
         with_vector = VectorAssembler(inputCols=list(features), outputCol="__features").transform(df)
-    k = _feasible_k(with_vector.select(*_as_list(features)), k)
+    # Spark's k-means fails on fewer places than clusters, so they are counted, exactly.
+    columns = [features] if isinstance(features, str) else list(features)
+    places = with_vector.select(*columns).distinct().limit(k).count()
+    if places < k:
+        warnings.warn(f"only {places} distinct rows for {k} clusters", stacklevel=2)
+        k = places
     if k < 2:
         return with_vector.withColumn(name, F.lit(0)).drop("__features")
     # Five seeding rounds gather far more than k candidates, so k centres always remain.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 
 from courtstats.functions.polynomial import (
     add_up,
+    collapsed_sums,
     error_sum,
     fit_ladder,
     horner,
     horner_array,
     mean_gap,
     power_sums,
+    shift_back,
     sigmoid,
     y_variation,
 )
@@ -33,22 +36,55 @@ def linear_fit(points: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> Dat
     )
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a null key meets a null key; the keys of ``left`` stay."""
+    renamed = right.withColumnsRenamed({k: f"__on_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__on_{k}"]) for k in keys])
+    return left.join(renamed, same).drop(*[f"__on_{k}" for k in keys])
+
+
 def moment_sums(
-    points: DataFrame, x: str, y: str, degree: int, by: Sequence[str] = (), center: float = 0.0
+    points: DataFrame,
+    x: str,
+    y: str,
+    degree: int,
+    by: Sequence[str] = (),
+    centre_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Column ``moments`` of power sums per group; rows lacking x or y are left out."""
-    shifted = F.col(x).cast("double")
-    if center:
-        shifted = shifted - F.lit(float(center))
-    xy = points.select(*by, shifted.alias("__x"), F.col(y).cast("double").alias("__y")).dropna(
-        subset=["__x", "__y"]
+    """Column ``moments`` of power sums per group, with ``centre`` and ``scale``.
+
+    The sums are those of (x - centre) / scale, with the mean and the deviation of x from a first small
+    aggregate: powers of columns far from zero would lose all digits. Sums that are to be
+    added up must share a centre, that of the coarser groups ``centre_by`` (default: the groups
+    themselves). Rows lacking x or y are left out.
+    """
+    outer = list(by if centre_by is None else centre_by)
+    xy = points.select(
+        *by, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")
+    ).dropna(subset=["__x", "__y"])
+    spread = F.stddev_pop("__x")
+    at = [F.avg("__x").alias("centre"), F.when(spread > 0, spread).otherwise(1.0).alias("scale")]
+    if outer:
+        placed = _null_safe_join(xy, xy.groupBy(*outer).agg(*at), outer)
+    else:
+        placed = xy.withColumn("__at", xy.agg(F.struct(*at).alias("at")).scalar()).select(
+            *xy.columns, "__at.centre", "__at.scale"
+        )
+    scaled = placed.withColumn("__x", (F.col("__x") - F.col("centre")) / F.col("scale"))
+    return scaled.groupBy(*by).agg(
+        power_sums("__x", "__y", degree).alias("moments"),
+        F.max("centre").alias("centre"),
+        F.max("scale").alias("scale"),
     )
-    return xy.groupBy(*by).agg(power_sums("__x", "__y", degree).alias("moments"))
 
 
 def roll_up(sums: DataFrame, degree: int, by: Sequence[str] = ()) -> DataFrame:
-    """Power sums of coarser groups from those of finer ones."""
-    return sums.groupBy(*by).agg(add_up("moments", degree).alias("moments"))
+    """Power sums of coarser groups from those of finer ones that share a centre."""
+    return sums.groupBy(*by).agg(
+        add_up("moments", degree).alias("moments"),
+        F.max("centre").alias("centre"),
+        F.max("scale").alias("scale"),
+    )
 
 
 def _point_count() -> Column:
@@ -60,13 +96,13 @@ def _r2(sse: str, degree: int) -> Column:
     return F.expr(f"if({variation} > 0, 1 - {sse} / {variation}, null)")
 
 
-def solve_sums(sums: DataFrame, degree: int, by: Sequence[str] = ()) -> DataFrame:
-    """Fit of one degree per row of power sums: n, coef (ascending), sse, r2."""
+def solve_sums(sums: DataFrame, degree: int, by: Sequence[str] = (), center: float = 0.0) -> DataFrame:
+    """Fit of one degree per row of power sums: n, coef (ascending in x - center), sse, r2."""
     fits = sums.withColumn("__fit", fit_ladder("moments", degree)[degree])
     return fits.select(
         *by,
         _point_count().alias("n"),
-        F.col("__fit.coef").alias("coef"),
+        shift_back("__fit.coef", degree, f"centre - {float(center)!r}D", "scale").alias("coef"),
         F.col("__fit.sse").alias("sse"),
         _r2("__fit.sse", degree).alias("r2"),
     )
@@ -77,30 +113,53 @@ def poly_fit(
 ) -> DataFrame:
     """Least-squares polynomial per group.
 
-    ``coef`` is ascending in powers of (x - center). Leads lie around zero, so the
-    default suits them; pass a typical x for columns that lie far from zero.
+    ``coef`` is ascending in powers of (x - center). The fit itself is centred on the group's own mean,
+    whatever ``center`` is; a center near the data keeps the coefficients small.
     """
-    return solve_sums(moment_sums(points, x, y, degree, by, center), degree, by)
+    return solve_sums(moment_sums(points, x, y, degree, by), degree, by, center)
 
 
-def refit_all_degrees(points: DataFrame, x: str, y: str, degrees: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
-    """Every degree fitted on all rows from one set of power sums, one row per degree."""
+def solve_all_degrees(
+    sums: DataFrame, degrees: Sequence[int], by: Sequence[str] = ()
+) -> DataFrame:
+    """Every degree solved from one set of power sums, one row per degree."""
     top = max(degrees)
-    sums = moment_sums(points, x, y, top, by)
     return (
-        sums.select(*by, "moments", F.explode(fit_ladder("moments", top)).alias("__fit"))
+        sums.select(*by, "moments", "centre", "scale", F.explode(fit_ladder("moments", top)).alias("__fit"))
         .where(F.col("__fit.degree").isin(*degrees))
         .select(
             *by,
             F.col("__fit.degree").alias("degree"),
             _point_count().alias("n"),
-            F.col("__fit.coef").alias("coef"),
+            shift_back("__fit.coef", top, "centre", "scale").alias("coef"),
             F.col("__fit.sse").alias("sse"),
             _r2("__fit.sse", top).alias("r2"),
         )
     )
 
 
+def refit_all_degrees(points: DataFrame, x: str, y: str, degrees: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
+    """Every degree fitted on all rows from one set of power sums, one row per degree."""
+    return solve_all_degrees(moment_sums(points, x, y, max(degrees), by), degrees, by)
+
+
+def refit_collapsed(collapsed: DataFrame, degrees: Sequence[int]) -> DataFrame:
+    """:func:`refit_all_degrees` over the whole table, from the rows of :func:`collapse`."""
+    n, x = F.col("n"), F.col("x")
+    mean = F.sum(n * x) / F.sum(n)
+    first = collapsed.agg(mean.alias("centre"), F.sum(n).alias("total")).select(F.struct("centre", "total").alias("at"))
+    offset = collapsed.withColumn("__at", first.scalar()).withColumn("x", x - F.col("__at.centre"))
+    width = F.sqrt(F.sum(n * x * x / F.col("__at.total")))
+    scale = offset.agg(F.when(width > 0, width).otherwise(1.0).alias("s")).scalar()
+    ready = offset.withColumn("scale", scale).withColumn("x", x / F.col("scale"))
+    sums = ready.groupBy().agg(
+        collapsed_sums(max(degrees)).alias("moments"),
+        F.max("__at.centre").alias("centre"),
+        F.max("scale").alias("scale"),
+    )
+    return solve_all_degrees(sums.where(F.col("moments")[0].isNotNull()), degrees)
+
+
 def with_expected(
     points: DataFrame,
     fit: DataFrame,
@@ -115,7 +174,7 @@ def with_expected(
     A league fit is one row and enters as a scalar subquery; group fits join on the group.
     """
     if by:
-        rows = points.join(fit.select(*by, F.col("coef").alias("__coef")), list(by))
+        rows = _null_safe_join(points, fit.select(*by, F.col("coef").alias("__coef")), list(by))
     else:
         rows = points.withColumn("__coef", fit.select("coef").scalar())
     at = f"(cast(`{x}` as double) - {float(center)!r}D)"
@@ -131,15 +190,15 @@ def residual_means(
 ) -> DataFrame:
     """Mean residual per group against a league-wide fit, with one pass over the points.
 
-    Residual means are linear in the sums: mean(y) - sum(coef_k * mean(x^k)). The
+    Residual means are linear in the sums: mean(y) - sum(coef_k * mean(z^k)). The
     groups' power sums add up to the league's, so nothing reads the points again.
     """
-    sums = moment_sums(points, x, y, degree, by)
+    sums = moment_sums(points, x, y, degree, by, league)
     fit = roll_up(sums, degree, league).select(
         *league, fit_ladder("moments", degree)[degree]["coef"].alias("__coef")
     )
     if league:
-        rows = sums.join(fit, list(league))
+        rows = _null_safe_join(sums, fit, list(league))
     else:
         rows = sums.withColumn("__coef", fit.select("__coef").scalar())
     return rows.select(
@@ -196,7 +255,7 @@ def cross_validate(
     cannot be fitted in some fold gets NULL scores.
     """
     top = max(degrees)
-    sums = moment_sums(folded, x, y, top, [*by, "fold"])
+    sums = moment_sums(folded, x, y, top, [*by, "fold"], by)
     # At most k rows per group reach this window.
     keys = ", ".join(f"`{c}`" for c in by) or "0"
     parts = sums.withColumn("total", add_up("moments", top, f" over (partition by {keys})"))
@@ -327,23 +386,9 @@ def _sigmoid_step(collapsed: DataFrame, trials: list[np.ndarray]):
     return out
 
 
-def sigmoid_fit(
-    points: DataFrame,
-    x: str,
-    y: str,
-    start: Sequence[float],
-    max_steps: int = 200,
-    tolerance: float = 1e-8,
-) -> DataFrame:
-    """Least-squares height / (1 + exp(-k (x - x0))) + base by damped Gauss-Newton.
-
-    Points are first collapsed to (x, n, sum y, sum y^2), which loses nothing for
-    a function of x. Every step is one Spark aggregate that tries several dampings
-    and brings back fifteen sums per trial. The result is one row; its
-    parameters are NULL when the steps do not converge.
-    """
-    spark = points.sparkSession
-    collapsed = (
+def collapse(points: DataFrame, x: str, y: str) -> DataFrame:
+    """Points as (x, n, sy, syy, low, high) per distinct x, which loses nothing for a function of x."""
+    return (
         points.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
         .dropna()
         .groupBy("x")
@@ -351,16 +396,42 @@ def sigmoid_fit(
             F.count(F.lit(1)).cast("double").alias("n"),
             F.sum("y").alias("sy"),
             F.sum(F.col("y") * F.col("y")).alias("syy"),
+            F.min("y").alias("low"),
+            F.max("y").alias("high"),
         )
-        .persist()
     )
+
+
+def sigmoid_fit(
+    points: DataFrame,
+    x: str,
+    y: str,
+    start: Sequence[float],
+    max_steps: int = 200,
+    tolerance: float = 1e-8,
+) -> DataFrame:
+    """Least-squares height / (1 + exp(-k (x - x0))) + base by damped Gauss-Newton."""
+    collapsed = collapse(points, x, y).persist()
     try:
-        n, sy, syy = collapsed.agg(F.sum("n"), F.sum("sy"), F.sum("syy")).first()
-        params, fitted = None, None
-        if n:
-            params, fitted = _descend(collapsed, np.array(start, dtype=float), max_steps, tolerance)
+        return sigmoid_fit_collapsed(collapsed, start, max_steps, tolerance)
     finally:
         collapsed.unpersist()
+
+
+def sigmoid_fit_collapsed(
+    collapsed: DataFrame, start: Sequence[float], max_steps: int = 200, tolerance: float = 1e-8
+) -> DataFrame:
+    """:func:`sigmoid_fit` on the rows of :func:`collapse`, which it reads once a step.
+
+    Every step is one Spark aggregate that tries several dampings
+    and brings back fifteen sums per trial. The result is one row; its
+    parameters are NULL when the steps do not converge.
+    """
+    spark = collapsed.sparkSession
+    n, sy, syy = collapsed.agg(F.sum("n"), F.sum("sy"), F.sum("syy")).first()
+    params, fitted = None, None
+    if n:
+        params, fitted = _descend(collapsed, np.array(start, dtype=float), max_steps, tolerance)
     schema = (
         "n long, height double, x0 double, k double, base double, sse double, r2 double, "
         "converged boolean"

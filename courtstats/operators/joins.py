@@ -57,43 +57,67 @@ def merge_facets(facets: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return out
 
 
-def matchup_join(
-    matchups: DataFrame,
-    players: DataFrame,
-    box_scores: DataFrame,
-    teams: DataFrame,
-    attacker: str | None = None,
+def one_player(players: DataFrame, player: str | int) -> int:
+    """Id of a player given by id or by a full name that only one player bears.
+
+    A name of several players is refused, as their rows would be added up.
+    """
+    if isinstance(player, int):
+        return player
+    found = [r[0] for r in players.where(F.col("full_name") == player).select("player_id").distinct().take(2)]
+    if len(found) != 1:
+        raise ValueError(f"{player!r} is the name of {'several players' if found else 'no player'}; give an id")
+    return found[0]
+
+
+def matchup_sides(
+    matchups: DataFrame, box_scores: DataFrame, attacker_id: int | None = None
 ) -> DataFrame:
-    """Matchups with both names, the defender's team, and teammates removed.
+    """Matchups with both team ids, teammates removed. Only numbers beside the game id.
 
-    A report on one attacker first cuts both fact tables, matchups and the attackers'
-    box scores, to that player, so only the player's games enter the shuffles.
+    A report on one attacker first cuts all three inputs: the matchups and the attackers' box scores
+    to that player, the defenders' box scores to the player's games.
     """
-    off = players.select(
-        F.col("player_id").alias("off_player_id"), F.col("full_name").alias("attacker")
-    )
-    if attacker is not None:
-        off = off.where(F.col("attacker") == attacker)
-    defenders = players.select(
-        F.col("player_id").alias("def_player_id"), F.col("full_name").alias("defender")
-    )
     stats = box_scores.select("game_id", "player_id", "team_id")
     off_team = stats.withColumnsRenamed({"player_id": "off_player_id", "team_id": "off_team_id"})
-    if attacker is not None:
-        off_team = off_team.join(off.select("off_player_id"), "off_player_id", "left_semi")
     def_team = stats.withColumnsRenamed({"player_id": "def_player_id", "team_id": "def_team_id"})
-    abbr = teams.select(F.col("team_id").alias("def_team_id"), F.col("abbreviation").alias("team"))
+    if attacker_id is not None:
+        matchups = matchups.where(F.col("off_player_id") == attacker_id)
+        off_team = off_team.where(F.col("off_player_id") == attacker_id)
+        def_team = def_team.join(off_team.select("game_id"), "game_id", "left_semi")
     return (
         matchups.drop("team_id")
-        .join(off, "off_player_id")
         .join(off_team, ["game_id", "off_player_id"])
         .join(def_team, ["game_id", "def_player_id"])
         .where(F.col("def_team_id") != F.col("off_team_id"))
-        .join(defenders, "def_player_id")
-        .join(abbr, "def_team_id")
     )
 
 
+def defender_names(rows: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+    """Adds the defender's name and team by their ids; the team id goes."""
+    names = players.select(
+        F.col("player_id").alias("def_player_id"), F.col("full_name").alias("defender")
+    )
+    abbr = teams.select(F.col("team_id").alias("def_team_id"), F.col("abbreviation").alias("team"))
+    return rows.join(names, "def_player_id").join(abbr, "def_team_id").drop("def_team_id")
+
+
+def matchup_join(
+    matchups: DataFrame,
+    players: DataFrame,
+    box_scores: DataFrame,
+    teams: DataFrame,
+    attacker: str | int | None = None,
+) -> DataFrame:
+    """Matchup rows with both names and the defender's team, teammates removed."""
+    chosen = None if attacker is None else one_player(players, attacker)
+    named = defender_names(matchup_sides(matchups, box_scores, chosen), players, teams)
+    off = players.select(
+        F.col("player_id").alias("off_player_id"), F.col("full_name").alias("attacker")
+    )
+    return named.join(off, "off_player_id")
+
+
 def missing_keys(target: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct target keys that ``done`` does not hold."""
     keys = list(keys)

@@ -16,7 +16,7 @@ from courtstats.sources.tables import scan_csv, write_csv
 
 def _clustered(features: DataFrame, cols: Sequence[str], k: int, seed: int) -> DataFrame:
     # One row per team; k-means reads it many times.
-    scaled = materialize(standardize(materialize(features), cols))
+    scaled = materialize(standardize(features, cols))
     return kmeans(scaled, [c + "_z" for c in cols], k, seed).drop(*[c + "_z" for c in cols])
 
 

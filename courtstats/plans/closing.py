@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,14 +94,15 @@ def closing_games(
 ) -> DataFrame:
     """Closing points (game_id, Team, Side, Q3_Lead, Final_Result) from the silver tables.
 
-    Events shrink to one row per game before they meet the games. When the event
-    table carries its season (as a partition column), the season filter prunes
-    the scan; otherwise it acts on the joined games.
+    Events shrink to one row per game before they meet the games. With seasons given, events of
+    other games are left out before they are aggregated: by the partition if the event
+    table is stored by season (:func:`builds.with_season`), and by a semi-join on the games in any case.
     """
     if season_ids is not None:
         games = games.where(F.col("season_id").isin(*season_ids))
         if "season_id" in play_by_play.columns:
             play_by_play = play_by_play.where(F.col("season_id").isin(*season_ids))
+        play_by_play = play_by_play.join(games.select("game_id"), "game_id", "left_semi")
     ends = period_end_scores(play_by_play, **options)
     joined = games.select("game_id", "home_team_id", "away_team_id").join(ends, "game_id")
     named = star_join(
@@ -170,7 +172,7 @@ def team_shapes(
     team: str = TEAM,
 ) -> DataFrame:
     """Fitted curve of each team with enough rows, beside the league's on the same grid."""
-    sums = fit.moment_sums(points, x, y, degree, [team])
+    sums = fit.moment_sums(points, x, y, degree, [team], [])
     league = fit.solve_sums(fit.roll_up(sums, degree), degree).select("coef")
     teams = fit.solve_sums(sums, degree, [team]).where(F.col("n") > more_than)
     both = teams.withColumn("league", league.scalar())
@@ -248,24 +250,43 @@ def tuning_curves(
 
 def sigmoid_start(points: DataFrame, x: str = X, y: str = Y) -> list[float]:
     """First guess for the sigmoid: range of y, median of x, 0.1, minimum of y."""
-    low, high = points.agg(F.min(y), F.max(y)).first()
-    return [float(high - low), exact_median(points, x), 0.1, float(low)]
+    return _start_of(fit.collapse(points, x, y))
 
 
-def model_comparison(points: DataFrame, x: str = X, y: str = Y) -> DataFrame:
-    """R2 of the linear, cubic and sigmoid models and the winner."""
-    # The three fits and the start values share one computed set of points.
-    shared = points.select(x, y).persist()
+def _start_of(collapsed: DataFrame) -> list[float]:
+    low, high = collapsed.agg(F.min("low"), F.max("high")).first()
+    if low is None:
+        return [0.0, 0.0, 0.1, 0.0]
+    middle = exact_median(collapsed, "x", weight="n").first()[0]
+    return [float(high - low), float(middle), 0.1, float(low)]
+
+
+def closing_sigmoid(points: DataFrame, x: str = X, y: str = Y) -> DataFrame:
+    """Sigmoid fit with its own first guess; the points are read once."""
+    with _collapsed(points, x, y) as rows:
+        return fit.sigmoid_fit_collapsed(rows, _start_of(rows))
+
+
+@contextmanager
+def _collapsed(points: DataFrame, x: str, y: str):
+    """One row per distinct lead, kept while several fits read it."""
+    rows = fit.collapse(points, x, y).persist()
     try:
-        closed = (
-            fit.refit_all_degrees(shared, x, y, [1, 3])
-            .select(F.when(F.col("degree") == 1, "Linear").otherwise("Polynomial").alias("model"), "r2")
-        ).collect()
-        sig = fit.sigmoid_fit(shared, x, y, sigmoid_start(shared, x, y)).first()
+        yield rows
     finally:
-        shared.unpersist()
+        rows.unpersist()
+
+
+_MODELS = {1: "Linear", 3: "Polynomial"}
+
+
+def model_comparison(points: DataFrame, x: str = X, y: str = Y) -> DataFrame:
+    """R2 of the linear, cubic and sigmoid models and the winner, from one pass over the points."""
+    with _collapsed(points, x, y) as collapsed:
+        closed = fit.refit_collapsed(collapsed, list(_MODELS)).select("degree", "r2").collect()
+        sig = fit.sigmoid_fit_collapsed(collapsed, _start_of(collapsed)).first()
     order = {"Linear": 1, "Polynomial": 2, "Sigmoid": 3}
-    rows = [(r["model"], order[r["model"]], r["r2"]) for r in closed]
+    rows = [(_MODELS[r["degree"]], order[_MODELS[r["degree"]]], r["r2"]) for r in closed]
     if sig["converged"]:
         rows.append(("Sigmoid", 3, sig["r2"]))
     scores = points.sparkSession.createDataFrame(rows, "model string, place int, r2 double")
@@ -274,19 +295,16 @@ def model_comparison(points: DataFrame, x: str = X, y: str = Y) -> DataFrame:
 
 
 def comparison_curves(points: DataFrame, grid: int = 200, x: str = X, y: str = Y) -> DataFrame:
-    """Linear, cubic and sigmoid curves over the observed range of x."""
-    shared = points.select(x, y).persist()
-    try:
-        low, high = shared.agg(F.min(x), F.max(x)).first()
-        polys = fit.refit_all_degrees(shared, x, y, [1, 3]).select("degree", "coef").collect()
-        sig = fit.sigmoid_fit(shared, x, y, sigmoid_start(shared, x, y))
-        spark = points.sparkSession
-        fits = spark.createDataFrame(
-            [("Linear" if r["degree"] == 1 else "Polynomial", r["coef"]) for r in polys],
-            "model string, coef array<double>",
-        )
-    finally:
-        shared.unpersist()
+    """Linear, cubic and sigmoid curves over the observed range of x; no points, no curves."""
+    spark = points.sparkSession
+    with _collapsed(points, x, y) as collapsed:
+        low, high = collapsed.agg(F.min("x"), F.max("x")).first()
+        polys = fit.refit_collapsed(collapsed, list(_MODELS)).select("degree", "coef").collect()
+        sig = fit.sigmoid_fit_collapsed(collapsed, _start_of(collapsed))
+    fits = spark.createDataFrame(
+        [(_MODELS[r["degree"]], r["coef"]) for r in polys], "model string, coef array<double>"
+    )
+    low, high = (low, high) if low is not None else (0.0, 0.0)
     curves = fit.curve_points(fits, float(low), float(high), grid, ["model"])
     xs = sig.where("converged").select(F.explode(fit.linspace(float(low), float(high), grid)).alias("x"))
     drawn = fit.sigmoid_values(xs, "x", sig, "y").select(F.lit("Sigmoid").alias("model"), "x", "y")

@@ -9,36 +9,37 @@ from pyspark.sql import functions as F
 
 from courtstats.functions.columns import format_number
 from courtstats.operators.aggregates import pair_by_key
-from courtstats.operators.joins import matchup_join, missing_keys
+from courtstats.operators.joins import defender_names, matchup_sides, missing_keys, one_player
 from courtstats.operators.ordering import top_k
 from courtstats.operators.projection import filter_not_null
 from courtstats.operators.quality import completeness, load_status
 from courtstats.operators.sets import union_all
 
 
-def defender_totals(joined: DataFrame) -> DataFrame:
-    """Totals per defender from :func:`matchup_join` rows.
+def defender_totals(joined: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+    """Totals per defender from :func:`matchup_sides` rows, named at the end.
 
     Defenders are told apart by id, so namesakes stay separate; a defender who
     changed teams shows the team of the latest game.
     """
-    # Per game first: that makes the distinct count a plain count, and leaves the
-    # text-valued buffer of max_by to the few rows of the second step.
-    per_game = joined.groupBy("def_player_id", "defender", "game_id").agg(
-        F.max("team").alias("team"),
+    # Numbers only until one row per defender is left: hash aggregates without sorts. Per game
+    # first, which makes the distinct count a plain count.
+    per_game = joined.groupBy("def_player_id", "game_id").agg(
+        F.max("def_team_id").alias("team_id"),
         F.sum("matchup_minutes").alias("mins"),
         F.sum("points_allowed").alias("pts"),
         F.sum("matchup_ast").alias("ast"),
         F.sum("matchup_tov").alias("tov"),
     )
-    return per_game.groupBy("def_player_id", "defender").agg(
-        F.max_by("team", "game_id").alias("team"),
+    totals = per_game.groupBy("def_player_id").agg(
+        F.max_by("team_id", "game_id").alias("def_team_id"),
         F.count(F.lit(1)).alias("games_faced"),
         F.sum("mins").alias("mins_guarded"),
         F.sum("pts").alias("pts_scored"),
         F.sum("ast").alias("ast_allowed"),
         F.sum("tov").alias("tov_forced"),
     )
+    return defender_names(totals, players, teams)
 
 
 def nemesis_report(
@@ -46,22 +47,24 @@ def nemesis_report(
     players: DataFrame,
     box_scores: DataFrame,
     teams: DataFrame,
-    attacker: str,
+    attacker: str | int,
     k: int = 10,
 ) -> DataFrame:
-    """The k opponents who guarded a player longest, with minutes as one-decimal text."""
-    totals = defender_totals(matchup_join(matchups, players, box_scores, teams, attacker))
+    """The k opponents who guarded a player longest, with minutes as one-decimal text.
+
+    ``attacker`` is an id, or a full name that one player only bears.
+    """
+    chosen = one_player(players, attacker)
+    totals = defender_totals(matchup_sides(matchups, box_scores, chosen), players, teams)
     first = top_k(totals, [F.col("mins_guarded").desc_nulls_last(), F.col("def_player_id")], k)
     return first.withColumn("mins_guarded", format_number(F.col("mins_guarded"), 1))
 
 
 def scoreboard(log: DataFrame, k: int = 10) -> DataFrame:
-    """The last k log rows bundled by game; games cut or short are marked incomplete."""
-    latest = top_k(
-        log.select("GAME_ID", "GAME_DATE", "MATCHUP", "PTS"),
-        [F.col("GAME_ID").desc(), F.col("MATCHUP")],
-        k,
-    )
+    """The last k games of a log, each with its rows bundled; a game short of a row is marked incomplete."""
+    rows = log.select("GAME_ID", "GAME_DATE", "MATCHUP", "PTS")
+    last = top_k(rows.select("GAME_ID").distinct(), [F.col("GAME_ID").desc()], k)
+    latest = rows.join(last, "GAME_ID", "left_semi")
     return pair_by_key(latest, "GAME_ID", "MATCHUP", ["GAME_DATE", "MATCHUP", "PTS"])
 
 
@@ -74,6 +77,13 @@ def completed_games(logs: Sequence[DataFrame]) -> DataFrame:
     return filter_not_null(union_all(list(logs)), "WL").select("GAME_ID").distinct()
 
 
+def missing_dates(games: DataFrame, line_scores: DataFrame) -> DataFrame:
+    """Dates of games without any line score, ascending, with the games of the date."""
+    dates = games.where(F.col("game_date").isNotNull()).groupBy("game_date").agg(F.count(F.lit(1)).alias("games"))
+    known = line_scores.select(F.to_date(F.substring("GAME_DATE_EST", 1, 10)).alias("game_date"))
+    return dates.join(known, "game_date", "left_anti").orderBy("game_date")
+
+
 def load_plan(logs: Sequence[DataFrame], done: DataFrame) -> DataFrame:
     """Finished games that are not loaded yet, ascending."""
     target = completed_games(logs)

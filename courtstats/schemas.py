@@ -8,16 +8,6 @@ from pyspark.sql.types import StructType
 # Ids of teams and players are LONG because the payloads carry 64-bit integers;
 # game ids are text because their leading zeros matter.
 
-_BOX_COUNTS = "pts INT, reb INT, ast INT, stl INT, blk INT, tov INT, pf INT"
-_SHOOTING = (
-    "fgm INT, fga INT, fg_pct DOUBLE, fg3m INT, fg3a INT, fg3_pct DOUBLE, "
-    "ftm INT, fta INT, ft_pct DOUBLE"
-)
-_ADVANCED = (
-    "off_rating DOUBLE, def_rating DOUBLE, net_rating DOUBLE, usg_pct DOUBLE, "
-    "pace DOUBLE, pie DOUBLE"
-)
-
 TABLE_DDL = {
     "teams": (
         "team_id LONG, abbreviation STRING, nickname STRING, city STRING, state STRING, "
@@ -34,7 +24,10 @@ TABLE_DDL = {
     ),
     "player_game_stats": (
         "game_id STRING, player_id LONG, team_id LONG, minutes STRING, "
-        f"{_BOX_COUNTS}, plus_minus DOUBLE, {_SHOOTING}, {_ADVANCED}"
+        "pts INT, reb INT, ast INT, stl INT, blk INT, tov INT, pf INT, plus_minus DOUBLE, "
+        "fgm INT, fga INT, fg_pct DOUBLE, fg3m INT, fg3a INT, fg3_pct DOUBLE, "
+        "ftm INT, fta INT, ft_pct DOUBLE, off_rating DOUBLE, def_rating DOUBLE, "
+        "net_rating DOUBLE, usg_pct DOUBLE, pace DOUBLE, pie DOUBLE"
     ),
     "play_by_play": (
         "game_id STRING, event_num INT, period INT, clock STRING, team_id LONG, "
@@ -61,8 +54,9 @@ TABLE_DDL = {
     ),
     "line_scores": (
         "GAME_DATE_EST STRING, GAME_ID STRING, TEAM_ID LONG, TEAM_ABBREVIATION STRING, "
-        "PTS_QTR1 INT, PTS_QTR2 INT, PTS_QTR3 INT, PTS_QTR4 INT, PTS_OT1 INT, PTS_OT2 INT, "
-        "PTS_OT3 INT, PTS_OT4 INT, PTS INT"
+        "PTS_QTR1 INT, PTS_QTR2 INT, PTS_QTR3 INT, PTS_QTR4 INT, "
+        "PTS_OT1 INT, PTS_OT2 INT, PTS_OT3 INT, PTS_OT4 INT, PTS_OT5 INT, "
+        "PTS_OT6 INT, PTS_OT7 INT, PTS_OT8 INT, PTS_OT9 INT, PTS_OT10 INT, PTS INT"
     ),
 }
 
@@ -74,7 +68,7 @@ TABLE_KEYS = {
     "play_by_play": ["game_id", "event_num"],
     "hustle_stats": ["game_id", "player_id"],
     "tracking_stats": ["game_id", "player_id"],
-    "game_rotations": ["row_id"],
+    "game_rotations": ["game_id", "row_id"],
     "player_matchups": ["game_id", "off_player_id", "def_player_id"],
     "line_scores": ["GAME_ID", "TEAM_ID"],
 }
@@ -175,11 +169,11 @@ LINE_SCORE_NAMES = {
     "period2Score": "PTS_QTR2",
     "period3Score": "PTS_QTR3",
     "period4Score": "PTS_QTR4",
-    "period5Score": "PTS_OT1",
-    "period6Score": "PTS_OT2",
-    "period7Score": "PTS_OT3",
     "score": "PTS",
 }
+#: Overtimes a source tells apart, and the names of their points where periods are numbered on.
+MAX_OVERTIMES = 10
+OVERTIME_NAMES = {f"period{4 + i}Score": f"PTS_OT{i}" for i in range(1, MAX_OVERTIMES + 1)}
 
 SEASON_TYPES = {"1": "preseason", "2": "regular", "4": "playoffs", "5": "playin"}
 
@@ -198,6 +192,12 @@ def table_schema(name: str) -> StructType:
     return StructType.fromDDL(TABLE_DDL[name])
 
 
+def line_score_schema(overtimes: int) -> StructType:
+    """The line-score table with the given number of overtime columns."""
+    late = {f"PTS_OT{i}" for i in range(overtimes + 1, MAX_OVERTIMES + 1)}
+    return StructType([f for f in table_schema("line_scores").fields if f.name not in late])
+
+
 def registry() -> dict[str, StructType]:
     """Every declared table with its schema."""
     return {name: table_schema(name) for name in TABLE_DDL}

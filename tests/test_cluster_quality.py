@@ -30,10 +30,13 @@ def test_kmeans_finds_separate_groups(spark):
 
 def test_kmeans_with_fewer_distinct_rows_than_clusters(spark):
     two = spark.createDataFrame([(1.0, 1.0)] * 3 + [(5.0, 5.0)] * 2, "a double, b double")
-    got = K.kmeans(two, ["a", "b"], 6).groupBy("cluster").count().collect()
+    with pytest.warns(UserWarning, match="only 2 distinct rows for 4"):
+        got = K.kmeans(two, ["a", "b"], 4).groupBy("cluster").count().collect()
     assert sorted((r["cluster"], r["count"]) for r in got) == [(0, 3), (1, 2)]
     one = two.where("a = 1")
-    assert {r.cluster for r in K.kmeans(one, ["a", "b"], 6).collect()} == {0}
+    assert {r.cluster for r in K.kmeans(one, ["a", "b"], 1).collect()} == {0}
+    with pytest.raises(ValueError, match="positive"):
+        K.kmeans(one, ["a", "b"], 0)
 
 
 def test_cluster_complexity(spark):

@@ -65,6 +65,24 @@ def test_mirrored_points_have_odd_fits_only(spark, cloud):
     assert abs(coef[0]) < 1e-9 and abs(coef[2]) < 1e-9 and abs(coef[1]) > 0.1
 
 
+def test_fits_far_from_zero_keep_their_digits(spark):
+    x = np.repeat(np.arange(1000.0, 1200.0), 2)
+    y = 50 + np.sin(x / 25) * 20 + np.tile([-1.0, 1.0], 200)
+    df = frame(spark, x, y, k=list(range(len(x))))
+    z = (x - x.mean()) / x.std()
+    for r in fit.refit_all_degrees(df, "x", "y", [1, 2, 3, 4, 5]).collect():
+        c = np.polyfit(z, y, r.degree)
+        assert r.sse == pytest.approx(((y - np.polyval(c, z)) ** 2).sum(), rel=1e-9)
+    at = fit.with_expected(df, fit.poly_fit(df, "x", "y", 5, center=1100.0), "x", "y", 5, center=1100.0)
+    c = np.polyfit(z, y, 5)
+    got = {r.k: r.expected for r in at.collect()}
+    assert [got[k] for k in range(400)] == pytest.approx(np.polyval(c, z), rel=1e-9)
+    grouped = df.withColumn("g", F.when(F.col("k") % 2 == 0, "a"))  # null is a group as well
+    assert fit.poly_fit(grouped, "x", "y", 5, ["g"]).where("coef IS NOT NULL").count() == 2
+    folds = fit.poly_cv(df, "x", "y", [5], 5, ["k"]).first()
+    assert folds.mse is not None and folds.folds == 5
+
+
 def test_residuals_and_their_means(spark, cloud):
     x, y = cloud
     group = [("a", "b", "c")[i % 3] for i in range(len(x))]

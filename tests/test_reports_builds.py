@@ -133,7 +133,12 @@ def test_build_line_scores_accepts_both_shapes(spark, rows):
     )
     got = builds.build_line_scores([camel, upper])
     assert rows(got, "GAME_ID", "PTS_QTR4", "PTS_OT1", "PTS_OT4", "PTS") == [("001", 23, 5, 0, 91), ("002", 4, 0, 0, 10)]
-    long = builds.line_scores_long(got)
+    late = camel.withColumn("period14Score", F.lit(3))
+    assert rows(builds.build_line_scores([late]), "PTS_OT1", "PTS_OT10") == [(5, 3)]
+    assert "PTS_OT2" not in builds.build_line_scores([camel], overtimes=1).columns
+    with pytest.raises(Exception, match="more overtimes"):
+        builds.build_line_scores([late], overtimes=4).collect()
+    long = builds.line_scores_long([camel, upper])
     assert long.where("GAME_ID = '001'").agg(F.sum("pts")).first()[0] == 91
 
 
