@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, read
+from .common import query, read, small_batches
 
 # --- Automaton --------------------------------------------------------------------------
 
@@ -246,9 +246,11 @@ class PieceCache:
             self.flat.extend(ids)
             self.offsets.append(len(self.flat))
         index = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-        offsets = np.array(self.offsets, np.int64)
-        counts = np.diff(offsets)[index]
-        return ragged(np.array(self.flat, np.uint32), offsets[index], counts), counts
+        # Views, given up on return: a lookup costs what its pieces cost, not what the cache holds.
+        offsets, flat = np.frombuffer(self.offsets, np.int64), np.frombuffer(self.flat, np.uint32)
+        starts = offsets[index]
+        counts = offsets[index + 1] - starts
+        return ragged(flat, starts, counts), counts
 
 
 def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -258,7 +260,7 @@ def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - (ends - counts), counts) + np.arange(total)]
 
 
-def text_blocks(texts: Iterable, size: int = 1 << 20) -> Iterator[list[str]]:
+def text_blocks(texts: Iterable, size: int = 1 << 19) -> Iterator[list[str]]:
     """Consecutive runs of texts of about ``size`` code points; a longer text is a run of its own.
 
     Texts may be strings or an Arrow column, of which only a run at a time becomes strings; null is empty.
@@ -355,7 +357,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] = ("doc
                     names=[*names, "ids", "pieces"],
                 )
 
-    made = source.mapInArrow(run, f"{fields}ids binary, pieces binary")
+    made = source.transform(small_batches).mapInArrow(run, f"{fields}ids binary, pieces binary")
     return made.withColumnsRenamed(dict(zip(names, keep)))
 
 
@@ -393,7 +395,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
                     [*rows.columns, pa.array(out, pa.binary())], names=[*names, "decoded"]
                 )
 
-    made = renamed.mapInArrow(run, f"{fields}, decoded binary")
+    made = renamed.transform(small_batches).mapInArrow(run, f"{fields}, decoded binary")
     return made.toDF(*df.columns, "decoded")
 
 

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +15,10 @@ ORACLES: dict[str, str] = {}
 #: Rows of a lookup table up to which it is sent to every task; above, it is shuffled.
 BROADCAST_ROWS = 200_000
 
+#: Rows of a batch that goes to Python, and the setting that says so.
+BATCH_ROWS = 512
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Declared schemas: a read then starts without an inference job.
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -57,8 +60,16 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(kept) if len(kept.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else kept
 
 
-def field(name: str, kind: T.DataType) -> T.StructField:
-    return T.StructField(name, kind, True)
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows, sent to Python in batches that suit long texts.
+
+    A batch is held as a whole on both sides. Spark's default of 10,000 rows means tens to hundreds of
+    megabytes of text; a session that states another number keeps it.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_SETTING)) == 10_000:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

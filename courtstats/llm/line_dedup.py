@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from courtstats.session import materialize
 
-from .common import query, read, small
+from .common import query, read, small, small_batches
 from .wordscan import BASE, Scan, mix, scans
 
 #: A boundary falls at one in so many lines, on average.
@@ -103,7 +103,7 @@ def spans(df: DataFrame, bits: int = 64) -> DataFrame:
                     names=["hash", "key", "version", "lo", "hi"],
                 )
 
-    return df.mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int")
+    return df.transform(small_batches).mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int")
 
 
 def _span_texts(df: DataFrame) -> DataFrame:
@@ -111,23 +111,22 @@ def _span_texts(df: DataFrame) -> DataFrame:
     kind = df.schema["key"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("hash", "key", "version", "lo", "hi", "body")}
-            size = 0
-            for row in batch.to_pylist():
-                lines = row["text"].split("\n")
-                for span in row["spans"]:
-                    body = "\n".join(lines[span["lo"] : span["hi"]])
-                    size += len(body)
-                    for name in ("hash", "lo", "hi"):
-                        out[name].append(span[name])
-                    out["key"].append(row["key"])
-                    out["version"].append(row["version"])
-                    out["body"].append(body)
-                if size > 1 << 23:
+        out: dict[str, list] = {c: [] for c in schema.names}
+        size = 0
+        for row in (r for b in batches for at in range(0, b.num_rows, 32) for r in b.slice(at, 32).to_pylist()):
+            lines = row["text"].split("\n")
+            for span in row["spans"]:
+                body = "\n".join(lines[span["lo"] : span["hi"]])
+                size += len(body)
+                for name in ("hash", "lo", "hi"):
+                    out[name].append(span[name])
+                out["key"].append(row["key"])
+                out["version"].append(row["version"])
+                out["body"].append(body)
+                if size > 1 << 21:
                     yield pa.RecordBatch.from_pydict(out, schema=schema)
                     out, size = {c: [] for c in out}, 0
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+        yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     schema = pa.schema(
@@ -136,7 +135,7 @@ def _span_texts(df: DataFrame) -> DataFrame:
             ("lo", pa.int32()), ("hi", pa.int32()), ("body", pa.string()),
         ]
     )
-    return df.mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int, body string")
+    return df.transform(small_batches).mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int, body string")
 
 
 def _later(found: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -210,7 +209,7 @@ def _cut(df: DataFrame, min_words: int, names: list[str], kinds: list[str]) -> D
         return "\n".join(kept), removed, removed_words
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 64) for b in batches for at in range(0, b.num_rows, 64)):
             texts, marks = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
             done = [cut(t, m) if t and m else (t, 0, 0) for t, m in zip(texts, marks)]
             yield pa.RecordBatch.from_arrays(
@@ -224,7 +223,7 @@ def _cut(df: DataFrame, min_words: int, names: list[str], kinds: list[str]) -> D
             )
 
     fields = ", ".join(f"{n} {k}" for n, k in zip(names, kinds))
-    return df.select(*names, "text", "spans").mapInArrow(
+    return df.select(*names, "text", "spans").transform(small_batches).mapInArrow(
         run, f"{fields}, text string, removed_lines long, removed_words long"
     )
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, read
+from .common import query, read, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "check", "gazetteer", "cue", "neighbours")
@@ -276,7 +276,7 @@ def fit(docs: DataFrame, text: str = "text") -> SpanModel:
 
     rows = (
         docs.select(text)
-        .mapInArrow(count, "pattern array<int>, n long")
+        .transform(small_batches).mapInArrow(count, "pattern array<int>, n long")
         .groupBy("pattern")
         .agg(F.sum("n").alias("n"))
         .orderBy("pattern")
@@ -323,7 +323,7 @@ def find(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "te
                 [batch.column("key"), pa.array(out, pa.list_(row))], names=["key", "spans"]
             )
 
-    return source.mapInArrow(
+    return source.transform(small_batches).mapInArrow(
         run, f"key {kind}, spans array<struct<kind:string,start:int,end:int,base:boolean>>"
     ).withColumnRenamed("key", key)
 
@@ -351,7 +351,7 @@ def mask(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
             yield batch.set_column(at, batch.schema.field(at), covered)
 
     at = docs.columns.index(text)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(small_batches).mapInArrow(run, docs.schema)
 
 
 @query("op5_private_spans")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import list_array
-from .common import query, read
+from .common import query, read, small_batches
 from .wordscan import Base, Scan, mix, owners, per_text, scans
 
 BUCKETS = 1 << 14
@@ -210,7 +210,7 @@ def _features_of(df: DataFrame, columns: list[str], meta: tuple[str, ...], bucke
                     names=[*columns, "index", "value"],
                 )
 
-    return df.mapInArrow(run, f"{kinds}, index array<int>, value array<double>")
+    return df.transform(small_batches).mapInArrow(run, f"{kinds}, index array<int>, value array<double>")
 
 
 def _meta(batch: pa.RecordBatch, meta: tuple[str, ...]) -> np.ndarray:
@@ -304,7 +304,7 @@ def score(
                     [*[rows.column(c) for c in names], pa.array(found)], names=[*names, "fm_score"]
                 )
 
-    return source.mapInArrow(run, f"{kinds}, fm_score double").withColumnsRenamed(dict(zip(names, keep)))
+    return source.transform(small_batches).mapInArrow(run, f"{kinds}, fm_score double").withColumnsRenamed(dict(zip(names, keep)))
 
 
 @query("op10_factorisation_machine")

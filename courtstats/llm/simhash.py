@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from courtstats.session import materialize
 
 from .bpe import text_blocks
-from .common import query, read, small
+from .common import query, read, small, small_batches
 from .components import components
 
 SHINGLE = 3
@@ -108,7 +108,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                     names=["key", "version", "fp"],
                 )
 
-    return source.mapInArrow(run, f"key {kind}, version long, fp long").withColumnRenamed("key", key)
+    return source.transform(small_batches).mapInArrow(run, f"key {kind}, version long, fp long").withColumnRenamed("key", key)
 
 
 # --- Trees ------------------------------------------------------------------------------
@@ -228,7 +228,7 @@ def links_within(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_
         .select("block", "value", "fp")
         .repartition("block", "value")
         .sortWithinPartitions("block", "value", "fp")
-        .mapInArrow(search, "a long, b long")
+        .transform(small_batches).mapInArrow(search, "a long, b long")
     )
     every_bit = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << i)) for i in range(64)])
     named = (

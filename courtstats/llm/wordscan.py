@@ -24,7 +24,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64, at least ``n`` of them."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         grown = np.full(size, base, np.uint64)
         grown[0] = 1
         have = _POWERS[base] = np.multiply.accumulate(grown)
@@ -146,7 +146,7 @@ class Base:
         self.n_repeat_words = per_text(np.cumsum(cover)[:-1] > 0, scan.word_at)
 
 
-def scans(texts: Iterable, size: int = 1 << 20) -> Iterator[tuple[int, Scan]]:
+def scans(texts: Iterable, size: int = 1 << 18) -> Iterator[tuple[int, Scan]]:
     """(number of texts, scan) for consecutive runs of texts of bounded size."""
     from .bpe import text_blocks
 
