@@ -39,7 +39,9 @@ def defender_totals(joined: DataFrame, players: DataFrame, teams: DataFrame) ->
         F.sum("ast").alias("ast_allowed"),
         F.sum("tov").alias("tov_forced"),
     )
-    return defender_names(totals, players, teams)
+    named = defender_names(totals, players, teams)
+    counts = ["games_faced", "mins_guarded", "pts_scored", "ast_allowed", "tov_forced"]
+    return named.select("def_player_id", "defender", "team", *counts)
 
 
 def nemesis_report(

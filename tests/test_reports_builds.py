@@ -33,8 +33,9 @@ def test_scoreboard_and_incomplete(log, rows):
     board = {r.GAME_ID: r for r in reports.scoreboard(log, 4).collect()}
     assert set(board) == {"001", "002", "003"}
     assert board["003"].complete and not board["002"].complete
-    # The fourth latest row is one side of game 001 only.
-    assert board["001"].rows == 1
+    # All rows of the last k games, whether or not the other games have two rows.
+    assert board["001"].rows == 2
+    assert [(r.GAME_ID, r.complete) for r in reports.scoreboard(log, 1).collect()] == [("003", True)]
     assert rows(reports.incomplete_games(log)) == [("002", 1)]
 
 
