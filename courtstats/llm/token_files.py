@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from courtstats.session import new_folder
 
 from .bpe import PieceCache, encode_block, text_blocks
-from .common import query, read
+from .common import query, read, small_batches
 
+#: Distinct pieces a worker keeps: about 200 bytes each.
+LIBRARY_PIECES = 600_000
 #: Id appended to every document by the query.
 END_ID = 2
 
@@ -113,29 +115,38 @@ _LIBRARY: dict[str, PieceCache] = {}
 
 
 def library_cache(path: str) -> PieceCache:
-    """Cache of pieces, filled by the tokenizers library itself.
+    """Cache of pieces, filled by the model of the tokenizers library.
 
-    The library cuts a text into pieces by the byte-level pattern and encodes each by itself, so a
-    distinct piece needs to be encoded once; strings of special tokens are ordinary text.
+    The library cuts a text into pieces by the byte-level pattern and merges each by itself, so a
+    distinct piece needs to be merged once; strings of special tokens are ordinary text. Only
+    tokenizers that do nothing else to a text are taken.
     """
     if path not in _LIBRARY:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        if tokenizer.normalizer is not None or not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
+            raise ValueError(f"{path} isn't a plain byte-level tokenizer")
+        model, letters = tokenizer.model, byte_letters()
         _LIBRARY[path] = PieceCache(
             lambda pieces: (
-                e.ids
-                for at in range(0, len(pieces), 4096)
-                for e in tokenizer.encode_batch_fast(
-                    [p.decode() for p in pieces[at : at + 4096]], add_special_tokens=False
-                )
-            )
+                [token.id for token in model.tokenize(p.decode("latin-1").translate(letters))] for p in pieces
+            ),
+            LIBRARY_PIECES,
         )
     return _LIBRARY[path]
 
 
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others take the characters from 256 on, in order.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 def write_token_files(
     df: DataFrame,
     folder: str,
@@ -165,7 +176,7 @@ def write_token_files(
         for batch in batches:
             keys = batch.column("key").to_pylist()
             at = 0
-            for block in text_blocks(batch.column("text").to_pylist()):
+            for block in text_blocks(batch.column("text")):
                 writer = writer or PartWriter(folder, part, dtype)
                 for ids, _ in encode_block(block, cache):
                     writer.add(keys[at], np.concatenate([ids, tail]))
@@ -176,7 +187,7 @@ def write_token_files(
                 {"part": [part], "docs": [len(writer.ends)], "ids": [writer.total]}
             )
 
-    totals = ordered.select("key", "text").mapInArrow(write, "part long, docs long, ids long").toPandas()
+    totals = ordered.select("key", "text").transform(small_batches).mapInArrow(write, "part long, docs long, ids long").toPandas()
     totals = totals.sort_values("part")
     bases = totals["ids"].cumsum() - totals["ids"]
     manifest = {
