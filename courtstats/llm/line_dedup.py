@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,6 +139,45 @@ def _span_texts(df: DataFrame) -> DataFrame:
     return df.transform(small_batches).mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int, body string")
 
 
+def _evidence(df: DataFrame, line_bits: int) -> DataFrame:
+    """(is_line, hash, body): the lines of all listed spans, once a text, and each span as the hashes of its lines.
+
+    Spans of one hash are equal byte by byte if they consist of the same line hashes and no line hash
+    stands for two lines. That takes a fraction of the bytes of the spans, which overlap.
+    """
+    schema = pa.schema([("is_line", pa.bool_()), ("hash", pa.int64()), ("body", pa.binary())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 64) for b in batches for at in range(0, b.num_rows, 64)):
+            lines_met: dict[bytes, bytes] = {}
+            kind, hashes, bodies = [], [], []
+            for text, marks in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+                digests: dict[int, bytes] = {}
+                for span in marks:
+                    for i in range(span["lo"], span["hi"]):
+                        if i not in digests:
+                            digest = xxhash.xxh64_intdigest(lines[i]) >> (64 - line_bits)
+                            digests[i] = digest.to_bytes(8, "little")
+                            if lines_met.setdefault(digests[i], lines[i]) != lines[i]:
+                                kind.append(True)
+                                hashes.append(int.from_bytes(digests[i], "little", signed=True))
+                                bodies.append(lines[i])
+                    kind.append(False)
+                    hashes.append(span["hash"])
+                    bodies.append(b"".join(digests[i] for i in range(span["lo"], span["hi"])))
+            for digest, line in lines_met.items():
+                kind.append(True)
+                hashes.append(int.from_bytes(digest, "little", signed=True))
+                bodies.append(line)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind, pa.bool_()), pa.array(hashes, pa.int64()), pa.array(bodies, pa.binary())],
+                schema=schema,
+            )
+
+    return df.transform(small_batches).mapInArrow(run, "is_line boolean, hash long, body binary")
+
+
 def _later(found: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
     """(all occurrences of what occurs at several places, those that aren't the first), by equal ``by``."""
     place = F.struct("key", "version", "lo")
@@ -162,26 +202,31 @@ def _per_text(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     return docs.join(listed, same, how).select(docs["*"], "spans")
 
 
-def repeated_spans(docs: DataFrame, bits: int = 64) -> DataFrame:
+def repeated_spans(docs: DataFrame, bits: int = 64, line_bits: int = 64) -> DataFrame:
     """(key, version, lo, hi) of all later occurrences of spans that are equal byte by byte."""
     found = materialize(spans(docs, bits))
-    shared, later = _later(found, ["hash"])
-    shared = materialize(shared)
-    bodies = _span_texts(_per_text(docs, shared.select("key", "version", "hash", "lo", "hi"), "inner"))
-    # Spans of a hash are equal if the smallest and the largest text among them are.
+    shared = materialize(_later(found, ["hash"])[0])
+    listed = _per_text(docs, shared.select("key", "version", "hash", "lo", "hi"), "inner")
+    # What stands behind a hash is the same everywhere if its smallest and its largest form are.
     unequal = small(
-        bodies.groupBy("hash")
+        _evidence(listed, line_bits)
+        .groupBy("is_line", "hash")
         .agg(F.min("body").alias("low"), F.max("body").alias("high"))
         .where("low <> high")
-        .select("hash")
+        .select("is_line", "hash")
     )
     later = shared.where(~F.col("first")).drop("first")
     columns = ["key", "version", "lo", "hi"]
     if not unequal.take(1):
         return later.select(*columns)
-    # Hashes that stand for several texts: grouped anew by the texts themselves.
-    _, exact = _later(bodies.join(unequal, "hash", "left_semi"), ["hash", "body"])
-    return later.join(unequal, "hash", "left_anti").select(*columns).union(exact.select(*columns))
+    # Hashes that stand for several texts: their spans are grouped anew by the texts themselves. If
+    # lines share a hash, that holds for all spans.
+    bodies = _span_texts(listed)
+    if unequal.where("is_line").take(1):
+        return _later(bodies, ["hash", "body"])[1].select(*columns)
+    wrong = unequal.select("hash")
+    _, exact = _later(bodies.join(wrong, "hash", "left_semi"), ["hash", "body"])
+    return later.join(wrong, "hash", "left_anti").select(*columns).union(exact.select(*columns))
 
 
 def _cut(df: DataFrame, min_words: int, names: list[str], kinds: list[str]) -> DataFrame:
@@ -235,6 +280,7 @@ def dedup_lines(
     keep: list[str] = (),
     min_words: int = MIN_WORDS,
     hash_bits: int = 64,
+    line_hash_bits: int = 64,
 ) -> DataFrame:
     """All rows, with later occurrences of repeated runs of lines cut out of the text.
 
@@ -253,7 +299,7 @@ def dedup_lines(
         F.col(text).alias("text"),
     )
     lean = docs.where(F.length("text") > 0).select("key", "version", "text")
-    marked = _per_text(docs, repeated_spans(lean, hash_bits), "left")
+    marked = _per_text(docs, repeated_spans(lean, hash_bits, line_hash_bits), "left")
     made = _cut(marked, min_words, names, kinds)
     return made.select(
         *[F.col(n).alias(c) for c, n in zip(passed, names)],

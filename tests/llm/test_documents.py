@@ -228,10 +228,10 @@ def cut_lines(rows, min_words=line_dedup.MIN_WORDS):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("bits", [64, 5])
-def test_lines_equal_brute_force(docs, samples, bits):
-    """With five bits nearly all spans share a hash, so only the byte comparison tells them apart."""
-    rows = line_dedup.dedup_lines(docs, keep=["source", "key"], hash_bits=bits).collect()
+@pytest.mark.parametrize("bits, line_bits", [(64, 64), (5, 64), (64, 4)])
+def test_lines_equal_brute_force(docs, samples, bits, line_bits):
+    """With few bits nearly all spans or lines share a hash, so only the byte comparison tells them apart."""
+    rows = line_dedup.dedup_lines(docs, keep=["source", "key"], hash_bits=bits, line_hash_bits=line_bits).collect()
     assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == cut_lines(samples)
     removed = [r for r in rows if r.removed_words]
     assert {r.doc_id for r in removed if r.doc_id and 400 <= r.doc_id < 406} == {401, 402, 403, 404, 405}
