@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtstats.session import materialize
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -54,10 +56,8 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     A larger one is returned without a hint, so the join shuffles both sides.
     """
-    from courtstats.session import materialize
-
     kept = materialize(df)
-    return F.broadcast(kept) if len(kept.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else kept
+    return F.broadcast(kept) if kept.count() <= rows else kept
 
 
 def small_batches(df: DataFrame) -> DataFrame:
