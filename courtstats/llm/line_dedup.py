@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,6 +108,28 @@ def spans(df: DataFrame, bits: int = 64) -> DataFrame:
     return df.transform(small_batches).mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int")
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """The same rows with ``text`` compressed: texts cross two shuffles, which is most of the disk used."""
+    at = df.columns.index("text")
+    kinds = ["binary" if f.name == "text" else f.dataType.simpleString() for f in df.schema.fields]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = (v.as_py() for v in batch.column(at))
+            small = [None if t is None else compress(t.encode("utf-8", "surrogatepass")) for t in texts]
+            yield batch.set_column(at, "text", pa.array(small, pa.binary()))
+
+    fields = ", ".join(f"{n} {k}" for n, k in zip(df.columns, kinds))
+    return df.transform(small_batches).mapInArrow(run, fields)
+
+
+def unpacked(value: bytes | None) -> str | None:
+    if value is None:
+        return None
+    return zstandard.ZstdDecompressor().decompress(value).decode("utf-8", "surrogatepass")
+
+
 def _span_texts(df: DataFrame) -> DataFrame:
     """(hash, key, version, lo, hi, body) of the spans listed with every text."""
     kind = df.schema["key"].dataType.simpleString()
@@ -115,7 +138,7 @@ def _span_texts(df: DataFrame) -> DataFrame:
         out: dict[str, list] = {c: [] for c in schema.names}
         size = 0
         for row in (r for b in batches for at in range(0, b.num_rows, 32) for r in b.slice(at, 32).to_pylist()):
-            lines = row["text"].split("\n")
+            lines = unpacked(row["text"]).split("\n")
             for span in row["spans"]:
                 body = "\n".join(lines[span["lo"] : span["hi"]])
                 size += len(body)
@@ -152,7 +175,7 @@ def _evidence(df: DataFrame, line_bits: int) -> DataFrame:
             lines_met: dict[bytes, bytes] = {}
             kind, hashes, bodies = [], [], []
             for text, marks in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+                lines = unpacked(text).encode("utf-8", "surrogatepass").split(b"\n")
                 digests: dict[int, bytes] = {}
                 for span in marks:
                     for i in range(span["lo"], span["hi"]):
@@ -206,7 +229,7 @@ def repeated_spans(docs: DataFrame, bits: int = 64, line_bits: int = 64) -> Data
     """(key, version, lo, hi) of all later occurrences of spans that are equal byte by byte."""
     found = materialize(spans(docs, bits))
     shared = materialize(_later(found, ["hash"])[0])
-    listed = _per_text(docs, shared.select("key", "version", "hash", "lo", "hi"), "inner")
+    listed = _per_text(packed(docs), shared.select("key", "version", "hash", "lo", "hi"), "inner")
     # What stands behind a hash is the same everywhere if its smallest and its largest form are.
     unequal = small(
         _evidence(listed, line_bits)
@@ -255,7 +278,8 @@ def _cut(df: DataFrame, min_words: int, names: list[str], kinds: list[str]) -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 64) for b in batches for at in range(0, b.num_rows, 64)):
-            texts, marks = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+            texts = list(map(unpacked, batch.column("text").to_pylist()))
+            marks = batch.column("spans").to_pylist()
             done = [cut(t, m) if t and m else (t, 0, 0) for t, m in zip(texts, marks)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -299,7 +323,7 @@ def dedup_lines(
         F.col(text).alias("text"),
     )
     lean = docs.where(F.length("text") > 0).select("key", "version", "text")
-    marked = _per_text(docs, repeated_spans(lean, hash_bits, line_hash_bits), "left")
+    marked = _per_text(packed(docs), repeated_spans(lean, hash_bits, line_hash_bits), "left")
     made = _cut(marked, min_words, names, kinds)
     return made.select(
         *[F.col(n).alias(c) for c, n in zip(passed, names)],
