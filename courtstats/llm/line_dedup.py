@@ -3,10 +3,16 @@
 A line break is a chunk boundary where a rolling hash over the hashes of the last two lines says so, and
 around every line of ``LONG_LINE`` words or more. Boundaries depend on nearby lines only, so text inserted
 earlier doesn't shift them. A passage rarely begins and ends at boundaries of its host; so each chunk is also taken
-together with the nearest lines of the chunk before and after it, one more line at a time. All these spans are
-runs of whole lines; their hashes are counted over the whole corpus, and spans that share a hash are compared
-byte by byte. The first occurrence (by document id, then line) stays, lines of later ones are
-marked, and runs of marked lines that hold ``MIN_WORDS`` words or more are removed.
+together with the nearest lines of the chunk before and after it, one more line at a time.
+
+Chunks find what repeats in parts, but a passage with few boundaries inside may hold none of these spans. So
+each line also starts the shortest window of ``MIN_WORDS`` words and ends the shortest one, wherever the
+boundaries are. A repeated passage of so many words consists of windows that lie in it: from its first
+line on, up to its last line, and a line too far from neither end is in the window of the first line.
+
+All these spans are runs of whole lines; their hashes are counted over the whole corpus, and spans that share
+a hash are compared byte by byte. The first occurrence (by document id, then line) stays, lines of later ones
+are marked, also if they overlap the first, and runs of marked lines that hold ``MIN_WORDS`` words or more are removed.
 """
 
 from __future__ import annotations
@@ -54,8 +60,24 @@ def chunk_spans(boundary: list[bool]) -> Iterator[tuple[int, int]]:
                 yield lo, b
 
 
-def text_spans(scan: Scan, bits: int = 64) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, first lines, end lines, hashes) of the spans of every text that count."""
+def line_windows(total: np.ndarray, line_at: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per line: end of the shortest window of ``min_words`` words that starts there, start of that which ends there.
+
+    ``total``: words before every line and behind the last; ``line_at``: first line of every text and
+    the end. A window that would leave its text is -1.
+    """
+    least, sizes = max(1, min_words), np.diff(line_at)
+    ends = np.searchsorted(total, total[:-1] + least, "left")
+    starts = np.searchsorted(total, total[1:] - least, "right") - 1
+    ends[ends > np.repeat(line_at[1:], sizes)] = -1
+    starts[starts < np.repeat(line_at[:-1], sizes)] = -1
+    return ends, starts
+
+
+def text_spans(
+    scan: Scan, bits: int = 64, min_words: int = MIN_WORDS
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, first lines, end lines, hashes) of the spans of every text that count, each once."""
     line_hash = scan.hashes(scan.line_start, scan.line_end)
     words = np.searchsorted(scan.word_start, scan.line_end) - np.searchsorted(scan.word_start, scan.line_start)
     before = np.zeros_like(line_hash)
@@ -68,18 +90,23 @@ def text_spans(scan: Scan, bits: int = 64) -> Iterator[tuple[int, np.ndarray, np
     boundary[:-1] |= long[1:]
     total = np.concatenate([[0], np.cumsum(words)])
     wordy = np.concatenate([[0], np.cumsum(words > 0)])
+    ends, starts = line_windows(total, scan.line_at, min_words)
     for text, (a, b) in enumerate(zip(scan.line_at[:-1].tolist(), scan.line_at[1:].tolist())):
         flat = np.array(list(chunk_spans(boundary[a:b].tolist())), np.int64).reshape(-1, 2)
         lo, hi = flat[:, 0] + a, flat[:, 1] + a
         held = total[hi] - total[lo]
         counts = np.where(wordy[hi] - wordy[lo] > 1, held >= SPAN_WORDS, held >= LONG_LINE)
-        lo, hi = lo[counts], hi[counts]
+        here = np.arange(a, b)
+        ahead, back = ends[a:b] >= 0, starts[a:b] >= 0
+        lo = np.concatenate([lo[counts], here[ahead], starts[a:b][back]])
+        hi = np.concatenate([hi[counts], ends[a:b][ahead], here[back] + 1])
+        lo, hi = np.divmod(np.unique(lo * (b + 1) + hi), b + 1)
         if len(lo):
             found = scan.hashes(scan.line_start[lo], scan.line_end[hi - 1]) >> np.uint64(64 - bits)
             yield text, lo - a, hi - a, found
 
 
-def spans(df: DataFrame, bits: int = 64) -> DataFrame:
+def spans(df: DataFrame, bits: int = 64, min_words: int = MIN_WORDS) -> DataFrame:
     """(hash, key, version, lo, hi) of all spans of rows (key, version, text)."""
     kind = df.schema["key"].dataType.simpleString()
 
@@ -89,7 +116,7 @@ def spans(df: DataFrame, bits: int = 64) -> DataFrame:
             for n, scan in scans(batch.column("text")):
                 rows = batch.slice(at, n)
                 at += n
-                found = list(text_spans(scan, bits))
+                found = list(text_spans(scan, bits, min_words))
                 if not found:
                     continue
                 owner = pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]))
@@ -166,7 +193,8 @@ def _evidence(df: DataFrame, line_bits: int) -> DataFrame:
     """(is_line, hash, body): the lines of all listed spans, once a text, and each span as the hashes of its lines.
 
     Spans of one hash are equal byte by byte if they consist of the same line hashes and no line hash
-    stands for two lines. That takes a fraction of the bytes of the spans, which overlap.
+    stands for two lines. That takes a fraction of the bytes of the spans, which overlap. Equal lines
+    in a row are stated once, with their number: spans across many blank lines stay short.
     """
     schema = pa.schema([("is_line", pa.bool_()), ("hash", pa.int64()), ("body", pa.binary())])
 
@@ -177,8 +205,12 @@ def _evidence(df: DataFrame, line_bits: int) -> DataFrame:
             for text, marks in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 lines = unpacked(text).encode("utf-8", "surrogatepass").split(b"\n")
                 digests: dict[int, bytes] = {}
+                stop = [0] * len(lines)  # end of the run of equal lines
+                for i in range(len(lines) - 1, -1, -1):
+                    stop[i] = stop[i + 1] if i + 1 < len(lines) and lines[i] == lines[i + 1] else i + 1
                 for span in marks:
-                    for i in range(span["lo"], span["hi"]):
+                    i, runs = span["lo"], []
+                    while i < span["hi"]:
                         if i not in digests:
                             digest = xxhash.xxh64_intdigest(lines[i]) >> (64 - line_bits)
                             digests[i] = digest.to_bytes(8, "little")
@@ -186,9 +218,12 @@ def _evidence(df: DataFrame, line_bits: int) -> DataFrame:
                                 kind.append(True)
                                 hashes.append(int.from_bytes(digests[i], "little", signed=True))
                                 bodies.append(lines[i])
+                        end = min(stop[i], span["hi"])
+                        runs += [digests[i], (end - i).to_bytes(4, "little")]
+                        i = end
                     kind.append(False)
                     hashes.append(span["hash"])
-                    bodies.append(b"".join(digests[i] for i in range(span["lo"], span["hi"])))
+                    bodies.append(b"".join(runs))
             for digest, line in lines_met.items():
                 kind.append(True)
                 hashes.append(int.from_bytes(digest, "little", signed=True))
@@ -225,9 +260,11 @@ def _per_text(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     return docs.join(listed, same, how).select(docs["*"], "spans")
 
 
-def repeated_spans(docs: DataFrame, bits: int = 64, line_bits: int = 64) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, bits: int = 64, line_bits: int = 64, min_words: int = MIN_WORDS
+) -> DataFrame:
     """(key, version, lo, hi) of all later occurrences of spans that are equal byte by byte."""
-    found = materialize(spans(docs, bits))
+    found = materialize(spans(docs, bits, min_words))
     shared = materialize(_later(found, ["hash"])[0])
     listed = _per_text(packed(docs), shared.select("key", "version", "hash", "lo", "hi"), "inner")
     # What stands behind a hash is the same everywhere if its smallest and its largest form are.
@@ -323,7 +360,7 @@ def dedup_lines(
         F.col(text).alias("text"),
     )
     lean = docs.where(F.length("text") > 0).select("key", "version", "text")
-    marked = _per_text(packed(docs), repeated_spans(lean, hash_bits, line_hash_bits), "left")
+    marked = _per_text(packed(docs), repeated_spans(lean, hash_bits, line_hash_bits, min_words), "left")
     made = _cut(marked, min_words, names, kinds)
     return made.select(
         *[F.col(n).alias(c) for c, n in zip(passed, names)],

@@ -238,6 +238,60 @@ def test_lines_equal_brute_force(docs, samples, bits, line_bits):
     assert all(r.source == "s" for r in rows)
 
 
+def cut_maximal_runs(rows, min_words=line_dedup.MIN_WORDS):
+    """Without spans: every longest run of lines that equals an earlier one and holds the words is cut."""
+    lines = [(key, at, line) for key, t in sorted(rows) for at, line in enumerate(t.split("\n"))]
+    places = collections.defaultdict(list)
+    for n, (_, _, line) in enumerate(lines):
+        places[line].append(n)
+    gone = set()
+    for same in places.values():
+        for q in same:
+            for p in same[: same.index(q)]:
+                if lines[p][1] and lines[q][1] and lines[p - 1][2] == lines[q - 1][2]:
+                    continue  # not the first line of the run
+                n = 0
+                while q + n < len(lines) and lines[p + n][2] == lines[q + n][2]:
+                    if n and not (lines[p + n][1] and lines[q + n][1]):
+                        break
+                    n += 1
+                if sum(len(WORD.findall(lines[q + i][2])) for i in range(n)) >= min_words:
+                    gone.update(range(q, q + n))
+    kept = {key: [] for key, _ in rows}
+    for n, (key, _, line) in enumerate(lines):
+        if n not in gone:
+            kept[key].append(line)
+    return {key: "\n".join(left) for key, left in kept.items()}
+
+
+@pytest.mark.parametrize("min_words", [50, 7])
+def test_every_passage_of_short_lines_is_found(frame, min_words):
+    """Passages at random places of random hosts, most with few or no boundaries inside."""
+    rng = random.Random(8)
+
+    def line(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    def some(n):
+        return [line(rng.randint(1, 14)) for _ in range(n)]
+
+    rows = []
+    shapes = [[12] * 5, [10] * 6, [8] * 8, [12] * 10, [6] * 20, [1] * 55, [15, 0, 0, 15, 0, 14, 6], [0, 49, 1, 0], [49]]
+    for nr, shape in enumerate(shapes * 4):
+        passage = [line(n) for n in shape]
+        for host in range(2):
+            rows.append((10 * nr + host, "\n".join(some(rng.randint(0, 6)) + passage + some(rng.randint(0, 6)))))
+        rows.append((10 * nr + 2, "\n".join(passage[1:])))
+    rows += [(901, "x y z\n" * 40), (902, "x y z\n" * 30), (903, "u v w\np q\n" * 30)]
+    expected = cut_maximal_runs(rows, min_words)
+    assert sum(expected[k] != t for k, t in rows) > len(shapes) * 4
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(rows), min_words=min_words).collect()}
+    if min_words == line_dedup.MIN_WORDS:
+        assert got == expected
+    else:  # chunks of ten words or more are spans too, whatever the minimum of a run
+        assert all(len(got[k]) <= len(t) for k, t in expected.items())
+
+
 def test_boundaries_resist_shifts():
     rng = random.Random(6)
     lines = [" ".join(rng.choice("abcdefg") * rng.randint(1, 4) for _ in range(5)) for _ in range(400)]
