@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -118,8 +119,8 @@ def library_cache(path: str) -> PieceCache:
     """Cache of pieces, filled by the model of the tokenizers library.
 
     The library cuts a text into pieces by the byte-level pattern and merges each by itself, so a
-    distinct piece needs to be merged once; strings of special tokens are ordinary text. Only
-    tokenizers that do nothing else to a text are taken.
+    distinct piece needs to be merged once. Only tokenizers that do nothing else to a text are taken.
+    Pieces know nothing of added tokens: :func:`encode_texts` cuts texts at these first.
     """
     if path not in _LIBRARY:
         from tokenizers import Tokenizer, pre_tokenizers
@@ -137,6 +138,64 @@ def library_cache(path: str) -> PieceCache:
     return _LIBRARY[path]
 
 
+class AddedTokens:
+    """The added tokens of a tokenizers file: strings that become one id wherever they occur in a text.
+
+    Of several at one place the longest counts. ``pattern`` is None if a token has options (whole words,
+    white space around it) or tokens are sought in two passes; then the library encodes the texts that hold one.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        tokens = self.tokenizer.get_added_tokens_decoder()
+        self.ids = {t.content: i for i, t in tokens.items() if t.content}
+        odd = any(t.single_word or t.lstrip or t.rstrip for t in tokens.values())
+        longest = sorted(self.ids, key=len, reverse=True)
+        plain = not odd and len({t.normalized for t in tokens.values()}) == 1
+        self.pattern = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if plain else None
+
+    def met(self, text: str) -> bool:
+        return any(content in text for content in self.ids)
+
+
+_ADDED: dict[str, AddedTokens] = {}
+
+
+def encode_texts(texts: list[str], path: str) -> Iterator[np.ndarray]:
+    """Ids of every text, as the library as loaded from ``path`` gives them without its special tokens around.
+
+    Texts without an added token, and what lies between added tokens, are encoded by pieces.
+    """
+    if path not in _ADDED:
+        _ADDED[path] = AddedTokens(path)
+    cache, added = library_cache(path), _ADDED[path]
+    parts: list[str] = []  # ordinary strings of all texts
+    plans: list[list[int | None]] = []  # per text: None for the next string, or the id of a token
+    whole: dict[int, list[int]] = {}
+    for n, text in enumerate(texts):
+        plan: list[int | None] = [None]
+        if not added.met(text):
+            parts.append(text)
+        elif added.pattern is None:
+            plan, whole[n] = [], added.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            # Even places hold the strings between tokens, odd ones the tokens.
+            cut = added.pattern.split(text)
+            parts += cut[::2]
+            plan = [None if k % 2 == 0 else added.ids[piece] for k, piece in enumerate(cut)]
+        plans.append(plan)
+    coded = (ids for ids, _ in encode_block(parts, cache))
+    for n, plan in enumerate(plans):
+        if n in whole:
+            yield np.array(whole[n], np.uint32)
+        elif len(plan) == 1:
+            yield next(coded)
+        else:
+            yield np.concatenate([next(coded) if i is None else np.array([i], np.uint32) for i in plan])
+
+
 def byte_letters() -> dict[int, str]:
     """The character that stands for each byte in a byte-level vocabulary.
 
@@ -158,6 +217,7 @@ def write_token_files(
 ) -> dict:
     """Encode all texts with a tokenizers file and write them in ascending order of the key.
 
+    Ids are those of the library with its default settings: an added token in a text is its one id.
     Returns what ``parts.json`` holds: the element type, and per part its number, documents, ids
     and base. Null and empty texts become documents without ids (but for ``end_id``). Null keys come
     first; ties are ordered by checksum and length of the text, equal rows stay as several
@@ -172,13 +232,13 @@ def write_token_files(
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        cache, writer = library_cache(path), None
+        writer = None
         for batch in batches:
             keys = batch.column("key").to_pylist()
             at = 0
             for block in text_blocks(batch.column("text")):
                 writer = writer or PartWriter(folder, part, dtype)
-                for ids, _ in encode_block(block, cache):
+                for ids in encode_texts(block, path):
                     writer.add(keys[at], np.concatenate([ids, tail]))
                     at += 1
         if writer:

@@ -121,3 +121,38 @@ def test_token_files(docs, samples, library, spark):
     before = token_files.read_token_files(spark, folder).orderBy("start").collect()
     token_files.write_token_files(docs, folder, token_files.library_path())
     assert token_files.read_token_files(spark, folder).orderBy("start").collect() == before
+
+
+def test_added_tokens_are_one_id(spark, tmp_path):
+    """Against the library with its default settings, for the given file and for files with other tokens."""
+    default = Tokenizer.from_file(token_files.library_path())
+    end = "<|endoftext|>"
+    values = [f"a {end} b", end, end + end, f"{end} x\n{end}", end[:-1], end[1:] + end, f"it'{end}s", "", " ", f"é {end}  "]
+    values += texts() + [t + end + t[:7] for t in texts()[:200]]
+    expected = [e.ids for e in default.encode_batch(values, add_special_tokens=False)]
+    assert expected[0] == [64, 220, 50256, 275]
+    got = [i.tolist() for b in bpe.text_blocks(values, 5000) for i in token_files.encode_texts(b, token_files.library_path())]
+    assert got == expected
+    with open(token_files.library_path()) as source:
+        plain = json.load(source)
+    token = plain["added_tokens"][0]
+    more = [token | {"id": 50257, "content": "<|end"}, token | {"id": 50258, "content": "ab", "special": False}]
+    for nr, change in enumerate(({}, {"lstrip": True, "rstrip": True}, {"single_word": True}, {"normalized": True})):
+        path = str(tmp_path / f"{nr}.json")
+        with open(path, "w") as out:
+            json.dump(plain | {"added_tokens": [token, more[0], more[1] | change]}, out)
+        tried = [*values, "ab", " ab ab", "xab ab.", f"ab{end}ab", "<|end|ab"]
+        wanted = [e.ids for e in Tokenizer.from_file(path).encode_batch(tried, add_special_tokens=False)]
+        assert [i.tolist() for i in token_files.encode_texts(tried, path)] == wanted
+
+
+def test_token_files_with_an_added_token(spark):
+    default = Tokenizer.from_file(token_files.library_path())
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "plain")]
+    folder = new_folder(spark, "tokens")
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), folder, token_files.library_path())
+    at = 0
+    for key, start, count, crc in token_files.read_token_files(spark, folder).orderBy("start").collect():
+        ids = default.encode(dict(rows)[key], add_special_tokens=False).ids + [token_files.END_ID]
+        assert (start, count, crc) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += count
