@@ -133,6 +133,11 @@ def find_leaks(
     different texts give one row for each distinct count. Null ids are kept as null. Other columns
     are dropped.
     """
+    return _leaks(docs, benchmark, threshold, doc, item, text).drop("_version").distinct()
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, threshold: float, doc: str, item: str, text: str) -> DataFrame:
+    """The rows of :func:`find_leaks` with ``_version``, the hash of the text an item was found in."""
     items = small(_items(benchmark, item, text, threshold), BROADCAST_ROWS)
     minima = small(_minima(items), BROADCAST_ROWS)
     # At most a row for each width and power of two: bounded whatever the number of items.
@@ -149,6 +154,7 @@ def find_leaks(
             F.lit(0).alias("n_shingles"),
             F.lit(0).alias("n_shared"),
             F.lit(0.0).alias("containment"),
+            F.xxhash64("text").alias("_version"),
         )
 
     def sketch(ws: Column) -> Column:
@@ -179,7 +185,7 @@ def find_leaks(
     matched = texts.join(
         pairs.withColumnRenamed("doc", "pair_doc").withColumnRenamed("version", "pair_version"),
         F.col("doc").eqNullSafe(F.col("pair_doc")) & (F.col("version") == F.col("pair_version")),
-    ).select("doc", "text", "item")
+    ).select("doc", "version", "text", "item")
     against = matched.join(
         items.withColumnRenamed("item", "known"), F.col("item").eqNullSafe(F.col("known"))
     )
@@ -196,19 +202,26 @@ def find_leaks(
         "need",
         F.size("shingles").alias("n_shingles"),
         F.size(F.array_intersect("shingles", own)).alias("n_shared"),
+        F.col("version").alias("_version"),
     )
-    return (
-        counted.where(F.col("n_shared") >= F.col("need"))
-        .withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
-        .drop("need")
-        .distinct()
+    return counted.where(F.col("n_shared") >= F.col("need")).select(
+        doc, item, "n_shingles", "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment"), "_version"
     )
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents in which no item is found; a row with a null id is judged like any other."""
-    leaked = small(find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leaked")).distinct())
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked"]), "left_anti")
+def remove_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    doc: str = "doc_id",
+    item: str = "item_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows in whose text no item is found, whatever other rows share their id; null ids are ids like any other."""
+    found = _leaks(docs, benchmark, threshold, doc, item, text)
+    leaked = small(found.select(F.col(doc).alias("_leaked"), "_version").distinct())
+    same = docs[doc].eqNullSafe(leaked["_leaked"]) & (F.xxhash64(docs[text]) == leaked["_version"])
+    return docs.join(leaked, same, "left_anti")
 
 
 _OP6_SQL = """

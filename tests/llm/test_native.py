@@ -129,6 +129,19 @@ def test_leaks_equal_brute_force(docs, samples, items, spark):
     assert kept == {(i, t) for i, t in samples if i not in gone}
 
 
+def test_a_leak_takes_its_own_text_only(frame, spark):
+    """Rows that share an id, or have none, with a text that holds an item."""
+    item = "one two three four five six seven"
+    rows = [(i, f"clean text number {n} of this id") for i in (None, 1, 2) for n in range(20)]
+    bad = [(None, f"a {item} b"), (1, item), (1, item), (3, item.upper())]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontaminate.remove_leaks(frame([*rows, *bad, (4, None)]), bench)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([*rows, (4, None)], key=repr)
+    other = frame([*rows, *bad]).withColumnsRenamed({"doc_id": "nr", "text": "body"})
+    items = bench.withColumnsRenamed({"text": "body"})
+    assert decontaminate.remove_leaks(other, items, doc="nr", text="body").count() == len(rows)
+
+
 def test_leaks_without_rows(docs, empty, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
