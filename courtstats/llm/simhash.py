@@ -259,6 +259,11 @@ def near_duplicates(
     Rows with equal fingerprints are linked, so all blank texts are one group. Null keys belong to a
     group but never name it; a group without any key has a null component. Repeated rows stay.
     """
+    return _groups(df, key, text, radius, shard_limit).drop("root")
+
+
+def _groups(df: DataFrame, key: str, text: str, radius: int, shard_limit: int) -> DataFrame:
+    """The rows of :func:`near_duplicates` with ``root``, a fingerprint that names the group."""
     marked = materialize(fingerprints(df, key, text))
     distinct = materialize(marked.groupBy("fp").agg(F.min(key).alias("low")))
     roots = components(links_within(distinct.select("fp"), radius, shard_limit))
@@ -266,31 +271,36 @@ def near_duplicates(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component"))
-    named = rooted.join(lowest, "root").select("fp", "component")
-    return marked.join(named, "fp").select(key, "version", "fp", "component")
+    named = rooted.join(lowest, "root").select("fp", "component", "root")
+    return marked.join(named, "fp").select(key, "version", "fp", "component", "root")
 
 
-def drop_near_duplicates(df: DataFrame, **options) -> DataFrame:
-    """One row of every group: that with the smallest key; of rows that share it, one.
+def drop_near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shard_limit: int = SHARD_LIMIT
+) -> DataFrame:
+    """One row of every group: that with the smallest key; of rows that share it, one. A group without keys keeps one.
 
     The rows to drop are found on narrow columns (key and hash of the text); texts are only
-    filtered. Rows without a key are kept unless their group has one.
+    filtered.
     """
-    key = options.get("key", "doc_id")
-    groups = materialize(near_duplicates(df, **options))
-    keeps = F.col(key).eqNullSafe(F.col("component"))
-    going = small(groups.where(~keeps).select(F.col(key).alias("id"), F.col("version").alias("hash")).distinct())
-    version = F.xxhash64(df[options.get("text", "text")])
-    left = df.join(going, df[key].eqNullSafe(going["id"]) & (version == going["hash"]), "left_anti")
-    # The rare rest: several rows of a group that carry its smallest key. One text is kept, once.
+    found = _groups(df, key, text, radius, shard_limit).withColumnRenamed(key, "id")
+    # Rows of one key count as one group; rows without a key go by the group's fingerprint.
+    groups = materialize(found.withColumn("root", F.when(F.col("component").isNull(), F.col("root"))))
+    keeps = F.col("id").eqNullSafe(F.col("component"))
+    # The rare rest: several rows of a group that carry its smallest key, or no key. One text is kept, once.
     crowded = small(
-        groups.where(keeps & F.col("component").isNotNull())
-        .groupBy(F.col("component").alias("id"))
+        groups.where(keeps)
+        .groupBy(F.col("id").alias("kept_id"), F.col("root").alias("kept_root"))
         .agg(F.count("*").alias("rows"), F.min("version").alias("kept"))
         .where(F.col("rows") > 1)
     )
-    here = df[key] == crowded["id"]
-    chosen = left.join(crowded, here & (version == crowded["kept"]), "left_semi").dropDuplicates([key])
+    crowd = F.col("id").eqNullSafe(F.col("kept_id")) & F.col("root").eqNullSafe(F.col("kept_root"))
+    others = groups.where(keeps).join(crowded, crowd & (F.col("version") != F.col("kept")))
+    going = small(groups.where(~keeps).select("id", "version").union(others.select("id", "version")).distinct())
+    version = F.xxhash64(df[text])
+    left = df.join(going, df[key].eqNullSafe(going["id"]) & (version == going["version"]), "left_anti")
+    here = df[key].eqNullSafe(crowded["kept_id"]) & (version == crowded["kept"])
+    chosen = left.join(crowded, here, "left_semi").dropDuplicates([key, text])
     return left.join(crowded, here, "left_anti").unionByName(chosen)
 
 

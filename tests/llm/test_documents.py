@@ -185,6 +185,21 @@ def test_one_row_of_each_group_stays(docs, samples, empty):
     assert simhash.drop_near_duplicates(docs).columns == docs.columns
 
 
+def test_groups_without_keys_keep_one_row(frame):
+    """Exact and near copies without ids, alone and beside rows with ids; rows that share an id."""
+    rng = random.Random(9)
+
+    def text():
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+
+    alone, near, keyed, shared, single = (text() for _ in range(5))
+    rows = [(None, alone)] * 4 + [(None, near), (None, near + "  "), (None, near.upper())] * 2 + [(None, single)]
+    rows += [(None, keyed)] * 3 + [(7, keyed), (8, keyed), (9, shared), (9, shared + " "), (9, shared), (10, shared)]
+    kept = simhash.drop_near_duplicates(frame(rows)).select("doc_id", "text").collect()
+    found = sorted(((r.doc_id, " ".join(r.text.lower().split())) for r in kept), key=repr)
+    assert found == sorted([(None, alone), (None, near), (None, single), (7, keyed), (9, shared)], key=repr)
+
+
 def test_components_of_odd_links(spark):
     links = spark.createDataFrame([(1, 1), (None, 2), (5, 4), (4, 5), (9, 5), (7, 8)], "a long, b long")
     assert {tuple(r) for r in components.components(links).collect()} == {(4, 4), (5, 4), (9, 4), (7, 7), (8, 7)}
