@@ -71,6 +71,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.get_file_info(inner).type != arrow_fs.FileType.NotFound
 
 
+def holds_data(path: str) -> bool:
+    """Whether a folder holds more than hidden files and notes, which start with a dot or an underscore."""
+    fs, inner = _file_system(path)
+    listed = fs.get_file_info(arrow_fs.FileSelector(inner, allow_not_found=True))
+    return any(not entry.base_name.startswith((".", "_")) for entry in listed)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a staging folder this package wrote."""
     fs, inner = _file_system(path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from courtstats.schemas import registry
-from courtstats.session import drop_folder, path_exists, read_note, shared_folder, write_note
+from courtstats.session import drop_folder, holds_data, path_exists, read_note, shared_folder, write_note
 
 _IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -126,7 +126,8 @@ def replace_by_key(
     with the same ``batch_id`` after a failed swap redoes the swap from staging;
     after a good swap staging is dropped, so an old batch can never undo a newer one.
     Null keys are keys like any other. The layout is kept beside the table; a call that states
-    another one is refused.
+    another one is refused, and so is a new batch for a folder that holds data without a layout: which of
+    its rows share a bucket with the batch isn't known, and the swap would remove them.
     """
     spark = batch.sparkSession
     keys, parts = list(keys), [*partition_by, "bucket"]
@@ -136,6 +137,8 @@ def replace_by_key(
         raise ValueError(f"the table has the layout {stored}, not {layout}")
     staging = _staging_folder(spark, path, batch_id)
     if not path_exists(spark, f"{staging}/_SUCCESS"):
+        if stored is None and holds_data(path):
+            raise ValueError(f"{path} holds data but no layout; load it anew into an empty folder")
         incoming = batch.withColumn("bucket", key_bucket(keys, buckets)).persist()
         try:
             merged = incoming

@@ -55,6 +55,15 @@ def test_replace_by_key_is_idempotent_and_keeps_other_keys(spark, tmp_path, rows
         assert [r for r in got if r[0] in ("g3", "g99")] == [("g3", 0, "new"), ("g99", 0, "new")]
 
 
+def test_replace_by_key_refuses_a_table_without_a_layout(spark, tmp_path, rows):
+    path = str(tmp_path / "plays")
+    old = plays(spark, ("a", 1, "old"), ("b", 1, "old")).withColumn("bucket", T.key_bucket(["game_id"], 1))
+    old.write.partitionBy("bucket").parquet(path)
+    with pytest.raises(ValueError, match="no layout"):
+        T.replace_by_key(plays(spark, ("a", 1, "new")), path, ["game_id"], "one", buckets=1)
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_replace_by_key_resumes_a_failed_swap(spark, tmp_path, rows, monkeypatch):
     path = str(tmp_path / "t")
     T.replace_by_key(plays(spark, ("a", 1, "old"), ("b", 1, "old")), path, ["game_id"], buckets=1, batch_id="one")
