@@ -5,10 +5,11 @@ sentencepiece model and adds that space itself. Both id lists get cumulative byt
 from end to index per list, the intersection of their keys in order, and every two neighbouring common ends cut
 one slice out of each list: a group. All pairs of an A and a B token of one group are links.
 
-A text is aligned unit by unit. A unit runs up to a space that follows a character which isn't white space:
-A's pattern starts a piece there, and no piece of B's vocabulary holds its space sign behind
-another character, so both lists have an end there whatever stands around it, and the groups of a unit don't depend on its
-neighbours. Units met before come from a bounded cache of the worker; the vocabulary is checked for the rule.
+A text is aligned unit by unit. A unit ends where A's pattern starts a new piece behind a character that isn't
+white space, and where no piece of B's vocabulary holds the two characters around that place next to each
+other. A's pattern looks back at nothing and ahead only over white space, and B only merges into pieces of its vocabulary, so both
+lists have an end there whatever else the text holds, and a unit has the same groups in every text.
+Units met before come from a bounded cache of the worker.
 
 Counts over the corpus (in how many documents an id pair is linked) are one aggregate over the documents' distinct
 pairs. The most frequent pairs, at most ``HOT_PAIRS``, are sent to every task; documents meet the
@@ -32,22 +33,21 @@ from pyspark.sql import functions as F
 
 from courtstats.session import materialize, new_folder
 
-from .bpe import ragged, text_blocks
+from .bpe import BLANK, SPACE, boundaries, class_table, ragged, text_blocks
 from .common import query, read, small, small_batches
-from .token_files import byte_letters, library_path
+from .token_files import library_path
 
 #: Pairs whose counts are sent to every task: two numbers and a flag each.
 HOT_PAIRS = 400_000
-#: What a worker's cache may hold, in characters of units and numbers kept with them.
-CACHE_COST = 12_000_000
+#: Units a worker keeps, about 400 bytes each, and the longest one it keeps.
+CACHE_UNITS, CACHED_LENGTH = 350_000, 40
+#: Share of unknown units in a block above which a full cache is emptied; below, it stays as it is.
+STALE = 0.4
+#: Stands for a space in B's pieces.
+SPACE_SIGN = "\u2581"
 #: Bytes of a text whose ends are held in dictionaries at a time.
 WINDOW = 1 << 20
 
-#: Before a space that follows a character other than white space and isn't the last character. Three signs are white
-#: space in some Unicode versions only; no unit ends at them.
-UNIT_BREAK = re.compile(r"(?<=[^\s\u180e\u200b\ufeff]) (?=.)", re.DOTALL)
-
-
 # --- Slicing ----------------------------------------------------------------------------
 
 
@@ -79,103 +79,200 @@ def groups_of(
     return out
 
 
-def links_of(groups: Iterable[tuple[Sequence[int], Sequence[int]]]) -> Counter:
-    """How many links every id pair has: the links of a slice are the products of its ids' counts."""
-    links: Counter = Counter()
+def links_of(groups: Iterable[tuple[Sequence[int], Sequence[int]]]) -> dict[int, int]:
+    """Links of every id pair (A id times 2^32 plus B id): those of a slice are products of its ids' counts."""
+    links: dict[int, int] = {}
     for a_slice, b_slice in groups:
-        if len(a_slice) == 1 and len(b_slice) == 1:
-            links[a_slice[0], b_slice[0]] += 1
+        if len(a_slice) * len(b_slice) <= 64:
+            for a in a_slice:
+                for b in b_slice:
+                    links[a << 32 | b] = links.get(a << 32 | b, 0) + 1
             continue
         b_counts = Counter(b_slice)
         for a, times in Counter(a_slice).items():
             for b, more in b_counts.items():
-                links[a, b] += times * more
+                links[a << 32 | b] = links.get(a << 32 | b, 0) + times * more
     return links
 
 
 def as_text(groups: Iterable[tuple[Sequence[int], Sequence[int]]]) -> str:
     """``a1,a2|b1;a3|b2,b3``."""
-    return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+    return ";".join(
+        [
+            f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+            for a, b in groups
+        ]
+    )
 
 
 # --- Tokenizers -------------------------------------------------------------------------
 
 
+class Results:
+    """What is known of units, in flat arrays: groups as text, sums, and linked pairs with their links."""
+
+    def __init__(self):
+        self.texts: list[str] = []
+        self.pairs, self.times = array("q"), array("q")
+        self.ends, self.sums = array("q", [0]), array("q")
+
+    def add(self, groups: list[tuple[list[int], list[int]]], sums: tuple[int, int, int, int]) -> None:
+        links = links_of(groups)
+        self.texts.append(as_text(groups))
+        self.pairs.extend(links)
+        self.times.extend(links.values())
+        self.ends.append(len(self.pairs))
+        self.sums.extend(sums)
+
+
 class Pair:
     """Both tokenizers with the bytes of their tokens, and the cache of units."""
 
+    #: Bits of the table of neighbours, and the factor that spreads its entries.
+    BITS, SPREAD = 22, 0x9E3779B1
+
     def __init__(self, a_path: str, b_path: str):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.a = Tokenizer.from_file(a_path)
+        if self.a.normalizer is not None or not isinstance(self.a.pre_tokenizer, pre_tokenizers.ByteLevel):
+            raise ValueError(f"{a_path} isn't a plain byte-level tokenizer")
         self.a.encode_special_tokens = True  # their strings in a text are plain text
-        letter_bytes = {ord(letter): byte for byte, letter in byte_letters().items()}
-        self.a_bytes = [b""] * self.a.get_vocab_size()
+        self.a_sizes = [0] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab().items():
-            # An added token's string may hold characters that stand for no byte; plain text never gets it.
-            self.a_bytes[i] = bytes(letter_bytes.get(ord(c), 0) for c in token)
+            self.a_sizes[i] = len(token)  # a character per byte
         self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_SIGN, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.whole = any("▁" in p.lstrip("▁") for p in pieces)  # B may merge over a unit's end
+        spelt = [p.replace(SPACE_SIGN, " ") for i, p in enumerate(pieces) if not self.b.is_byte(i)]
+        held = set("".join(spelt))
+        # Put before a unit, this character keeps it apart from the space that B adds.
+        self.apart = next(c for c in map(chr, range(10, 0x3000)) if c not in held and c not in " \r")
+        self.head = len(self.b.encode(self.apart))
+        self.neighbours = np.zeros(1 << self.BITS, bool)
+        inner = "".join(p + "\0" for p in spelt)
+        codes = np.frombuffer(inner.encode("utf-32-le"), np.uint32)
+        inside = (codes[:-1] != 0) & (codes[1:] != 0)
+        self.neighbours[self._slot(codes[:-1], codes[1:])[inside]] = True
         self.clear()
 
+    def _slot(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place of two characters in the table. Pairs that share one are taken for neighbours: fewer cuts, same groups."""
+        mixed = (left.astype(np.uint64) << np.uint64(21) | right) * np.uint64(self.SPREAD)
+        return (mixed >> np.uint64(11)) & np.uint64((1 << self.BITS) - 1)
+
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.texts: list[str] = []
-        self.pairs, self.times = array("q"), array("q")
-        self.ends, self.sums = array("q", [0]), array("q")
-        self.cost = 0
-
-    def learn(self, units: list[str]) -> None:
-        """Align units and keep the results; a unit whose bytes a tokenizer doesn't keep gets -1 tokens."""
-        a_lists = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
-        b_lists = self.b.encode(units, num_threads=1) if units else []
-        for unit, a_ids, b_ids in zip(units, a_lists, b_lists):
-            source = (" " + unit).encode()
-            a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            if b"".join(a_parts) != source or b"".join(b_parts) != source:
-                groups, sums = [], (-1, -1, 0, 0)
-            else:
-                groups = groups_of(a_ids, list(map(len, a_parts)), b_ids, list(map(len, b_parts)))
-                sums = (len(a_ids), len(b_ids), len(groups), sum(len(a) * len(b) for a, b in groups))
-            links = links_of(groups)
-            self.known[unit] = len(self.texts)
-            self.texts.append(as_text(groups))
-            self.pairs.extend(a << 32 | b for a, b in links)
-            self.times.extend(links.values())
-            self.ends.append(len(self.pairs))
-            self.sums.extend(sums)
-            self.cost += len(unit) + 4 * len(links) + len(a_ids) + len(b_ids) + 20
-
-    def align(self, text: str) -> tuple[list[int], str, np.ndarray, np.ndarray]:
-        """(tokens of A, of B, groups, links), groups as text, distinct pairs, links of each pair."""
-        nothing = [0, 0, 0, 0], "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not text:
-            return nothing
-        units = [text] if self.whole else UNIT_BREAK.split(text)
-        if self.cost > CACHE_COST:
+        self.kept = Results()
+
+    def units(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """(units of all texts in order, units per text). Every text gets its space first."""
+        spaced = [" " + t for t in texts]
+        lengths = np.fromiter(map(len, spaced), np.int64, len(spaced))
+        joined = "".join(spaced)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        first = np.zeros(len(codes), bool)
+        first[starts] = True
+        places = np.flatnonzero(boundaries(codes, first) & ~first)
+        symbols = class_table()[codes[places - 1]]
+        places = places[(symbols != SPACE) & (symbols != BLANK)]
+        seen = np.where(codes == ord(SPACE_SIGN), 0x20, codes)
+        places = places[~self.neighbours[self._slot(seen[places - 1], seen[places])]]
+        cuts = np.sort(np.concatenate([places, starts]))
+        bounds = cuts.tolist() + [len(joined)]
+        per_text = np.diff(np.append(np.searchsorted(cuts, starts), len(cuts)))
+        return [joined[a:b] for a, b in zip(bounds, bounds[1:])], per_text
+
+    def learn(self, units: list[str], into: Results) -> None:
+        """Align units; one of which B doesn't keep the bytes gets -1 tokens."""
+        a_lists = self.a.encode_batch_fast(units, add_special_tokens=False)
+        b_lists = self.b.encode([self.apart + u for u in units], num_threads=1)
+        a_sizes, b_bytes, head = self.a_sizes, self.b_bytes, self.head
+        for unit, a_tokens, b_ids in zip(units, a_lists, b_lists):
+            a_ids = a_tokens.ids
+            b_ids = b_ids[head:]
+            b_parts = [b_bytes[i] for i in b_ids]
+            if b"".join(b_parts) != unit.encode("utf-8", "surrogatepass"):
+                into.add([], (-1, -1, 0, 0))
+                continue
+            groups = groups_of(a_ids, [a_sizes[i] for i in a_ids], b_ids, list(map(len, b_parts)))
+            links = sum([len(a) * len(b) for a, b in groups])
+            into.add(groups, (len(a_ids), len(b_ids), len(groups), links))
+
+    def lookup(self, units: list[str]) -> tuple[np.ndarray, Results]:
+        """(place of every unit, results of units that the cache has no room for: their places come after the cache's)."""
+        known = self.known
+        new = [u for u in dict.fromkeys(units) if u not in known]
+        if len(known) >= CACHE_UNITS and len(new) > STALE * len(units):
             self.clear()
-        new = [u for u in dict.fromkeys(units) if u not in self.known]
-        for at in range(0, len(new), 4096):
-            self.learn(new[at : at + 4096])
-        index = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
-        met, counts = np.unique(index, return_counts=True)
-        sums = np.frombuffer(self.sums, np.int64).reshape(-1, 4)[met]
-        if (sums[:, 0] < 0).any():
-            return nothing
-        ends = np.frombuffer(self.ends, np.int64)
-        starts, sizes = ends[met], ends[met + 1] - ends[met]
-        pairs = ragged(np.frombuffer(self.pairs, np.int64), starts, sizes)
-        times = ragged(np.frombuffer(self.times, np.int64), starts, sizes) * np.repeat(counts, sizes)
-        distinct, place = np.unique(pairs, return_inverse=True)
-        summed = np.zeros(len(distinct), np.int64)
-        np.add.at(summed, place, times)
-        return (sums * counts[:, None]).sum(0).tolist(), ";".join(map(self.texts.__getitem__, index.tolist())), distinct, summed
+            return self.lookup(units)
+        room = CACHE_UNITS - len(known)
+        stay = [u for u in new if len(u) <= CACHED_LENGTH][: max(0, room)]
+        self.learn(stay, self.kept)
+        for unit in stay:
+            known[unit] = len(known)
+        extra = Results()
+        own = {u: len(known) + n for n, u in enumerate(u for u in new if u not in known)}
+        if own:
+            self.learn(list(own), extra)
+        index = (known[u] if u in known else own[u] for u in units) if own else map(known.__getitem__, units)
+        return np.fromiter(index, np.int64, len(units)), extra
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
+        """Per text: (tokens of A, of B, groups, links), groups as text, distinct pairs, links of each pair."""
+        full = np.array([bool(t) for t in texts])
+        units, per_text = self.units([t for t in texts if t])
+        index, extra = self.lookup(units)
+        kept, base = self.kept, len(self.known)
+        owner = np.repeat(np.flatnonzero(full), per_text)
+        old = index < base
+        # Sums of all units, those whose bytes are kept by both only.
+        sums = np.empty((len(units), 4), np.int64)
+        sums[old] = np.frombuffer(kept.sums, np.int64).reshape(-1, 4)[index[old]]
+        if extra.texts:
+            sums[~old] = np.frombuffer(extra.sums, np.int64).reshape(-1, 4)[index[~old] - base]
+        lost = np.zeros(len(texts), bool)
+        lost[owner[sums[:, 0] < 0]] = True
+        totals = np.stack([np.bincount(owner, c, len(texts)) for c in sums.T], 1).astype(np.int64)
+        totals[lost] = 0
+        # Pairs of every distinct unit of a text, then of every text.
+        size = base + len(extra.texts)
+        met, counts = np.unique(owner * size + index, return_counts=True)
+        parts = []
+        for source, mine, shift in ((kept, met % size < base, 0), (extra, met % size >= base, base)):
+            ends = np.frombuffer(source.ends, np.int64)
+            unit = met[mine] % size - shift
+            starts, sizes = ends[unit], ends[unit + 1] - ends[unit]
+            text = np.repeat(met[mine] // size, sizes)
+            pairs = ragged(np.frombuffer(source.pairs, np.int64), starts, sizes)
+            times = ragged(np.frombuffer(source.times, np.int64), starts, sizes) * np.repeat(counts[mine], sizes)
+            parts.append((text, pairs, times))
+        text, pairs, times = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((pairs, text))
+        text, pairs, times = text[order], pairs[order], times[order]
+        fresh = np.append(True, (text[1:] != text[:-1]) | (pairs[1:] != pairs[:-1]))[: len(text)]
+        at = np.flatnonzero(fresh)
+        text, pairs = text[at], pairs[at]
+        times = np.add.reduceat(times, at) if len(at) else times
+        splits = np.searchsorted(text, np.arange(1, len(texts)))
+        words = kept.texts + extra.texts if extra.texts else kept.texts
+        strings, lo = [], 0
+        places = index.tolist()
+        nothing = np.zeros(0, np.int64)
+        per = iter(per_text.tolist())
+        for n, has in enumerate(full.tolist()):
+            size = next(per) if has else 0
+            strings.append("" if lost[n] else ";".join([words[i] for i in places[lo : lo + size]]))
+            lo += size
+        keep = [not x for x in lost.tolist()]
+        pair_lists = [p if k else nothing for p, k in zip(np.split(pairs, splits), keep)]
+        time_lists = [t if k else nothing for t, k in zip(np.split(times, splits), keep)]
+        return totals, strings, pair_lists, time_lists
 
 
 @lru_cache(maxsize=2)
@@ -219,10 +316,10 @@ def align(
             for block in text_blocks(batch.column(batch.num_columns - 1)):
                 rows = batch.slice(at, len(block))
                 at += len(block)
-                sums, texts, pairs, times = zip(*map(both.align, block))
+                sums, texts, pairs, times = both.align(block)
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in pairs])]).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(offsets, np.concatenate(x)) for x in (pairs, times)]
-                numbers = [pa.array(n, pa.int64()) for n in zip(*sums)]
+                numbers = [pa.array(np.ascontiguousarray(n)) for n in sums.T]
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns[:-1], *numbers, pa.array(texts, pa.string()), *lists], names=out_names
                 )
