@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     bpe,
     chat,
     decontaminate,
+    hard_negatives,
     line_dedup,
     private_data,
     quality_model,
