@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     chat,
     decontaminate,
     hard_negatives,
+    hashing_index,
     line_dedup,
     private_data,
     quality_model,
