@@ -19,10 +19,12 @@ from courtstats.schemas import ALIASES, TABLE_DDL, table_schema
 from courtstats.session import materialize, new_folder
 from courtstats.sources import landing as L
 from courtstats.sources import tables as T
+from courtstats.sources.snapshots import SnapshotTables
 from courtstats.streaming.incremental import (
     Endpoint,
     complete_keys,
     incremental_load,
+    load_batch,
     load_endpoints,
     loaded_keys,
     read_loaded,
@@ -271,7 +273,7 @@ def _incremental_load(spark, sf, folder):
         plays = unique_rows(
             lambda df: builds.build_play_by_play(df.drop("game_id")), ["game_id", "event_num"], ["action_type"]
         )
-        incremental_load(keyed, root, progress, {"play_by_play": plays}, ["game_id"])
+        incremental_load(keyed, root, progress, {"play_by_play": plays}, ["game_id"], buckets=4)
 
     first = folder("progress")
     load(first, 1)
@@ -283,6 +285,53 @@ def _incremental_load(spark, sf, folder):
     return _plays_out(loaded.join(loaded_keys(spark, root, ["game_id"]), "game_id"))
 
 
+@query("load_many_batches", _PLAYS_SQL)
+@in_folders
+def _load_many_batches(spark, sf, folder):
+    """Events in twelve batches by time; each batch sends a part of the one before again, with another type.
+
+    Buckets gather folders and are written as one on the way; a new run sends a batch again.
+    """
+    root = folder("loaded")
+    payload = _event_payload(spark, sf).where("sent = 1").drop("sent")
+    payload = payload.withColumn("game_id", F.col("gameId"))
+    plays = unique_rows(
+        lambda df: builds.build_play_by_play(df.drop("game_id")), ["game_id", "event_num"], ["action_type"]
+    )
+    stored = folder("payload")
+    payload.withColumn("turn", F.col("actionNumber") % 12).write.partitionBy("turn").parquet(stored)
+    sent = spark.read.schema(StructType([*payload.schema.fields]).add("turn", "integer")).parquet(stored)
+    for turn in range(12):
+        again = sent.where((F.col("turn") == turn - 1) & (F.col("period") == 1))
+        batch = sent.where(F.col("turn") == turn).unionByName(again.withColumn("actionType", F.lit("resent")))
+        load_batch(batch.drop("turn"), turn, root, {"plays": plays}, ["game_id"], "run", buckets=2)
+    load_batch(sent.where("turn = 3").drop("turn"), 0, root, {"plays": plays}, ["game_id"], "another", buckets=2)
+    return _plays_out(read_loaded(spark, root, "plays"))
+
+
+@query(
+    "snapshot_reload",
+    """SELECT r.reader, o_orderkey, CASE WHEN r.changed AND o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END AS price
+FROM orders, (VALUES ('planned before', false), ('first version', false), ('staged', false), ('after', true)) AS r(reader, changed)""",
+)
+@in_folders
+def _snapshot_reload(spark, sf, folder):
+    """Readers planned before a reload, while it is staged, and after it; and the first version read afterwards."""
+    store = SnapshotTables(spark, folder("orders"), buckets=8)
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"), "o_orderstatus")
+    store.replace("orders", orders, ["o_orderkey"])
+    readers = {"planned before": store.read("orders")}
+    base = store.latest()
+    fixes = orders.where("o_orderstatus = 'F'").withColumn("price", -F.col("price"))
+    change = store.stage_replacement(base, "orders", fixes, ["o_orderkey"])
+    readers["staged"] = store.read("orders")
+    store.commit(base, [change])
+    readers["after"] = store.read("orders")
+    readers["first version"] = store.read("orders", 1)
+    parts = [df.select(F.lit(name).alias("reader"), "o_orderkey", "price") for name, df in readers.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 #: Endpoints of a game: table, payload folder, the columns that tell its rows apart.
 _ENDPOINTS = {
     "player_game_stats": ["game_id", "player_id", "pts"],
@@ -346,7 +395,7 @@ def _load_all_endpoints(spark, sf, folder):
             return conform(df.drop("game_id"), table_schema(name), ALIASES)
 
         ends[name] = Endpoint(keyed, {name: unique_rows(build, row_keys, row_keys)})
-    load_endpoints(ends, root, progress, ["game_id"])
+    load_endpoints(ends, root, progress, ["game_id"], buckets=2)
     tables = {name: f"{name}/{name}" for name in payloads}
     out = read_loaded(spark, root, tables["player_game_stats"]).select("game_id").distinct()
     labels = ("box_rows", "plays", "hustle_rows", "matchups", "shifts")

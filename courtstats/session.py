@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from urllib.parse import urlparse
 
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 
+from courtstats import files
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -58,46 +58,27 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def _file_system(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    """File system and path of a folder named by a path or a URI."""
-    parts = urlparse(path)
-    if parts.scheme in ("", "file"):
-        return arrow_fs.LocalFileSystem(), parts.path
-    return arrow_fs.FileSystem.from_uri(path)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, inner = _file_system(path)
-    return fs.get_file_info(inner).type != arrow_fs.FileType.NotFound
+    return files.exists(spark, path)
 
 
-def holds_data(path: str) -> bool:
+def holds_data(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds more than hidden files and notes, which start with a dot or an underscore."""
-    fs, inner = _file_system(path)
-    listed = fs.get_file_info(arrow_fs.FileSelector(inner, allow_not_found=True))
-    return any(not entry.base_name.startswith((".", "_")) for entry in listed)
+    return any(not name.startswith((".", "_")) for name in files.names(spark, path))
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a staging folder this package wrote."""
-    fs, inner = _file_system(path)
-    fs.delete_dir(inner)
+    files.remove(spark, path)
 
 
-def read_note(path: str) -> str | None:
+def read_note(spark: SparkSession, path: str) -> str | None:
     """A short text kept beside a table, or None."""
-    fs, inner = _file_system(path)
-    if fs.get_file_info(inner).type == arrow_fs.FileType.NotFound:
-        return None
-    with fs.open_input_file(inner) as source:
-        return source.read().decode()
-
-
-def write_note(path: str, text: str) -> None:
-    fs, inner = _file_system(path)
-    fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    with fs.open_output_stream(inner) as target:
-        target.write(text.encode())
+    return files.read_text(spark, path) if files.exists(spark, path) else None
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    files.write_text(spark, path, text)
 
 
 def materialize(df: DataFrame) -> DataFrame:

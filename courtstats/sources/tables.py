@@ -132,12 +132,12 @@ def replace_by_key(
     spark = batch.sparkSession
     keys, parts = list(keys), [*partition_by, "bucket"]
     layout = json.dumps({"keys": keys, "buckets": buckets, "partition_by": list(partition_by)})
-    stored = read_note(f"{path}/_layout")
+    stored = read_note(spark, f"{path}/_layout")
     if stored is not None and stored != layout:
         raise ValueError(f"the table has the layout {stored}, not {layout}")
     staging = _staging_folder(spark, path, batch_id)
     if not path_exists(spark, f"{staging}/_SUCCESS"):
-        if stored is None and holds_data(path):
+        if stored is None and holds_data(spark, path):
             raise ValueError(f"{path} holds data but no layout; load it anew into an empty folder")
         incoming = batch.withColumn("bucket", key_bucket(keys, buckets)).persist()
         try:
@@ -155,7 +155,7 @@ def replace_by_key(
         finally:
             incoming.unpersist()
     if stored is None:
-        write_note(f"{path}/_layout", layout)
+        write_note(spark, f"{path}/_layout", layout)
     staged = spark.read.schema(StructType([*batch.schema.fields]).add("bucket", "integer")).parquet(staging)
     _write_buckets(_by_bucket(staged, parts), path, "dynamic", parts)
     drop_folder(spark, staging)

@@ -1,4 +1,8 @@
-"""Incremental load: unseen rows only, restartable, several facets and endpoints per game."""
+"""Incremental load: unseen rows only, restartable, several facets and endpoints per game.
+
+The tables of an endpoint are :class:`SnapshotTables`. A batch becomes visible in all of them at once, together with its
+number: a batch that is run again finds itself there and changes nothing, a broken one leaves nothing visible.
+"""
 
 from __future__ import annotations
 
@@ -7,18 +11,17 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from courtstats.operators.windows import dedupe
 from courtstats.session import path_exists
+from courtstats.sources.snapshots import ATTEMPTS, Conflict, SnapshotTables
 
 Facet = Callable[[DataFrame], DataFrame]
 
-#: Games of which any batch has begun to write rows, and games all of whose rows of a batch are there.
-MET, DONE = "_met_keys", "_loaded_keys"
-BATCH = ["run_id", "batch_id"]
+#: Table of the games of which any row has been loaded.
+DONE = "_loaded_keys"
 
 
 @dataclass(frozen=True)
@@ -29,10 +32,6 @@ class RowFacet:
     row_keys: Sequence[str]
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def load_batch(
     batch: DataFrame,
     batch_id: int,
@@ -40,66 +39,40 @@ def load_batch(
     facets: Mapping[str, RowFacet],
     keys: Sequence[str],
     run_id: str,
+    buckets: int = 64,
 ) -> None:
     """Write one batch: rows whose row key no other batch has loaded.
 
-    A game may be spread over any number of batches: rows, not games, are told apart. Only games
-    that earlier batches have met need the comparison; rows of all others are new. The games met are noted
-    first, so rows that a broken batch left behind are compared too. Every facet goes to its own table, in the
-    partition of this run and batch; the loaded keys are written last. A batch that is run again
-    overwrites exactly its own partition, and a run with a new checkpoint writes into its own.
+    A game may be spread over any number of batches: rows, not games, are told apart. A batch is compared with those
+    stored folders alone whose key index may hold one of its games. If another writer has changed one of them
+    meanwhile, the batch looks again.
     """
-    spark = batch.sparkSession
+    store = SnapshotTables(batch.sparkSession, root, buckets)
     keys = list(keys)
     batch = batch.persist()
     try:
-        before = _others(spark, f"{root}/{MET}", StructType([batch.schema[k] for k in keys]), run_id, batch_id)
-        here = batch.select(*keys).distinct()
-        met = None
-        if before is not None:
-            met = here.join(before, null_safe(here, before, keys), "left_semi")
-            met = None if met.isEmpty() else met
-        _write_partition(here, run_id, batch_id, f"{root}/{MET}")
-        for name, facet in facets.items():
-            rows = facet.build(batch)
-            if met is not None:
-                rows = _unseen(spark, rows, f"{root}/{name}", facet.row_keys, keys, met, run_id, batch_id)
-            _write_partition(rows, run_id, batch_id, f"{root}/{name}")
-        _write_partition(here, run_id, batch_id, f"{root}/{DONE}")
+        for attempt in range(ATTEMPTS):
+            base = store.latest()
+            if base.applied.get(run_id, -1) >= batch_id:
+                return
+            here = batch.select(*keys).distinct()
+            changes = []
+            for name, facet in {**facets, DONE: RowFacet(lambda _, here=here: here, keys)}.items():
+                rows = facet.build(batch)
+                new = store.unseen(base, name, rows, facet.row_keys)
+                # Rows are kept by game, unless a row's key says nothing of its game.
+                by = keys if set(keys) <= set(facet.row_keys) else list(facet.row_keys)
+                changes.append(store.stage(base, name, new, by))
+            try:
+                store.commit(base, changes, run_id, batch_id)
+                return
+            except Conflict:
+                if attempt == ATTEMPTS - 1:
+                    raise
     finally:
         batch.unpersist()
 
 
-def _others(spark: SparkSession, path: str, schema: StructType, run_id: str, batch_id: int) -> DataFrame | None:
-    """What all other batches have written to a table, or None before the first."""
-    if not path_exists(spark, path):
-        return None
-    stored = spark.read.schema(StructType([*schema.fields]).add("run_id", "string").add("batch_id", "long")).parquet(path)
-    own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-    return stored.where(~own).drop(*BATCH)
-
-
-def _unseen(spark, rows, path, row_keys, keys, met, run_id, batch_id) -> DataFrame:
-    stored = _others(spark, path, rows.schema, run_id, batch_id)
-    if stored is None:
-        return rows
-    stored = stored.select(*row_keys)
-    if set(keys) <= set(row_keys):
-        stored = stored.join(met, null_safe(stored, met, keys), "left_semi")
-    return rows.join(stored, null_safe(rows, stored, row_keys), "left_anti")
-
-
-def _write_partition(df: DataFrame, run_id: str, batch_id: int, path: str) -> None:
-    (
-        df.withColumn("run_id", F.lit(run_id))
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*BATCH)
-        .parquet(path)
-    )
-
-
 def _run_of(spark: SparkSession, checkpoint: str) -> str:
     """Name of the run a checkpoint belongs to, kept beside it; a new checkpoint is a new run.
 
@@ -118,16 +91,18 @@ def incremental_load(
     checkpoint: str,
     facets: Mapping[str, RowFacet],
     keys: Sequence[str],
+    buckets: int = 64,
 ) -> None:
     """Load everything that has landed since the last run, then stop.
 
     The stream's checkpoint remembers the files, the tables remember the rows. If the checkpoint is
-    lost, all files are read again and no row is written twice.
+    lost, all files are read again and no row is written twice. ``buckets`` holds for tables that are new: a
+    bucket's rows should fit a few tasks.
     """
     run_id = _run_of(stream.sparkSession, checkpoint)
     query = (
         stream.writeStream.foreachBatch(
-            lambda batch, batch_id: load_batch(batch, batch_id, root, facets, keys, run_id)
+            lambda batch, batch_id: load_batch(batch, batch_id, root, facets, keys, run_id, buckets)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -145,11 +120,11 @@ class Endpoint:
 
 
 def load_endpoints(
-    endpoints: Mapping[str, Endpoint], root: str, checkpoint: str, keys: Sequence[str]
+    endpoints: Mapping[str, Endpoint], root: str, checkpoint: str, keys: Sequence[str], buckets: int = 64
 ) -> None:
     """Load all endpoints of the games, each with a checkpoint and a key table of its own."""
     for name, endpoint in endpoints.items():
-        incremental_load(endpoint.stream, f"{root}/{name}", f"{checkpoint}/{name}", endpoint.facets, keys)
+        incremental_load(endpoint.stream, f"{root}/{name}", f"{checkpoint}/{name}", endpoint.facets, keys, buckets)
 
 
 def complete_keys(spark: SparkSession, root: str, tables: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -159,12 +134,14 @@ def complete_keys(spark: SparkSession, root: str, tables: Sequence[str], keys: S
 
 
 def read_loaded(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{table}").drop(*BATCH)
+    """A loaded table, or that of an endpoint (``endpoint/table``), as of its latest version."""
+    *endpoint, name = table.split("/")
+    return SnapshotTables(spark, "/".join([root, *endpoint])).read(name)
 
 
 def loaded_keys(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """Games of which any row has been loaded."""
-    return spark.read.parquet(f"{root}/{DONE}").select(*keys).distinct()
+    return SnapshotTables(spark, root).read(DONE).select(*keys).distinct()
 
 
 def unique_rows(build: Facet, keys: Sequence[str], order: Sequence[str]) -> RowFacet:
