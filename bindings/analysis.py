@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bindings.common import (
     ENDS_CTE,
     EVENTS_CTE,
+    ORACLES,
     POINTS_CTE,
     events,
     game_rows,
@@ -25,6 +26,8 @@ from courtstats.operators import fit
 from courtstats.operators.aggregates import argmax_by, exact_median, member_lists, members, pivot_mean
 from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans, standardize
 from courtstats.plans import archetypes, closing
+from courtstats.plans.maintained import MaintainedClosing
+from courtstats.session import materialize
 
 X, Y, TEAM = closing.X, closing.Y, closing.TEAM
 
@@ -839,3 +842,43 @@ def _member_lists(spark, sf):
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
     return member_lists(c.join(n, c.c_nationkey == n.n_nationkey), "n_regionkey", "n_name")
+
+
+# --- Maintained analyses ---------------------------------------------------------------
+
+
+def _maintained(spark, sf, folder):
+    """All games after four reloads: wrong scores corrected, games sent again, games that never were removed."""
+    kept = MaintainedClosing(spark, folder("maintained"), scale=128.0, edges=EDGES, labels=LABELS, buckets=4)
+    p = materialize(points(spark, sf))
+    third = F.col("game_id") % 3
+    wrong = p.withColumn(Y, F.when(third == 0, F.col(Y) + 40).otherwise(F.col(Y)))
+    wrong = wrong.withColumn(X, F.when(third == 0, -F.col(X)).otherwise(F.col(X)))
+    invented = p.where(third == 1).withColumn("game_id", -F.col("game_id") - 1)
+    kept.reload(wrong.where(third != 2).unionByName(invented), run_id="run", batch_id=0)
+    kept.reload(p.where(third == 0), run_id="run", batch_id=1)
+    # The rest of the games; some that are there already come again as they are.
+    kept.reload(p.where((third == 2) | (F.col("game_id") % 7 == 0)), run_id="run", batch_id=2)
+    for _ in range(2):
+        none = p.limit(0)
+        kept.reload(none, games=invented.select("game_id"), run_id="run", batch_id=3)
+    return kept
+
+
+@query("maintained_ranking", ORACLES["closer_ranking"])
+@in_folders
+def _maintained_ranking(spark, sf, folder):
+    return _maintained(spark, sf, folder).closer_ranking().select(TEAM, "n", r("points_gained"))
+
+
+@query("maintained_matrix", ORACLES["situational_matrix"])
+@in_folders
+def _maintained_matrix(spark, sf, folder):
+    matrix = _maintained(spark, sf, folder).situational_matrix(3)
+    return matrix.select(TEAM, *[r(label) for label in LABELS])
+
+
+@query("maintained_shapes", ORACLES["team_shapes"])
+@in_folders
+def _maintained_shapes(spark, sf, folder):
+    return _maintained(spark, sf, folder).team_shapes().select(TEAM, r("x", 6), r("y_team", 3), r("y_league", 3))

@@ -68,6 +68,12 @@ def add_up(moments: str, degree: int, over: str = "") -> Column:
     return F.expr(f"array({', '.join(cells)})")
 
 
+def lower_degree(moments: str, degree: int, to: int) -> Column:
+    """The moment array of degree ``to`` out of that of a higher degree."""
+    parts = [f"slice({moments}, 1, {2 * to + 1})", f"slice({moments}, {2 * degree + 2}, {to + 1})"]
+    return F.expr(f"concat({', '.join(parts)}, array({yy_sum(moments, degree)}))")
+
+
 def _x_sums(moments: str, degree: int) -> str:
     return f"slice({moments}, 1, {2 * degree + 1})"
 

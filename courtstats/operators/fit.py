@@ -193,7 +193,11 @@ def residual_means(
     Residual means are linear in the sums: mean(y) - sum(coef_k * mean(z^k)). The
     groups' power sums add up to the league's, so nothing reads the points again.
     """
-    sums = moment_sums(points, x, y, degree, by, league)
+    return residual_means_of(moment_sums(points, x, y, degree, by, league), degree, by, league)
+
+
+def residual_means_of(sums: DataFrame, degree: int, by: Sequence[str], league: Sequence[str] = ()) -> DataFrame:
+    """:func:`residual_means` from power sums per group that share a centre within their league."""
     fit = roll_up(sums, degree, league).select(
         *league, fit_ladder("moments", degree)[degree]["coef"].alias("__coef")
     )

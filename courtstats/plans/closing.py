@@ -172,7 +172,13 @@ def team_shapes(
     team: str = TEAM,
 ) -> DataFrame:
     """Fitted curve of each team with enough rows, beside the league's on the same grid."""
-    sums = fit.moment_sums(points, x, y, degree, [team], [])
+    return shapes_of(fit.moment_sums(points, x, y, degree, [team], []), degree, low, high, grid, more_than, team)
+
+
+def shapes_of(
+    sums: DataFrame, degree: int, low: float, high: float, grid: int, more_than: int, team: str = TEAM
+) -> DataFrame:
+    """:func:`team_shapes` from power sums per team that share a centre."""
     league = fit.solve_sums(fit.roll_up(sums, degree), degree).select("coef")
     teams = fit.solve_sums(sums, degree, [team]).where(F.col("n") > more_than)
     both = teams.withColumn("league", league.scalar())

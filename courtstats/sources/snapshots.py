@@ -88,7 +88,7 @@ class Version:
 
 @dataclass(frozen=True)
 class Change:
-    """Staged folders of one table: added to their buckets, or in place of what the buckets hold."""
+    """Staged folders of one table: added to their buckets, or in place of what the buckets hold ("": nothing)."""
 
     name: str
     table: Table
@@ -174,7 +174,7 @@ class SnapshotTables:
         return self.spark.read.schema(stored).option("basePath", base).parquet(*paths).drop("commit", "bucket")
 
     def _index(self, name: str, table: Table) -> DataFrame:
-        live = {c for commits in table.folders.values() for c in commits}
+        live = set(table.sizes)
         paths = [f"{self.root}/index/{name}/commit={c}" for c in sorted(live)]
         schema = "bucket int, rows long, bits binary, commit string"
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/index/{name}").parquet(*paths)
@@ -182,7 +182,7 @@ class SnapshotTables:
     def folders_for(self, version: Version, name: str, wanted: DataFrame) -> list[tuple[str, int]]:
         """(commit, bucket) of the live folders that may hold one of the wanted keys: bounded by the live folders."""
         table = version.tables[name]
-        if not table.folders:
+        if not table.sizes:
             return []
         keys = list(table.keys)
         probes = wanted.select(bucket_of(keys, table.buckets).alias("bucket"), _bit_of(keys).alias("bit")).distinct()
@@ -219,16 +219,23 @@ class SnapshotTables:
             replaced = dict.fromkeys(held, folded)
         return Change(name, table, {b: commit for b in touched if b not in replaced}, replaced, sizes)
 
-    def stage_replacement(self, version: Version, name: str, rows: DataFrame, keys: Sequence[str]) -> Change:
-        """Write the buckets that rows touch: rows with other keys as they are, those with the same keys replaced."""
+    def stage_replacement(
+        self, version: Version, name: str, rows: DataFrame, keys: Sequence[str], gone: DataFrame | None = None
+    ) -> Change:
+        """Write the buckets that rows touch: rows with other keys as they are, those with the same keys replaced.
+
+        ``gone`` holds further keys whose rows go, whether ``rows`` has some for them or not.
+        """
         table = self._table(version, name, rows, keys)
-        keyed = rows.withColumn("__bucket", bucket_of(keys, table.buckets))
-        touched = sorted(r[0] for r in keyed.select("__bucket").distinct().collect())
+        sent = rows.select(*keys)
+        sent = (sent if gone is None else sent.union(gone.select(*keys))).distinct()
+        places = sent.select(bucket_of(keys, table.buckets).alias("bucket")).distinct()
+        touched = sorted(r[0] for r in places.collect())
         stored = self._rows(name, table, [(c, b) for b in touched for c in table.folders.get(b, ())])
-        sent = rows.select(*keys).distinct()
         kept = stored.join(sent, same(stored, sent, keys), "left_anti")
         commit, held = self._write(name, kept.unionByName(rows.select(*stored.columns)), table)
-        return Change(name, table, {}, dict.fromkeys(held, commit), {commit: len(held)})
+        emptied = {b: "" for b in touched if b not in held and table.folders.get(b)}
+        return Change(name, table, {}, {**dict.fromkeys(held, commit), **emptied}, {commit: len(held)})
 
     def _table(self, version: Version, name: str, rows: DataFrame, keys: Sequence[str]) -> Table:
         # Nullability isn't part of what a table promises: files hold nullable columns.
@@ -297,7 +304,7 @@ class SnapshotTables:
             for bucket, commit in change.added.items():
                 folders[bucket] = (*folders.get(bucket, ()), commit)
             for bucket, commit in change.replaced.items():
-                folders[bucket] = (commit,)
+                folders[bucket] = (commit,) if commit else ()
             live = {c for commits in folders.values() for c in commits}
             sizes = {c: n for c, n in {**table.sizes, **change.sizes}.items() if c in live}
             tables[change.name] = Table(table.schema, table.keys, table.buckets, folders, sizes)

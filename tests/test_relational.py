@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import random
 import statistics
@@ -125,6 +126,41 @@ def test_members_and_lists(spark, rows):
     assert rows(A.member_lists(df, "g", "m")) == [(1, "a, b", 2), (2, "c", 1)]
 
 
+def test_pieces_follow_the_rows_not_the_order_values(spark):
+    """One key holds half the rows at timestamps far apart, another at almost one time; no piece is large."""
+    def moment(i):
+        return datetime.datetime(2020, 1, 1) + datetime.timedelta(seconds=i**3 if i < 1500 else 1500**3 + i)
+
+    rows = [("hot", moment(i), i) for i in range(3000)] + [(None, moment(i), i) for i in range(1000)]
+    rows += [(f"g{i % 200}", moment(i), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, t timestamp, i int").repartition(5)
+    cut = W.pieces(df, ["g"], "t", 100)
+    sizes = [(r["g"], r["count"]) for r in cut.groupBy("g", "__piece").count().collect()]
+    assert sum(n for _, n in sizes) == 6000 and max(n for _, n in sizes) <= 200
+    assert {g for g, _ in sizes if sizes.count((g, 10)) == 0} >= {"hot", None}
+    # Places sort like the rows.
+    placed = sorted((r["g"] or "", r["__piece"], r["t"]) for r in cut.collect())
+    assert placed == sorted(placed, key=lambda r: (r[0], r[2]))
+
+
+@pytest.mark.parametrize("fan_out", [2, 64])
+def test_forward_fill_along_timestamps(spark, monkeypatch, fan_out):
+    monkeypatch.setattr(W, "FAN_OUT", fan_out)
+    rng = random.Random(3)
+    start = datetime.datetime(2024, 1, 1)
+    rows = [
+        (rng.choice(["hot", "hot", "hot", "a", None]), start + datetime.timedelta(seconds=7 * i * i), rng.choice([None, None, i]))
+        for i in range(1500)
+    ]
+    df = spark.createDataFrame(rows, "g string, t timestamp, v int").repartition(6)
+    expected, last = [], {}
+    for g, t, v in rows:
+        last[g] = v if v is not None else last.get(g)
+        expected.append((g, t, last[g]))
+    got = [tuple(r) for r in W.forward_fill(df, ["v"], ["g"], "t", chunk=40).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize("chunk", [1, 3, 10, 1000])
 def test_forward_fill_across_chunks(spark, chunk):
     rng = random.Random(chunk)
