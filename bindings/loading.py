@@ -67,6 +67,40 @@ def _scan_landing(spark, sf, folder):
     )
 
 
+@query(
+    "landing_reconciles",
+    """SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'not a JSON object' WHEN o_orderkey % 10 = 1 THEN 'type of price'
+WHEN o_orderkey % 10 = 2 THEN 'type of key, price' ELSE 'loaded' END AS outcome, count(*) AS lines,
+CAST(sum(CASE WHEN o_orderkey % 10 > 2 THEN o_orderkey ELSE 0 END) AS BIGINT) AS keys, true AS adds_up
+FROM orders GROUP BY outcome""",
+)
+@in_folders
+def _landing_reconciles(spark, sf, folder):
+    """Three of ten lines are broken: cut off, or with words in place of numbers. Two runs, a file each."""
+    root, target, lane = folder("landing"), folder("good"), folder("lane")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"))
+    line, kind = F.to_json(F.struct("key", "price")), F.col("key") % 10
+    broken = (
+        F.when(kind == 0, F.expr("left(l, length(l) - 3)"))
+        .when(kind == 1, F.concat(F.lit('{"key":'), F.col("key"), F.lit(',"price":"oops"}')))
+        .when(kind == 2, F.lit('{"key":"x","price":[1]}'))
+        .otherwise(F.col("l"))
+    )
+    lines = o.withColumn("l", line).select("key", broken.alias("value"))
+    schema, progress = "key long, price double", folder("progress")
+    for part in (0, 1):
+        lines.where(F.col("key") % 2 == part).select("value").coalesce(2).write.mode("append").text(L.landing_path(root, "log"))
+        L.load_landing(spark, root, "log", schema, target, lane, progress, files_per_batch=1)
+    good = spark.read.schema("key long, price double, source_file string").parquet(target)
+    kept = spark.read.schema("source_file string, line string, reason string").parquet(lane)
+    counts = L.reconcile(L.parse_lines(L.landing_lines(spark, root, "log"), schema), good, kept)
+    whole = counts.agg(F.bool_and("adds_up").alias("adds_up"))
+    loaded = good.select(F.lit("loaded").alias("outcome"), "key")
+    refused = kept.select(F.col("reason").alias("outcome"), F.lit(0).cast("long").alias("key"))
+    outcomes = loaded.unionByName(refused).groupBy("outcome").agg(F.count(F.lit(1)).alias("lines"), F.sum("key").alias("keys"))
+    return outcomes.withColumn("adds_up", whole.scalar())
+
+
 @query(
     "append_and_replace",
     """SELECT 'appended' AS step, count(*) * 2 AS rows FROM orders

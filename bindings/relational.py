@@ -8,9 +8,11 @@ from bindings.common import POINTS_CTE, game_rows, query, r, sql_round, table
 from courtstats.functions import columns as C
 from courtstats.operators import aggregates as A
 from courtstats.operators import joins as J
+from courtstats.operators import keysets as K
 from courtstats.operators import ordering as O
 from courtstats.operators import projection as P
 from courtstats.operators import quality as Q
+from courtstats.operators import quantiles as N
 from courtstats.operators import sets as U
 from courtstats.operators import windows as W
 from courtstats.plans import reports
@@ -840,3 +842,109 @@ def _audit_schema(spark, sf):
     }
     registry = {t: StructType.fromDDL(ddl) for t, ddl in declared.items()}
     return Q.audit_schema(spark, registry, _given(spark, sf, ["part", "nation"]), with_rows=True)
+
+
+# --- Key sets, quantiles, column reports -----------------------------------------------
+
+
+@query(
+    "count_distinct_keys",
+    "SELECT l_suppkey, count(DISTINCT l_orderkey) AS games FROM lineitem GROUP BY l_suppkey",
+)
+def _count_distinct_keys(spark, sf):
+    return K.count_distinct_keys(table(spark, sf, "lineitem"), ["l_suppkey"], "l_orderkey", "games")
+
+
+@query("key_set_difference", _TODO_SQL)
+def _key_set_difference(spark, sf):
+    return K.key_difference(*_load_frames(spark, sf), "k")
+
+
+@query(
+    "key_set_sizes",
+    f"""WITH t AS (SELECT DISTINCT o_orderkey - 700 AS k FROM orders WHERE o_orderkey % 9 <> 0),
+d AS (SELECT DISTINCT l_orderkey - 700 AS k FROM lineitem WHERE l_shipdate < TIMESTAMP '{_CUTOFF}')
+SELECT (SELECT count(*) FROM t) AS target, (SELECT count(*) FROM d) AS done,
+(SELECT count(*) FROM t JOIN d USING (k)) AS both, (SELECT count(*) FROM t ANTI JOIN d USING (k)) AS to_do,
+(SELECT count(*) FROM d ANTI JOIN t USING (k)) AS surplus""",
+)
+def _key_set_sizes(spark, sf):
+    """Also below zero; some loaded games are not in the plan."""
+    target, done = (df.withColumn("k", F.col("k") - 700) for df in _load_frames(spark, sf))
+    return K.set_sizes(target.where((F.col("k") + 700) % 9 != 0), done, "k")
+
+
+_NATION_PRICES = """SELECT n_name AS nation, o_totalprice AS price FROM orders JOIN customer ON c_custkey = o_custkey
+JOIN nation ON n_nationkey = c_nationkey"""
+
+
+def _nation_prices(spark, sf):
+    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+    prices = table(spark, sf, "orders").join(customer, F.col("c_custkey") == F.col("o_custkey"))
+    prices = prices.join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+    return prices.select(F.col("n_name").alias("nation"), F.col("o_totalprice").alias("price"))
+
+
+@query(
+    "quantiles_by_group",
+    f"""WITH p AS ({_NATION_PRICES}), q AS (SELECT unnest([0.0, 0.25, 0.5, 0.75, 0.99, 1.0]) AS share),
+ranked AS (SELECT nation, price, row_number() OVER (PARTITION BY nation ORDER BY price) AS nr,
+count(*) OVER (PARTITION BY nation) AS n FROM p)
+SELECT nation, CAST(share AS DOUBLE) AS share, min(price) AS value FROM ranked JOIN q ON nr >= greatest(ceil(CAST(share AS DOUBLE) * n), 1)
+GROUP BY ALL""",
+)
+def _quantiles_by_group(spark, sf):
+    return N.exact_quantiles(_nation_prices(spark, sf), ["nation"], "price", [0, 0.25, 0.5, 0.75, 0.99, 1], bins=16, bin_rows=8)
+
+
+@query(
+    "quartiles_by_group",
+    f"""WITH p AS ({_NATION_PRICES}) SELECT nation, quantile_disc(price, 0.25) AS q1, median(price) AS median,
+quantile_disc(price, 0.75) AS q3 FROM p GROUP BY nation""",
+)
+def _quartiles_by_group(spark, sf):
+    prices = _nation_prices(spark, sf)
+    ends = N.exact_quantiles(prices, ["nation"], "price", [0.25, 0.75])
+    both = ends.groupBy("nation").agg(
+        F.max(F.when(F.col("share") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("share") == 0.75, F.col("value"))).alias("q3"),
+    )
+    return both.join(N.exact_medians(prices, ["nation"], "price"), "nation")
+
+
+@query(
+    "has_columns",
+    """SELECT c.name AS column_name, d.data_type IS NOT NULL AS found, CASE d.data_type WHEN 'BIGINT' THEN 'bigint'
+WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END AS data_type
+FROM (VALUES ('o_orderkey'), ('o_totalprice'), ('o_orderstatus'), ('o_referee')) AS c(name)
+LEFT JOIN (SELECT column_name, data_type FROM duckdb_columns() WHERE table_name = 'orders' UNION
+           SELECT column_name, column_type FROM (DESCRIBE orders)) d ON d.column_name = c.name""",
+)
+def _has_columns(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    return Q.column_report(orders, ["o_orderkey", "o_totalprice", "o_orderstatus", "o_referee"])
+
+
+def _profile_sql(column: str) -> str:
+    text = {"o_orderpriority": "v", "o_orderstatus": "v"}.get(column, "CAST(v AS VARCHAR)")
+    value = f"CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE {column} END"
+    return f"""SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count(v) AS nulls,
+round((count(*) - count(v)) / count(*), 4) AS null_share, {text.replace('v', 'min(v)', 1)} AS smallest,
+{text.replace('v', 'max(v)', 1)} AS largest, count(DISTINCT v) AS distinct_values,
+(SELECT max(c) FROM (SELECT count(*) AS c FROM (SELECT {value} AS v FROM orders) WHERE v IS NOT NULL GROUP BY v)) AS most
+FROM (SELECT {value} AS v FROM orders)"""
+
+
+@query(
+    "column_profile",
+    " UNION ALL ".join(_profile_sql(c) for c in ("o_orderstatus", "o_orderpriority")),
+)
+def _column_profile(spark, sf):
+    """Columns of few values, so that the sketches are exact."""
+    cols = ["o_orderstatus", "o_orderpriority"]
+    orders = table(spark, sf, "orders").select(*[F.when(F.col("o_orderkey") % 8 != 0, F.col(c)).alias(c) for c in cols])
+    found = Q.column_profile(orders)
+    return found.select(
+        "column_name", "rows", "nulls", F.round("null_share", 4).alias("null_share"), "smallest", "largest",
+        "distinct_values", F.array_max(F.transform("frequent", lambda e: e["count"])).alias("most"),
+    )

@@ -100,6 +100,44 @@ def profile(
     return out
 
 
+def column_report(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """The wanted columns of a table: whether each is there, and its type."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rows = [(c, c in actual, actual.get(c)) for c in wanted]
+    return df.sparkSession.createDataFrame(rows, "column_name string, found boolean, data_type string")
+
+
+def column_profile(df: DataFrame, cols: Sequence[str] | None = None, top: int = 3) -> DataFrame:
+    """One row per column: rows, nulls and their share, smallest and largest value, distinct values and the most frequent ones.
+
+    All come from one aggregate that tasks combine: sketches stand for distinct and frequent values, so both are
+    estimates for columns of many values and exact for columns of few. ``frequent`` is an array of (item, count) as text. Nested
+    columns have counts only; an empty table has zeros.
+    """
+    chosen = {f.name: f.dataType for f in df.schema.fields if cols is None or f.name in cols}
+    parts = []
+    for name, kind in chosen.items():
+        flat = kind.typeName() not in ("array", "map", "struct", "variant", "binary")
+        text = f"cast({f'`{name}`' if flat else 'null'} as string)"
+        items = F.expr(f"approx_top_k({text}, {top}, 10000)")
+        frequent = F.transform(items, lambda e: F.struct(e["item"].alias("item"), e["count"].alias("count")))
+        parts.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.lit(kind.simpleString()).alias("data_type"),
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(F.col(f"`{name}`").isNull()).alias("nulls"),
+                (F.min(f"`{name}`") if flat else F.lit(None)).cast("string").alias("smallest"),
+                (F.max(f"`{name}`") if flat else F.lit(None)).cast("string").alias("largest"),
+                F.approx_count_distinct(F.expr(text), 0.01).alias("distinct_values"),
+                F.filter(frequent, lambda e: e["item"].isNotNull()).alias("frequent"),
+            )
+        )
+    rows = df.agg(F.array(*parts).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    share = F.when(F.col("rows") > 0, F.col("nulls") / F.col("rows"))
+    return rows.withColumn("null_share", share)
+
+
 def completeness(df: DataFrame, key: str, n: int = 2) -> DataFrame:
     """Keys that do not have exactly ``n`` rows."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") != n)

@@ -61,8 +61,11 @@ def scan_jdbc(
 def scan_csv(
     spark: SparkSession, path: str, schema: StructType | str, cols: Sequence[str] | None = None
 ) -> DataFrame:
-    """CSV with a header and an explicit schema: no inference, so ids keep leading zeros."""
-    df = spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+    """CSV with a header and an explicit schema: no inference, so ids keep leading zeros.
+
+    A line that doesn't fit the schema stops the scan.
+    """
+    df = spark.read.schema(schema).csv(path, header=True, enforceSchema=False, mode="FAILFAST")
     return df.select(*cols) if cols else df
 
 
