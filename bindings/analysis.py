@@ -24,7 +24,7 @@ from bindings.common import (
 from courtstats.functions.columns import cut, rounded
 from courtstats.operators import fit
 from courtstats.operators.aggregates import argmax_by, exact_median, member_lists, members, pivot_mean
-from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans, standardize
+from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans, kmeans_steps, standardize
 from courtstats.plans import archetypes, closing
 from courtstats.plans.maintained import MaintainedClosing
 from courtstats.session import materialize
@@ -687,36 +687,116 @@ def _standardize(spark, sf):
 
 
 def _archetypes(spark, sf):
-    return archetypes.team_archetypes(points(spark, sf), 5, 42, EDGES, LABELS)
+    return archetypes.team_archetypes(points(spark, sf), 5, EDGES, LABELS)
+
+
+def _steps_sql(k: int, steps: int) -> str:
+    """CTEs ``lab(key, c)`` and ``mid(c, f)`` from ``z(key, f)``: the rules of ``kmeans_steps``, a step per CTE."""
+    away = "round(list_distance({0}, {1}), 9)"
+    out = ["h AS MATERIALIZED (SELECT key, f, md5(CAST(key AS VARCHAR)) AS m FROM z ORDER BY m, f LIMIT 1000)"]
+    out.append("e0 AS MATERIALIZED (SELECT 0 AS c, f FROM h ORDER BY m, f LIMIT 1)")
+    for j in range(1, k):
+        furthest = (
+            f"(SELECT {j} AS c, f FROM (SELECT h.f, h.m, min({away.format('h.f', 'e.f')}) AS d FROM h, e{j - 1} e GROUP BY ALL) "
+            "WHERE d > 0 ORDER BY d DESC, m, f LIMIT 1)"
+        )
+        out.append(f"e{j} AS MATERIALIZED (SELECT * FROM e{j - 1} UNION ALL {furthest})")
+    out.append(f"s0 AS MATERIALIZED (SELECT * FROM e{k - 1})")
+
+    def nearest(centres: str) -> str:
+        return (
+            f"SELECT key, any_value(z.f) AS f, arg_min(e.c, {{'d': {away.format('z.f', 'e.f')}, 'c': e.c}}) AS c "
+            f"FROM z, {centres} e GROUP BY key"
+        )
+
+    for t in range(1, steps + 1):
+        cells = f"SELECT c, unnest(f) AS v, generate_subscripts(f, 1) AS i FROM ({nearest(f's{t - 1}')})"
+        means = f"SELECT c, i, round(avg(v), 9) + 0.0 AS v FROM ({cells}) GROUP BY c, i"
+        new = f"SELECT c, list(v ORDER BY i) AS f FROM ({means}) GROUP BY c"
+        out.append(f"s{t} AS MATERIALIZED (SELECT s.c, coalesce(n.f, s.f) AS f FROM s{t - 1} s LEFT JOIN ({new}) n USING (c))")
+    out.append(f"mid AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY f) - 1 AS INTEGER) AS c, f FROM s{steps})")
+    out.append(f"lab AS MATERIALIZED (SELECT key, c FROM ({nearest('mid')}))")
+    return ",\n".join(out)
+
+
+def _scaled_sql(cols: list[str], source: str) -> str:
+    """CTE ``z(key, f)``: the columns of a source with a team, standardised."""
+    cells = [
+        f'("{c}" - avg("{c}") OVER ()) / CASE WHEN stddev_pop("{c}") OVER () > 0 THEN stddev_pop("{c}") OVER () ELSE 1 END'
+        for c in cols
+    ]
+    return f"z AS MATERIALIZED (SELECT team AS key, [{', '.join(cells)}] AS f FROM {source})"
+
+
+_FEATURES = ", ".join(f"coalesce(avg(v) FILTER (situation = '{c}'), 0) AS \"{c}\"" for c in LABELS)
+_ARCHETYPES_SQL = f"""WITH {_matrix_sql(3)}, m AS MATERIALIZED (SELECT team, {_FEATURES} FROM res GROUP BY team),
+{_scaled_sql(LABELS, 'm')}, {_steps_sql(5, 12)}"""
+
+
+def _archetypes(spark, sf):
+    return archetypes.team_archetypes(points(spark, sf), 5, EDGES, LABELS)
+
+
+def _rounded_sql(cols: list[str]) -> str:
+    return ", ".join(f'{sql_round(f"{chr(34)}{c}{chr(34)}")} AS "{c}"' for c in cols)
 
 
-@query("team_archetypes")
+@query("team_archetypes", f'{_ARCHETYPES_SQL} SELECT team AS "Team", {_rounded_sql(LABELS)}, c AS cluster FROM m JOIN lab ON key = team')
 def _team_archetypes(spark, sf):
-    return _archetypes(spark, sf)
+    return _archetypes(spark, sf).select(TEAM, *[r(c) for c in LABELS], "cluster")
+
+
+def _profiles_sql(extra: str = "") -> str:
+    """Means per cluster with the names of the largest and the smallest."""
+    means = ", ".join(f'avg("{c}") AS "{c}"' for c in LABELS)
+    values = f"[{', '.join(chr(34) + c + chr(34) for c in LABELS)}]"
+    names = "[" + ", ".join(f"'{c}'" for c in LABELS) + "]"
+    best = f"{names}[list_position({values}, list_max({values}))] AS best"
+    worst = f"{names}[list_position({values}, list_min({values}))] AS worst"
+    return f"""SELECT cluster, size, {_rounded_sql(LABELS)}, {best}, {worst}{extra} FROM
+(SELECT c AS cluster, count(*) AS size, {means}{', avg(best) AS d' if extra else ''} FROM m JOIN lab ON key = team GROUP BY c)"""
 
 
-@query("archetype_profiles")
+@query("archetype_profiles", f"{_ARCHETYPES_SQL} {_profiles_sql()}")
 def _archetype_profiles(spark, sf):
-    return archetypes.archetype_profiles(_archetypes(spark, sf), LABELS)
+    found = archetypes.archetype_profiles(_archetypes(spark, sf), LABELS)
+    return found.select("cluster", "size", *[r(c) for c in LABELS], "best", "worst")
 
 
-@query("archetype_members")
+@query(
+    "archetype_members",
+    f"{_ARCHETYPES_SQL} SELECT c AS cluster, string_agg(key, ', ' ORDER BY key) AS members, count(*) AS size FROM lab GROUP BY c",
+)
 def _archetype_members(spark, sf):
     return member_lists(_archetypes(spark, sf), "cluster", TEAM)
 
 
-@query("team_archetypes_advanced")
+_ADVANCED_SQL = f"""{_TEAM_CV}, {ladder_ctes('pts', 'league1', 1)},
+res1 AS (SELECT team, {SITUATION_SQL} AS situation, y - {horner_sql(1, 'league1')} AS v FROM pts CROSS JOIN league1),
+m AS MATERIALIZED (SELECT f.*, best FROM (SELECT team, {_FEATURES} FROM res1 GROUP BY team) f JOIN wide USING (team)
+WHERE best IS NOT NULL), {_scaled_sql([*LABELS, 'best'], 'm')}, {_steps_sql(6, 12)}"""
+
+
+@query(
+    "team_archetypes_advanced",
+    f"""{_ADVANCED_SQL} SELECT team AS "Team", {_rounded_sql(LABELS)}, best AS "Best_Degree", c AS cluster FROM m JOIN lab ON key = team""",
+)
 def _team_archetypes_advanced(spark, sf):
     p = points(spark, sf)
-    return archetypes.team_archetypes_advanced(p, closing.team_best_fits(p), 6, 42, EDGES, LABELS)
+    made = archetypes.team_archetypes_advanced(p, closing.team_best_fits(p), 6, EDGES, LABELS)
+    return made.select(TEAM, *[r(c) for c in LABELS], "Best_Degree", "cluster")
 
 
-@query("archetype_profiles_advanced")
+@query(
+    "archetype_profiles_advanced",
+    f"""{_ADVANCED_SQL} {_profiles_sql(", round(d, 4) AS avg_degree, CASE WHEN d < 1.5 THEN 'Linear' ELSE 'Complex' END AS complexity")}""",
+)
 def _archetype_profiles_advanced(spark, sf):
     p = points(spark, sf)
     best = closing.team_best_fits(p)
-    clustered = archetypes.team_archetypes_advanced(p, best, 6, 42, EDGES, LABELS)
-    return archetypes.archetype_profiles_advanced(clustered, LABELS)
+    clustered = archetypes.team_archetypes_advanced(p, best, 6, EDGES, LABELS)
+    found = archetypes.archetype_profiles_advanced(clustered, LABELS)
+    return found.select("cluster", "size", *[r(c) for c in LABELS], "best", "worst", r("avg_degree"), "complexity")
 
 
 @query(
@@ -787,61 +867,19 @@ def _archetype_facts(spark, sf):
 )
 def _archetype_facts_advanced(spark, sf):
     p = points(spark, sf)
-    made = archetypes.team_archetypes_advanced(p, closing.team_best_fits(p), 6, 42, EDGES, LABELS)
+    made = archetypes.team_archetypes_advanced(p, closing.team_best_fits(p), 6, EDGES, LABELS)
     cols = [*LABELS, "Best_Degree"]
     return _cluster_facts(standardize(made, cols), [F.col(f"{c}_z") for c in cols], 6)
 
 
-@query("kmeans_embeddings")
-def _kmeans_embeddings(spark, sf):
-    clustered = kmeans(table(spark, sf, "embeddings"), "embedding", 5)
-    return clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-
-
-_DIMENSIONS = 64
-_E = [f"e{i}" for i in range(_DIMENSIONS)]
-
-
-def _named(pick: str) -> str:
-    cases = " ".join(f"WHEN {c} THEN '{c}'" for c in _E)
-    return f"CASE {pick}({', '.join(_E)}) {cases} END"
-
-
-@query(
-    "cluster_profile",
-    f"""WITH p AS (SELECT label AS cluster, count(*) AS size,
-{', '.join(f'avg(embedding[{i + 1}]) AS e{i}' for i in range(_DIMENSIONS))} FROM embeddings GROUP BY label)
-SELECT cluster, size, {', '.join(f'round({c}, 6) AS {c}' for c in _E)},
-{_named('greatest')} AS best, {_named('least')} AS worst FROM p""",
-)
-def _cluster_profile(spark, sf):
-    e = table(spark, sf, "embeddings").select(
-        F.col("label").alias("cluster"), *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(_E)]
-    )
-    p = cluster_profile(e, "cluster", _E)
-    return p.select("cluster", "size", *[r(c, 6) for c in _E], "best", "worst")
-
-
 @query(
-    "members",
-    """SELECT n_regionkey, n_name, count(*) OVER (PARTITION BY n_regionkey) AS size
-FROM nation JOIN (SELECT DISTINCT c_nationkey FROM customer) ON c_nationkey = n_nationkey""",
+    "kmeans_embeddings",
+    f"""WITH z AS MATERIALIZED (SELECT vec_id AS key, CAST(embedding AS DOUBLE[]) AS f FROM embeddings), {_steps_sql(5, 6)}
+SELECT c AS cluster, count(*) AS size FROM lab GROUP BY c""",
 )
-def _members(spark, sf):
-    c = table(spark, sf, "customer")
-    n = table(spark, sf, "nation")
-    return members(c.join(n, c.c_nationkey == n.n_nationkey), "n_regionkey", "n_name")
-
-
-@query(
-    "member_lists",
-    """SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS members, count(*) AS size
-FROM nation JOIN (SELECT DISTINCT c_nationkey FROM customer) ON c_nationkey = n_nationkey GROUP BY n_regionkey""",
-)
-def _member_lists(spark, sf):
-    c = table(spark, sf, "customer")
-    n = table(spark, sf, "nation")
-    return member_lists(c.join(n, c.c_nationkey == n.n_nationkey), "n_regionkey", "n_name")
+def _kmeans_embeddings(spark, sf):
+    clustered = kmeans_steps(table(spark, sf, "embeddings"), "embedding", 5, "vec_id", steps=6)
+    return clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
 # --- Maintained analyses ---------------------------------------------------------------

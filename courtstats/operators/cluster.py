@@ -5,13 +5,15 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtstats.functions.columns import argmax_name, argmin_name, label_if
+from courtstats.session import materialize
 
 
 def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
@@ -84,6 +86,72 @@ def kmeans(
     )
 
 
+#: Rows among which the first centres of :func:`kmeans_steps` are chosen.
+SEED_ROWS = 1000
+#: Decimals to which distances and centres are rounded before they are compared.
+DECIMALS = 9
+
+
+def _distance(features: Column, centre: Column) -> Column:
+    squares = F.zip_with(features, centre, lambda a, b: (a - b) * (a - b))
+    return F.round(F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, v: s + v)), DECIMALS)
+
+
+def _nearest(features: Column, centres: list[list[float]]) -> Column:
+    """Number of the nearest centre, the smaller one of a tie."""
+    known = F.array(*[F.lit(c) for c in centres])
+    return F.array_min(F.transform(known, lambda c, i: F.struct(_distance(features, c).alias("d"), i.alias("i"))))["i"]
+
+
+def _first_centres(rows: DataFrame, k: int) -> list[list[float]]:
+    """The row of the smallest hash, then always the row furthest from all centres so far, among the sample."""
+    taken = rows.orderBy("__hash", "__features").limit(SEED_ROWS).select("__features").toArrow()
+    points = np.array(taken["__features"].to_pylist(), np.float64).reshape(len(taken), -1)
+    centres, away = [], np.full(len(points), np.inf)
+    while len(centres) < min(k, len(points)) and away.max() > 0:
+        centres.append(points[int(np.argmax(away))].tolist())  # the first of a tie has the smaller hash
+        away = np.minimum(away, np.round(np.sqrt(((points - centres[-1]) ** 2).sum(1)), DECIMALS))
+    return centres
+
+
+def kmeans_steps(
+    df: DataFrame, features: Sequence[str] | str, k: int, key: str, steps: int = 25, name: str = "cluster"
+) -> DataFrame:
+    """Cluster label per row by rules that give the same labels for every layout of the rows.
+
+    First centres: among the ``SEED_ROWS`` rows of the smallest md5 of the key, the first, then the one furthest from those
+    chosen. Then up to ``steps`` times every row joins its nearest centre and centres move to the
+    mean of their rows; a centre that no row joins stays. Distances and means are rounded to ``DECIMALS``, ties go to the
+    earlier centre. Labels number the centres in their order. Each step is one aggregate of k rows; it ends when no centre
+    moves. Rows with a null feature get no label and count nowhere. With fewer distinct rows in the sample than ``k``
+    there are fewer clusters, and a warning says how many.
+    """
+    if k < 1:
+        raise ValueError(f"k must be positive, not {k}")
+    listed = F.col(features) if isinstance(features, str) else F.array(*features)
+    marked = df.withColumns({"__features": listed.cast("array<double>"), "__hash": F.md5(F.col(key).cast("string"))})
+    rows = materialize(marked)
+    full = rows.where(F.col("__features").isNotNull() & F.forall("__features", lambda v: v.isNotNull()))
+    centres = _first_centres(full, k)
+    if len(centres) < k:
+        warnings.warn(f"only {len(centres)} distinct rows for {k} clusters", stacklevel=2)
+    if not centres:
+        return rows.withColumn(name, F.lit(None).cast("int")).drop("__features", "__hash")
+    width = range(len(centres[0]))
+    for _ in range(steps):
+        joined = full.select(_nearest(F.col("__features"), centres).alias("c"), "__features").groupBy("c")
+        means = joined.agg(*[F.round(F.avg(F.col("__features")[i]), DECIMALS).alias(f"m{i}") for i in width])
+        moved = list(centres)
+        for row in means.collect():
+            moved[row["c"]] = [row[f"m{i}"] + 0.0 for i in width]
+        if moved == centres:
+            break
+        centres = moved
+    whole = F.col("__features").isNotNull() & F.forall("__features", lambda v: v.isNotNull())
+    label = F.when(whole, _nearest(F.col("__features"), sorted(centres)))
+    return rows.withColumn(name, label).drop("__features", "__hash")
+
+
 def cluster_profile(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
     """Cluster centres in original units, with size and the best and worst feature."""
     profile = df.groupBy(cluster).agg(

@@ -6,44 +6,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans, standardize
+from courtstats.operators.cluster import cluster_complexity, cluster_profile, kmeans_steps, standardize
 from courtstats.operators.joins import feature_join
 from courtstats.plans.closing import TEAM, situational_matrix
 from courtstats.schemas import BEST_FIT_DDL, SITUATION_EDGES, SITUATION_LABELS
-from courtstats.session import materialize
 from courtstats.sources.tables import scan_csv, write_csv
 
 
-def _clustered(features: DataFrame, cols: Sequence[str], k: int, seed: int) -> DataFrame:
-    # One row per team; k-means reads it many times.
-    scaled = materialize(standardize(features, cols))
-    return kmeans(scaled, [c + "_z" for c in cols], k, seed).drop(*[c + "_z" for c in cols])
+def _clustered(features: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
+    scaled = standardize(features, cols)
+    return kmeans_steps(scaled, [c + "_z" for c in cols], k, TEAM).drop(*[c + "_z" for c in cols])
 
 
 def team_archetypes(
     points: DataFrame,
     k: int = 5,
-    seed: int = 42,
     edges: Sequence[float] = SITUATION_EDGES,
     labels: Sequence[str] = SITUATION_LABELS,
 ) -> DataFrame:
     """Situational features (against the cubic league curve) and a cluster per team."""
     features = situational_matrix(points, 3, edges, labels, fill=0.0)
-    return _clustered(features, list(labels), k, seed)
+    return _clustered(features, list(labels), k)
 
 
 def team_archetypes_advanced(
     points: DataFrame,
     best_fits: DataFrame,
     k: int = 6,
-    seed: int = 42,
     edges: Sequence[float] = SITUATION_EDGES,
     labels: Sequence[str] = SITUATION_LABELS,
 ) -> DataFrame:
     """Situational features (against the linear league fit), best degree, and a cluster per team."""
     features = situational_matrix(points, 1, edges, labels, fill=0.0)
     joined = feature_join(features, best_fits, TEAM, ["Best_Degree"])
-    return _clustered(joined, [*labels, "Best_Degree"], k, seed)
+    return _clustered(joined, [*labels, "Best_Degree"], k)
 
 
 def archetype_profiles(

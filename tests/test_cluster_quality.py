@@ -92,3 +92,35 @@ def test_load_status(spark):
     target = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "k string")
     done = spark.createDataFrame([("c",), ("z",)], "k string")
     assert tuple(Q.load_status(target, done, ["k"]).first()) == (3, 2, 2)
+
+
+def test_kmeans_steps_gives_equal_labels_for_every_layout(spark, rows):
+    import random
+
+    rng = random.Random(1)
+    centres = [(0.0, 0.0), (8.0, 0.0), (0.0, 8.0), (9.0, 9.0)]
+    data = [(i, *[c + rng.gauss(0, 2) for c in centres[i % 4]]) for i in range(400)]
+    data += data[:10] + [(900, None, 1.0), (901, 1.0, None)]
+    df = spark.createDataFrame(data, "id int, x double, y double")
+    found = [rows(K.kmeans_steps(df.repartition(n), ["x", "y"], 4, "id")) for n in (1, 3, 7)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 412
+    labels = {r[0]: r[3] for r in found[0]}
+    assert labels[900] is None and labels[901] is None
+    assert {labels[i] for i in range(400)} == {0, 1, 2, 3}
+    # Labels follow the order of the centres, and nearly all rows lie with their own group.
+    middle = {c: [r for r in found[0] if r[3] == c] for c in range(4)}
+    means = [tuple(sum(v) / len(v) for v in zip(*[r[1:3] for r in middle[c]])) for c in range(4)]
+    assert means == sorted(means)
+    arrays = df.dropna().selectExpr("id", "array(x, y) AS v")
+    assert [(r[0], r[2]) for r in rows(K.kmeans_steps(arrays, "v", 4, "id"))] == [(r[0], r[3]) for r in found[0] if r[3] is not None]
+
+
+def test_kmeans_steps_of_few_rows(spark, rows):
+    two = spark.createDataFrame([(1, 1.0), (2, 1.0), (3, 5.0)], "id int, x double")
+    with pytest.warns(UserWarning, match="2 distinct"):
+        assert rows(K.kmeans_steps(two, ["x"], 4, "id"), "id", "cluster") == [(1, 0), (2, 0), (3, 1)]
+    with pytest.warns(UserWarning, match="0 distinct"):
+        assert rows(K.kmeans_steps(two.limit(0), ["x"], 2, "id")) == []
+    assert {r.cluster for r in K.kmeans_steps(two, ["x"], 1, "id").collect()} == {0}
+    with pytest.raises(ValueError):
+        K.kmeans_steps(two, ["x"], 0, "id")
