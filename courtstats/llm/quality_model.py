@@ -238,8 +238,9 @@ def fit(
 ) -> FactorisationMachine:
     """Fit on at most ``sample_limit`` labelled rows that aren't held out, taken in hash order of the id.
 
-    Rows whose label is null are not learnt from; an id with contradicting labels counts as bad; a
-    document that occurs twice under an id is learnt twice. Without any label the machine gives 0.5 + everywhere.
+    Rows whose label is null are not learnt from; an id with contradicting labels counts as bad. Of several
+    rows under one id that with the smallest hash of its text is learnt, so the same rows give the same weights in every layout. Without any label
+    nothing is learnt: scores are those of the small random weights the fit begins with.
     """
     usable = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = (
@@ -253,8 +254,9 @@ def fit(
     rows = inputs.join(F.broadcast(chosen), F.col("_key") == F.col("_chosen")).select(
         "_key", F.col("_label").cast("double").alias("_label"), *inputs.columns[1:]
     )
-    # Only ids are unique to the sample's bound; repeated documents of an id are taken once.
-    rows = rows.dropDuplicates(["_key"])
+    # One row per id, the same one whatever the layout: a hot id is cut to one row within each task.
+    first = F.struct(F.xxhash64("_text").alias("_hash"), *rows.columns[1:])
+    rows = rows.groupBy("_key").agg(F.min(first).alias("_first")).select("_key", "_first.*").drop("_hash")
     table = _features_of(rows, ["_key", "_label"], meta, buckets).toArrow()
     size = buckets + len(STRUCTURE) + 2 * len(meta)
     order = np.argsort(table.column("_key").to_numpy(), kind="stable")

@@ -1,10 +1,9 @@
 """Quality rule: hashed n-gram likelihood ratio between trusted documents and the raw corpus.
 
 Words and word pairs are hashed into a fixed number of buckets. Two multinomials are counted:
-over all documents, and over the trusted ones (labelled good and not toxic; at most ``trusted_limit`` of
-them, in hash order, the documented bound on labelled rows). A document's score is the mean log ratio of
+over all documents, and over all trusted ones (labelled good and not toxic). A document's score is the mean log ratio of
 its n-grams. The threshold is the ``tail`` quantile of the scores of trusted documents kept out of the
-counts, so it moves with the corpus and not with single documents; every document
+counts, found by exact rank selection without collecting them, so it moves with the corpus and not with single documents; every document
 is then judged by the same fixed number.
 """
 
@@ -17,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, read, small_batches
+from courtstats.operators.quantiles import values_at_ranks
+from courtstats.session import materialize
+
+from .common import query, read, small, small_batches
 from .wordscan import BASE, Base, Scan, mix, owners, per_text, scans
 
 BUCKETS = 1 << 16
-TRUSTED_LIMIT = 20_000
 TAIL = 0.001
 #: N-grams of score zero added to every document, so that a few words decide little.
 SHRINK = 10
@@ -38,16 +39,15 @@ def ngram_buckets(word_hash: np.ndarray, word_at: np.ndarray, buckets: int) -> t
     return np.concatenate([who, who[pair]]), (keys % np.uint64(buckets)).astype(np.int64)
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_LIMIT, key: str = "doc_id") -> DataFrame:
-    """At most ``limit`` ids labelled good and not toxic, chosen by hash order.
+def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """All ids labelled good and not toxic.
 
     Repeated labels of an id count once; an id with contradicting labels isn't trusted.
     """
     judged = labels.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")
     )
-    good = judged.where((F.col("quality") == 1) & (F.col("toxic") == 0))
-    return good.orderBy(F.xxhash64(key), key).limit(limit).select(key)
+    return judged.where((F.col("quality") == 1) & (F.col("toxic") == 0)).select(key)
 
 
 def _held_back(key: Column) -> Column:
@@ -75,18 +75,17 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    trusted_limit: int = TRUSTED_LIMIT,
     tail: float = TAIL,
     key: str = "doc_id",
     text: str = "text",
 ) -> LikelihoodRatio:
     """Count both multinomials over all documents, then set the threshold.
 
-    What reaches the driver: two counts per bucket, and one score per held-back trusted document (at
-    most ``trusted_limit``). Without trusted documents all ratios are zero and nothing is refused.
+    What reaches the driver: two counts per bucket, and the threshold. The trusted ids are sent to every task if
+    they are few (counted), else the documents are shuffled to them. Without trusted documents all ratios are zero and
+    nothing is refused.
     """
-    # At most trusted_limit ids: small enough for every task.
-    trusted = F.broadcast(trusted_ids(labels, trusted_limit, "doc_id").withColumnRenamed("doc_id", "_trusted"))
+    trusted = small(trusted_ids(labels).withColumnRenamed("doc_id", "_trusted"))
     inputs = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     known, back = F.col("_trusted").isNotNull(), _held_back(F.col("key"))
     marked = inputs.join(trusted, F.col("key") == F.col("_trusted"), "left").select(
@@ -130,9 +129,10 @@ def fit(
                     [pa.array(model.scores(scan.word_hash, scan.word_at))], names=["score"]
                 )
 
-    kept_out = held.transform(small_batches).mapInArrow(score, "score double").toPandas()["score"].to_numpy()
-    if len(kept_out):
-        model.threshold = float(np.quantile(kept_out, tail, method="lower"))
+    kept_out = materialize(held.transform(small_batches).mapInArrow(score, "score double"))
+    lowest = values_at_ranks(kept_out, [], "score", lambda n: F.array(F.floor((n - 1) * F.lit(tail)) + 1)).first()
+    if lowest is not None:
+        model.threshold = lowest["value"]
     return model
 
 

@@ -453,3 +453,33 @@ def test_held_out_labels_teach_nothing(spark, docs, labels):
     )
     a, b = (quality_model.fit(docs, x, buckets=256) for x in (labels, turned))
     assert a.w0 == b.w0 and (a.w == b.w).all() and (a.v == b.v).all()
+
+
+def thue_morse(length, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(length))
+
+
+def test_strings_that_share_every_polynomial_hash_are_told_apart(frame, rows):
+    one, other = thue_morse(4096, "a", "b"), thue_morse(4096, "b", "a")
+    model = quality_rules.LikelihoodRatio(np.zeros(quality_rules.BUCKETS), -np.inf)
+    text = f"{one}\n{other}\n{one}"
+    five = " ".join(["x y z w", one, "x y z w", other])
+    got = rows(quality_rules.judge(frame([(1, text), (2, five)]), model), "doc_id", "n_dup_lines", "n_repeat_words")
+    assert got == [(1, 1, 0), (2, 0, 0)]
+
+
+def test_the_machine_is_the_same_for_every_layout_of_repeated_ids(spark, frame):
+    rng = random.Random(6)
+    texts = [(i % 12, " ".join(rng.choice("good bad fine poor text word".split()) for _ in range(30))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    machines = [quality_model.fit(frame(texts).repartition(n), labels) for n in (1, 2, 7)]
+    machines.append(quality_model.fit(frame(texts[::-1]), labels))
+    scored = [quality_model.score(frame([(1, "good fine text")]), m).first()["fm_score"] for m in machines]
+    assert len(set(scored)) == 1
+
+
+def test_every_trusted_document_counts(spark, frame):
+    docs = frame([(i, f"w{i} and more words of text number {i}") for i in range(3000)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(3000)], "doc_id long, quality int, toxic int")
+    model = quality_rules.fit(docs, labels)
+    assert quality_rules.trusted_ids(labels).count() == 3000 and np.isfinite(model.threshold)
