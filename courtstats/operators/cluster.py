@@ -106,7 +106,7 @@ def _nearest(features: Column, centres: list[list[float]]) -> Column:
 def _first_centres(rows: DataFrame, k: int) -> list[list[float]]:
     """The row of the smallest hash, then always the row furthest from all centres so far, among the sample."""
     taken = rows.orderBy("__hash", "__features").limit(SEED_ROWS).select("__features").toArrow()
-    points = np.array(taken["__features"].to_pylist(), np.float64).reshape(len(taken), -1)
+    points = np.array(taken["__features"].to_pylist(), np.float64).reshape(len(taken), -1 if len(taken) else 0)
     centres, away = [], np.full(len(points), np.inf)
     while len(centres) < min(k, len(points)) and away.max() > 0:
         centres.append(points[int(np.argmax(away))].tolist())  # the first of a tie has the smaller hash
