@@ -17,6 +17,7 @@ import heapq
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -240,7 +241,7 @@ class PieceCache:
         if len(self.known) > self.limit:
             self.clear()
         known = self.known
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        new = list(dict.fromkeys(filterfalse(known.__contains__, pieces)))
         for piece, ids in zip(new, self.encode_pieces(new)):
             known[piece] = len(known)
             self.flat.extend(ids)

@@ -48,7 +48,8 @@ def _file_system(folder: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a folder named by a path or a URI."""
     if urlparse(folder).scheme in ("", "file"):
         return arrow_fs.LocalFileSystem(), urlparse(folder).path
-    return arrow_fs.FileSystem.from_uri(folder)
+    # Spark's names of object stores that Arrow calls otherwise.
+    return arrow_fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", folder))
 
 
 class PartWriter:
@@ -66,6 +67,8 @@ class PartWriter:
         self.total = 0
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) > np.iinfo(self.dtype).max:
+            raise OverflowError(f"id {ids.max()} doesn't fit {self.dtype}")
         self.stream.write(ids.astype(self.dtype).tobytes())
         self.total += len(ids)
         self.ends.append(self.total)
@@ -206,6 +209,16 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
+def id_type(path: str, end_id: int | None = None) -> np.dtype:
+    """The narrowest of both element types that holds every id of a tokenizers file, its added tokens included."""
+    from tokenizers import Tokenizer
+
+    largest = max([*Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), end_id or 0])
+    if largest >= 1 << 32:
+        raise OverflowError(f"id {largest} of {path} doesn't fit 32 bits")
+    return np.dtype("<u2" if largest < 1 << 16 else "<u4")
+
+
 def write_token_files(
     df: DataFrame,
     folder: str,
@@ -213,7 +226,6 @@ def write_token_files(
     end_id: int | None = END_ID,
     key: str = "doc_id",
     text: str = "text",
-    vocabulary: int = 50_257,
 ) -> dict:
     """Encode all texts with a tokenizers file and write them in ascending order of the key.
 
@@ -223,7 +235,7 @@ def write_token_files(
     first; ties are ordered by checksum and length of the text, equal rows stay as several
     documents. Other columns are dropped. An empty table gives no parts.
     """
-    dtype = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+    dtype = id_type(path, end_id)
     tail = np.array([] if end_id is None else [end_id], np.uint32)
     rows = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     by = ["key", F.crc32(F.col("text").cast("binary")), F.length("text")]

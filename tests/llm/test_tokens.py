@@ -156,3 +156,22 @@ def test_token_files_with_an_added_token(spark):
         ids = default.encode(dict(rows)[key], add_special_tokens=False).ids + [token_files.END_ID]
         assert (start, count, crc) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += count
+
+
+def test_wide_vocabularies_take_wide_files(spark, frame, tmp_path):
+    """A vocabulary of 70,000 ids: the element type follows the file, and an id that doesn't fit raises."""
+    raw = json.loads(open(token_files.library_path(), encoding="utf-8").read())
+    raw["added_tokens"].append({**raw["added_tokens"][0], "id": 70_000, "content": "<wide>"})
+    path = str(tmp_path / "wide.json")
+    open(path, "w", encoding="utf-8").write(json.dumps(raw))
+    if max(Tokenizer.from_file(path).get_vocab().values()) < 1 << 16:
+        raw["model"]["vocab"].update({f"<filler{i}>": i for i in range(50_257, 70_001)})
+        raw["added_tokens"][-1]["id"] = 70_001
+        open(path, "w", encoding="utf-8").write(json.dumps(raw))
+    assert token_files.id_type(path) == np.dtype("<u4")
+    assert token_files.id_type(token_files.library_path(), 2) == np.dtype("<u2")
+    folder = new_folder(spark, "wide")
+    manifest = token_files.write_token_files(frame([(1, "a <wide> b")]), folder, path)
+    assert manifest["dtype"] == "<u4"
+    with pytest.raises(OverflowError):
+        token_files.PartWriter(str(tmp_path / "narrow"), 0, np.dtype("<u2")).add(1, np.array([70_000], np.uint32))
