@@ -36,7 +36,7 @@ from .bpe import PieceCache, encode_block, text_blocks
 from .common import query, read, small_batches
 
 #: Distinct pieces a worker keeps: about 200 bytes each.
-LIBRARY_PIECES = 600_000
+LIBRARY_PIECES = 1_200_000
 #: Id appended to every document by the query.
 END_ID = 2
 
