@@ -17,7 +17,7 @@ import heapq
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import filterfalse
+from itertools import count, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import query, read, small_batches
+from .wordscan import BASE, INVERSE, mix, powers
 
 # --- Automaton --------------------------------------------------------------------------
 
@@ -224,8 +225,17 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+#: Bytes of a block up to which its pieces are found by hashes; hashing takes 24 bytes of memory a byte.
+SPAN_BYTES = 1 << 22
+
+
 class PieceCache:
-    """Ids of the pieces met so far, as one flat array with offsets; emptied at ``limit`` pieces."""
+    """Ids of the pieces met so far, as one flat array with offsets; emptied at ``limit`` pieces.
+
+    The pieces of a block are looked up together: a 64-bit hash per piece leads to its place in an open table, and the
+    spellings kept there, one after the other, must give the block's bytes again. Only pieces that are
+    new become objects of their own.
+    """
 
     def __init__(self, encode_pieces, limit: int = 150_000):
         self.encode_pieces, self.limit = encode_pieces, limit
@@ -235,24 +245,101 @@ class PieceCache:
         self.known: dict[bytes, int] = {}
         self.flat = array("I")
         self.offsets = array("q", [0])
-
-    def lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids of the pieces one after the other, ids per piece)."""
-        if len(self.known) > self.limit:
-            self.clear()
-        known = self.known
-        new = list(dict.fromkeys(filterfalse(known.__contains__, pieces)))
-        for piece, ids in zip(new, self.encode_pieces(new)):
-            known[piece] = len(known)
+        self.spelt, self.spelt_at = bytearray(), array("q", [0])
+        size = 1 << (2 * self.limit + 1024).bit_length()
+        self.slots, self.places = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+
+    def _add(self, pieces: list[bytes]) -> int:
+        """Keep the ids and spellings of new pieces; returns the place of the first."""
+        base = len(self.offsets) - 1
+        for piece, ids in zip(pieces, self.encode_pieces(pieces)):
             self.flat.extend(ids)
             self.offsets.append(len(self.flat))
-        index = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+            self.spelt += piece
+            self.spelt_at.append(len(self.spelt))
+        return base
+
+    def _ids(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # Views, given up on return: a lookup costs what its pieces cost, not what the cache holds.
         offsets, flat = np.frombuffer(self.offsets, np.int64), np.frombuffer(self.flat, np.uint32)
         starts = offsets[index]
         counts = offsets[index + 1] - starts
         return ragged(flat, starts, counts), counts
 
+    def lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the pieces one after the other, ids per piece)."""
+        if len(self.offsets) > self.limit:
+            self.clear()
+        known = self.known
+        new = list(dict.fromkeys(filterfalse(known.__contains__, pieces)))
+        known.update(zip(new, count(self._add(new))))
+        return self._ids(np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces)))
+
+    def lookup_spans(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:func:`lookup` of the pieces ``data[start:end]``, which follow each other and make up all of ``data``."""
+        if len(data) <= SPAN_BYTES:
+            if len(self.offsets) > self.limit:
+                self.clear()
+            hashes = span_hashes(data, starts, ends)
+            index = self._find(hashes)
+            missing = np.flatnonzero(index < 0)
+            if len(missing):
+                fresh, first = np.unique(hashes[missing], return_index=True)
+                at = missing[first]
+                base = self._add([data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+                self._insert(fresh, base)
+                index[missing] = base + np.searchsorted(fresh, hashes[missing])
+            spelt_at = np.frombuffer(self.spelt_at, np.int64)
+            again = ragged(np.frombuffer(self.spelt, np.uint8), spelt_at[index], spelt_at[index + 1] - spelt_at[index])
+            if np.array_equal(again, np.frombuffer(data, np.uint8)):
+                return self._ids(index)
+            del spelt_at  # two pieces share a hash: a view would keep the arrays from growing
+        return self.lookup([data[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of every hash, or -1."""
+        last = np.uint64(len(self.slots) - 1)
+        out = np.full(len(hashes), -1, np.int64)
+        at, open_ = hashes & last, np.arange(len(hashes))
+        while len(open_):
+            held = self.slots[at]
+            hit = held == hashes[open_]
+            out[open_[hit]] = self.places[at[hit]]
+            further = ~hit & (held != 0)
+            open_, at = open_[further], (at[further] + np.uint64(1)) & last
+        return out
+
+    def _insert(self, fresh: np.ndarray, base: int) -> None:
+        """Give distinct new hashes the places from ``base`` on. The table is never more than half full."""
+        while 2 * (len(self.offsets) + len(fresh)) > len(self.slots):
+            self._grow()
+        self._place(fresh, np.arange(base, base + len(fresh), dtype=np.int32))
+
+    def _place(self, hashes: np.ndarray, places: np.ndarray) -> None:
+        last = np.uint64(len(self.slots) - 1)
+        at = hashes & last
+        while len(hashes):
+            free = self.slots[at] == 0
+            self.slots[at[free]] = hashes[free]
+            won = free & (self.slots[at] == hashes)
+            self.places[at[won]] = places[won]
+            hashes, places, at = hashes[~won], places[~won], (at[~won] + np.uint64(1)) & last
+
+    def _grow(self) -> None:
+        held = self.slots != 0
+        hashes, places = self.slots[held], self.places[held]
+        self.slots, self.places = np.zeros(2 * len(self.slots), np.uint64), np.zeros(2 * len(self.slots), np.int32)
+        self._place(hashes, places)
+
+
+def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every range of the bytes, never 0."""
+    raw = np.frombuffer(data, np.uint8)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(raw)), out=sums[1:])
+    inner = (sums[ends] - sums[starts]) * powers(INVERSE, len(sums))[starts]
+    return mix(inner + (ends - starts).astype(np.uint64)) | np.uint64(1)
+
 
 def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The slices ``flat[starts : starts + counts]`` one after the other."""
@@ -293,8 +380,7 @@ def encode_block(texts: list[str], cache: PieceCache) -> Iterator[tuple[np.ndarr
     starts = byte_at[cuts]
     ends = np.append(starts[1:], byte_at[-1])
     data = joined.encode("utf-8", "surrogatepass")
-    pieces = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-    ids, counts = cache.lookup(pieces)
+    ids, counts = cache.lookup_spans(data, starts, ends)
     id_end = np.cumsum(counts)
     piece_lo = np.searchsorted(cuts, text_start)
     piece_hi = np.searchsorted(cuts, text_end)

@@ -175,3 +175,34 @@ def test_wide_vocabularies_take_wide_files(spark, frame, tmp_path):
     assert manifest["dtype"] == "<u4"
     with pytest.raises(OverflowError):
         token_files.PartWriter(str(tmp_path / "narrow"), 0, np.dtype("<u2")).add(1, np.array([70_000], np.uint32))
+
+
+def test_pieces_by_hash_are_those_by_bytes(monkeypatch):
+    """Also where the table grows, where the cache is emptied, where all hashes collide, and for long blocks."""
+    rng = random.Random(8)
+    spell = lambda pieces: [[sum(p), len(p)] if len(p) != 3 else [] for p in pieces]
+
+    def blocks():
+        for _ in range(60):
+            yield [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 200))]
+
+    def same(cache, pieces):
+        ends = np.cumsum([len(p) for p in pieces])
+        ids, counts = cache.lookup_spans(b"".join(pieces), ends - [len(p) for p in pieces], ends)
+        expected = spell(pieces)
+        assert ids.tolist() == [i for x in expected for i in x] and counts.tolist() == [len(x) for x in expected]
+
+    for limit in (10, 100_000):
+        cache = bpe.PieceCache(spell, limit)
+        cache.slots, cache.places = np.zeros(2, np.uint64), np.zeros(2, np.int32)
+        for pieces in blocks():
+            same(cache, pieces)
+    real = bpe.span_hashes
+    monkeypatch.setattr(bpe, "span_hashes", lambda d, a, b: real(d, a, b) & np.uint64(3) | np.uint64(1))
+    cache = bpe.PieceCache(spell)
+    for pieces in blocks():
+        same(cache, pieces)
+    monkeypatch.undo()
+    monkeypatch.setattr(bpe, "SPAN_BYTES", 5)
+    for pieces in blocks():
+        same(bpe.PieceCache(spell), pieces)
