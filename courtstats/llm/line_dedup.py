@@ -1,18 +1,17 @@
 """Line dedup by content-defined chunks of lines.
 
-A line break is a chunk boundary where a rolling hash over the hashes of the last two lines says so, and
-around every line of ``LONG_LINE`` words or more. Boundaries depend on nearby lines only, so text inserted
-earlier doesn't shift them. A passage rarely begins and ends at boundaries of its host; so each chunk is also taken
-together with the nearest lines of the chunk before and after it, one more line at a time.
-
-Chunks find what repeats in parts, but a passage with few boundaries inside may hold none of these spans. So
-each line also starts the shortest window of ``MIN_WORDS`` words and ends the shortest one, wherever the
-boundaries are. A repeated passage of so many words consists of windows that lie in it: from its first
-line on, up to its last line, and a line too far from neither end is in the window of the first line.
-
-All these spans are runs of whole lines; their hashes are counted over the whole corpus, and spans that share
-a hash are compared byte by byte. The first occurrence (by document id, then line) stays, lines of later ones
-are marked, also if they overlap the first, and runs of marked lines that hold ``MIN_WORDS`` words or more are removed.
+Every run of lines that holds ``MIN_WORDS`` words, and no fewer lines than it needs for them, has a boundary: the place
+where the rolling hash of two consecutive lines is least within the run. It depends on nothing outside the run, so it
+doesn't shift with text inserted earlier, and equal runs have equal boundaries. Neighbouring runs mostly share theirs; the lines
+around a boundary that its runs span are one chunk. A repeated passage of so many words consists of such runs (one
+starts at each line of it that has the words ahead, one ends at each that has them behind), so it holds
+a boundary, wherever it lies in its host.
+
+Boundaries are counted over the whole corpus by their hash. Chunks whose boundary occurs once go. The others are
+widened line by line to their runs, which are counted by boundary and hash. Runs that follow one another in a text and have their first
+occurrences follow one another too are joined to a maximal stretch, and each stretch is compared byte by byte with its
+first occurrence: a line is sent once a stretch, not once a run. The first occurrence (by document id, then line)
+stays, lines of later ones are marked, also if they overlap the first, and marked lines are removed.
 """
 
 from __future__ import annotations
@@ -21,9 +20,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtstats.session import materialize
@@ -31,33 +29,10 @@ from courtstats.session import materialize
 from .common import query, read, small, small_batches
 from .wordscan import BASE, Scan, mix, scans
 
-#: A boundary falls at one in so many lines, on average.
-DIVISOR = 4
-#: Words from which a line is a chunk of its own.
-LONG_LINE = 16
-#: Words that a span must hold to be counted, if it has several lines.
-SPAN_WORDS = 10
 #: Words of a run of repeated lines from which it is removed.
 MIN_WORDS = 50
-
-
-def chunk_spans(boundary: list[bool]) -> Iterator[tuple[int, int]]:
-    """Line ranges of every chunk, alone and with part of its neighbours.
-
-    ``boundary[i]``: a chunk ends after line i. The last line always ends one.
-    """
-    n = len(boundary)
-    cuts = [0, *[i + 1 for i in range(n - 1) if boundary[i]], n]
-    for c in range(len(cuts) - 1):
-        lo, hi = cuts[c], cuts[c + 1]
-        yield lo, hi
-        if c:
-            for a in range(cuts[c - 1], lo):
-                yield a, hi
-        if c + 2 < len(cuts):
-            # The whole next chunk is met again as that chunk with all of this one.
-            for b in range(hi + 1, cuts[c + 2]):
-                yield lo, b
+#: Lines of a first occurrence up to which a stretch is compared in one piece.
+PIECE_LINES = 256
 
 
 def line_windows(total: np.ndarray, line_at: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,40 +49,55 @@ def line_windows(total: np.ndarray, line_at: np.ndarray, min_words: int) -> tupl
     return ends, starts
 
 
+def line_runs(scan: Scan, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """First and end lines of the shortest runs of ``min_words`` words of all texts, by first line."""
+    words = np.searchsorted(scan.word_start, scan.line_end) - np.searchsorted(scan.word_start, scan.line_start)
+    ends, starts = line_windows(np.concatenate([[0], np.cumsum(words)]), scan.line_at, min_words)
+    ahead, back = np.flatnonzero(ends >= 0), np.flatnonzero(starts >= 0)
+    lo = np.concatenate([ahead, starts[back]])
+    hi = np.concatenate([ends[ahead], back + 1])
+    n = len(words) + 1
+    return np.divmod(np.unique(lo * n + hi), n)
+
+
+def first_least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Place of the least value in every range [lo, hi), the first of equal ones."""
+    found = np.zeros(len(lo), np.int64)
+    levels = np.frexp((hi - lo).astype(np.float64))[1] - 1  # of the largest power of two that fits
+    least = np.arange(len(values))  # place of the least of the next 2**level values
+    for level in range(int(levels.max(initial=-1)) + 1):
+        at = np.flatnonzero(levels == level)
+        left, right = least[lo[at]], least[hi[at] - (1 << level)]
+        found[at] = np.where(values[right] < values[left], right, left)
+        left, right = least[: -(1 << level)], least[1 << level :]
+        least = np.where(values[right] < values[left], right, left)
+    return found
+
+
+def boundaries(line_hash: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the boundary of every run of lines; a run of one line is its own."""
+    rolled = mix(line_hash[:-1] * np.uint64(BASE) + line_hash[1:])
+    place, found = lo.copy(), line_hash[lo]
+    several = np.flatnonzero(hi - lo > 1)
+    place[several] = first_least(rolled, lo[several], hi[several] - 1)
+    found[several] = rolled[place[several]]
+    return place, found
+
+
 def text_spans(
     scan: Scan, bits: int = 64, min_words: int = MIN_WORDS
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, first lines, end lines, hashes) of the spans of every text that count, each once."""
-    line_hash = scan.hashes(scan.line_start, scan.line_end)
-    words = np.searchsorted(scan.word_start, scan.line_end) - np.searchsorted(scan.word_start, scan.line_start)
-    before = np.zeros_like(line_hash)
-    before[1:] = line_hash[:-1]
-    before[scan.line_at[:-1]] = 0  # a text's first line has none before it
-    rolled = mix(line_hash * np.uint64(BASE) + before)
-    boundary = rolled % np.uint64(DIVISOR) == 0
-    long = words >= LONG_LINE
-    boundary |= long
-    boundary[:-1] |= long[1:]
-    total = np.concatenate([[0], np.cumsum(words)])
-    wordy = np.concatenate([[0], np.cumsum(words > 0)])
-    ends, starts = line_windows(total, scan.line_at, min_words)
-    for text, (a, b) in enumerate(zip(scan.line_at[:-1].tolist(), scan.line_at[1:].tolist())):
-        flat = np.array(list(chunk_spans(boundary[a:b].tolist())), np.int64).reshape(-1, 2)
-        lo, hi = flat[:, 0] + a, flat[:, 1] + a
-        held = total[hi] - total[lo]
-        counts = np.where(wordy[hi] - wordy[lo] > 1, held >= SPAN_WORDS, held >= LONG_LINE)
-        here = np.arange(a, b)
-        ahead, back = ends[a:b] >= 0, starts[a:b] >= 0
-        lo = np.concatenate([lo[counts], here[ahead], starts[a:b][back]])
-        hi = np.concatenate([hi[counts], ends[a:b][ahead], here[back] + 1])
-        lo, hi = np.divmod(np.unique(lo * (b + 1) + hi), b + 1)
-        if len(lo):
-            found = scan.hashes(scan.line_start[lo], scan.line_end[hi - 1]) >> np.uint64(64 - bits)
-            yield text, lo - a, hi - a, found
-
-
-def spans(df: DataFrame, bits: int = 64, min_words: int = MIN_WORDS) -> DataFrame:
-    """(hash, key, version, lo, hi) of all spans of rows (key, version, text)."""
+    """(text, first lines, end lines, hashes) of the runs of every text, each once."""
+    lo, hi = line_runs(scan, min_words)
+    hashes = scan.hashes(scan.line_start[lo], scan.line_end[hi - 1]) >> np.uint64(64 - bits)
+    cuts = np.searchsorted(lo, scan.line_at)
+    for text, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        if a < b:
+            yield text, lo[a:b] - scan.line_at[text], hi[a:b] - scan.line_at[text], hashes[a:b]
+
+
+def chunks(df: DataFrame, bits: int = 64, chunk_bits: int = 64, min_words: int = MIN_WORDS) -> DataFrame:
+    """(chunk, key, version, runs) of rows (key, version, text): every boundary's hash and runs (lo, hi, hash)."""
     kind = df.schema["key"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,23 +106,45 @@ def spans(df: DataFrame, bits: int = 64, min_words: int = MIN_WORDS) -> DataFram
             for n, scan in scans(batch.column("text")):
                 rows = batch.slice(at, n)
                 at += n
-                found = list(text_spans(scan, bits, min_words))
-                if not found:
+                spans = list(text_spans(scan, bits, min_words))
+                if not spans:
                     continue
-                owner = pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]))
-                lo, hi, hashes = (np.concatenate([f[k] for f in found]) for k in (1, 2, 3))
+                owner = np.repeat([s[0] for s in spans], [len(s[1]) for s in spans])
+                lo, hi, hashes = (np.concatenate([s[k] for s in spans]) for k in (1, 2, 3))
+                start = scan.line_at[owner]
+                line_hash = scan.hashes(scan.line_start, scan.line_end)
+                place, found = boundaries(line_hash, lo + start, hi + start)
+                # Runs of one boundary side by side; a line that is a run of its own is another chunk.
+                chunk = place * 2 + (hi - lo == 1)
+                order = np.argsort(chunk, kind="stable")
+                first = np.flatnonzero(np.concatenate([[True], np.diff(chunk[order]) != 0]))
+                held = pa.StructArray.from_arrays(
+                    [
+                        pa.array(lo[order].astype(np.int32)),
+                        pa.array(hi[order].astype(np.int32)),
+                        pa.array(hashes[order].view(np.int64)),
+                    ],
+                    names=["lo", "hi", "hash"],
+                )
+                whose = pa.array(owner[order[first]])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(hashes.view(np.int64)),
-                        rows.column("key").take(owner),
-                        rows.column("version").take(owner),
-                        pa.array(lo.astype(np.int32)),
-                        pa.array(hi.astype(np.int32)),
+                        pa.array((found[order[first]] >> np.uint64(64 - chunk_bits)).view(np.int64)),
+                        rows.column("key").take(whose),
+                        rows.column("version").take(whose),
+                        pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), held),
                     ],
-                    names=["hash", "key", "version", "lo", "hi"],
+                    names=["chunk", "key", "version", "runs"],
                 )
 
-    return df.transform(small_batches).mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int")
+    runs = "array<struct<lo: int, hi: int, hash: long>>"
+    return df.transform(small_batches).mapInArrow(run, f"chunk long, key {kind}, version long, runs {runs}")
+
+
+def candidates(found: DataFrame) -> DataFrame:
+    """(key, version, chunk, lo, hi, hash): the runs of chunks whose boundary occurs at several places."""
+    repeated = found.groupBy("chunk").agg(F.count("*").alias("_n")).where("_n > 1").select("chunk")
+    return found.join(repeated, "chunk").select("key", "version", "chunk", F.inline("runs"))
 
 
 def packed(df: DataFrame) -> DataFrame:
@@ -157,98 +169,111 @@ def unpacked(value: bytes | None) -> str | None:
     return zstandard.ZstdDecompressor().decompress(value).decode("utf-8", "surrogatepass")
 
 
-def _span_texts(df: DataFrame) -> DataFrame:
-    """(hash, key, version, lo, hi, body) of the spans listed with every text."""
-    kind = df.schema["key"].dataType.simpleString()
+def _bodies(df: DataFrame, names: list[str]) -> DataFrame:
+    """(key, version, the fields ``names`` of a mark, body): the lines of every listed mark of every text.
+
+    What is equal in all columns but key and version, and follows shortly, is stated once if ``key`` is no column of
+    the result: copies of one text then leave a batch as one row.
+    """
+    kinds = {f.name: f.dataType for f in df.schema["spans"].dataType.elementType.fields}
+    whose = "key" not in names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: dict[str, list] = {c: [] for c in schema.names}
-        size = 0
-        for row in (r for b in batches for at in range(0, b.num_rows, 32) for r in b.slice(at, 32).to_pylist()):
-            lines = unpacked(row["text"]).split("\n")
-            for span in row["spans"]:
-                body = "\n".join(lines[span["lo"] : span["hi"]])
-                size += len(body)
-                for name in ("hash", "lo", "hi"):
-                    out[name].append(span[name])
-                out["key"].append(row["key"])
-                out["version"].append(row["version"])
-                out["body"].append(body)
-                if size > 1 << 21:
-                    yield pa.RecordBatch.from_pydict(out, schema=schema)
-                    out, size = {c: [] for c in out}, 0
-        yield pa.RecordBatch.from_pydict(out, schema=schema)
-
-    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    schema = pa.schema(
-        [
-            ("hash", pa.int64()), ("key", key_type), ("version", pa.int64()),
-            ("lo", pa.int32()), ("hi", pa.int32()), ("body", pa.string()),
-        ]
-    )
-    return df.transform(small_batches).mapInArrow(run, f"hash long, key {kind}, version long, lo int, hi int, body string")
+        for batch in (b.slice(at, 32) for b in batches for at in range(0, b.num_rows, 32)):
+            met: set[tuple] = set()
+            marks = batch.column("spans")
+            flat, starts = marks.flatten(), np.concatenate([[0], np.cumsum(marks.value_lengths().to_numpy())])
+            fields = dict(zip(kinds, flat.flatten()))
+            lo, hi = fields["lo"].to_pylist(), fields["hi"].to_pylist()
+            told = list(zip(*[fields[n].to_pylist() for n in names]))
+            owner, taken, bodies, size = [], [], [], 0
+
+            def block() -> pa.RecordBatch:
+                at = pa.array(taken, pa.int64())
+                kept = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("key", "version")] if whose else []
+                return pa.RecordBatch.from_arrays(
+                    [*kept, *[fields[n].take(at) for n in names], pa.array(bodies, pa.binary())],
+                    names=[*(["key", "version"] if whose else []), *names, "body"],
+                )
+
+            for row in range(batch.num_rows):
+                lines = unpacked(batch.column("text")[row].as_py()).encode("utf-8", "surrogatepass").split(b"\n")
+                for i in range(starts[row], starts[row + 1]):
+                    body = b"\n".join(lines[lo[i] : hi[i]])
+                    if not whose and (told[i], body) in met:
+                        continue
+                    met.add((told[i], body))
+                    owner.append(row)
+                    taken.append(i)
+                    bodies.append(body)
+                    size += len(body)
+                    if size > 1 << 21:
+                        yield block()
+                        owner, taken, bodies, size = [], [], [], 0
+                        met.clear()
+            yield block()
+
+    said = ", ".join(f"{n} {kinds[n].simpleString()}" for n in names)
+    key = f"key {df.schema['key'].dataType.simpleString()}, version long, " if whose else ""
+    return df.transform(small_batches).mapInArrow(run, f"{key}{said}, body binary")
+
+
+def _later(found: DataFrame, by: list[str]) -> DataFrame:
+    """Occurrences that aren't the first by equal ``by``, with the first's place in k, v and at."""
+    groups = (
+        found.groupBy(*by)
+        .agg(F.count("*").alias("_n"), F.min(F.struct("key", "version", "lo")).alias("_first"))
+        .where("_n > 1")
+        .select(*by, F.col("_first.key").alias("k"), F.col("_first.version").alias("v"), F.col("_first.lo").alias("at"))
+    )
+    first = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v")) & (F.col("lo") == F.col("at"))
+    return found.join(groups, by).where(~first)
 
 
-def _evidence(df: DataFrame, line_bits: int) -> DataFrame:
-    """(is_line, hash, body): the lines of all listed spans, once a text, and each span as the hashes of its lines.
+def stretches(later: DataFrame) -> DataFrame:
+    """(key, version, lo, hi, k, v, at): maximal stretches of runs that touch and lie equally far from their first occurrences.
 
-    Spans of one hash are equal byte by byte if they consist of the same line hashes and no line hash
-    stands for two lines. That takes a fraction of the bytes of the spans, which overlap. Equal lines
-    in a row are stated once, with their number: spans across many blank lines stay short.
+    Cut where the lines of the first occurrence pass a multiple of ``PIECE_LINES``, so that a text many others
+    repeat parts of is asked for a bounded number of different pieces.
     """
-    schema = pa.schema([("is_line", pa.bool_()), ("hash", pa.int64()), ("body", pa.binary())])
+    line = ["key", "version", "k", "v", "shift"]
+    along = Window.partitionBy(*line).orderBy("lo", "hi")
+    opens = F.col("lo") > F.coalesce(
+        F.max("hi").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)
+    )
+    joined = (
+        later.select("key", "version", "k", "v", (F.col("lo") - F.col("at")).alias("shift"), "lo", "hi")
+        .withColumn("opens", opens.cast("long"))
+        .withColumn("nr", F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*line, "nr")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    )
+    pieces = joined.select(
+        *line, "lo", "hi", F.explode(_pieces(F.col("lo") - F.col("shift"), F.col("hi") - F.col("shift"))).alias("piece")
+    )
+    start = F.greatest(F.col("lo"), F.col("piece") * PIECE_LINES + F.col("shift"))
+    end = F.least(F.col("hi"), (F.col("piece") + 1) * PIECE_LINES + F.col("shift"))
+    return pieces.select(
+        "key", "version", start.cast("int").alias("lo"), end.cast("int").alias("hi"), "k", "v",
+        (start - F.col("shift")).cast("int").alias("at"),
+    )
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, 64) for b in batches for at in range(0, b.num_rows, 64)):
-            lines_met: dict[bytes, bytes] = {}
-            kind, hashes, bodies = [], [], []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                lines = unpacked(text).encode("utf-8", "surrogatepass").split(b"\n")
-                digests: dict[int, bytes] = {}
-                stop = [0] * len(lines)  # end of the run of equal lines
-                for i in range(len(lines) - 1, -1, -1):
-                    stop[i] = stop[i + 1] if i + 1 < len(lines) and lines[i] == lines[i + 1] else i + 1
-                for span in marks:
-                    i, runs = span["lo"], []
-                    while i < span["hi"]:
-                        if i not in digests:
-                            digest = xxhash.xxh64_intdigest(lines[i]) >> (64 - line_bits)
-                            digests[i] = digest.to_bytes(8, "little")
-                            if lines_met.setdefault(digests[i], lines[i]) != lines[i]:
-                                kind.append(True)
-                                hashes.append(int.from_bytes(digests[i], "little", signed=True))
-                                bodies.append(lines[i])
-                        end = min(stop[i], span["hi"])
-                        runs += [digests[i], (end - i).to_bytes(4, "little")]
-                        i = end
-                    kind.append(False)
-                    hashes.append(span["hash"])
-                    bodies.append(b"".join(runs))
-            for digest, line in lines_met.items():
-                kind.append(True)
-                hashes.append(int.from_bytes(digest, "little", signed=True))
-                bodies.append(line)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind, pa.bool_()), pa.array(hashes, pa.int64()), pa.array(bodies, pa.binary())],
-                schema=schema,
-            )
 
-    return df.transform(small_batches).mapInArrow(run, "is_line boolean, hash long, body binary")
+def _pieces(lo: Column, hi: Column) -> Column:
+    """Numbers of the pieces that hold lines of [lo, hi)."""
+    return F.sequence(F.floor(lo / PIECE_LINES), F.floor((hi - 1) / PIECE_LINES))
 
 
-def _later(found: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(all occurrences of what occurs at several places, those that aren't the first), by equal ``by``."""
-    place = F.struct("key", "version", "lo")
-    groups = materialize(
-        found.groupBy(*by)
-        .agg(F.count("*").alias("_n"), F.min(place).alias("_first"))
-        .where(F.col("_n") > 1)
-        .select(*by, F.col("_first.key").alias("_k"), F.col("_first.version").alias("_v"), F.col("_first.lo").alias("_lo"))
-    )
-    met = found.join(groups, by)
-    first = F.col("key").eqNullSafe(F.col("_k")) & (F.col("version") == F.col("_v")) & (F.col("lo") == F.col("_lo"))
-    shared = met.select(*found.columns, first.alias("first"))
-    return shared, shared.where(~F.col("first")).drop("first")
+def evidence(docs: DataFrame, later: DataFrame) -> DataFrame:
+    """(k, v, at, n, body): the bytes of every stretch, of the first and of the later occurrences."""
+    said = stretches(later).withColumn("n", F.col("hi") - F.col("lo"))
+    one = said.select("k", "v", "at", "n").distinct()
+    firsts = one.select(
+        F.col("k").alias("key"), F.col("v").alias("version"),
+        F.col("at").alias("lo"), (F.col("at") + F.col("n")).alias("hi"), "k", "v", "at", "n",
+    )
+    listed = _per_text(packed(docs), said.unionByName(firsts), "inner")
+    return _bodies(listed, ["k", "v", "at", "n"])
 
 
 def _per_text(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
@@ -261,32 +286,31 @@ def _per_text(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, bits: int = 64, line_bits: int = 64, min_words: int = MIN_WORDS
+    docs: DataFrame, bits: int = 64, chunk_bits: int = 64, min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """(key, version, lo, hi) of all later occurrences of spans that are equal byte by byte."""
-    found = materialize(spans(docs, bits, min_words))
-    shared = materialize(_later(found, ["hash"])[0])
-    listed = _per_text(packed(docs), shared.select("key", "version", "hash", "lo", "hi"), "inner")
-    # What stands behind a hash is the same everywhere if its smallest and its largest form are.
+    """(key, version, lo, hi) of all later occurrences of runs that are equal byte by byte."""
+    columns = ["key", "version", "lo", "hi"]
+    found = materialize(candidates(materialize(chunks(docs, bits, chunk_bits, min_words))))
+    later = materialize(_later(found, ["chunk", "hash"]))
+    # All bytes of a stretch are the same everywhere if the smallest and the largest are.
     unequal = small(
-        _evidence(listed, line_bits)
-        .groupBy("is_line", "hash")
+        evidence(docs, later)
+        .groupBy("k", "v", "at", "n")
         .agg(F.min("body").alias("low"), F.max("body").alias("high"))
         .where("low <> high")
-        .select("is_line", "hash")
+        .select(F.col("k").alias("_k"), F.col("v").alias("_v"), F.floor(F.col("at") / PIECE_LINES).alias("_piece"))
+        .distinct()
     )
-    later = shared.where(~F.col("first")).drop("first")
-    columns = ["key", "version", "lo", "hi"]
     if not unequal.take(1):
         return later.select(*columns)
-    # Hashes that stand for several texts: their spans are grouped anew by the texts themselves. If
-    # lines share a hash, that holds for all spans.
-    bodies = _span_texts(listed)
-    if unequal.where("is_line").take(1):
-        return _later(bodies, ["hash", "body"])[1].select(*columns)
-    wrong = unequal.select("hash")
-    _, exact = _later(bodies.join(wrong, "hash", "left_semi"), ["hash", "body"])
-    return later.join(wrong, "hash", "left_anti").select(*columns).union(exact.select(*columns))
+    # Hashes that may stand for several texts: their runs are grouped anew by the texts themselves.
+    length = F.col("hi") - F.col("lo")
+    by_piece = later.select("chunk", "hash", "k", "v", F.explode(_pieces(F.col("at"), F.col("at") + length)).alias("piece"))
+    same = F.col("k").eqNullSafe(F.col("_k")) & (F.col("v") == F.col("_v")) & (F.col("piece") == F.col("_piece"))
+    wrong = materialize(by_piece.join(unequal, same, "left_semi").select("chunk", "hash").distinct())
+    listed = _per_text(packed(docs), found.join(wrong, ["chunk", "hash"], "left_semi"), "inner")
+    exact = _later(_bodies(listed, ["chunk", "hash", "lo", "hi"]), ["chunk", "hash", "body"])
+    return later.join(wrong, ["chunk", "hash"], "left_anti").select(*columns).union(exact.select(*columns))
 
 
 def _cut(df: DataFrame, min_words: int, names: list[str], kinds: list[str]) -> DataFrame:

@@ -15,6 +15,9 @@ import xxhash
 #: Bytes up to which a range is told apart by its polynomial hash; known collisions need four times as many.
 LONG_RANGE = 256
 
+#: Bytes of a text whose hash sums are taken at a time.
+SLICE = 1 << 18
+
 #: Odd multiplier of the polynomial hash and its inverse modulo 2**64 (fixed values).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -29,13 +32,20 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64, at least ``n`` of them."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 16)
         grown = np.full(size, base, np.uint64)
         grown[0] = 1
         have = _POWERS[base] = np.multiply.accumulate(grown)
     return have[:n]
 
 
+def powers_at(base: int, at: np.ndarray) -> np.ndarray:
+    """base**i modulo 2**64 for every i in ``at``, from two short tables whatever the size of i."""
+    most = int(at.max(initial=0)) >> 16
+    high = powers(pow(base, 1 << 16, 1 << 64), most + 1)
+    return powers(base, 1 << 16)[at & 0xFFFF] * high[at >> 16]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: every bit of the result depends on every bit of the value."""
     x = values ^ (values >> np.uint64(30))
@@ -62,7 +72,14 @@ class Scan:
         self.text_at = np.concatenate([[0], np.cumsum(lengths)])
         n = len(self.bytes)
         self._prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=self._prefix[1:])
+        # Slice by slice, so that a very long text needs the sums and little else.
+        for a in range(0, n, SLICE):
+            part = self.bytes[a : a + SLICE].astype(np.uint64)
+            part += np.uint64(1)
+            part *= powers(BASE, len(part))
+            part *= np.uint64(pow(BASE, a, 1 << 64))
+            part[:1] += self._prefix[a : a + 1]
+            np.cumsum(part, out=self._prefix[a + 1 : a + 1 + len(part)])
         blank = np.ones(n + 1, bool)
         blank[1:] = _SPACE[self.bytes]
         # A text ends with a line break, so words start and end in turn.
@@ -76,7 +93,7 @@ class Scan:
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of every byte range [start, end)."""
         inner = self._prefix[end] - self._prefix[start]
-        out = mix(inner * powers(INVERSE, len(self._prefix))[start] + (end - start).astype(np.uint64))
+        out = mix(inner * powers_at(INVERSE, start) + (end - start).astype(np.uint64))
         for i in np.flatnonzero(end - start > LONG_RANGE):
             out[i] = xxhash.xxh3_64_intdigest(self.data[start[i] : end[i]])
         return out

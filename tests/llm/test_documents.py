@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from courtstats.llm import components, line_dedup, private_data, quality_model, quality_rules, simhash
+from courtstats.llm import components, line_dedup, private_data, quality_model, quality_rules, simhash, wordscan
 from courtstats.llm.wordscan import Base, Scan, windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -301,10 +301,7 @@ def test_every_passage_of_short_lines_is_found(frame, min_words):
     expected = cut_maximal_runs(rows, min_words)
     assert sum(expected[k] != t for k, t in rows) > len(shapes) * 4
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(rows), min_words=min_words).collect()}
-    if min_words == line_dedup.MIN_WORDS:
-        assert got == expected
-    else:  # chunks of ten words or more are spans too, whatever the minimum of a run
-        assert all(len(got[k]) <= len(t) for k, t in expected.items())
+    assert got == expected
 
 
 def test_boundaries_resist_shifts():
@@ -315,6 +312,68 @@ def test_boundaries_resist_shifts():
     assert len(plain & moved) > 0.9 * len(plain)
 
 
+def test_equal_runs_have_equal_boundaries():
+    """Wherever a run of lines lies, its boundary is the same line of it, found here by plain search."""
+    rng = random.Random(9)
+    passage = ["".join(rng.choice("ab") for _ in range(3)) + " x" * rng.randint(0, 9) for _ in range(60)]
+    places = collections.defaultdict(set)
+    for host in range(6):
+        before = ["h%d %d" % (host, i) for i in range(rng.randint(0, 5))]
+        scan = Scan(["other text", "\n".join(before + passage + ["end %d" % host])])
+        lo, hi = line_dedup.line_runs(scan, 20)
+        line_hash = scan.hashes(scan.line_start, scan.line_end)
+        place, found = line_dedup.boundaries(line_hash, lo, hi)
+        assert len(lo) and ((lo <= place) & (place < hi)).all()
+        lines = ["other text", *before, *passage, "end %d" % host]
+        for a, b, at, h in zip(lo.tolist(), hi.tolist(), place.tolist(), found.tolist()):
+            places["\n".join(lines[a:b])].add((at - a, h))
+    assert all(len(p) == 1 for p in places.values())
+    assert len(places) > 20
+
+
+def test_a_run_without_a_shared_boundary_is_no_candidate(frame):
+    """Runs reach the comparison through the boundary they hang on and by no other way."""
+    passage = "\n".join("w%d and x%d" % (i, i) for i in range(30))
+    docs = frame([(1, "a\n" + passage), (2, "b\n" + passage)]).select(
+        F.col("doc_id").alias("key"), F.xxhash64("text").alias("version"), "text"
+    )
+    found = line_dedup.chunks(docs)
+    runs = line_dedup.candidates(found)
+    assert line_dedup._later(runs, ["chunk", "hash"]).count() > 10
+    apart = found.withColumn("chunk", F.xxhash64("chunk", "key"))
+    assert line_dedup.candidates(apart).count() == 0
+
+
+def test_evidence_of_short_lines_is_small(frame):
+    """Runs of 50 lines overlap, yet every line of a repeated passage is sent about once a text."""
+    passage = "\n".join("%06d" % (7919 * i) for i in range(4000))
+    docs = frame([(n, "host %d\n" % n + passage) for n in range(6)]).select(
+        F.col("doc_id").alias("key"), F.xxhash64("text").alias("version"), "text"
+    )
+    later = line_dedup._later(line_dedup.candidates(line_dedup.chunks(docs)), ["chunk", "hash"])
+    sent = line_dedup.evidence(docs, later).agg(F.sum(F.length("body"))).first()[0]
+    text = docs.agg(F.sum(F.length("text"))).first()[0]
+    assert 0.1 * text < sent < 1.2 * text
+
+
+def test_lines_of_odd_keys_that_share_hashes(frame):
+    """Keys of any kind pass the regrouping of runs whose hashes stand for several texts."""
+    docs = frame([(n, "\n".join("w%d v%d" % (i, i % (n // 2 + 2)) for i in range(40))) for n in range(4)])
+    dated = docs.withColumn("doc_id", F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int")))
+    plain = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, hash_bits=2, line_hash_bits=2).collect()}
+    days = {r.doc_id.day - 1: r.text for r in line_dedup.dedup_lines(dated, hash_bits=2, line_hash_bits=2).collect()}
+    assert plain == days and [plain[n] == "" for n in range(4)] == [False, True, False, True]
+
+
+def test_slices_of_long_texts_hash_alike():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abc") for _ in range(5)) for _ in range(100)]
+    text = " ".join(words * 1200)
+    scan = Scan([text])
+    assert len(text) > 2 * wordscan.SLICE
+    assert (scan.word_hash.reshape(-1, 100) == Scan([" ".join(words)]).word_hash).all()
+
+
 def test_lines_without_rows(empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
