@@ -143,7 +143,7 @@ def chunks(df: DataFrame, bits: int = 64, chunk_bits: int = 64, min_words: int =
 
 def candidates(found: DataFrame) -> DataFrame:
     """(key, version, chunk, lo, hi, hash): the runs of chunks whose boundary occurs at several places."""
-    repeated = found.groupBy("chunk").agg(F.count("*").alias("_n")).where("_n > 1").select("chunk")
+    repeated = materialize(found.groupBy("chunk").agg(F.count("*").alias("_n")).where("_n > 1").select("chunk"))
     return found.join(repeated, "chunk").select("key", "version", "chunk", F.inline("runs"))
 
 
@@ -220,7 +220,8 @@ def _bodies(df: DataFrame, names: list[str]) -> DataFrame:
 
 def _later(found: DataFrame, by: list[str]) -> DataFrame:
     """Occurrences that aren't the first by equal ``by``, with the first's place in k, v and at."""
-    groups = (
+    # Stored, so that both sides of the join are shuffles and a frequent run's rows can be split over tasks.
+    groups = materialize(
         found.groupBy(*by)
         .agg(F.count("*").alias("_n"), F.min(F.struct("key", "version", "lo")).alias("_first"))
         .where("_n > 1")
