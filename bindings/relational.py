@@ -391,8 +391,8 @@ d AS (SELECT def_id, defender, arg_max(team, game_id) AS team, count(DISTINCT ga
   CAST(sum(tov) AS BIGINT) AS tov_forced FROM {j} GROUP BY def_id, defender)"""
 
 
-def matchup_tables(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+def matchup_tables(spark, sf, attacker="o_custkey"):
+    orders = table(spark, sf, "orders").select("o_orderkey", F.expr(attacker).alias("o_custkey"))
     lines = table(spark, sf, "lineitem")
     games = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     game_id = F.col("l_orderkey").cast("string").alias("game_id")
@@ -438,6 +438,40 @@ def _matchup_join(spark, sf):
     return rows.select("game_id", "attacker", "defender", "team", "matchup_minutes")
 
 
+# One attacker with a third of all matchups.
+_STAR = "CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END"
+
+
+@query(
+    "matchup_join_hot_attacker",
+    f"""WITH {_MATCH_CTE.format(j='j').replace("o_custkey AS off_id", _STAR + " AS off_id")}
+SELECT game_id, attacker, defender, team, mins AS matchup_minutes FROM j""",
+)
+def _matchup_join_hot_attacker(spark, sf):
+    rows = J.matchup_join(*matchup_tables(spark, sf, _STAR), split_hot=True)
+    return rows.select("game_id", "attacker", "defender", "team", "matchup_minutes")
+
+
+@query(
+    "star_join_hot_key",
+    """SELECT p_name, s_name, count(*) AS n, sum(l_quantity) AS quantity FROM (
+  SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 5 ELSE l_partkey END AS pk FROM lineitem) l
+JOIN part ON p_partkey = pk JOIN supplier ON s_suppkey = l_suppkey GROUP BY p_name, s_name""",
+)
+def _star_join_hot_key(spark, sf):
+    part_key = F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 5 ELSE l_partkey END").alias("pk")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", part_key, "l_suppkey", "l_quantity")
+    joined = J.star_join(
+        lines,
+        [
+            ("pk", table(spark, sf, "part"), "p_partkey", {"p_name": "p_name"}),
+            ("l_suppkey", table(spark, sf, "supplier"), "s_suppkey", {"s_name": "s_name"}),
+        ],
+        split_hot=True,
+    )
+    return joined.groupBy("p_name", "s_name").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
 @query(
     "defender_totals",
     f"""WITH {_MATCH_CTE.format(j='j')} SELECT -def_id - 1 AS def_player_id, defender, team, games_faced,

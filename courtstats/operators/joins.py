@@ -2,7 +2,8 @@
 
 No join carries a broadcast hint: Spark broadcasts a side only when its size,
 estimated or measured by AQE, is under ``spark.sql.autoBroadcastJoinThreshold``,
-and AQE splits skewed partitions of the joins that shuffle.
+and AQE splits skewed partitions of the joins that shuffle. ``split_hot`` splits the
+frequent keys of the fact table beforehand (:mod:`courtstats.operators.hot_keys`).
 """
 
 from __future__ import annotations
@@ -12,20 +13,30 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtstats.operators.hot_keys import HotKeys, hot_join, hot_keys
 
-def star_join(fact: DataFrame, dims: Sequence[tuple[str, DataFrame, str, Mapping[str, str]]]) -> DataFrame:
+
+def star_join(
+    fact: DataFrame, dims: Sequence[tuple[str, DataFrame, str, Mapping[str, str]]], split_hot: bool = False
+) -> DataFrame:
     """Inner-join dimensions to a fact.
 
     Each entry is (fact column, dimension, dimension key, {dimension column: output name});
-    one dimension may appear several times, e.g. for the home and the away team.
+    one dimension may appear several times, e.g. for the home and the away team. ``split_hot`` reads the
+    fact's own key columns once more to find frequent keys; columns that a dimension adds are joined as they are.
     """
+    hot = hot_keys(fact, list({(d[0],): None for d in dims if d[0] in fact.columns})) if split_hot else {}
     out = fact
     for i, (fact_col, dim, key, columns) in enumerate(dims):
         join_key = f"__dim_key_{i}"
         side = dim.select(
             F.col(key).alias(join_key), *[F.col(c).alias(name) for c, name in columns.items()]
         )
-        out = out.join(side, out[fact_col] == side[join_key], "inner")
+        if hot.get((fact_col,)):
+            joined = hot_join(out, side.withColumnRenamed(join_key, fact_col), [fact_col], hot)
+            out = joined.select(*out.columns, *columns.values())
+        else:
+            out = out.join(side, out[fact_col] == side[join_key], "inner")
     return out.drop(*[f"__dim_key_{i}" for i in range(len(dims))])
 
 
@@ -71,12 +82,12 @@ def one_player(players: DataFrame, player: str | int) -> int:
 
 
 def matchup_sides(
-    matchups: DataFrame, box_scores: DataFrame, attacker_id: int | None = None
+    matchups: DataFrame, box_scores: DataFrame, attacker_id: int | None = None, hot: HotKeys | None = None
 ) -> DataFrame:
     """Matchups with both team ids, teammates removed. Only numbers beside the game id.
 
     A report on one attacker first cuts all three inputs: the matchups and the attackers' box scores
-    to that player, the defenders' box scores to the player's games.
+    to that player, the defenders' box scores to the player's games. ``hot``: frequent keys of the matchups.
     """
     stats = box_scores.select("game_id", "player_id", "team_id")
     off_team = stats.withColumnsRenamed({"player_id": "off_player_id", "team_id": "off_team_id"})
@@ -85,21 +96,27 @@ def matchup_sides(
         matchups = matchups.where(F.col("off_player_id") == attacker_id)
         off_team = off_team.where(F.col("off_player_id") == attacker_id)
         def_team = def_team.join(off_team.select("game_id"), "game_id", "left_semi")
-    return (
-        matchups.drop("team_id")
-        .join(off_team, ["game_id", "off_player_id"])
-        .join(def_team, ["game_id", "def_player_id"])
-        .where(F.col("def_team_id") != F.col("off_team_id"))
-    )
+    named = _split_join(matchups.drop("team_id"), off_team, ["game_id", "off_player_id"], hot)
+    both = _split_join(named, def_team, ["game_id", "def_player_id"], hot)
+    return both.where(F.col("def_team_id") != F.col("off_team_id"))
+
+
+def _split_join(big: DataFrame, other: DataFrame, keys: list[str], hot: HotKeys | None) -> DataFrame:
+    return big.join(other, keys) if hot is None else hot_join(big, other, keys, hot)
 
 
-def defender_names(rows: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+def defender_names(
+    rows: DataFrame, players: DataFrame, teams: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """Adds the defender's name and team by their ids; the team id goes."""
     names = players.select(
         F.col("player_id").alias("def_player_id"), F.col("full_name").alias("defender")
     )
     abbr = teams.select(F.col("team_id").alias("def_team_id"), F.col("abbreviation").alias("team"))
-    return rows.join(names, "def_player_id").join(abbr, "def_team_id").drop("def_team_id")
+    return _split_join(rows, names, ["def_player_id"], hot).join(abbr, "def_team_id").drop("def_team_id")
+
+
+_MATCHUP_KEYS = [["game_id", "off_player_id"], ["game_id", "def_player_id"], ["def_player_id"], ["off_player_id"]]
 
 
 def matchup_join(
@@ -108,14 +125,19 @@ def matchup_join(
     box_scores: DataFrame,
     teams: DataFrame,
     attacker: str | int | None = None,
+    split_hot: bool = False,
 ) -> DataFrame:
-    """Matchup rows with both names and the defender's team, teammates removed."""
+    """Matchup rows with both names and the defender's team, teammates removed.
+
+    ``split_hot`` finds the frequent keys of all four joins in one pass over the matchups.
+    """
     chosen = None if attacker is None else one_player(players, attacker)
-    named = defender_names(matchup_sides(matchups, box_scores, chosen), players, teams)
+    hot = hot_keys(matchups, _MATCHUP_KEYS) if split_hot else None
+    named = defender_names(matchup_sides(matchups, box_scores, chosen, hot), players, teams, hot)
     off = players.select(
         F.col("player_id").alias("off_player_id"), F.col("full_name").alias("attacker")
     )
-    return named.join(off, "off_player_id")
+    return _split_join(named, off, ["off_player_id"], hot)
 
 
 def missing_keys(target: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
