@@ -19,6 +19,7 @@ from courtstats.schemas import ALIASES, TABLE_DDL, table_schema
 from courtstats.session import materialize, new_folder
 from courtstats.sources import landing as L
 from courtstats.sources import tables as T
+from courtstats.sources.drift import drift_report, footers, scan_drifting
 from courtstats.sources.snapshots import SnapshotTables
 from courtstats.streaming.incremental import (
     Endpoint,
@@ -101,6 +102,51 @@ def _landing_reconciles(spark, sf, folder):
     return outcomes.withColumn("adds_up", whole.scalar())
 
 
+def _drifting_loads(spark, sf, path):
+    """Three loads of the line items: whole numbers that grow, then get fractions; codes that turn from numbers to text."""
+    lines = table(spark, sf, "lineitem")
+    loads = [
+        ("A", [F.col("l_orderkey").cast("int"), F.col("l_linenumber").alias("code"), F.col("l_quantity").cast("int")]),
+        ("N", [F.col("l_orderkey"), F.concat(F.lit("x"), F.col("l_linenumber")).alias("code"), F.col("l_quantity").cast("long")]),
+        ("R", [F.col("l_orderkey"), F.col("l_quantity"), F.col("l_returnflag").alias("flag")]),
+    ]
+    for name, columns in loads:
+        part = lines.where(F.col("l_returnflag") == name)
+        part.select(*columns, "l_linenumber").write.parquet(f"{path}/load={name}")
+
+
+@query(
+    "scan_drifting_types",
+    """SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN CAST(l_linenumber AS VARCHAR)
+  WHEN 'N' THEN 'x' || l_linenumber END AS code, l_quantity, CASE WHEN l_returnflag = 'R' THEN 'R' END AS flag FROM lineitem""",
+)
+@in_folders
+def _scan_drifting_types(spark, sf, folder):
+    path = folder("drift")
+    _drifting_loads(spark, sf, path)
+    return scan_drifting(spark, path).select("l_orderkey", "l_linenumber", "code", "l_quantity", "flag")
+
+
+@query(
+    "drift_report",
+    """WITH f AS (SELECT l_returnflag AS load, count(*) AS n FROM lineitem GROUP BY l_returnflag), c AS (
+  SELECT * FROM (VALUES ('A', 'l_orderkey', 'int'), ('A', 'code', 'int'), ('A', 'l_quantity', 'int'),
+    ('A', 'l_linenumber', 'int'), ('N', 'l_orderkey', 'bigint'), ('N', 'code', 'string'), ('N', 'l_quantity', 'bigint'),
+    ('N', 'l_linenumber', 'int'), ('R', 'l_orderkey', 'bigint'), ('R', 'l_quantity', 'double'), ('R', 'flag', 'string'),
+    ('R', 'l_linenumber', 'int')) v(load, col, kind))
+SELECT col AS "column", CASE WHEN bool_or(kind = 'string') THEN 'string' WHEN bool_or(kind = 'double') THEN 'double'
+  WHEN bool_or(kind = 'bigint') THEN 'bigint' ELSE 'int' END AS type,
+  string_agg(DISTINCT kind, ',' ORDER BY kind) AS types, CAST(sum(n) AS BIGINT) AS rows, count(DISTINCT kind) > 1 AS widened,
+  bool_or(kind = 'double') AND bool_or(kind = 'bigint') AS inexact
+FROM c JOIN f USING (load) GROUP BY col""",
+)
+@in_folders
+def _drift_report(spark, sf, folder):
+    path = folder("drift")
+    _drifting_loads(spark, sf, path)
+    return drift_report(footers(spark, path))
+
+
 @query(
     "append_and_replace",
     """SELECT 'appended' AS step, count(*) * 2 AS rows FROM orders
