@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import numpy as np
@@ -361,33 +361,67 @@ _STEP_SUMS += [f"sum(d{i} * (sy - n * f)) as g{i}" for i in range(4)]
 _STEP_SUMS += [f"sum(n * d{i} * d{j}) as h{i}{j}" for i in range(4) for j in range(i, 4)]
 
 
-def _sigmoid_step(collapsed: DataFrame, trials: list[np.ndarray]):
-    """Error sum, gradient and curvature at several trial parameter vectors, in one job."""
-    literals = [
-        f"named_struct('i', {i}, " + ", ".join(f"'{p}', {float(v)!r}D" for p, v in zip(_PARAMS, t)) + ")"
-        for i, t in enumerate(trials)
-    ]
-    each = (
-        collapsed.selectExpr("x", "n", "sy", "syy", f"explode(array({', '.join(literals)})) as t")
-        .selectExpr("*", "1 / (1 + exp(-t.k * (x - t.x0))) as s")
-        .selectExpr(
-            "t.i as i", "n", "sy", "syy",
-            "t.height * s + t.base as f",
-            "s as d0",
-            "-t.k * t.height * s * (1 - s) as d1",
-            "(x - t.x0) * t.height * s * (1 - s) as d2",
-            "1D as d3",
-        )
-    )
-    sums = [F.expr(text) for text in _STEP_SUMS]
-    out = {}
-    for row in each.groupBy("i").agg(*sums).collect():  # one row per trial
-        gradient = np.array([row[f"g{i}"] for i in range(4)])
-        curvature = np.array(
-            [[row[f"h{min(i, j)}{max(i, j)}"] for j in range(4)] for i in range(4)]
+#: Distinct x up to which all steps run on the collapsed rows themselves, held as four arrays (2 MB).
+LOCAL_ROWS = 65_536
+
+# (error sum, gradient, curvature) of every trial parameter vector, by its number.
+Step = Callable[[list[np.ndarray]], dict[int, tuple[float, np.ndarray, np.ndarray]]]
+
+
+def _spark_step(collapsed: DataFrame) -> Step:
+    """Several trials at once, in one job over all rows."""
+
+    def step(trials: list[np.ndarray]):
+        literals = [
+            f"named_struct('i', {i}, " + ", ".join(f"'{p}', {float(v)!r}D" for p, v in zip(_PARAMS, t)) + ")"
+            for i, t in enumerate(trials)
+        ]
+        each = (
+            collapsed.selectExpr("x", "n", "sy", "syy", f"explode(array({', '.join(literals)})) as t")
+            .selectExpr("*", "1 / (1 + exp(-t.k * (x - t.x0))) as s")
+            .selectExpr(
+                "t.i as i", "n", "sy", "syy",
+                "t.height * s + t.base as f",
+                "s as d0",
+                "-t.k * t.height * s * (1 - s) as d1",
+                "(x - t.x0) * t.height * s * (1 - s) as d2",
+                "1D as d3",
+            )
         )
-        out[row["i"]] = (row["sse"], gradient, curvature)
-    return out
+        sums = [F.expr(text) for text in _STEP_SUMS]
+        out = {}
+        for row in each.groupBy("i").agg(*sums).collect():  # one row per trial
+            gradient = np.array([row[f"g{i}"] for i in range(4)])
+            curvature = np.array([[row[f"h{min(i, j)}{max(i, j)}"] for j in range(4)] for i in range(4)])
+            out[row["i"]] = (row["sse"], gradient, curvature)
+        return out
+
+    return step
+
+
+def _array_step(rows: np.ndarray) -> Step:
+    """The same sums over rows (x, n, sy, syy) at hand."""
+    x, n, sy, syy = rows
+
+    def step(trials: list[np.ndarray]):
+        out = {}
+        for i, (height, x0, k, base) in enumerate(trials):
+            with np.errstate(over="ignore", invalid="ignore"):
+                s = 1 / (1 + np.exp(-k * (x - x0)))
+                f = height * s + base
+                slope = height * s * (1 - s)
+                d = np.stack([s, -k * slope, (x - x0) * slope, np.ones_like(s)])
+                sse = float(np.sum(syy - 2 * f * sy + n * f * f))
+                out[i] = (sse, d @ (sy - n * f), (d * n) @ d.T)
+        return out
+
+    return step
+
+
+def _rows(collapsed: DataFrame) -> np.ndarray:
+    """Columns x, n, sy, syy in the order of x, so that sums don't depend on the layout."""
+    found = collapsed.select("x", "n", "sy", "syy").toPandas().sort_values("x", kind="stable")
+    return found.to_numpy(np.float64).T
 
 
 def collapse(points: DataFrame, x: str, y: str) -> DataFrame:
@@ -425,17 +459,28 @@ def sigmoid_fit(
 def sigmoid_fit_collapsed(
     collapsed: DataFrame, start: Sequence[float], max_steps: int = 200, tolerance: float = 1e-8
 ) -> DataFrame:
-    """:func:`sigmoid_fit` on the rows of :func:`collapse`, which it reads once a step.
+    """:func:`sigmoid_fit` on the rows of :func:`collapse`.
 
-    Every step is one Spark aggregate that tries several dampings
-    and brings back fifteen sums per trial. The result is one row; its
-    parameters are NULL when the steps do not converge.
+    With up to ``LOCAL_ROWS`` distinct x, one job brings their sums and all steps run on them. With more, x is
+    nearly continuous: the steps run on one in so many x, chosen by hash, and what they find only starts the exact
+    descent, in which every step is one aggregate over all rows that tries several dampings; a few remain. If the
+    part doesn't converge, the descent starts from ``start``. The result is one row; its parameters are NULL when the
+    steps do not converge.
     """
     spark = collapsed.sparkSession
-    n, sy, syy = collapsed.agg(F.sum("n"), F.sum("sy"), F.sum("syy")).first()
+    first = np.array(start, dtype=float)
+    rows = _rows(collapsed.limit(LOCAL_ROWS + 1))
     params, fitted = None, None
-    if n:
-        params, fitted = _descend(collapsed, np.array(start, dtype=float), max_steps, tolerance)
+    if rows.shape[1] <= LOCAL_ROWS:
+        n, sy, syy = (float(v) for v in rows[1:].sum(axis=1))
+        if n:
+            params, fitted = _descend(_array_step(rows), first, max_steps, tolerance)
+    else:
+        count, n, sy, syy = collapsed.agg(F.count(F.lit(1)), F.sum("n"), F.sum("sy"), F.sum("syy")).first()
+        one_in = math.ceil(2 * count / LOCAL_ROWS)
+        part = _rows(collapsed.where(F.pmod(F.xxhash64("x"), F.lit(one_in)) == 0))
+        near, found = _descend(_array_step(part), first, max_steps, tolerance)
+        params, fitted = _descend(_spark_step(collapsed), first if found is None else near, max_steps, tolerance)
     schema = (
         "n long, height double, x0 double, k double, base double, sse double, r2 double, "
         "converged boolean"
@@ -451,9 +496,10 @@ def sigmoid_fit_collapsed(
     )
 
 
-def _descend(collapsed: DataFrame, params: np.ndarray, max_steps: int, tolerance: float):
+def _descend(step_sums: Step, params: np.ndarray, max_steps: int, tolerance: float):
+    """Damped Gauss-Newton steps: (parameters, error sum), the latter None without convergence."""
     damping = 1e-3
-    sse, gradient, curvature = _sigmoid_step(collapsed, [params])[0]
+    sse, gradient, curvature = step_sums([params])[0]
     for _ in range(max_steps):
         trials, used = [], []
         for factor in _DAMPING_STEPS:
@@ -467,7 +513,7 @@ def _descend(collapsed: DataFrame, params: np.ndarray, max_steps: int, tolerance
                 used.append(damping * factor)
         if not trials:
             return params, None
-        results = _sigmoid_step(collapsed, trials)
+        results = step_sums(trials)
         better = [
             (r[0], i)
             for i, r in results.items()

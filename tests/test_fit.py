@@ -204,6 +204,39 @@ def test_sigmoid_fit_recovers_the_curve(spark):
     assert values.expected == pytest.approx(row.height / (1 + np.exp(-row.k * (values.x - row.x0))) + row.base)
 
 
+def test_sigmoid_of_continuous_x_takes_few_passes(spark, monkeypatch):
+    """Above the bound a part of the rows finds the start, and the exact descent ends where all rows lead."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 15, 4000)
+    y = 60 / (1 + np.exp(-0.08 * (x - 2))) - 30 + rng.normal(0, 2, len(x))
+    df = frame(spark, x, y)
+    start = [float(np.ptp(y)), float(np.median(x)), 0.1, float(y.min())]
+    whole = fit.sigmoid_fit(df, "x", "y", start).first()
+    jobs = []
+    spark_step = fit._spark_step
+
+    def counted(collapsed):
+        step = spark_step(collapsed)
+        return lambda trials: jobs.append(1) or step(trials)
+
+    monkeypatch.setattr(fit, "_spark_step", counted)
+    monkeypatch.setattr(fit, "LOCAL_ROWS", 500)
+    row = fit.sigmoid_fit(df, "x", "y", start).first()
+    assert row.converged and 0 < len(jobs) <= 6
+    for name in ("height", "x0", "k", "base", "sse", "r2"):
+        assert row[name] == pytest.approx(whole[name], rel=1e-3)
+
+
+def test_sums_at_hand_equal_those_of_spark(spark):
+    rng = np.random.default_rng(7)
+    rows = fit.collapse(frame(spark, np.round(rng.normal(0, 9, 300)), rng.normal(0, 5, 300)), "x", "y")
+    trials = [np.array(t) for t in ([30.0, 1.0, 0.1, -9.0], [5.0, -400.0, 2.0, 1.0])]
+    near, far = fit._array_step(fit._rows(rows))(trials), fit._spark_step(rows)(trials)
+    for i in range(2):
+        for a, b in zip(near[i], far[i]):
+            assert np.allclose(a, b, rtol=1e-9, atol=1e-9)
+
+
 def test_sigmoid_fit_without_data_or_hope(spark):
     empty = spark.createDataFrame([], "x double, y double")
     assert fit.sigmoid_fit(empty, "x", "y", [1, 0, 0.1, 0]).first().converged is False
