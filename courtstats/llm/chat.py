@@ -14,7 +14,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, read
+from .common import let, query, read
+
+#: Segments whose spans are listed together, and code points of a piece from which texts are read back.
+BLOCK = 256
+PIECE = 512
 
 
 @dataclass(frozen=True)
@@ -102,6 +106,42 @@ class Template:
         return F.aggregate(turns, start, step, finish)
 
 
+def loss_spans(segments: Column) -> Column:
+    """(start, length) of the learnt segments in their concatenation, counted from 1 in code points.
+
+    Spans are listed block by block from 0 and then moved by the length of the blocks before, so the work grows with the
+    number of segments and not with its square.
+    """
+    kind = "array<struct<start:int,length:int>>"
+
+    def listed(acc: Column, s: Column) -> Column:
+        size = F.char_length(s["text"])
+        span = F.array(F.struct(acc["at"].alias("start"), size.alias("length")))
+        spans = F.when(s["loss"], F.concat(acc["spans"], span)).otherwise(acc["spans"])
+        return F.struct((acc["at"] + size).alias("at"), spans.alias("spans"))
+
+    def in_block(number: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
+        return F.aggregate(F.slice(segments, number * BLOCK + 1, F.lit(BLOCK)), start, listed)
+
+    def moved(blocks: Column) -> Column:
+        starts = F.aggregate(
+            blocks, F.array(F.lit(1)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + b["at"]))
+        )
+        return F.flatten(
+            F.zip_with(
+                blocks,
+                F.slice(starts, F.lit(1), F.size(blocks)),
+                lambda b, at: F.transform(
+                    b["spans"], lambda s: F.struct((s["start"] + at).alias("start"), s["length"].alias("length"))
+                ),
+            )
+        )
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(segments) - 1) / BLOCK).cast("int"))
+    return F.when(F.size(segments) > 0, let(F.transform(numbers, in_block), moved)).otherwise(F.array().cast(kind))
+
+
 def format_chats(
     df: DataFrame,
     template: Template = Template(),
@@ -131,30 +171,11 @@ def format_chats(
         F.flatten(F.transform("turns", template.segments)).alias("segments"),
         template.first_wrong_turn(F.col("turns")).alias("first_wrong"),
     )
-    spans = F.aggregate(
-        "segments",
-        F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + F.char_length(s["text"])).alias("at"),
-            F.when(
-                s["loss"],
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(acc["at"].alias("start"), F.char_length(s["text"]).alias("length"))
-                    ),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
     return cut.select(
         conv,
         "segments",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-        spans.alias("loss_spans"),
+        let(F.col("segments"), loss_spans).alias("loss_spans"),
         F.col("first_wrong").isNull().alias("valid"),
         "first_wrong",
     )
@@ -177,13 +198,22 @@ def parse_turns(formatted: Column, template: Template = Template()) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column, template: Template = Template()) -> Column:
-    """All text under the loss mask, read from the formatted text, unescaped."""
-    return F.array_join(
-        F.transform(
-            spans, lambda s: template.unescape(F.substring(formatted, s["start"], s["length"]))
-        ),
-        "",
-    )
+    """All text under the loss mask, read from the formatted text, unescaped.
+
+    The text is cut into pieces of equal length once, and a span is read from the pieces that hold it: finding its place
+    in the whole text would mean a walk from the first character for every span.
+    """
+
+    def read_back(pieces: Column) -> Column:
+        def text(s: Column) -> Column:
+            first = F.floor((s["start"] - 1) / PIECE).cast("int")
+            count = F.floor((s["start"] + s["length"] - 2) / PIECE).cast("int") - first + 1
+            near = F.array_join(F.slice(pieces, first + 1, count), "")
+            return template.unescape(F.substring(near, s["start"] - first * PIECE, s["length"]))
+
+        return F.array_join(F.transform(spans, text), "")
+
+    return let(F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), read_back)
 
 
 def _literal(text: str) -> str:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import pytest
@@ -39,6 +40,47 @@ def expected_turns(conv):
     return [(r[2] or "", r[3] or "") for r in own]
 
 
+
+def test_long_conversations_take_linear_time(spark):
+    """Turns by the ten thousand: spans and the text read back are right, and four times as many take about that long."""
+    took = {}
+    for n in (10_000, 40_000):
+        turns = spark.range(n).select(
+            F.lit(1).alias("conv_id"),
+            F.col("id").alias("turn"),
+            F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+            F.concat(F.lit("\U0001F600<|x \\ "), F.col("id"), F.repeat(F.lit("y\n"), (F.col("id") % 300).cast("int"))).alias("text"),
+        )
+        begun = time.perf_counter()
+        made = chat.format_chats(turns)
+        row = made.select(
+            F.sha2(chat.loss_text(F.col("formatted"), F.col("loss_spans")), 256).alias("loss"),
+            F.size("loss_spans").alias("n"),
+            F.size(chat.parse_turns(F.col("formatted"))).alias("turns"),
+            "valid",
+        ).first()
+        took[n] = time.perf_counter() - begun
+        wanted = "".join("\U0001F600<|x \\ %d" % i + "y\n" * (i % 300) for i in range(1, n, 2))
+        assert row["loss"] == hashlib.sha256(wanted.encode()).hexdigest()
+        assert (row["n"], row["turns"], row["valid"]) == (n // 2, n, True)
+    assert took[40_000] < 10 * took[10_000] + 5
+
+
+def test_spans_across_blocks_and_pieces(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 2)
+    monkeypatch.setattr(chat, "PIECE", 3)
+    texts = ["", "a", "abc", "\U0001F600" * 7, "<|end|>", "\\", "abcdef" * 5, ""]
+    rows = [(1, 2 * i + k, role, t) for i, t in enumerate(texts) for k, role in enumerate(("user", "assistant"))]
+    talks = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    row = chat.format_chats(talks).select(
+        "formatted", "loss_spans", chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")
+    ).first()
+    assert row["loss"] == "".join(texts)
+    plain = chat.Template()
+    cut = [row["formatted"][s["start"] - 1 : s["start"] - 1 + s["length"]] for s in row["loss_spans"]]
+    assert cut == [t.replace("\\", "\\\\").replace("<|", "<\\|") for t in texts] and plain.mark == "<|"
+
+
 def test_turns_and_loss_are_read_back(talks):
     made = chat.format_chats(talks)
     back = made.select(
