@@ -6,10 +6,12 @@ the radius agree in at least one block, and all that agree in a block form a sha
 children by their integer Hamming distance to the parent; a search follows only edges within the radius
 of the query's distance (triangle inequality). A shard leaves its task as one star of links, not as pairs.
 
-Shards above ``shard_limit`` members (a large group of near copies) would make one slow task. They
-are linked by an exact way that splits: every member names all values within one flipped
-bit of it; two fingerprints within two bits of each other name a common value, and all
-that name one value are within two bits of each other. At most 65 fingerprints can name a value.
+Shards above ``shard_limit`` members would make one slow task. They are cut again in the same way on the
+bits their members needn't agree in, so chance agreement (at a billion fingerprints nearly every first
+shard) still goes through trees. What is above the limit after that is a dense group of near copies,
+whose members agree in nearly all bits. It is linked by an exact way that splits: every member names all
+values within one flipped bit of it; two fingerprints within two bits of each other name a common value, and
+all that name one value are within two bits of each other. At most 65 fingerprints can name a value.
 
 All trees together have no size bound, so they aren't broadcast: a shard's members and its tree meet in one task.
 """
@@ -21,7 +23,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtstats.session import materialize
@@ -172,32 +174,43 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def block_layout(radius: int) -> list[tuple[int, int]]:
-    """(lowest bit, bits) of each block."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+def cut_masks(mask: int, radius: int) -> list[int]:
+    """The mask widened by each of ``radius`` + 1 equal runs of its free bits.
+
+    Values that agree under the mask and lie within the radius agree under at least one of these.
+    """
+    free = [i for i in range(64) if not mask >> i & 1]
+    edges = [len(free) * i // (radius + 1) for i in range(radius + 2)]
+    return [mask | sum(1 << i for i in free[a:b]) for a, b in zip(edges, edges[1:])]
+
+
+def _sharded(members: DataFrame, masks: Column) -> DataFrame:
+    """(mask, value, fp, n) of all shards of two or more members; ``masks`` lists the masks to deal a row by."""
+    keyed = members.select("fp", F.explode(masks).alias("mask")).select(
+        "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp"
+    )
+    sizes = keyed.groupBy("mask", "value").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    return keyed.join(sizes, ["mask", "value"])
+
+
+def _mask_list(masks: list[int]) -> Column:
+    return F.array(*[F.lit(_signed(m)).cast("long") for m in masks])
 
 
 def links_within(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of ``fp`` within the radius.
 
-    ``fps`` holds distinct values. A shard above the limit needs radius 2 or less.
+    ``fps`` holds distinct values. A dense group above the limit needs radius 2 or less.
     """
     if not 0 <= radius <= 2:
         raise ValueError("the exact way for large shards covers a radius of at most 2")
-    blocks = block_layout(radius)
-    keys = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << bits) - 1)).alias("value"),
-            )
-            for i, (low, bits) in enumerate(blocks)
-        ]
+    first = cut_masks(0, radius)
+    shards = _sharded(fps, _mask_list(first))
+    large = shards.where(F.col("n") > shard_limit).select("mask", "fp")
+    again = F.coalesce(
+        *[F.when(F.col("mask") == _signed(m), _mask_list(cut_masks(m, radius))) for m in first]
     )
-    keyed = fps.select("fp", F.explode(keys).alias("k")).select("k.block", "k.value", "fp")
-    sizes = keyed.groupBy("block", "value").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    shards = keyed.join(sizes, ["block", "value"])
+    cut = _sharded(large, again)
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by shard; a shard may run on from one batch into the next."""
@@ -214,25 +227,26 @@ def links_within(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_
 
         for batch in batches:
             out = []
-            columns = (batch.column(c).to_pylist() for c in ("block", "value", "fp"))
-            for block, value, fp in zip(*columns):
-                if (block, value) != shard:
+            columns = (batch.column(c).to_pylist() for c in ("mask", "value", "fp"))
+            for mask, value, fp in zip(*columns):
+                if (mask, value) != shard:
                     out += links(members)
-                    shard, members = (block, value), []
+                    shard, members = (mask, value), []
                 members.append(fp)
             yield batch_of(out)
         yield batch_of(links(members))
 
     by_tree = (
-        shards.where(F.col("n") <= shard_limit)
-        .select("block", "value", "fp")
-        .repartition("block", "value")
-        .sortWithinPartitions("block", "value", "fp")
+        shards.union(cut)
+        .where(F.col("n") <= shard_limit)
+        .select("mask", "value", "fp")
+        .repartition("mask", "value")
+        .sortWithinPartitions("mask", "value", "fp")
         .transform(small_batches).mapInArrow(search, "a long, b long")
     )
     every_bit = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << i)) for i in range(64)])
     named = (
-        shards.where(F.col("n") > shard_limit)
+        cut.where(F.col("n") > shard_limit)
         .select("fp")
         .distinct()
         .select("fp", F.explode(every_bit).alias("bit"))
