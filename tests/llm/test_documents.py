@@ -542,3 +542,103 @@ def test_every_trusted_document_counts(spark, frame):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(3000)], "doc_id long, quality int, toxic int")
     model = quality_rules.fit(docs, labels)
     assert quality_rules.trusted_ids(labels).count() == 3000 and np.isfinite(model.threshold)
+
+
+def test_cut_masks_miss_no_near_pair():
+    rng = random.Random(11)
+    for radius in (0, 1, 2):
+        for mask in [0, *simhash.cut_masks(0, radius)]:
+            for _ in range(300):
+                a = rng.getrandbits(64)
+                free = [i for i in range(64) if not mask >> i & 1]
+                b = a
+                for i in rng.sample(free, min(radius, len(free))):
+                    b ^= 1 << i
+                assert any((a ^ b) & m == 0 for m in simhash.cut_masks(mask, radius))
+
+
+def _planted_corpus(seed):
+    """(rows, wanted, unwanted): texts with wider spans that are personal data and look-alikes that aren't."""
+    rng = random.Random(seed)
+
+    def filler():
+        return " ".join("".join(rng.choice("bdfgklmnoprstu") for _ in range(rng.randint(3, 8))) for _ in range(6))
+
+    def card(good=True):
+        body = rng.choice("45") + "".join(rng.choice("12345") for _ in range(14))
+        right = [d for d in "0123456789" if private_data.luhn(body + d)][0]
+        return body + (right if good else str((int(right) + rng.randint(1, 9)) % 10))
+
+    def fours(number, sign):
+        return sign.join(number[i : i + 4] for i in range(0, 16, 4))
+
+    def n(digits):
+        return "".join(rng.choice("23456789") for _ in range(digits))
+
+    def octets(sign):
+        return sign.join(str(rng.randint(1, 254)) for _ in range(4))
+
+    def name():
+        return "".join(rng.choice("abcdef") for _ in range(6))
+
+    certain = [
+        lambda: ("mail ", f"{name()}@{name()}.com"), lambda: ("", f"{name()}@{name()}.org"),
+        lambda: ("host ", octets(".")), lambda: ("", octets(".")),
+        lambda: ("card ", card()), lambda: ("", fours(card(), " ")),
+        lambda: ("call ", f"+1 ({n(3)}) {n(3)}-{n(4)}"), lambda: ("", f"+44 0{n(3)} {n(3)} {n(4)}"),
+    ]
+    personal = [
+        lambda: ("email", "write ", f"{name()} (at) {name()} (dot) com"),
+        lambda: ("email", "mail ", f"{name()} at {name()} dot org"),
+        lambda: ("ip", "server ", octets("[.]")),
+        lambda: ("card", "card ", fours(card(), ".")),
+        lambda: ("card", "", fours(card(), "/")),
+        lambda: ("card", "visa card ", fours(card(False), " ")),  # a slip of the pen: the checksum says no
+        lambda: ("phone", "call ", f"({n(3)}) {n(3)}-{n(4)}"),
+        lambda: ("phone", "", f"({n(3)}) {n(3)}-{n(4)}"),
+        lambda: ("phone", "tel ", f"0{n(3)} {n(3)} {n(4)}"),
+    ]
+    alike = [
+        lambda: ("card", "", "9" + n(15) if not private_data.luhn("9" + "1" * 15) else ""),
+        lambda: ("ip", "", ".".join(str(rng.randint(256, 999)) for _ in range(4))),
+        lambda: ("email", "", f"{name()} at {name()} dot {name()}"),
+        lambda: ("phone", "", f"0{n(1)}.{n(2)}.{n(4)}/{n(2)}.{n(2)}"),
+    ]
+    rows, wanted, unwanted = [], {}, {}
+    for makers, times, into in ((certain, 60, None), (personal, 40, wanted), (alike, 60, unwanted)):
+        for m, make in enumerate(makers):
+            for _ in range(times):
+                made = make()
+                lead, body = made[-2:]
+                text = f"{filler()} {lead}"
+                if into is unwanted and made[0] == "card" and private_data.luhn(body):
+                    continue
+                if into is not None:
+                    into[len(rows)] = (m, made[0], len(text), len(text) + len(body))
+                rows.append((len(rows), f"{text}{body} {filler()}"))
+    return rows, wanted, unwanted
+
+
+def test_added_spans_of_a_planted_corpus(spark):
+    rows, wanted, unwanted = _planted_corpus(23)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = private_data.fit(df)
+    added = {
+        r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if not s.base]
+        for r in private_data.find(df, model).collect()
+    }
+    right = {i: w for i, w in wanted.items() if w[1:] in added[i]}
+    claimed = sum(map(len, added.values()))
+    by_sort = [sum(w[0] == m for w in right.values()) for m in range(9)]
+    refused = [sum(not added[i] for i, w in unwanted.items() if w[0] == m) for m in range(4)]
+    assert len(right) >= 0.9 * len(wanted), (by_sort, refused)
+    assert len(right) >= 0.9 * claimed, (by_sort, refused)
+    # Cards with a slip fail the checksum and are taken; look-alikes fail it and are refused.
+    assert by_sort[5] >= 36 and refused[0] >= 0.9 * sum(w[0] == 0 for w in unwanted.values())
+
+
+def test_gazetteer_is_learnt_from_certain_spans(spark):
+    rows = [(i, f"x{i}@host.museum") for i in range(5)] + [(9, "+49 (30) 555-1234"), (10, "+1 (30) 777-9999")]
+    model = private_data.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert ("email", "museum") in model.gazetteer and ("phone", "(99) 999-9999") in model.gazetteer
+    assert ("card", "41:16") not in model.gazetteer
