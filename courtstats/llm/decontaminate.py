@@ -11,6 +11,9 @@ would miss a short item in a long text, so both sides are sketched by size:
   is all its shingle hashes up to that bound: it grows with the document, and no minimum of an
   item in the partition that the document holds can be missing. Documents with fewer shingles than the
   smallest item of the partition needs are skipped.
+* The bounds grow with the number of items, up to all hashes. So the scan also looks each hash up in a bit
+  set of all minima (two bits each), which is sent to every task and has a fixed largest size: it lets all minima
+  pass and, until it reaches that size, about one in 4,000 of the other hashes.
 
 Sketches meet in a join on the hash; each pair found is then verified on the shingles themselves.
 So no pair is lost and none is wrong, at any length of the document.
@@ -23,10 +26,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtstats.session import materialize
+
 from .common import BROADCAST_ROWS, WORD_BREAK, let, query, read, small
 
 SHINGLE = 5
 THRESHOLD = 0.8
+#: Bits of the set of minima for each of them, and its largest size in bits (2 MB).
+BITS_PER_MINIMUM = 128
+MOST_BITS = 1 << 24
+#: Characters of all shingles of the items up to which the items are sent to every task.
+BROADCAST_CHARS = 64 << 20
 
 
 def words(text: Column) -> Column:
@@ -94,6 +104,46 @@ def _within(parts, tokens: Column):
     return test
 
 
+def _slots(h: Column, bits: int) -> list[Column]:
+    """The two places of a hash in a bit set, from its lower and its upper half."""
+    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def _bit_set(minima: DataFrame, count: int) -> tuple[Column, int]:
+    """(constant array of 64-bit words, number of bits) that marks the hashes of all minima.
+
+    What reaches the driver is a row per word with a mark: at most ``MOST_BITS`` / 64.
+    """
+    bits = 1024
+    while bits < min(count * BITS_PER_MINIMUM, MOST_BITS):
+        bits *= 2
+    slot = F.explode(F.array(*_slots(F.col("hash"), bits)))
+    merged = (
+        minima.select(slot.alias("slot"))
+        .select(F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, cast(slot & 63L as int))").alias("mark"))
+        .groupBy("word")
+        .agg(F.bit_or("mark").alias("mark"))
+    )
+    words_of = [0] * (bits // 64)
+    for row in merged.collect():
+        words_of[row["word"]] = row["mark"]
+    # One string instead of an expression per word: the optimizer folds it to one constant.
+    return F.split(F.lit(",".join(map(str, words_of))), ",").cast("array<bigint>"), bits
+
+
+def _in_set(words_of: Column, bits: int):
+    """Whether a hash may be one of the minima."""
+
+    def test(h: Column) -> Column:
+        found = [
+            F.getbit(F.get(words_of, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+            for slot in _slots(h, bits)
+        ]
+        return found[0] & found[1]
+
+    return test
+
+
 def _tagged(hashes: Column, width: int) -> Column:
     return F.transform(hashes, lambda h: F.struct(F.lit(width).alias("width"), h.alias("hash")))
 
@@ -115,6 +165,15 @@ def _minima(items: DataFrame) -> DataFrame:
     )
 
 
+def _small_items(items: DataFrame) -> DataFrame:
+    """The items computed once, hinted for broadcast if neither their rows nor their characters exceed the bounds."""
+    kept = materialize(items)
+    chars = F.aggregate("shingles", F.lit(0).cast("long"), lambda n, s: n + F.octet_length(s))
+    total = kept.agg(F.count("*").alias("rows"), F.sum(chars).alias("chars")).first()
+    fits = total["rows"] <= BROADCAST_ROWS and (total["chars"] or 0) <= BROADCAST_CHARS
+    return F.broadcast(kept) if fits else kept
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -138,8 +197,11 @@ def find_leaks(
 
 def _leaks(docs: DataFrame, benchmark: DataFrame, threshold: float, doc: str, item: str, text: str) -> DataFrame:
     """The rows of :func:`find_leaks` with ``_version``, the hash of the text an item was found in."""
-    items = small(_items(benchmark, item, text, threshold), BROADCAST_ROWS)
-    minima = small(_minima(items), BROADCAST_ROWS)
+    items = _small_items(_items(benchmark, item, text, threshold))
+    minima = materialize(_minima(items))
+    minima_count = minima.count()
+    if minima_count <= BROADCAST_ROWS:
+        minima = F.broadcast(minima)
     # At most a row for each width and power of two: bounded whatever the number of items.
     plan = (
         minima.groupBy("width", "part")
@@ -157,13 +219,17 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, threshold: float, doc: str, it
             F.xxhash64("text").alias("_version"),
         )
 
+    known = _in_set(*_bit_set(minima, minima_count))
+
     def sketch(ws: Column) -> Column:
-        """All hashes up to the bound of a size partition the document is large enough for."""
+        """All hashes up to the bound of a size partition the document is large enough for, if in the bit set."""
+
+        def kept(width: int):
+            within = _within([r for r in plan if r["width"] == width], ws)
+            return lambda h: within(h) & known(h)
+
         pieces = [
-            _tagged(
-                F.filter(shingle_hashes(ws, width), _within([r for r in plan if r["width"] == width], ws)),
-                width,
-            )
+            _tagged(F.filter(shingle_hashes(ws, width), kept(width)), width)
             for width in sorted({row["width"] for row in plan})
         ]
         return pieces[0] if len(pieces) == 1 else F.concat(*pieces)

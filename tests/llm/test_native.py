@@ -230,3 +230,28 @@ def test_probe_survives(spark, tmp_path):
     text = chat.PROBE
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest() and row.loss_chars == len(text)
+
+
+def test_scan_lets_few_hashes_pass(spark):
+    """Of all shingle hashes of the documents the scan passes at most twice those that are minima of items."""
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+    items = decontaminate._items(read("benchmark"), "item_id", "text", 0.8)
+    minima = decontaminate._minima(items).cache()
+    known = decontaminate._in_set(*decontaminate._bit_set(minima, minima.count()))
+    hashes = read("documents").select(
+        F.explode(
+            decontaminate.let(decontaminate.words(F.col("text")), lambda ws: decontaminate.shingle_hashes(ws, 5))
+        ).alias("hash")
+    )
+    true = minima.where("width = 5").select("hash").distinct().withColumn("is", F.lit(True))
+    row = (
+        hashes.join(F.broadcast(true), "hash", "left")
+        .agg(
+            F.count_if(F.col("is") & known(F.col("hash"))).alias("found"),
+            F.count_if(F.col("is")).alias("all"),
+            F.count_if(known(F.col("hash"))).alias("passed"),
+        )
+        .first()
+    )
+    assert row["found"] == row["all"] > 0 and row["passed"] <= 2 * row["all"], row
+    minima.unpersist()
