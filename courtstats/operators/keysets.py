@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtstats.operators.dealing import dealt
+
 #: Keys per bitmap, as Spark's bitmap functions define it.
 RANGE = 32_768
 
@@ -23,6 +25,12 @@ def key_bitmaps(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
     rows = df.where(number.isNotNull()).select(
         *by, F.bitmap_bucket_number(number).alias("range"), F.bitmap_bit_position(number).alias("__bit")
     )
+    if by:
+        # A range that very many rows fall in is gathered per reading task first, so none of its rows meet in one task.
+        size, shares = df.count(), [*by, "range", "__task"]
+        dealt_rows = dealt(rows.withColumn("__task", F.spark_partition_id()), shares, size)
+        parts = dealt_rows.groupBy(*shares).agg(F.bitmap_construct_agg("__bit").alias("bits"))
+        return dealt(parts.drop("__task"), [*by, "range"], size).groupBy(*by, "range").agg(F.bitmap_or_agg("bits").alias("bits"))
     return rows.groupBy(*by, "range").agg(F.bitmap_construct_agg("__bit").alias("bits"))
 
 
