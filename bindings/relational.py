@@ -15,6 +15,7 @@ from courtstats.operators import quality as Q
 from courtstats.operators import quantiles as N
 from courtstats.operators import sets as U
 from courtstats.operators import windows as W
+from courtstats.operators.dealing import dealt
 from courtstats.plans import reports
 from courtstats.schemas import ALIASES, table_schema
 from courtstats.sources.tables import scan, scan_query
@@ -394,7 +395,11 @@ d AS (SELECT def_id, defender, arg_max(team, game_id) AS team, count(DISTINCT ga
 def matchup_tables(spark, sf, attacker="o_custkey"):
     orders = table(spark, sf, "orders").select("o_orderkey", F.expr(attacker).alias("o_custkey"))
     lines = table(spark, sf, "lineitem")
-    games = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    # Dealt by the number of lines, as tasks sort what they join.
+    size = lines.count()
+    lines, orders = dealt(lines, ["l_orderkey"], size), dealt(orders, ["o_orderkey"], size)
+    has_order = lines.l_orderkey == orders.o_orderkey
+    games = lines.join(orders, has_order)
     game_id = F.col("l_orderkey").cast("string").alias("game_id")
     # Suppliers and customers share one player table: supplier ids are shifted below zero.
     defender = -F.col("l_suppkey") - 1
@@ -415,14 +420,17 @@ def matchup_tables(spark, sf, attacker="o_custkey"):
     ).unionByName(
         supplier.select(F.col("sid").alias("player_id"), F.col("s_name").alias("full_name"))
     )
-    off_stats = games.select(game_id, F.col("o_custkey").alias("player_id")).join(
+    # An attacker needs one row a game, not one a line.
+    attackers, defenders = orders.join(lines, has_order, "left_semi"), lines.join(orders, has_order, "left_semi")
+    order_game = F.col("o_orderkey").cast("string").alias("game_id")
+    off_stats = attackers.select(order_game, F.col("o_custkey").alias("player_id")).join(
         customer.select(F.col("c_custkey").alias("player_id"), F.col("c_nationkey").alias("team_id")),
         "player_id",
     )
-    def_stats = games.select(game_id, defender.alias("player_id")).join(
+    def_stats = defenders.select(game_id, defender.alias("player_id")).join(
         supplier.select(F.col("sid").alias("player_id"), F.col("s_nationkey").alias("team_id")), "player_id"
     )
-    box_scores = off_stats.unionByName(def_stats).distinct()
+    box_scores = dealt(off_stats.unionByName(def_stats), ["game_id", "player_id"], size).distinct()
     teams = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("abbreviation")
     )
