@@ -22,9 +22,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType, VariantType
 
 from courtstats import files
+from courtstats.operators.dealing import parts_for
 
 #: Bits of a key bitmap, as Spark's bitmap functions define it.
 BITS = 32_768
@@ -196,18 +197,27 @@ class SnapshotTables:
         return self._rows(name, version.tables[name], self.folders_for(version, name, wanted))
 
     def unseen(self, version: Version, name: str, rows: DataFrame, row_keys: Sequence[str]) -> DataFrame:
-        """Rows whose row key no row of the table has. Null keys are keys like any other."""
+        """Rows whose row key no row of the table has. Null keys are keys like any other.
+
+        The stored rows are shuffled: their files are small for what they hold, and by the files' size Spark would send
+        them through the driver to every task, batch after batch.
+        """
         if name not in version.tables:
             return rows
-        stored = self.candidates(version, name, rows).select(*row_keys)
+        stored = self.candidates(version, name, rows).select(*row_keys).hint("merge")
         return rows.join(stored, same(rows, stored, row_keys), "left_anti")
 
     # --- Writing ------------------------------------------------------------------------
 
-    def stage(self, version: Version, name: str, rows: DataFrame, keys: Sequence[str]) -> Change:
-        """Write rows beside a table, to be added to it; full buckets are written anew with them."""
+    def stage(
+        self, version: Version, name: str, rows: DataFrame, keys: Sequence[str], size: int | None = None
+    ) -> Change:
+        """Write rows beside a table, to be added to it; full buckets are written anew with them.
+
+        ``size``: about how many rows there are, if that is known; it decides how many tasks write them.
+        """
         table = self._table(version, name, rows, keys)
-        commit, touched = self._write(name, rows, table)
+        commit, touched = self._write(name, rows, table, size)
         full = [b for b in touched if len(table.folders.get(b, ())) >= self.max_folders]
         sizes = {commit: len(touched)}
         replaced: dict[int, str] = {}
@@ -247,19 +257,27 @@ class SnapshotTables:
             raise ValueError(f"{name} has other columns: {table.schema}")
         return table
 
-    def _write(self, name: str, rows: DataFrame, table: Table) -> tuple[str, list[int]]:
+    def _write(self, name: str, rows: DataFrame, table: Table, size: int | None = None) -> tuple[str, list[int]]:
         """Stage rows in buckets, with their key index; returns the commit and the buckets it holds."""
         commit, keys = uuid.uuid4().hex, list(table.keys)
         data = f"{self.root}/data/{name}/commit={commit}"
         placed = rows.withColumn("bucket", bucket_of(keys, table.buckets))
-        # A bucket in few files; one that holds most rows is split by AQE.
-        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(data)
+        if size is None or parts_for(size) <= table.buckets:
+            # A bucket in few files; one that holds most rows is split by AQE.
+            placed = placed.hint("rebalance", "bucket")
+        else:
+            # A bucket in as many files as its share of the rows needs, whichever keys they have.
+            files_each = -(-parts_for(size) // table.buckets)
+            plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+            file = F.pmod(F.xxhash64(*plain, F.lit("file")), F.lit(files_each)).cast("int")
+            placed = placed.repartitionById(table.buckets * files_each, F.col("bucket") * files_each + file)
+        placed.write.partitionBy("bucket").parquet(data)
         if not any(entry.startswith("bucket=") for entry in files.names(self.spark, data)):
             return commit, []
         stored = self.spark.read.schema(StructType([*rows.schema.fields]).add("bucket", "integer")).parquet(data)
-        index = stored.select("bucket", _bit_of(keys).alias("bit")).groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("rows"), F.bitmap_construct_agg("bit").alias("bits")
-        )
+        # Counted per bit first, of which a bucket has few: no task sorts the rows themselves.
+        bits = stored.groupBy("bucket", _bit_of(keys).alias("bit")).agg(F.count(F.lit(1)).alias("rows"))
+        index = bits.groupBy("bucket").agg(F.sum("rows").alias("rows"), F.bitmap_construct_agg("bit").alias("bits"))
         place = f"{self.root}/index/{name}/commit={commit}"
         index.coalesce(1).write.parquet(place)
         return commit, sorted(r[0] for r in self.spark.read.parquet(place).select("bucket").collect())

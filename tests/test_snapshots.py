@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courtstats import files
+from courtstats.operators import dealing
 from courtstats.sources import snapshots as S
 from courtstats.streaming import incremental as I
 
@@ -179,3 +180,23 @@ def test_two_runs_that_meet_keep_every_row_once(spark, tmp_path, rows, monkeypat
     monkeypatch.setattr(S.SnapshotTables, "commit", late)
     I.load_batch(games(spark, 4, 9), 1, root, facets(), ["game_id"], "one", buckets=2)
     assert rows(I.read_loaded(spark, root, "plays")) == rows(games(spark, 0, 9))
+
+
+def test_stored_rows_are_not_broadcast(spark, store, rows):
+    """However small the files: what they hold is sent to no driver."""
+    append(store, games(spark, 0, 20))
+    new = store.unseen(store.latest(), "plays", games(spark, 15, 25, "again"), ["game_id", "event_num"])
+    assert sorted({r[0] for r in rows(new)}) == [f"g{i:04d}" for i in range(20, 25)]
+    assert "BroadcastHashJoin" not in new._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_is_written_by_as_many_tasks_as_its_rows_need(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(dealing, "TASK_ROWS", 20)
+    plain = {"plays": I.RowFacet(lambda df: df, ["game_id", "event_num"])}
+    sent = [games(spark, 0, 100), games(spark, 50, 150, "again").unionByName(plays(spark, (None, 1, "none")))]
+    for number, batch in enumerate(sent):
+        I.load_batch(batch, number, str(tmp_path / "s"), plain, ["game_id"], "run", buckets=2)
+    files_of = [glob.glob(f"{place}/bucket=0/*.parquet") for place in glob.glob(f"{tmp_path}/s/data/plays/commit=*")]
+    assert len(files_of) == 2 and all(len(found) > 4 for found in files_of)
+    expected = games(spark, 0, 100).unionByName(games(spark, 100, 150, "again")).unionByName(plays(spark, (None, 1, "none")))
+    assert rows(I.read_loaded(spark, str(tmp_path / "s"), "plays")) == rows(expected)
