@@ -50,7 +50,6 @@ def load_batch(
     store = SnapshotTables(batch.sparkSession, root, buckets)
     keys = list(keys)
     batch = batch.persist()
-    held = [batch]
     try:
         sent = batch.count()
         for attempt in range(ATTEMPTS):
@@ -61,16 +60,10 @@ def load_batch(
             changes = []
             for name, facet in {**facets, DONE: RowFacet(lambda _, here=here: here, keys)}.items():
                 rows = facet.build(batch)
-                if name in base.tables:
-                    # Built once for the folders they may be in and for the comparison with these.
-                    rows = rows.persist()
-                    held.append(rows)
                 new = store.unseen(base, name, rows, facet.row_keys)
                 # Rows are kept by game, unless a row's key says nothing of its game.
                 by = keys if set(keys) <= set(facet.row_keys) else list(facet.row_keys)
                 changes.append(store.stage(base, name, new, by, sent))
-                while len(held) > 1:
-                    held.pop().unpersist()
             try:
                 store.commit(base, changes, run_id, batch_id)
                 return
@@ -78,8 +71,7 @@ def load_batch(
                 if attempt == ATTEMPTS - 1:
                     raise
     finally:
-        for frame in held:
-            frame.unpersist()
+        batch.unpersist()
 
 
 def _run_of(spark: SparkSession, checkpoint: str) -> str:
