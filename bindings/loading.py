@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from bindings.common import EVENTS_CTE, events, in_folders, query, table
 from bindings.relational import LOG_CTE, UNIQUE_LINES, game_log, unique_lines
+from courtstats.operators.dealing import parts_for
 from courtstats.operators.projection import conform
 from courtstats.operators.quality import health
 from courtstats.plans import builds
@@ -337,7 +338,7 @@ def _load_play_by_play(spark, sf, folder):
 @query("incremental_load", _PLAYS_SQL)
 @in_folders
 def _incremental_load(spark, sf, folder):
-    """Events spread over many files, a file a batch: every game spans batches.
+    """Events spread over four batches of as many files as their number needs: every game spans batches.
 
     Then a fifth of the events are sent again with another type, which changes nothing,
     and the checkpoint is lost, which loses and doubles nothing.
@@ -345,7 +346,10 @@ def _incremental_load(spark, sf, folder):
     landing, root = folder("landing"), folder("loaded")
     # The number orders the events of a game and is what the rows are told apart by.
     payload = _event_payload(spark, sf).where("sent = 1").drop("sent")
-    payload.repartition(4, "actionNumber").write.parquet(landing)
+    files = parts_for(table(spark, sf, "events").count() // 4)
+    # By number alone few tasks would get rows: a game has few numbers.
+    by = ["actionNumber"] if files == 1 else ["gameId", "actionNumber"]
+    payload.repartition(4 * files, *by).write.parquet(landing)
 
     def load(progress, files):
         stream = L.stream_landing(spark, landing, payload.schema, "parquet", files)
@@ -356,10 +360,10 @@ def _incremental_load(spark, sf, folder):
         incremental_load(keyed, root, progress, {"play_by_play": plays}, ["game_id"], buckets=4)
 
     first = folder("progress")
-    load(first, 1)
+    load(first, files)
     again = payload.where("actionNumber % 5 = 0").withColumn("actionType", F.lit("resent"))
-    again.coalesce(2).write.mode("append").parquet(landing)
-    load(first, 1)
+    again.repartition(2 * files).write.mode("append").parquet(landing)
+    load(first, files)
     load(folder("progress"), 1000)
     loaded = read_loaded(spark, root, "play_by_play")
     return _plays_out(loaded.join(loaded_keys(spark, root, ["game_id"]), "game_id"))
@@ -440,7 +444,7 @@ LEFT JOIN ma USING (l_orderkey) LEFT JOIN ro USING (l_orderkey)""",
 def _load_all_endpoints(spark, sf, folder):
     """Five payloads per game, each a stream of its own; a game is done with rows in all five tables.
 
-    Every payload lands in two files per endpoint that share their games, a file a batch.
+    Every payload lands in two batches per endpoint that share their games, each of as many files as its rows need.
     """
     landing, root, progress = folder("landing"), folder("loaded"), folder("progress")
     lines = table(spark, sf, "lineitem")
@@ -463,11 +467,12 @@ def _load_all_endpoints(spark, sf, folder):
             order_game, F.col("o_custkey").alias("PERSON_ID"), F.col("o_totalprice").alias("IN_TIME_REAL")
         ),
     }
+    files = parts_for(lines.count() // 2)
     ends = {}
     for name, payload in payloads.items():
         path = L.landing_path(landing, name)
-        payload.repartition(2).write.parquet(path)
-        stream = L.stream_landing(spark, path, payload.schema, "parquet", 1)
+        payload.repartition(2 * files).write.parquet(path)
+        stream = L.stream_landing(spark, path, payload.schema, "parquet", files)
         keyed = stream.withColumn("game_id", F.col("gameId"))
         row_keys = _ENDPOINTS[name]
 
